@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ravelin.llm import packing, token_counts, token_files
+from ravelin.llm import language_id, packing, token_counts, token_files, toxicity
 from ravelin.llm.common import table
 
 
@@ -14,6 +14,14 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.section_token_counts(table(spark, sf_dir, "documents"))
 
@@ -22,6 +30,6 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.write_token_files(table(spark, sf_dir, "documents")).read()
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op7_token_counts, op9_token_files)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_toxicity, op6_language_id, op7_token_counts, op9_token_files)}
 
 ORACLES: dict[str, str] = {}

@@ -46,6 +46,10 @@ class ChunkEncoder:
         word = f"[{LETTERS}]+(?=[{SPACE}!-@\\[-`{{-~]|$)"
         keep = f" ?{word}| ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
         self.find = re.compile(keep if kind == "byte" else f"{word}|[^{SPACE}]+").findall
+        self.kind = kind
+        vocabulary = self.tokenizer.get_vocab()
+        self.edges = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.edges[[i for x, i in vocabulary.items() if (x.startswith("\u0120") if kind == "byte" else x.endswith("</w>"))]] = True
         self.ids: dict[str, bytes] = {}
         self.spans: dict[str, tuple[bytes, bytes, int]] = {}
 
@@ -59,13 +63,32 @@ class ChunkEncoder:
         except KeyError:
             pass
         fresh = list({p for p in parts if p not in known})
-        here = {}
-        for p, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
+        here = self.encode_words([p for p in fresh if self.is_word(p)])
+        rest = [p for p in fresh if p not in here]
+        for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
             here[p] = np.array(e.ids, "<u4").tobytes()
         if len(known) < CACHE_ENTRIES:
             known.update((p, v) for p, v in here.items() if len(p) <= CACHE_CHARS)
         return b"".join([here[p] if p in here else known[p] for p in parts])
 
+    def is_word(self, chunk: str) -> bool:
+        """A single pre-token of Latin-1 letters, after its blank for kind ``byte``."""
+        return (chunk[0] == " " and chunk[1:].isalpha() if self.kind == "byte" else chunk.isalpha()) and max(chunk) <= "\xff"
+
+    def encode_words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words in one call: the first id of a pre-token with a blank, or the last one
+        of a pre-token in a vocabulary with word ends, can stand nowhere else."""
+        if not words:
+            return {}
+        byte = self.kind == "byte"
+        ids = np.array(self.tokenizer.encode(("" if byte else " ").join(words), add_special_tokens=False).ids, "<u4")
+        edge = np.flatnonzero(self.edges[ids])
+        cut = np.append(edge, len(ids)) if byte else np.append(0, edge + 1)
+        if len(cut) != len(words) + 1:
+            return {}
+        raw, at = ids.tobytes(), (cut * 4).tolist()
+        return {w: raw[at[i] : at[i + 1]] for i, w in enumerate(words)}
+
     def token_spans(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Start and end character of every token of the whole text, in token order."""
         if not text:
