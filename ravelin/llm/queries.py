@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ravelin.llm import language_id, packing, token_counts, token_files, toxicity
+from ravelin.llm import language_id, near_dedup, packing, token_counts, token_files, toxicity
 from ravelin.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), near_dedup.Settings(shingle=3, similar=(85, 100), bands=36, rows=7))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
@@ -30,6 +34,27 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.write_token_files(table(spark, sf_dir, "documents")).read()
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_toxicity, op6_language_id, op7_token_counts, op9_token_files)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_toxicity, op5_minhash_near_dedup, op6_language_id, op7_token_counts, op9_token_files)}
 
 ORACLES: dict[str, str] = {}
+
+ORACLES["op5_minhash_near_dedup"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s
+  FROM words),
+n AS (SELECT doc_id, len(s) AS n FROM sets),
+items AS (SELECT doc_id, unnest(s) AS x FROM sets),
+pairs AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM items a JOIN items b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT u, v FROM pairs JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id = v WHERE 100 * c >= 85 * (a.n + b.n - c)),
+sym AS (SELECT u, v FROM links UNION SELECT v, u FROM links),
+reach(node, seen) AS (
+  SELECT doc_id, doc_id FROM n UNION SELECT s.v, r.seen FROM reach r JOIN sym s ON s.u = r.node)
+SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, min(r.seen) AS component_id, n.doc_id = min(r.seen) AS kept
+FROM n JOIN reach r ON r.node = n.doc_id GROUP BY n.doc_id, n.n
+"""

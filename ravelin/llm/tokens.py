@@ -17,7 +17,7 @@ SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u
 #: Letters of Latin-1: a run of them before white space or ASCII punctuation is a pre-token.
 LETTERS = "A-Za-z\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\xff"
 #: Chunks a worker keeps (about 200 bytes each); what comes later is encoded each time.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 800_000
 #: Longer chunks are encoded each time.
 CACHE_CHARS = 80
 
@@ -57,19 +57,21 @@ class ChunkEncoder:
         if not text:
             return b""
         parts = self.find(text)
-        known = self.ids
-        try:
-            return b"".join([known[p] for p in parts])
-        except KeyError:
-            pass
-        fresh = list({p for p in parts if p not in known})
+        found = list(map(self.ids.get, parts))
+        if None not in found:
+            return b"".join(found)
+        places = [i for i, f in enumerate(found) if f is None]
+        fresh = dict.fromkeys([parts[i] for i in places])
         here = self.encode_words([p for p in fresh if self.is_word(p)])
         rest = [p for p in fresh if p not in here]
-        for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            here[p] = np.array(e.ids, "<u4").tobytes()
-        if len(known) < CACHE_ENTRIES:
-            known.update((p, v) for p, v in here.items() if len(p) <= CACHE_CHARS)
-        return b"".join([here[p] if p in here else known[p] for p in parts])
+        if rest:
+            for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+                here[p] = np.array(e.ids, "<u4").tobytes()
+        for i in places:
+            found[i] = here[parts[i]]
+        if len(self.ids) < CACHE_ENTRIES:
+            self.ids.update((p, v) for p, v in here.items() if len(p) <= CACHE_CHARS)
+        return b"".join(found)
 
     def is_word(self, chunk: str) -> bool:
         """A single pre-token of Latin-1 letters, after its blank for kind ``byte``."""
@@ -100,7 +102,7 @@ class ChunkEncoder:
             for p, e in zip(fresh, self.tokenizer.encode_batch(fresh, add_special_tokens=False), strict=True):
                 at = np.array(e.offsets, "<i4").reshape(-1, 2)
                 here[p] = (at[:, 0].tobytes(), at[:, 1].tobytes(), len(at))
-            if len(known) < CACHE_ENTRIES // 2:
+            if len(known) < CACHE_ENTRIES // 4:
                 known.update((p, v) for p, v in here.items() if len(p) <= CACHE_CHARS)
         found = [here[p] if p in here else known[p] for p in parts]
         size = np.fromiter(map(len, parts), np.int64, len(parts))
