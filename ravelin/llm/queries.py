@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ravelin.llm import language_id, near_dedup, packing, token_counts, token_files, toxicity
+from ravelin.llm import decontamination, language_id, near_dedup, packing, token_counts, token_files, top_k, toxicity
 from ravelin.llm.common import table
 
 
@@ -18,6 +18,14 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.exact_top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), near_dedup.Settings(shingle=3, similar=(85, 100), bands=36, rows=7))
 
@@ -34,7 +42,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.write_token_files(table(spark, sf_dir, "documents")).read()
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_toxicity, op5_minhash_near_dedup, op6_language_id, op7_token_counts, op9_token_files)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_toxicity, op3_exact_top_k, op4_decontamination, op5_minhash_near_dedup, op6_language_id, op7_token_counts, op9_token_files)}
 
 ORACLES: dict[str, str] = {}
 
@@ -58,3 +66,16 @@ reach(node, seen) AS (
 SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, min(r.seen) AS component_id, n.doc_id = min(r.seen) AS kept
 FROM n JOIN reach r ON r.node = n.doc_id GROUP BY n.doc_id, n.n
 """
+
+ORACLES["op3_exact_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
