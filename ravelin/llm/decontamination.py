@@ -147,7 +147,7 @@ def find(texts: list[bytes], index: Index) -> list[tuple[int, int, int, int, int
                 break
             text, shared = texts[d], int(counts[j] + after[j])
             low, high = max(lo - base, -len(x)), min(hi - base, len(text))
-            if high < low:
+            if high < low or ((d, k) in best and best[d, k][0][0] == 0):
                 continue
             exact = text.find(x, max(0, low), max(0, high) + len(x))
             if exact >= 0:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ravelin.llm import decontamination, language_id, near_dedup, packing, token_counts, token_files, top_k, toxicity
+from ravelin.llm import decontamination, language_id, license_scan, near_dedup, packing, token_counts, token_files, top_k, toxicity, url_filter
 from ravelin.llm.common import table
 
 
@@ -38,11 +38,23 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.section_token_counts(table(spark, sf_dir, "documents"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.write_token_files(table(spark, sf_dir, "documents")).read()
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_toxicity, op3_exact_top_k, op4_decontamination, op5_minhash_near_dedup, op6_language_id, op7_token_counts, op9_token_files)}
+#: The rules of op10, as (verdict, host/path).
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_toxicity, op3_exact_top_k, op4_decontamination, op5_minhash_near_dedup, op6_language_id, op7_token_counts, op8_license_scan, op9_token_files, op10_url_filter)}
 
 ORACLES: dict[str, str] = {}
 
