@@ -15,7 +15,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows of a batch that goes to Python; texts can be long, and Spark's own 10,000 rows of them are too much.
+BATCH_ROWS = 2000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the rows of an Arrow batch where the session has Spark's default."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) >= 10_000:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -31,6 +43,7 @@ def shared_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back; its path is in ``_ravelin_path``."""
     spark = df.sparkSession
+    bounded_batches(spark)
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)

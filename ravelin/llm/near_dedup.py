@@ -4,11 +4,13 @@
    fingerprint, the minima of ``bands * rows`` universal hash functions as band keys, and a
    one-byte signature of each minimum. Rows with equal sets form a class; only its least doc_id
    goes on, so exact copies never meet again.
-2. Every band bucket links its members to its least member (a star, never all pairs). A link is
-   verified on the signatures with a margin of five standard errors, then confirmed on full sets.
+2. Every band bucket links its members to its head, the member with the most neighbours in all its
+   buckets (a star, never all pairs). A link is verified on the signatures with a margin of five
+   standard errors, then confirmed on full sets.
 3. Components by large-star and small-star. Members of a bucket that are not yet connected to its
-   head are then compared with the members of other components in the bucket, so that no link
-   between different texts is lost; links within a component change nothing.
+   head are compared with ``OTHERS`` of its members, and those still apart with the members of
+   other components in the bucket, so that no link between different texts is lost; links within a
+   component change nothing.
 
 ``bands`` and ``rows`` are such that a pair at the threshold shares no band with probability under
 1e-6. Numerator and denominator of the threshold are whole numbers, so the confirmation is exact.
@@ -33,7 +35,13 @@ from pyspark.sql import functions as F
 from ravelin.llm.common import discard, materialize
 from ravelin.llm.components import connected_components
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
+#: Ids of documents to confirm that are broadcast at most; more are joined by a shuffle of the texts.
+BROADCAST_NODES = 1_000_000
+#: Strays, and members, of a bucket that meet in one task.
+UNIT_ROWS = 2048
+#: Members of a bucket, besides its head, that those not linked to the head are compared with first.
+OTHERS = 4
 _U = np.uint64
 _words: dict[bytes, int] = {}
 
@@ -138,15 +146,89 @@ def signature_verified(pairs: DataFrame, classes: DataFrame, s: Settings) -> Dat
     return both.select("u", "v", "su", "sv").mapInArrow(run, "u long, v long")
 
 
-def confirmed(pairs: DataFrame, documents: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
-    """Pairs (u, v) whose full sets reach the threshold."""
-    top, bottom = s.similar
+def full_sets(nodes: DataFrame, documents: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
+    """(node, hashes) of the named nodes, from their texts; written."""
 
     def sets(batches):
         for batch in batches:
             found = [shingle_set(t.as_py(), s.shingle) for t in batch["text"]]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array([xxhash.xxh3_128_digest(h.tobytes()) for h in found], pa.binary()), pa.array([h.tobytes() for h in found], pa.binary())], names=["doc_id", "fingerprint", "hashes"])
 
+    nodes = materialize(nodes.distinct(), "nodes")
+    if nodes.count() <= BROADCAST_NODES:
+        nodes = F.broadcast(nodes)
+    rows = documents.select(F.col("doc_id").cast("long"), "text").join(nodes, F.col("doc_id") == F.col("node"), "left_semi")
+    held = rows.mapInArrow(sets, "doc_id long, fingerprint binary, hashes binary").dropDuplicates(["doc_id", "fingerprint"])
+    return materialize(held.join(classes.select("node", "fingerprint"), [F.col("doc_id") == F.col("node"), classes["fingerprint"] == held["fingerprint"]], "left_semi").select(F.col("doc_id").alias("node"), "hashes"), "sets")
+
+
+def unit_links(nodes: list[int], components: list[int], sets: list[np.ndarray], strays: np.ndarray, s: Settings) -> list[tuple[int, int]]:
+    """Links of strays (places in ``nodes``) to nodes of other components: one for each two components
+    that it connects, none within a component. All intersections of a stray are counted at once."""
+    top, bottom = s.similar
+    sizes = np.array([len(x) for x in sets])
+    ids = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    begin = np.cumsum(sizes) - sizes
+    mark = np.zeros(ids.max() + 1, np.int64)
+    names, label = np.unique(np.array(components, np.int64), return_inverse=True)
+    links = []
+    for i in strays:
+        mine = ids[begin[i] : begin[i] + sizes[i]]
+        mark[mine] = 1
+        shared = np.add.reduceat(mark[ids], begin)
+        mark[mine] = 0
+        near = np.flatnonzero((bottom * shared >= top * (sizes + sizes[i] - shared)) & (label != label[i]))
+        for j in near:
+            if label[j] != label[i]:
+                links.append((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])))
+                label[label == label[j]] = label[i]
+    return links
+
+
+def links_of_strays(apart: DataFrame, documents: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
+    """Exact links between nodes of different components that share a bucket with a stray.
+
+    ``apart`` are (key, node, component, apart). Of buckets with the same members one is looked at.
+    Large ones are cut into units of about ``UNIT_ROWS`` strays and as many members, each pair of
+    which meets in one unit; a unit gives links, not pairs.
+    """
+    one, two = (F.bit_xor(F.xxhash64("node", F.lit(i))) for i in (1, 2))
+    open_ = apart.groupBy("key").agg(F.count("*").alias("n"), one.alias("one"), two.alias("two"), F.max("apart").alias("open")).where("open")
+    chosen = open_.groupBy("n", "one", "two").agg(F.min("key").alias("key"))
+    rows = apart.join(chosen.select("key", F.ceil(F.col("n") / UNIT_ROWS).cast("int").alias("k")), "key").withColumn("c", F.expr("cast(pmod(xxhash64(node, key), k) as int)"))
+    each = F.explode(F.sequence(F.lit(0), F.col("k") - 1))
+    members = rows.select("key", each.alias("sc"), F.col("c").alias("mc"), "node", "component", F.lit(False).alias("stray"))
+    strays = rows.where("apart").select("key", F.col("c").alias("sc"), each.alias("mc"), "node", "component", F.lit(True).alias("stray"))
+    units = materialize(members.union(strays), "units")
+    held = full_sets(units.select("node"), documents, classes, s)
+
+    def run(batches):
+        def looked(unit):
+            nodes, components, sets, strays = zip(*((r[3], r[4], np.frombuffer(r[6], _U), r[5]) for r in unit), strict=True)
+            found = unit_links(list(nodes), list(components), list(sets), np.flatnonzero(strays), s)
+            return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["u", "v"])
+
+        unit: list[tuple] = []
+        for batch in batches:
+            for r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if unit and unit[0][:3] != r[:3]:
+                    yield looked(unit)
+                    unit = []
+                unit.append(r)
+        if unit:
+            yield looked(unit)
+
+    dealt = units.join(held, "node").select("key", "sc", "mc", "node", "component", "stray", "hashes").repartition("key", "sc", "mc").sortWithinPartitions("key", "sc", "mc")
+    links = materialize(dealt.mapInArrow(run, "u long, v long").distinct(), "links")
+    discard(held)
+    discard(units)
+    return links
+
+
+def confirmed(pairs: DataFrame, documents: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
+    """Pairs (u, v) whose full sets reach the threshold."""
+    top, bottom = s.similar
+
     def run(batches):
         for batch in batches:
             keep = []
@@ -160,16 +242,23 @@ def confirmed(pairs: DataFrame, documents: DataFrame, classes: DataFrame, s: Set
                 keep.append(bottom * shared >= top * (len(both) - shared))
             yield batch.select(["u", "v"]).filter(pa.array(keep))
 
-    nodes = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-    rows = documents.select(F.col("doc_id").cast("long"), "text").join(nodes, F.col("doc_id") == F.col("node"), "left_semi")
-    held = rows.mapInArrow(sets, "doc_id long, fingerprint binary, hashes binary").dropDuplicates(["doc_id", "fingerprint"])
-    held = materialize(held.join(classes.select("node", "fingerprint"), [F.col("doc_id") == F.col("node"), classes["fingerprint"] == held["fingerprint"]], "left_semi").select(F.col("doc_id").alias("node"), "hashes"), "sets")
+    held = full_sets(pairs.select(F.col("u").alias("node")).union(pairs.select("v")), documents, classes, s)
     both = pairs.join(held.select(F.col("node").alias("u"), F.col("hashes").alias("hu")), "u").join(held.select(F.col("node").alias("v"), F.col("hashes").alias("hv")), "v")
     links = materialize(both.select("u", "v", "hu", "hv").mapInArrow(run, "u long, v long"), "links")
     discard(held)
     return links
 
 
+def verified(pairs: DataFrame, documents: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
+    """Links (u, v) among ``pairs`` of two nodes, first by signatures, then on full sets."""
+    u, v = pairs.columns
+    once = pairs.where(F.col(u) != F.col(v)).select(F.least(u, v).alias("u"), F.greatest(u, v).alias("v")).distinct()
+    candidates = materialize(signature_verified(once, classes, s), "candidates")
+    links = confirmed(candidates, documents, classes, s)
+    discard(candidates)
+    return links
+
+
 def near_duplicates(documents: DataFrame, settings: Settings | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id, kept; one row per row of ``documents``."""
     s = settings or Settings()
@@ -180,28 +269,34 @@ def near_duplicates(documents: DataFrame, settings: Settings | None = None) -> D
     classes = materialize(heads.select(F.col("doc_id").alias("node"), "fingerprint", "keys", "signature"), "classes")
 
     buckets = classes.select("node", F.explode("keys").alias("key"))
-    shared = buckets.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("n")).where(F.col("n") > 1).select("key", "head")
-    members = materialize(buckets.join(shared, "key"), "members")
-    stars = members.where(F.col("node") != F.col("head")).select(F.col("head").alias("u"), F.col("node").alias("v")).distinct()
-    candidates = materialize(signature_verified(stars, classes, s), "candidates")
-    links = confirmed(candidates, documents, classes, s)
-    discard(candidates)
+    shared = buckets.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    crowds = materialize(buckets.join(shared, "key"), "crowds")
+    central = crowds.join(crowds.groupBy("node").agg(F.sum("n").alias("near")), "node")
+    head = F.max_by("node", F.struct("near", -F.col("node"))).alias("head")
+    others = [F.max_by("node", F.xxhash64("node", "key", F.lit(i))).alias(f"other{i}") for i in range(OTHERS)]
+    members = materialize(central.join(central.groupBy("key").agg(head, *others), "key"), "members")
+    discard(crowds)
+
+    links = verified(members.select("head", "node"), documents, classes, s)
     found = materialize(connected_components(links), "components")
-
-    named = members.join(found, "node", "left").select("key", "node", "head", F.coalesce("component", "node").alias("component"))
-    of_head = found.select(F.col("node").alias("head"), F.col("component").alias("head_component"))
-    apart = materialize(named.join(of_head, "head", "left").withColumn("apart", F.col("component") != F.coalesce("head_component", "head")).select("key", "node", "head", "component", "apart"), "apart")
-    strays = apart.where("apart").select("key", F.col("node").alias("s"), F.col("component").alias("s_component"))
-    split = apart.join(strays.select("key").distinct(), "key", "left_semi").where(F.col("node") != F.col("head")).select("key", F.col("node").alias("m"), F.col("component").alias("m_component"), F.col("apart").alias("m_apart"))
-    open_ = strays.join(split, "key").where((F.col("s_component") != F.col("m_component")) & (~F.col("m_apart") | (F.col("s") < F.col("m"))))
-    more = materialize(signature_verified(open_.select(F.least("s", "m").alias("u"), F.greatest("s", "m").alias("v")).distinct(), classes, s), "candidates")
-    if not more.isEmpty():
-        late = confirmed(more, documents, classes, s)
-        discard(found)
-        found = materialize(connected_components(links.union(late)), "components")
-        discard(late)
-    for t in (more, apart, members, links):
-        discard(t)
+    for last in (False, True):
+        named = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        of_head = found.select(F.col("node").alias("head"), F.col("component").alias("head_component"))
+        apart = materialize(named.join(of_head, "head", "left").withColumn("apart", F.col("component") != F.coalesce("head_component", "head")), "apart")
+        if last:
+            more = links_of_strays(apart.select("key", "node", "component", "apart"), documents, classes, s)
+        else:
+            tried = apart.where("apart").select(F.col("node").alias("s"), F.explode(F.array(*(f"other{i}" for i in range(OTHERS)))).alias("m"))
+            more = verified(tried, documents, classes, s)
+        discard(apart)
+        if not more.isEmpty():
+            joined = materialize(links.union(more), "links")
+            for t in (links, more, found):
+                discard(t)
+            links = joined
+            found = materialize(connected_components(links), "components")
+    discard(members)
+    discard(links)
     of_class = least.join(found, "node", "left").select("fingerprint", F.coalesce("component", "node").alias("component"))
     out = rows.select("doc_id", "n_shingles", "fingerprint").join(of_class, "fingerprint", "left")
     linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
