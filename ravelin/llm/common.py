@@ -1,4 +1,4 @@
-"""Shared plumbing: written intermediate tables, Arrow helpers, row splits.
+"""Shared plumbing: written intermediate tables, worker caches, row splits.
 
 Lineage is cut by writing Parquet below ``spark.checkpoint.dir``, a folder that the
 driver and all executors share; a lost executor then only costs its own tasks.
@@ -8,9 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,22 +58,17 @@ def discard(df: DataFrame | None) -> None:
         target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
 
 
-def crc_mod(column: str, divisor: int) -> Column:
-    """crc32 of the decimal text of an id, modulo ``divisor``; a null id counts as remainder -1."""
-    return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % divisor, F.lit(-1))
-
+_worker_caches: dict[str, dict] = {}
 
-def rows_mapped(df: DataFrame, make: Callable[[], Callable], schema: str, arrow_schema: pa.Schema) -> DataFrame:
-    """``mapInArrow`` of a function from one RecordBatch to a dict of columns.
 
-    ``make`` runs once a task on the executor, so models and caches are built there.
-    """
+def worker_cache(owner: str) -> dict:
+    """A table that outlives tasks in a Python worker; the tables of other owners are let go."""
+    for name, held in _worker_caches.items():
+        if name != owner:
+            held.clear()
+    return _worker_caches.setdefault(owner, {})
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = make()
-        for batch in batches:
-            if batch.num_rows:
-                columns = step(batch)
-                yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in arrow_schema], schema=arrow_schema)
 
-    return df.mapInArrow(run, schema)
+def crc_mod(column: str, divisor: int) -> Column:
+    """crc32 of the decimal text of an id, modulo ``divisor``; a null id counts as remainder -1."""
+    return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % divisor, F.lit(-1))

@@ -25,9 +25,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ravelin.llm.common import crc_mod
+from ravelin.llm.common import crc_mod, worker_cache
 
 SAMPLE_PER_LANGUAGE = 2500
+#: A language's rows are dealt to so many tasks before its sample is taken.
+SALTS = 64
 MAX_GRAM = 4
 SMOOTHING = 0.5
 CACHE_WORDS = 300_000
@@ -82,8 +84,10 @@ def table_of(languages: list[str], rows: list[tuple[str, str, int]]) -> tuple[di
 
 def fit(documents: DataFrame, trained_on: Column, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     rows = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & trained_on)
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.select("doc_id", "lang").withColumn("k", F.row_number().over(by_hash)).where(F.col("k") <= per_language).select("doc_id").distinct()
+    order = [F.xxhash64("doc_id"), "doc_id"]
+    salted = rows.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(SALTS)).alias("salt"))
+    dealt = salted.withColumn("k", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).where(F.col("k") <= -(-4 * per_language // SALTS))
+    chosen = dealt.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("k") <= per_language).select("doc_id").distinct()
     sample = rows.select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id", "left_semi")  # bounded: per_language x languages
     counted = sample.select("lang", "text").mapInArrow(count_features, "kind int, lang string, feature string, n long").groupBy("kind", "lang", "feature").agg(F.sum("n").alias("n"))
     kept = counted.where(F.col("n") >= F.when(F.col("kind") == 0, 3).otherwise(2)).toArrow()
@@ -144,7 +148,6 @@ class Scorer:
         return self.model.languages[best], float(odds[best] / odds.sum())
 
 
-_scorers: dict[str, Scorer] = {}
 SCHEMA = "lang_pred string, score double"
 
 
@@ -153,10 +156,11 @@ def add_predictions(documents: DataFrame, model: Model, keep: list[str]) -> Data
     shared, key = documents.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def run(batches):
-        if key not in _scorers:
-            _scorers.clear()
-            _scorers[key] = Scorer(shared.value)
-        score = _scorers[key]
+        scorers = worker_cache("language_id")
+        if key not in scorers:
+            scorers.clear()
+            scorers[key] = Scorer(shared.value)
+        score = scorers[key]
         for batch in batches:
             found = [score(t.as_py()) for t in batch["_scored_text"]]
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=[*keep, "lang_pred", "score"])

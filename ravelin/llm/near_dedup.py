@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ravelin.llm.common import discard, materialize
+from ravelin.llm.common import discard, materialize, worker_cache
 from ravelin.llm.components import connected_components
 
 CACHE_WORDS = 150_000
@@ -43,7 +43,6 @@ UNIT_ROWS = 2048
 #: Members of a bucket, besides its head, that those not linked to the head are compared with first.
 OTHERS = 4
 _U = np.uint64
-_words: dict[bytes, int] = {}
 
 
 @dataclass(frozen=True)
@@ -75,7 +74,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    known = _words
+    known = worker_cache("near_dedup")
     found = list(map(known.get, words))
     if None in found:
         for i, h in enumerate(found):

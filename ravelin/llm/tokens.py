@@ -12,6 +12,8 @@ import re
 
 import numpy as np
 
+from ravelin.llm.common import worker_cache
+
 #: The White_Space property, as the pre-tokenizers' \s understands it.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: Letters of Latin-1: a run of them before white space or ASCII punctuation is a pre-token.
@@ -21,8 +23,6 @@ CACHE_ENTRIES = 800_000
 #: Longer chunks are encoded each time.
 CACHE_CHARS = 80
 
-_made: dict[tuple, ChunkEncoder] = {}
-
 
 def vocabulary_path(name: str) -> str:
     import public_tokenizers
@@ -113,6 +113,7 @@ class ChunkEncoder:
 
 def encoder(path: str, kind: str) -> ChunkEncoder:
     """One encoder per worker process, kept between its tasks."""
-    if (path, kind) not in _made:
-        _made[path, kind] = ChunkEncoder(path, kind)
-    return _made[path, kind]
+    made = worker_cache("tokens")
+    if (path, kind) not in made:
+        made[path, kind] = ChunkEncoder(path, kind)
+    return made[path, kind]

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ravelin.llm.common import crc_mod, materialize
+from ravelin.llm.common import crc_mod, materialize, worker_cache
 
 SAMPLE_LABELS = 12_000
 LEAST_SUPPORT = 4
@@ -266,18 +266,17 @@ class Scorer:
         return 1 / (1 + math.exp(-max(-40.0, min(40.0, z))))
 
 
-_scorers: dict[str, Scorer] = {}
-
 
 def add_scores(documents: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """``keep`` columns of ``documents`` with ``toxicity`` from 0 to 1."""
     shared, key = documents.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def run(batches):
-        if key not in _scorers:
-            _scorers.clear()
-            _scorers[key] = Scorer(shared.value)
-        score = _scorers[key]
+        scorers = worker_cache("toxicity")
+        if key not in scorers:
+            scorers.clear()
+            scorers[key] = Scorer(shared.value)
+        score = scorers[key]
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), pa.array([score(t.as_py()) for t in batch["_scored_text"]], pa.float64())], names=[*keep, "toxicity"])
 
