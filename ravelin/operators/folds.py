@@ -58,7 +58,7 @@ def tape_step(x: Column, y: Column, after_end: Column, ocr: Column) -> tuple[Col
     exact = (ox == ex) & (oy == ey)
     fresh = after_end & (oy == 1) & (F.abs(ox - ex) <= 1)
     near = ~after_end & (oy == ey) & (F.abs(ox - ex) <= 1)
-    first = ~after_end & (oy == 1) & (ey == 1) & (ox >= ex - 1) & (ox <= ex + 2) & ~F.contains(ex.cast("string"), ox.cast("string"))
+    first = ~after_end & (oy == 1) & (ey == 1) & (ox == ex + 2) & (F.floor(ox / 10) != F.floor(ex / 10)) & ~F.contains(ex.cast("string"), ox.cast("string"))
     trusted = F.coalesce(~missing & ~unread & (exact | fresh | near | first), F.lit(False))
     return F.when(trusted, ox).otherwise(ex), F.when(trusted, oy).otherwise(ey), ~missing & ~trusted
 
