@@ -6,6 +6,7 @@ driver and all executors share; a lost executor then only costs its own tasks.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -13,13 +14,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 #: Rows of a batch that goes to Python; texts can be long, and Spark's own 10,000 rows of them are too much.
 BATCH_ROWS = 2000
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Lower the rows of an Arrow batch where the session has Spark's default."""
+    """Lower the rows of an Arrow batch where the session has Spark's default; let workers import us."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    workers = spark.sparkContext.environment  # they find this package where the driver found it
+    if ROOT not in workers.get("PYTHONPATH", "").split(os.pathsep):
+        workers["PYTHONPATH"] = os.pathsep.join(filter(None, [workers.get("PYTHONPATH"), ROOT]))
     if int(spark.conf.get(key)) >= 10_000:
         spark.conf.set(key, str(BATCH_ROWS))
 

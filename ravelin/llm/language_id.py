@@ -148,11 +148,11 @@ class Scorer:
         return self.model.languages[best], float(odds[best] / odds.sum())
 
 
-SCHEMA = "lang_pred string, score double"
+SCHEMA = "_lang_pred string, _score double"
 
 
 def add_predictions(documents: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """``keep`` columns of ``documents`` with ``lang_pred`` and ``score``."""
+    """``keep`` columns of ``documents`` with ``_lang_pred`` and ``_score``."""
     shared, key = documents.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def run(batches):
@@ -163,7 +163,7 @@ def add_predictions(documents: DataFrame, model: Model, keep: list[str]) -> Data
         score = scorers[key]
         for batch in batches:
             found = [score(t.as_py()) for t in batch["_scored_text"]]
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=[*keep, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=[*keep, "_lang_pred", "_score"])
 
     kept = documents.select(*keep, F.col("text").alias("_scored_text"))
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name in keep)
@@ -175,11 +175,11 @@ def identify(documents: DataFrame, held_out_divisor: int = 5) -> DataFrame:
     held = crc_mod("doc_id", held_out_divisor) == 0
     docs = documents.select(F.col("doc_id").cast("long"), "text", "lang")
     model = fit(docs, ~held)
-    return add_predictions(docs.select("doc_id", "text", held.alias("held_out")), model, ["doc_id", "held_out"])
+    return add_predictions(docs.select("doc_id", "text", held.alias("held_out")), model, ["doc_id", "held_out"]).withColumnsRenamed({"_lang_pred": "lang_pred", "_score": "score"})
 
 
 def accepted(documents: DataFrame, least_score: float = 0.5) -> DataFrame:
     """Rows whose language is known with a posterior of ``least_score``; all their columns."""
     model = fit(documents.select(F.col("doc_id").cast("long"), "text", "lang"), F.lit(True))
     names = documents.columns
-    return add_predictions(documents, model, names).where((F.col("lang_pred") != "und") & (F.col("score") >= least_score)).select(*names)
+    return add_predictions(documents, model, names).where((F.col("_lang_pred") != "und") & (F.col("_score") >= least_score)).select(*names)

@@ -67,9 +67,11 @@ def section_token_counts(documents: DataFrame, sections: DataFrame | None = None
     path = tokenizer_path or vocabulary_path("byte_bpe_50k.json")
     docs = documents.select(F.col("doc_id").cast("long"), "text")
     if sections is not None:
-        spans = F.sort_array(F.collect_list(F.struct(F.col("begin").cast("long"), F.col("end").cast("long"), F.col("section").cast("int"))))
+        spans = F.sort_array(F.collect_list(F.struct(*(F.col(c).cast("long").alias(c) for c in ("begin", "end", "section")))))
         docs = docs.join(sections.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(spans.alias("spans")), "doc_id", "left")
 
+    by_line = sections is None
+
     def run(batches):
         token_spans = encoder(path, kind).token_spans
         for batch in batches:
@@ -77,7 +79,7 @@ def section_token_counts(documents: DataFrame, sections: DataFrame | None = None
             given = batch["spans"].to_pylist() if "spans" in batch.schema.names else [None] * batch.num_rows
             for doc_id, text, spans in zip(batch["doc_id"].to_pylist(), batch["text"], given, strict=True):
                 text = text.as_py() or ""
-                if sections is None:
+                if by_line:
                     bounds = line_bounds(text)
                     begins, stops = bounds[:-1], bounds[1:]
                     names = list(range(len(begins)))

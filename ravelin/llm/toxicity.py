@@ -5,8 +5,8 @@ separators between them. Each suspicious token, or run of single characters, bec
 of letters, deletions and word boundaries, and Viterbi decoding under a character trigram model
 finds the text that was most likely meant. The trigram model counts all words of the whole
 input (its alphabet of 28 symbols bounds what is broadcast). The restored words are scored with
-a lexicon of weighted words, learned from a bounded sample of labelled rows, and calibrated by a
-logistic curve.
+a lexicon of weighted words, learned from a bounded sample of labelled rows: the logistic curve of
+their summed weights, or the lower confidence bound of one word's own rate of toxic texts, if higher.
 
 ``SAMPLE_LABELS`` bounds that sample: the labelled rows of least id hash that are not held out.
 In the lexicon, near copies count once: support is counted in distinct word sketches.
@@ -18,6 +18,7 @@ scored each; a null doc_id stays null and counts as not held out; other columns
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 import uuid
@@ -35,6 +36,8 @@ from ravelin.llm.common import crc_mod, materialize, worker_cache
 
 SAMPLE_LABELS = 12_000
 LEAST_SUPPORT = 4
+#: Words of least hash that a text is recognised by as a near copy of another.
+SKETCH_WORDS = 4
 LEAST_RATE = 0.6
 THRESHOLD = 0.7
 CACHE_TOKENS = 300_000
@@ -191,6 +194,7 @@ class Restorer:
 class Model:
     logs: list[float]
     weights: dict[str, float]
+    rates: dict[str, float]
     slope: float
     offset: float
 
@@ -218,7 +222,7 @@ def fit(documents: DataFrame, labels: DataFrame, trained_on: Column, sample: int
         words = Restorer(logs).words
         for batch in batches:
             found = [sorted(words(t.as_py())) for t in batch["text"]]
-            sketch = [min((zlib.crc32(w.encode()) for w in f), default=0) for f in found]
+            sketch = [zlib.crc32(b"".join(x.to_bytes(4) for x in heapq.nsmallest(SKETCH_WORDS, (zlib.crc32(w.encode()) for w in f)))) for f in found]
             yield pa.RecordBatch.from_arrays([batch["toxic"], pa.array(sketch, pa.int64()), pa.array(found, pa.list_(pa.string()))], names=["toxic", "sketch", "words"])
 
     rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text")  # bounded by `sample`
@@ -227,11 +231,12 @@ def fit(documents: DataFrame, labels: DataFrame, trained_on: Column, sample: int
     bad, good = of.get(1, 0), of.get(0, 0)
     n = [F.count_distinct(F.when(F.col("toxic") == k, F.col("sketch"))).alias(name) for k, name in ((1, "bad"), (0, "good"))]
     support = rows.select("toxic", "sketch", F.explode("words").alias("word")).groupBy("word").agg(*n).where((F.col("bad") >= LEAST_SUPPORT) & (F.col("bad") > F.col("good"))).collect()
-    weights = {}
+    weights, rates = {}, {}
     for r in support:
         k, m = r["bad"], r["bad"] + r["good"]
         rate = (k + 2) / (m + 4) - 1.64 * math.sqrt((k + 2) / (m + 4) * (m - k + 2) / (m + 4) / (m + 4))
         if rate >= LEAST_RATE:
+            rates[r["word"]] = rate
             weights[r["word"]] = math.log((k + 0.5) / (r["good"] + 0.5)) - math.log((bad + 1) / (good + 1))
     held = F.array_intersect("words", F.array(*map(F.lit, sorted(weights)))) if weights else F.array().cast("array<string>")
     seen = rows.select("toxic", held.alias("hits")).collect()
@@ -240,8 +245,8 @@ def fit(documents: DataFrame, labels: DataFrame, trained_on: Column, sample: int
     y = np.array([float(r["toxic"] == 1) for r in seen])
     if not len(y) or not weights:
         rate = float(y.mean()) if len(y) else 0.0
-        return Model(logs, {}, 1.0, math.log(rate / (1 - rate)) if 0 < rate < 1 else (-40.0 if rate == 0 else 40.0))
-    return Model(logs, weights, *calibrate(x, y))
+        return Model(logs, {}, {}, 1.0, math.log(rate / (1 - rate)) if 0 < rate < 1 else (-40.0 if rate == 0 else 40.0))
+    return Model(logs, weights, rates, *calibrate(x, y))
 
 
 class Scorer:
@@ -263,12 +268,12 @@ class Scorer:
             for m in _spaced.finditer(text):
                 found.update(w for w in decode(m[0], self.model.logs).split() if w in weights)
         z = self.model.slope * sum(weights[w] for w in sorted(found)) + self.model.offset
-        return 1 / (1 + math.exp(-max(-40.0, min(40.0, z))))
+        return max([1 / (1 + math.exp(-max(-40.0, min(40.0, z)))), *(self.model.rates[w] for w in found)])
 
 
 
 def add_scores(documents: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """``keep`` columns of ``documents`` with ``toxicity`` from 0 to 1."""
+    """``keep`` columns of ``documents`` with ``_toxicity`` from 0 to 1."""
     shared, key = documents.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def run(batches):
@@ -278,11 +283,11 @@ def add_scores(documents: DataFrame, model: Model, keep: list[str]) -> DataFrame
             scorers[key] = Scorer(shared.value)
         score = scorers[key]
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), pa.array([score(t.as_py()) for t in batch["_scored_text"]], pa.float64())], names=[*keep, "toxicity"])
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), pa.array([score(t.as_py()) for t in batch["_scored_text"]], pa.float64())], names=[*keep, "_toxicity"])
 
     kept = documents.select(*keep, F.col("text").alias("_scored_text"))
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name in keep)
-    return kept.mapInArrow(run, f"{types}, toxicity double")
+    return kept.mapInArrow(run, f"{types}, _toxicity double")
 
 
 def toxicity(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, held_out: int = 1, divisor: int = 3) -> DataFrame:
@@ -291,11 +296,11 @@ def toxicity(documents: DataFrame, labels: DataFrame, threshold: float = THRESHO
     docs = documents.select(F.col("doc_id").cast("long"), "text")
     model = fit(docs, labels, ~held)
     scored = add_scores(docs.withColumn("held_out", held), model, ["doc_id", "held_out"])
-    return scored.select("doc_id", "held_out", F.col("toxicity").alias("score"), (F.col("toxicity") >= threshold).cast("int").alias("predicted"))
+    return scored.select("doc_id", "held_out", F.col("_toxicity").alias("score"), (F.col("_toxicity") >= threshold).cast("int").alias("predicted"))
 
 
 def clean(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Rows that score below ``threshold``; all their columns. Learns from labels of these rows."""
     model = fit(documents.select(F.col("doc_id").cast("long"), "text"), labels, F.lit(True))
     names = documents.columns
-    return add_scores(documents, model, names).where(F.col("toxicity") < threshold).select(*names)
+    return add_scores(documents, model, names).where(F.col("_toxicity") < threshold).select(*names)
