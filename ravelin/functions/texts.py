@@ -19,6 +19,8 @@ OCR_REPAIRS = [
     (r"(?i)\bMASTEP\b", "MASTER"),
     ("Unindentifiable", "Unidentifiable"),
 ]
+#: Radio calls that stand in parentheses.
+RADIO_CALLS = ["OVER", "OUT", "ROGER", "COPY", "GO AHEAD", "STAND BY", "AFFIRMATIVE", "NEGATIVE"]
 #: Page and tape footers at the end of a text.
 FOOTERS = [
     r"(?i)[\s.]+T[A-Z0-9]{2,}\s*[\d/IX]+\s+P[A-Z0-9]{2,}\s*[\d/IX]+\s*$",
@@ -39,6 +41,13 @@ def without_footer(c: Column) -> Column:
     return F.trim(repaired(c, [(p, "") for p in FOOTERS]))
 
 
+def radio_called(c: Column, calls: list[str] = RADIO_CALLS) -> Column:
+    """Calls in parentheses become bare upper case, with their full stop."""
+    for call in calls:
+        c = F.regexp_replace(c, rf"(?i)\(\s*{call}(\.?)\s*\)", f"{call}$1")
+    return c
+
+
 def squeezed(c: Column) -> Column:
     """Runs of white space are one blank."""
     return F.trim(F.regexp_replace(c, r"\s+", " "))

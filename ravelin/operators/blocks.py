@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ravelin.functions.timecodes import canonical_seconds, is_blank
 
 ORDER = ["page_num", "block_idx"]
-BY_DOCUMENT = Window.partitionBy("document").orderBy(*ORDER)
-BY_PAGE = Window.partitionBy("document", "page_num").orderBy("block_idx")
+
+
+def by_document() -> WindowSpec:
+    return Window.partitionBy("document").orderBy(*ORDER)
+
+
+def by_page() -> WindowSpec:
+    return Window.partitionBy("document", "page_num").orderBy("block_idx")
 
 
 def of_type(blocks: DataFrame, kind: str) -> DataFrame:
@@ -52,7 +58,7 @@ def last_before(pages: DataFrame, times: DataFrame) -> DataFrame:
 
 def stable_run(blocks: DataFrame, timestamp: str = "timestamp_clean", window: int = 6, length: int = 3) -> DataFrame:
     """Whether the next ``window`` comm blocks begin with ``length`` increasing times, 600 s apart at most."""
-    ahead = BY_PAGE.rowsBetween(0, window - 1)
+    ahead = by_page().rowsBetween(0, window - 1)
     run = F.slice(F.filter(F.collect_list(canonical_seconds(F.col(timestamp))).over(ahead), lambda x: x.isNotNull()), 1, length)
     steps = F.zip_with(F.slice("run", 1, length - 1), F.slice("run", 2, length - 1), lambda a, b: (b > a) & (b - a <= 600))
     return of_type(blocks, "comm").withColumn("run", run).withColumn("stable", (F.size("run") == length) & F.forall(steps, lambda x: x)).drop("run")
@@ -60,14 +66,14 @@ def stable_run(blocks: DataFrame, timestamp: str = "timestamp_clean", window: in
 
 def without_repeated_annotations(blocks: DataFrame, norm: Column) -> DataFrame:
     """Annotations equal to the block just before, itself an annotation, go."""
-    marked = blocks.withColumn("_norm", F.when(F.col("type") == "annotation", norm)).withColumn("_before", F.lag("_norm").over(BY_DOCUMENT))
+    marked = blocks.withColumn("_norm", F.when(F.col("type") == "annotation", norm)).withColumn("_before", F.lag("_norm").over(by_document()))
     return marked.where(F.col("_norm").isNull() | F.col("_before").isNull() | (F.col("_norm") != F.col("_before"))).drop("_norm", "_before")
 
 
 def merged_runs(blocks: DataFrame, timestamp: str) -> DataFrame:
     """Neighbouring comm blocks of one page with equal timestamp and speaker become one."""
-    same = (F.col("type") == "comm") & (F.lag("type").over(BY_PAGE) == "comm") & (F.lag(timestamp).over(BY_PAGE) == F.col(timestamp)) & (F.lag("speaker").over(BY_PAGE) == F.col("speaker")) & ~is_blank(F.col("speaker"))
-    island = F.sum(F.when(F.coalesce(same, F.lit(False)), 0).otherwise(1)).over(BY_PAGE)
+    same = (F.col("type") == "comm") & (F.lag("type").over(by_page()) == "comm") & (F.lag(timestamp).over(by_page()) == F.col(timestamp)) & (F.lag("speaker").over(by_page()) == F.col("speaker")) & ~is_blank(F.col("speaker"))
+    island = F.sum(F.when(F.coalesce(same, F.lit(False)), 0).otherwise(1)).over(by_page())
     grouped = blocks.withColumn("island", island).groupBy("document", "page_num", "island")
     texts = F.transform(F.sort_array(F.collect_list(F.struct("block_idx", F.coalesce(F.trim("text"), F.lit("")).alias("t")))), lambda x: x["t"])
     return grouped.agg(F.min("block_idx").alias("block_idx"), F.min_by("type", "block_idx").alias("type"), F.min_by(timestamp, "block_idx").alias(timestamp), F.min_by("speaker", "block_idx").alias("speaker"), F.count("*").alias("n_merged"), F.array_join(F.filter(texts, lambda x: x != ""), " ").alias("text")).drop("island")
@@ -92,3 +98,10 @@ def rendered_text(blocks: DataFrame, timestamp: str) -> DataFrame:
     paged = blocks.groupBy("document", "page_num").agg(F.concat_ws("\n", F.concat(F.lit("==== PAGE "), F.col("page_num").cast("string"), F.lit(" ====")), F.array_join(lines, "\n")).alias("body"))
     bodies = F.transform(F.sort_array(F.collect_list(F.struct("page_num", "body"))), lambda x: x["body"])
     return paged.groupBy("document").agg(F.count("*").alias("page_count"), F.array_join(bodies, "\n\n").alias("rendered"))
+
+
+def reclassified(blocks: DataFrame) -> DataFrame:
+    """Comm blocks on a lunar revolution are meta, unidentifiable ones annotations; blank speakers are SC."""
+    comm, text = F.col("type") == "comm", F.upper(F.col("text"))
+    kind = F.when(comm & text.contains("LUNAR REV"), "meta").when(comm & text.contains("UNIDENTIFIABLE"), "annotation").otherwise(F.col("type"))
+    return blocks.withColumn("type", kind).withColumn("speaker", F.when((F.col("type") == "comm") & is_blank(F.trim(F.col("speaker"))), "SC").otherwise(F.col("speaker")))

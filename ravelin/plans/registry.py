@@ -11,6 +11,7 @@ from ravelin.functions import speakers, texts, timecodes
 from ravelin.operators import blocks as ops
 from ravelin.operators import folds
 from ravelin.plans import fixtures
+from ravelin.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -102,7 +103,7 @@ def timecode_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE x > last_s AND x - last_s <= 600 AND s - s % 86400 = last_s - last_s % 86400 AND x - x % 86400 = s - s % 86400) AS snapped
   FROM (SELECT *, lag(s) OVER (PARTITION BY document ORDER BY page_num, block_idx) AS last_s FROM ({V1}) v) a""")
 def hour_snap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fixtures.blocks(spark, sf_dir).withColumn("last_s", F.lag("s").over(ops.BY_DOCUMENT))
+    rows = fixtures.blocks(spark, sf_dir).withColumn("last_s", F.lag("s").over(ops.by_document()))
     return rows.select(*KEY, "s", "last_s", timecodes.hour_snapped(F.col("s"), F.col("last_s")).cast("bigint").alias("snapped"))
 
 
@@ -298,7 +299,7 @@ SELECT document, page_num, block_idx, last_value(t IGNORE NULLS) OVER (PARTITION
   first_value(t IGNORE NULLS) OVER (PARTITION BY document, page_num ORDER BY block_idx ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS after FROM g""")
 def ts_fill_forward_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.when((F.col("page_num") + F.col("block_idx")) % 3 != 0, F.col("timestamp_clean"))
-    ahead, back = ops.BY_PAGE.rowsBetween(0, Window.unboundedFollowing), ops.BY_PAGE.rowsBetween(Window.unboundedPreceding, 0)
+    ahead, back = ops.by_page().rowsBetween(0, Window.unboundedFollowing), ops.by_page().rowsBetween(Window.unboundedPreceding, 0)
     return fixtures.blocks(spark, sf_dir).withColumn("t", t).select(*KEY, F.last("t", ignorenulls=True).over(back).alias("before"), F.first("t", ignorenulls=True).over(ahead).alias("after"))
 
 
@@ -307,7 +308,7 @@ f AS (SELECT *, row_number() OVER (PARTITION BY document, page_num ORDER BY bloc
 SELECT e.document, e.page_num, e.block_idx, f.text AS filled FROM e JOIN f ON e.document = f.document AND e.page_num = f.page_num AND e.k = f.k""")
 def column_fill_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     comm = fixtures.blocks(spark, sf_dir).where("type = 'comm'")
-    empty, lines = (comm.where(F.col("block_idx") % 2 == i).withColumn("k", F.row_number().over(ops.BY_PAGE)) for i in (0, 1))
+    empty, lines = (comm.where(F.col("block_idx") % 2 == i).withColumn("k", F.row_number().over(ops.by_page())) for i in (0, 1))
     return empty.select(*KEY, "k").join(lines.select("document", "page_num", "k", F.col("text").alias("filled")), ["document", "page_num", "k"]).drop("k")
 
 
@@ -316,3 +317,29 @@ p AS (SELECT document, page_num, '==== PAGE ' || CAST(page_num AS STRING) || ' =
 SELECT document, count(*) AS page_count, string_agg(body, chr(10) || chr(10) ORDER BY page_num) AS rendered FROM p GROUP BY document""")
 def render_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.rendered_text(fixtures.blocks(spark, sf_dir), "timestamp_clean")
+
+
+@query(f"""WITH p AS (SELECT document, page_num, '{{"header":{{"page":' || CAST(page_num AS STRING) || '}},"blocks":[' || string_agg('{{"type":"' || type || '","timestamp":"' || timestamp_clean || '"' ||
+    CASE WHEN speaker IS NULL THEN '' ELSE ',"speaker":"' || speaker || '"' END || '}}', ',' ORDER BY block_idx) || ']}}' AS j FROM ({V1}) v GROUP BY document, page_num)
+SELECT document, count(*) AS page_count, '{{"document":' || CAST(document AS STRING) || ',"page_count":' || CAST(count(*) AS STRING) || ',"pages":[' || string_agg(j, ',' ORDER BY page_num) || ']}}' AS merged FROM p GROUP BY document""")
+def merged_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    block = F.struct("block_idx", F.struct("type", F.col("timestamp_clean").alias("timestamp"), "speaker").alias("b"))
+    blocks = F.transform(F.sort_array(F.collect_list(block)), lambda x: x["b"])
+    pages = fixtures.blocks(spark, sf_dir).groupBy("document", "page_num").agg(F.struct(F.first("page_num").alias("page")).alias("header"), blocks.alias("blocks"))
+    return files.merged_documents(pages)
+
+
+_RADIO = "CASE conv_id % 3 WHEN 0 THEN '(over) ' WHEN 1 THEN '(Roger.) ' ELSE '' END || coalesce(text, '')"
+
+
+@query("SELECT conv_id, turn, CASE conv_id % 3 WHEN 0 THEN 'OVER ' WHEN 1 THEN 'ROGER. ' ELSE '' END || coalesce(text, '') AS called FROM conversations")
+def radio_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "conversations").select("conv_id", "turn", texts.radio_called(F.expr(_RADIO)).alias("called"))
+
+
+@query(f"""SELECT document, page_num, block_idx, CASE WHEN block_idx % 4 = 0 THEN 'meta' WHEN block_idx % 4 = 1 THEN 'annotation' ELSE type END AS type,
+  CASE WHEN block_idx % 4 > 1 AND type = 'comm' AND coalesce(speaker, '') = '' THEN 'SC' ELSE speaker END AS speaker FROM ({V1}) v WHERE type = 'comm'""")
+def reclassified_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    comm = fixtures.blocks(spark, sf_dir).where("type = 'comm'")
+    noisy = comm.withColumn("text", F.expr("CASE block_idx % 4 WHEN 0 THEN 'BEGIN LUNAR REV 4' WHEN 1 THEN '(Unidentifiable)' ELSE text END"))
+    return ops.reclassified(noisy).select(*KEY, "type", "speaker")
