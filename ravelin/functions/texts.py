@@ -20,7 +20,7 @@ OCR_REPAIRS = [
     ("Unindentifiable", "Unidentifiable"),
 ]
 #: Radio calls that stand in parentheses.
-RADIO_CALLS = ["OVER", "OUT", "ROGER", "COPY", "GO AHEAD", "STAND BY", "AFFIRMATIVE", "NEGATIVE"]
+RADIO_CALLS = ["OVER", "OUT", "ROGER", "COPY", "WILCO", "GO AHEAD", "SAY AGAIN", "STAND BY", "STANDBY"]
 #: Page and tape footers at the end of a text.
 FOOTERS = [
     r"(?i)[\s.]+T[A-Z0-9]{2,}\s*[\d/IX]+\s+P[A-Z0-9]{2,}\s*[\d/IX]+\s*$",
@@ -42,9 +42,9 @@ def without_footer(c: Column) -> Column:
 
 
 def radio_called(c: Column, calls: list[str] = RADIO_CALLS) -> Column:
-    """Calls in parentheses become bare upper case, with their full stop."""
+    """Calls in parentheses become bare upper case, with their end mark."""
     for call in calls:
-        c = F.regexp_replace(c, rf"(?i)\(\s*{call}(\.?)\s*\)", f"{call}$1")
+        c = F.regexp_replace(c, rf"(?i)\(\s*{call}\s*([.!?]?)\s*\)", f"{call}$1")
     return c
 
 
