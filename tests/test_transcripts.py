@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ravelin.functions import speakers, texts, timecodes
 from ravelin.operators import folds
-from ravelin.plans import registry
+from ravelin.plans import registry, transcripts  # noqa: F401
 from ravelin.sources import files
 from ravelin.streaming import monotonic
 
