@@ -70,13 +70,14 @@ def without_repeated_annotations(blocks: DataFrame, norm: Column) -> DataFrame:
     return marked.where(F.col("_norm").isNull() | F.col("_before").isNull() | (F.col("_norm") != F.col("_before"))).drop("_norm", "_before")
 
 
-def merged_runs(blocks: DataFrame, timestamp: str) -> DataFrame:
-    """Neighbouring comm blocks of one page with equal timestamp and speaker become one."""
+def merged_runs(blocks: DataFrame, timestamp: str, located: bool = False) -> DataFrame:
+    """Neighbouring comm blocks of one page with equal timestamp and speaker become one; ``located`` adds its first place."""
     same = (F.col("type") == "comm") & (F.lag("type").over(by_page()) == "comm") & (F.lag(timestamp).over(by_page()) == F.col(timestamp)) & (F.lag("speaker").over(by_page()) == F.col("speaker")) & ~is_blank(F.col("speaker"))
     island = F.sum(F.when(F.coalesce(same, F.lit(False)), 0).otherwise(1)).over(by_page())
     grouped = blocks.withColumn("island", island).groupBy("document", "page_num", "island")
     texts = F.transform(F.sort_array(F.collect_list(F.struct("block_idx", F.coalesce(F.trim("text"), F.lit("")).alias("t")))), lambda x: x["t"])
-    return grouped.agg(F.min("block_idx").alias("block_idx"), F.min_by("type", "block_idx").alias("type"), F.min_by(timestamp, "block_idx").alias(timestamp), F.min_by("speaker", "block_idx").alias("speaker"), F.count("*").alias("n_merged"), F.array_join(F.filter(texts, lambda x: x != ""), " ").alias("text")).drop("island")
+    place = [F.min_by("location", F.when(~is_blank(F.col("location")), F.col("block_idx"))).alias("location")] if located else []
+    return grouped.agg(F.min("block_idx").alias("block_idx"), *place, F.min_by("type", "block_idx").alias("type"), F.min_by(timestamp, "block_idx").alias(timestamp), F.min_by("speaker", "block_idx").alias("speaker"), F.count("*").alias("n_merged"), F.array_join(F.filter(texts, lambda x: x != ""), " ").alias("text")).drop("island")
 
 
 def relaxed_lookup(wanted: DataFrame, blocks: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ravelin.functions.similarity import SpeakerBook
 from ravelin.functions.timecodes import formatted, parsed_seconds
 from ravelin.operators.blocks import by_page
-from ravelin.operators.scans import Machine, Row, ordered_scan
+from ravelin.operators.scans import Machine, Row, ordered_scan, type_of
 
 DAY, HOUR, MINUTE = 86_400, 3600, 60
 #: Seconds back that are late rather than wrong, that are a new sequence, a jump, and a snap's reach.
@@ -104,8 +104,8 @@ def corrected_times(blocks: DataFrame, timestamp: str = "timestamp", hint: str |
     run = F.slice(F.filter(F.collect_list("at").over(by_page().rowsBetween(0, 5)), lambda x: x.isNotNull()), 1, 3)
     rising = (F.size("run") == 3) & (F.get("run", F.lit(1)) > F.get("run", F.lit(0))) & (F.get("run", F.lit(2)) > F.get("run", F.lit(1)))
     close = (F.get("run", F.lit(1)) - F.get("run", F.lit(0)) <= REACH) & (F.get("run", F.lit(2)) - F.get("run", F.lit(1)) <= REACH)
-    rows = comm.withColumn("run", run).select(F.col("document").cast("long"), F.col("page_num").cast("long"), F.col("block_idx").cast("long"), "at", (F.col(hint) if hint else F.lit(None).cast("string")).alias("hint"), (rising & close).alias("stable"))
-    out = ordered_scan(rows, ["document"], ["page_num", "block_idx"], Clock, "document long, page_num long, block_idx long, read long, at long, correction string")
+    rows = comm.withColumn("run", run).select("document", F.col("page_num").cast("long"), F.col("block_idx").cast("long"), "at", (F.col(hint) if hint else F.lit(None).cast("string")).alias("hint"), (rising & close).alias("stable"))
+    out = ordered_scan(rows, ["document"], ["page_num", "block_idx"], Clock, f"document {type_of(rows, 'document')}, page_num long, block_idx long, read long, at long, correction string")
     text = lambda c: F.when(F.col(c).isNotNull(), formatted(F.col(c)))
     return out.select("document", "page_num", "block_idx", text("read").alias("timestamp"), text("at").alias("fixed"), "correction")
 
@@ -144,5 +144,5 @@ class Voices(Machine):
 def corrected_speakers(blocks: DataFrame, keywords: Iterable[str] = (), valid: list[str] | None = None, fixes: dict[str, str] | None = None) -> DataFrame:
     """(document, page_num, block_idx, speaker, text) of the comm blocks; unknown speakers are blank."""
     book = SpeakerBook(valid, fixes, tuple(keywords))
-    comm = blocks.where(F.col("type") == "comm").select(*(F.col(c).cast("long") for c in ("document", "page_num", "block_idx")), "speaker", "text")
-    return ordered_scan(comm, ["document", "page_num"], ["block_idx"], lambda: Voices(book), "document long, page_num long, block_idx long, speaker string, text string")
+    comm = blocks.where(F.col("type") == "comm").select("document", *(F.col(c).cast("long") for c in ("page_num", "block_idx")), "speaker", "text")
+    return ordered_scan(comm, ["document", "page_num"], ["block_idx"], lambda: Voices(book), f"document {type_of(comm, 'document')}, page_num long, block_idx long, speaker string, text string")

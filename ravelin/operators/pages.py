@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ravelin.functions import lines as known
 from ravelin.functions.similarity import has_keyword, is_footer, nearest, ratio
 from ravelin.functions.speakers import SPEAKERS
-from ravelin.operators.scans import Machine, Row, ordered_scan, row_map
+from ravelin.operators.scans import Machine, Row, ordered_scan, row_map, type_of
 
 #: Shapes of lines and of their parts.
 _TWO, _DIGITS, _GAP = r"[\dOI'():?.-]{2}", r"((?=[0-9OIilCSB]*\d)[0-9OIilCSB]{1,2})", r"[^0-9OIilCSB]+"
@@ -72,7 +72,7 @@ def split_lines(text: str, keywords: Iterable[str] = ()) -> list[tuple[str, str
             line, tag = line[m.end() :].strip(), m[1].lower()
         while line:
             skip = 12 if is_timed(line) else 0
-            cuts = [m.start() for p in (REVISION, *long_words) if (m := p.search(line, skip))]
+            cuts = [m.start() for p in (REVISION, *long_words) if (m := p.search(line, skip or 1))]
             if (m := INNER_TIME.search(line, skip)) and _spoken(line[m.end() :]):
                 cuts.append(m.start())
             cut = min((c for c in cuts if c > 0), default=len(line))
@@ -334,8 +334,8 @@ def parsed(pages: DataFrame, names: list[str] | None = None, keywords: Iterable[
         kept = (r for r in rows if r["type"] != "header")
         return [{**r, "document": page["document"], "page_num": page["page_num"], "block_idx": i, "type": "continuation" if r["type"] == "text" else r["type"], "meta_type": meta_type(r["text"]) if r["type"] == "meta" else None, "footer": footer} for i, r in enumerate(kept)]
 
-    rows = pages.select(F.col("document").cast("long"), F.col("page_num").cast("long"), "text")
-    return row_map(rows, each, "document long, page_num long, block_idx long, type string, timestamp string, speaker string, location string, text string, hint string, meta_type string, footer boolean")
+    rows = pages.select("document", F.col("page_num").cast("long"), "text")
+    return row_map(rows, each, f"document {type_of(rows, 'document')}, page_num long, block_idx long, type string, timestamp string, speaker string, location string, text string, hint string, meta_type string, footer boolean")
 
 
 # two readings of a page
@@ -423,5 +423,5 @@ def merged_passes(preferred: DataFrame, fallback: DataFrame) -> DataFrame:
     A page without preferred blocks gives no rows, as its fallback has nothing to attach to, but for
     substantive continuations.
     """
-    both = [df.select(F.col("document").cast("long"), F.col("page_num").cast("long"), F.col("block_idx").cast("long"), *_BLOCK, F.lit(rank).alias("rank")) for rank, df in enumerate((preferred, fallback))]
-    return ordered_scan(both[0].union(both[1]), ["document", "page_num"], ["rank", "block_idx"], PassMerge, "document long, page_num long, block_idx long, type string, timestamp string, speaker string, location string, text string")
+    both = [df.select("document", F.col("page_num").cast("long"), F.col("block_idx").cast("long"), *_BLOCK, F.lit(rank).alias("rank")) for rank, df in enumerate((preferred, fallback))]
+    return ordered_scan(both[0].union(both[1]), ["document", "page_num"], ["rank", "block_idx"], PassMerge, f"document {type_of(both[0], 'document')}, page_num long, block_idx long, type string, timestamp string, speaker string, location string, text string")

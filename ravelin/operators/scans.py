@@ -42,6 +42,10 @@ def _arrow(spark: SparkSession, ddl: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(ddl))
 
 
+def type_of(df: DataFrame, column: str) -> str:
+    return df.schema[column].dataType.simpleString()
+
+
 def ordered_scan(df: DataFrame, keys: list[str], order: list[str], machine: Callable[[], Machine], output: str) -> DataFrame:
     """Rows written by one ``machine`` per distinct ``keys``, fed in ``order``; ``output`` is their DDL.
 

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ravelin.functions import lines
-from ravelin.operators import corrections, pages
+from ravelin.operators import corrections, pages, spelling, stitches
 from ravelin.plans import fixtures
-from ravelin.plans.registry import KEY, V1, query
+from ravelin.plans import registry
+from ravelin.plans.registry import V1, query
 
 _BLANKED = "CASE WHEN (page_num + block_idx) % 5 = 0 THEN NULL ELSE timestamp_clean END"
 
@@ -110,3 +111,27 @@ def pass_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     preferred = comm.where((F.col("document") + F.col("page_num") + F.col("block_idx")) % 5 != 0).withColumn("text", cut)
     fallback = comm.withColumn("speaker", F.when(F.col("block_idx") % 3 != 0, F.col("speaker")))
     return pages.merged_passes(preferred, fallback)
+
+
+@query()
+def stitched_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stitches.stitched(pages.parsed(page_texts(spark, sf_dir)))
+
+
+@query(f"""WITH b AS (SELECT document, page_num, string_agg('> ' || trim(text) || chr(10), chr(10) ORDER BY block_idx) FILTER (type <> 'comm' AND trim(text) <> '') AS remarks,
+  string_agg('| ' || replace(timestamp_clean, ' ', ':') || ' | ' || coalesce(speaker, '—') || ' | ' || coalesce(location, '') || ' | ' || replace(coalesce(trim(text), ''), '|', '\\|') || ' |', chr(10) ORDER BY block_idx) FILTER (type = 'comm') AS tab
+  FROM ({V1}) v GROUP BY ALL),
+p AS (SELECT document, page_num, concat_ws(chr(10), '## Page ' || CAST(page_num AS STRING) || chr(10), remarks,
+  '| Time | Speaker | Location | Dialogue |' || chr(10) || '|:-----|:--------|:---------|:---------|' || chr(10) || tab || chr(10), '---' || chr(10)) AS body FROM b)
+SELECT document, count(*) AS page_count, '# ' || CAST(document AS STRING) || ' Transcript' || chr(10) || chr(10) || '---' || chr(10) || chr(10) || string_agg(body, chr(10) ORDER BY page_num) AS markdown FROM p GROUP BY document""")
+def render_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stitches.rendered_markdown(fixtures.blocks(spark, sf_dir), "timestamp_clean")
+
+
+@query()
+def spelling_suggestions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns of conversations against the words of the English documents that stand there three times or more."""
+    words = registry.word_frequency(spark, sf_dir).where("n >= 3").select("word", "n")
+    bigrams = registry.bigram_frequency(spark, sf_dir).where("n >= 3")
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return spelling.suggestions(spelling.word_pairs(turns), spelling.lexicon_of(words, bigrams))
