@@ -46,9 +46,10 @@ def type_of(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
 
-def ordered_scan(df: DataFrame, keys: list[str], order: list[str], machine: Callable[[], Machine], output: str) -> DataFrame:
+def ordered_scan(df: DataFrame, keys: list[str], order: list[str], machine: Callable[[], Machine], output: str, tasks: int | None = None) -> DataFrame:
     """Rows written by one ``machine`` per distinct ``keys``, fed in ``order``; ``output`` is their DDL.
 
+    ``tasks`` fixes their number where the work, not the size of the rows, asks for it.
     Null keys are a key of their own; an empty table gives no rows; ties in ``order`` come in any order.
     """
     importable(df.sparkSession)
@@ -69,7 +70,8 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[str], machine: Call
         if now and (out := now.end()):
             yield pa.RecordBatch.from_pylist(out, schema)
 
-    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, output)
+    dealt = df.repartition(tasks, *keys) if tasks else df.repartition(*keys)
+    return dealt.sortWithinPartitions(*keys, *order).mapInArrow(run, output)
 
 
 def row_map(df: DataFrame, each: Callable[[Row], list[Row]], output: str) -> DataFrame:

@@ -1,20 +1,20 @@
 """Spelling by a lexicon: nearest known words, ranked by likeness, length, frequency and the word before.
 
 Texts never meet the lexicon: their distinct (word, word before) pairs do, so the work grows with the
-vocabulary of the corpus and a frequent word is looked up once. The lexicon is a configuration file;
+vocabulary of the corpus, and the pairs of one word meet in one task, which looks it up once. The lexicon is a configuration file;
 its size is checked before it is sent to the executors.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections import defaultdict
 from difflib import SequenceMatcher
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ravelin.operators.scans import Row, row_map
+from ravelin.operators.scans import Machine, Row, ordered_scan
 
 #: Words and bigrams of a lexicon at most.
 LEXICON_ROWS = 1_000_000
@@ -27,38 +27,54 @@ CONTRACTIONS = set(
 )
 
 
+def letter_counts(word: str) -> np.ndarray:
+    """Counts of a to z, and of all other characters by two bits of their code."""
+    codes = [ord(c) - 97 if "a" <= c <= "z" else 26 + (ord(c) & 3) for c in word]
+    return np.bincount(codes, minlength=30).astype(np.int16)
+
+
 class Speller:
     def __init__(self, frequency: dict[str, int], bigrams: dict[str, int], vocabulary: set[str] | None = None) -> None:
         self.frequency, self.bigrams = frequency, bigrams
         self.known = vocabulary if vocabulary is not None else set(frequency)
-        self.by_length: dict[int, list[str]] = defaultdict(list)
-        for word in self.known:
-            self.by_length[len(word)].append(word)
+        self.words = sorted(self.known)
+        self.sizes = np.array([len(w) for w in self.words], np.int16)
+        self.letters = np.array([letter_counts(w) for w in self.words], np.int16).reshape(-1, 30)
 
     def candidates(self, word: str) -> list[str]:
-        """The nearest known words; lengths whose bound on the ratio is too low are not looked at."""
+        """The nearest known words, best first.
+
+        No ratio exceeds what the shared letters allow; words are tried in order of that bound until
+        it is below the least ratio that still counts, so the result is the same as of trying all.
+        """
         least = SHORT_RATIO if len(word) <= 3 else LEAST_RATIO
-        match, found = SequenceMatcher(), []
+        bound = 2 * np.minimum(self.letters, letter_counts(word)).sum(1) / (self.sizes + len(word))
+        near = np.flatnonzero(bound >= least)
+        match, best = SequenceMatcher(), []
         match.set_seq2(word)
-        for n, words in self.by_length.items():
-            if 2 * min(n, len(word)) >= least * (n + len(word)):
-                for w in words:
-                    match.set_seq1(w)
-                    if match.quick_ratio() >= least and (r := match.ratio()) >= least:
-                        found.append((r, w))
-        return [w for _, w in heapq.nlargest(CANDIDATES, found)]
+        for i in near[np.argsort(-bound[near], kind="stable")]:
+            if len(best) == CANDIDATES and bound[i] < best[0][0]:
+                break
+            match.set_seq1(self.words[i])
+            if (r := match.ratio()) >= least:
+                (heapq.heappush if len(best) < CANDIDATES else heapq.heappushpop)(best, (r, self.words[i]))
+        return [w for _, w in sorted(best, reverse=True)]
 
     def score(self, word: str, candidate: str, before: str | None) -> float:
         likeness = SequenceMatcher(None, word, candidate).ratio()
         context = self.bigrams.get(f"{before.lower()} {candidate}", 0) if before else 0
         return LIKENESS * likeness - LENGTH * abs(len(word) - len(candidate)) + self.frequency.get(candidate, 0) + BIGRAM * context
 
-    def suggest(self, word: str, before: str | None = None) -> str | None:
-        """A known word in the case of ``word``; None where it is right, too short, or like no known word."""
+    def fitting(self, word: str) -> list[str]:
+        """Candidates of a word that may be wrong; short words are not made shorter."""
         low = word.lower()
         if len(word) < 3 or low in self.known or low.isdigit() or low in CONTRACTIONS:
-            return None
-        fit = [c for c in self.candidates(low) if len(low) > 3 or len(c) >= len(low)]
+            return []
+        return [c for c in self.candidates(low) if len(low) > 3 or len(c) >= len(low)]
+
+    def suggest(self, word: str, before: str | None = None, fit: list[str] | None = None) -> str | None:
+        """A known word in the case of ``word``; None where it is right, too short, or like no known word."""
+        low, fit = word.lower(), self.fitting(word) if fit is None else fit
         if not fit:
             return None
         best = max(fit, key=lambda c: self.score(low, c, before))
@@ -80,12 +96,21 @@ def lexicon_of(words: DataFrame, bigrams: DataFrame) -> Speller:
     return Speller(dict(held[0]), dict(held[1]))
 
 
-def suggestions(pairs: DataFrame, speller: Speller) -> DataFrame:
-    """(word, before, n, suggestion) of the pairs that have one."""
-    shared = pairs.sparkSession.sparkContext.broadcast(speller)
+class OneWord(Machine):
+    """The pairs of one word: its candidates are found once."""
+
+    def __init__(self, speller: Speller) -> None:
+        self.speller, self.fit = speller, None
 
-    def each(row: Row) -> list[Row]:
-        found = shared.value.suggest(row["word"], row["before"])
+    def push(self, row: Row) -> list[Row]:
+        if self.fit is None:
+            self.fit = self.speller.fitting(row["word"])
+        found = self.speller.suggest(row["word"], row["before"], self.fit)
         return [{**row, "suggestion": found}] if found else []
 
-    return row_map(pairs.select("word", "before", "n"), each, "word string, before string, n long, suggestion string")
+
+def suggestions(pairs: DataFrame, speller: Speller) -> DataFrame:
+    """(word, before, n, suggestion) of the pairs that have one."""
+    spark = pairs.sparkSession
+    shared, tasks = spark.sparkContext.broadcast(speller), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return ordered_scan(pairs.select("word", "before", "n"), ["word"], ["before"], lambda: OneWord(shared.value), "word string, before string, n long, suggestion string", tasks)

@@ -19,7 +19,7 @@ def test_engine(spark):
     assert [g[1:] for g in got if g[0] == 1 and g[1] == "comm"] == [
         ("comm", "01 02 03 04", "CDR", "TRANQ", "Houston, we are go."),
         ("comm", "01 02 03 10", "CC", None, "Roger, copy that now."),
-        ("comm", "01 02 03 50", "LMP", None, "Looks good from here. OVER"),
+        ("comm", "01 02 03 48", "LMP", None, "Looks good from here. OVER"),
     ]
     assert got[-1][2:] == ("01 02 04 00", "CC", None, "Go ahead there.")
     assert e.run(df.limit(0)).count() == 0
