@@ -2,10 +2,10 @@
 
 1. One pass over the texts counts words and keeps, for texts that have an anchor word, the places of
    licence words (the words of all templates and phrases).
-2. The document frequencies of licence words over all documents give their IDF. Each file looks up
-   its ``RARE`` licence words of highest IDF in the index word -> (template, place in it).
+2. The document frequencies of licence words over all documents give their IDF. The index
+   word -> (template, place in it) holds the ``RARE`` mandatory words of highest IDF of each template.
 3. Postings are intersected by relative position: a file and template become a candidate at a shift
-   where two rare words, or the template's only one, agree.
+   where all of the template's indexed words agree. A label needs all its mandatory words, so none is lost.
 4. A candidate is a label if each mandatory key phrase stands at its place and at least ``LEAST`` of
    the template's words do.
 
@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 
 from ravelin.llm.common import materialize
 
-RARE = 16
+#: Indexed words of a template; a template of fewer mandatory words has them all in the index.
+RARE = 2
 LEAST = 0.8
 
 #: Phrases and their labels.
@@ -71,10 +72,6 @@ def template_words() -> dict[str, list[tuple[int, str, bool]]]:
 VOCABULARY = sorted({w for words in template_words().values() for _, w, _ in words} | {w for p in BASE for w in p.split()})
 
 
-def _strings(values: list[str]) -> Column:
-    return F.array(*map(F.lit, values))
-
-
 def _place(p: Column, w: Column) -> Column:
     return F.struct(p.cast("int").alias("p"), w.alias("w"))
 
@@ -111,20 +108,17 @@ def scan(documents: DataFrame) -> DataFrame:
     found = rows.where(F.size("places") > 0)
 
     df = found.select(F.explode(F.array_distinct(F.transform("places", lambda x: x["w"]))).alias("w")).groupBy("w").agg(F.count("*").alias("n")).collect()  # at most the vocabulary
-    rarest = [r["w"] for r in sorted(df, key=lambda r: (r["n"], r["w"]))]
+    n_files = {r["w"]: r["n"] for r in df}
     templates = template_words()
-    postings: dict[str, list[tuple[str, int]]] = {}
-    for label, words in templates.items():
-        for place, w, _ in words:
-            postings.setdefault(w, []).append((label, place))
+    indexed = {label: sorted((n_files.get(w, 0), place, w) for place, w, m in words if m)[:RARE] for label, words in templates.items()}
     spark = documents.sparkSession
-    index = spark.createDataFrame([(w, label, place) for w, at in sorted(postings.items()) for label, place in at], "w string, template string, place int")
+    index = spark.createDataFrame([(w, label, place, len(words)) for label, words in indexed.items() for _, place, w in words], "w string, template string, place int, least int")
     pattern = spark.createDataFrame([(label, [(p, w) for p, w, _ in words], [(p, w) for p, w, m in words if m]) for label, words in templates.items()], "template string, words array<struct<p:int,w:string>>, must array<struct<p:int,w:string>>")
 
-    rare = F.slice(F.array_intersect(_strings(rarest), F.transform("places", lambda x: x["w"])), 1, RARE) if rarest else _strings([]).cast("array<string>")
-    looked_up = found.withColumn("rare", rare).select("row", F.explode(F.filter("places", lambda x: F.array_contains(F.col("rare"), x["w"]))).alias("x"))
-    agreeing = looked_up.select("row", F.col("x.p").alias("p"), F.col("x.w").alias("w")).join(F.broadcast(index), "w").groupBy("row", "template", (F.col("p") - F.col("place")).alias("shift")).agg(F.count("*").alias("n"))
-    candidates = agreeing.where(F.col("n") >= 2).join(F.broadcast(pattern), "template").join(found.select("row", "places"), "row")
+    rare = sorted({w for words in indexed.values() for _, _, w in words})
+    looked_up = found.select("row", F.explode(F.filter("places", lambda x: x["w"].isin(rare))).alias("x"))
+    agreeing = looked_up.select("row", F.col("x.p").alias("p"), F.col("x.w").alias("w")).join(F.broadcast(index), "w").groupBy("row", "template", "least", (F.col("p") - F.col("place")).alias("shift")).agg(F.count("*").alias("n"))
+    candidates = agreeing.where(F.col("n") == F.col("least")).join(F.broadcast(pattern), "template").join(found.select("row", "places"), "row")
     shifted = lambda c: F.transform(c, lambda x: _place(x["p"] + F.col("shift"), x["w"]))
     share = F.size(F.array_intersect(shifted("words"), "places")) / F.size("words")
     verified = candidates.withColumn("share", share).where((F.size(F.array_except(shifted("must"), "places")) == 0) & (F.col("share") >= LEAST))

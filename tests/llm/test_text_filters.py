@@ -142,6 +142,15 @@ def test_licenses_against_brute_force(spark):
     assert license_scan.scan(table(spark, [])).collect() == []
 
 
+def test_licenses_of_a_text_with_all_templates(spark):
+    notices = [" ".join(w if w != "_" else "x" for w in template.split()) for template, _ in license_scan.TEMPLATES.values()]
+    texts = [". ".join(notices), ". ".join(reversed(notices)), " ".join(license_scan.VOCABULARY) + " license", "the ".join(f"{n} all free use by " for n in notices)]
+    docs = [(i, t, None) for i, t in enumerate(texts)] + [(9 + i, f"license {w}", None) for i, w in enumerate(license_scan.VOCABULARY[::2])]
+    got = license_scan.scan(table(spark, docs)).collect()
+    assert Counter(tuple(r) for r in got) == Counter((i, *licence_brute(t)) for i, t, _ in docs)
+    assert {r.doc_id: set(license_scan.TEMPLATES) <= set(r.labels.split(",")) for r in got if r.doc_id < 2} == {0: True, 1: True}
+
+
 def rank_brute(edges, seed, rounds, damping):
     total = Counter()
     for a, _, n in edges:
