@@ -3,7 +3,8 @@
 Host edges are the absolute links in the pages' HTML, counted per pair of hosts before any shuffle,
 and the ties between a host and its parent domain (both ways, down to two labels). Trust is
 personalised PageRank from the hosts of allowed pages along the edges; distrust is the same from the
-hosts of blocked pages along reversed edges. A host's distrust share, distrust / (trust +
+hosts of blocked pages along reversed edges. Rounds go on until no host's rank changes by more than
+``SETTLED`` of itself over ``WRITE_EVERY`` rounds, so every host that can be reached has been. A host's distrust share, distrust / (trust +
 distrust), at or above ``threshold`` blocks its pages that no rule fits; a host reached by
 neither is allowed.
 
@@ -14,6 +15,8 @@ judged each; a null page_id stays null; an empty table gives no rows; other colu
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +27,8 @@ DAMPING = 0.85
 THRESHOLD = 0.5
 #: Rounds between two written tables.
 WRITE_EVERY = 4
+#: Largest change of a host's rank between two written tables, as a share of the rank, that counts as none.
+SETTLED = 1e-6
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -62,8 +67,12 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return linked.union(both).groupBy("src", "dst").agg(F.sum("n").alias("n"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
-    """(host, trust, distrust); ``seeds`` are (host, trust, distrust) shares that each sum to one."""
+def propagate(edges: DataFrame, seeds: DataFrame, rounds: int | None = ROUNDS, damping: float = DAMPING) -> DataFrame:
+    """(host, trust, distrust); ``seeds`` are (host, trust, distrust) shares that each sum to one.
+
+    ``rounds`` of None goes on until the ranks are settled. A change of at most a share of each rank stays
+    one in later rounds, as these are linear and no share is negative; a host just reached changes by all of it.
+    """
     out = edges.groupBy("src").agg(F.sum("n").alias("total"))
     into = edges.groupBy("dst").agg(F.sum("n").alias("total"))
     forward = edges.join(out, "src").select(F.lit(1).alias("kind"), F.col("src").alias("a"), F.col("dst").alias("b"), (F.col("n") / F.col("total")).alias("share"))
@@ -72,13 +81,18 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
     start = seeds.select(F.lit(1).alias("kind"), F.col("host").alias("a"), F.col("trust").alias("r")).union(seeds.select(F.lit(2), "host", "distrust")).where("r > 0")
     start = materialize(start, "host-seeds")
     state, written = start, None
-    for i in range(1, rounds + 1):
+    for i in itertools.count(1) if rounds is None else range(1, rounds + 1):
         moved = steps.join(state, ["kind", "a"]).select("kind", F.col("b").alias("a"), (F.col("share") * F.col("r") * damping).alias("r"))
-        state = moved.union(start.withColumn("r", F.col("r") * (1 - damping))).groupBy("kind", "a").agg(F.sum("r").alias("r"))
+        moved = moved.union(start.withColumn("r", F.col("r") * (1 - damping))).withColumn("was", F.lit(0.0))
         if i % WRITE_EVERY == 0 or i == rounds:
-            state = materialize(state, "host-ranks")
+            moved = moved.union((start if written is None else written).select("kind", "a", F.lit(0.0).alias("r"), F.col("r").alias("was")))
+            state = materialize(moved.groupBy("kind", "a").agg(F.sum("r").alias("r"), F.sum("was").alias("was")), "host-ranks")
             discard(written)
             written = state
+            if rounds is None and state.where(F.abs(F.col("r") - F.col("was")) > SETTLED * F.col("r")).isEmpty():
+                break
+        else:
+            state = moved.groupBy("kind", "a").agg(F.sum("r").alias("r"))
     of = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("r"))), F.lit(0.0))
     return state.groupBy(F.col("a").alias("host")).agg(of(1).alias("trust"), of(2).alias("distrust"))
 
@@ -93,7 +107,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], threshold: float = THR
     sums = counts.agg(F.coalesce(F.sum("good"), F.lit(0)), F.coalesce(F.sum("bad"), F.lit(0))).first()
     good, bad = (max(1, x) for x in sums)
     seeds = counts.select("host", (F.col("good") / good).alias("trust"), (F.col("bad") / bad).alias("distrust"))
-    ranks = propagate(materialize(host_edges(rows), "host-edges"), seeds)
+    ranks = propagate(materialize(host_edges(rows), "host-edges"), seeds, rounds=None)
     share = F.when(F.col("trust") + F.col("distrust") > 0, F.col("distrust") / (F.col("trust") + F.col("distrust"))).otherwise(0.0)
     out = judged.drop("html", "url").join(ranks.select("host", share.alias("distrust_share")), "host", "left")
     distrust = F.coalesce("distrust_share", F.lit(0.0))

@@ -189,3 +189,26 @@ def test_url_filter(spark):
     distrust = rank_brute([(b, a, n) for a, b, n in edges], {"c": 0.5, "z": 0.5}, url_filter.ROUNDS, url_filter.DAMPING)
     for h in {*trust, *distrust}:
         assert ranks[h].trust == pytest.approx(trust.get(h, 0)) and ranks[h].distrust == pytest.approx(distrust.get(h, 0))
+
+
+def test_url_filter_settles(spark):
+    """Every rank against a solution of many rounds, on cycles and on chains longer than any fixed count of rounds."""
+    rng = random.Random(5)
+    edges = [(f"h{i}", f"h{j}", rng.randint(1, 3)) for i in range(60) for j in rng.sample(range(60), 2) if i != j]
+    edges += [(f"c{i}", f"c{i + 1}", 1) for i in range(20)] + [(f"d{i + 1}", f"d{i}", 1) for i in range(20)]
+    trust, distrust = {"h0": 0.5, "c0": 0.5}, {"h1": 0.5, "d0": 0.5}
+    seeds = spark.createDataFrame([(h, trust.get(h, 0.0), distrust.get(h, 0.0)) for h in {**trust, **distrust}], "host string, trust double, distrust double")
+    got = {r.host: r for r in url_filter.propagate(spark.createDataFrame(edges, "src string, dst string, n bigint"), seeds, rounds=None).collect()}
+    good = rank_brute(edges, trust, 600, url_filter.DAMPING)
+    bad = rank_brute([(b, a, n) for a, b, n in edges], distrust, 600, url_filter.DAMPING)
+    assert set(got) == {*good, *bad}
+    for h in got:
+        assert got[h].trust == pytest.approx(good.get(h, 0), rel=1e-5, abs=0) and got[h].distrust == pytest.approx(bad.get(h, 0), rel=1e-5, abs=0)
+    assert got["c20"].trust > 0 and got["d20"].distrust > 0
+
+
+def test_url_filter_blocks_far_hosts(spark):
+    link = lambda host: f'<a href="https://{host}/">x</a>'
+    rows = [(i, f"https://h{i}.org/", link(f"h{i + 1}.org" if i < 20 else "bad.net")) for i in range(21)] + [(21, "https://bad.net/", None)]
+    got = {r.page_id: r for r in url_filter.judge(spark.createDataFrame(rows, "page_id bigint, url string, html string"), [("block", "bad.net/")]).collect()}
+    assert {r.verdict for r in got.values()} == {"block"} and min(r.distrust_share for r in got.values()) == 1.0
