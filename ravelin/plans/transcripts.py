@@ -130,8 +130,9 @@ def render_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def spelling_suggestions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Turns of conversations against the words of the English documents that stand there three times or more."""
-    words = registry.word_frequency(spark, sf_dir).where("n >= 3").select("word", "n")
-    bigrams = registry.bigram_frequency(spark, sf_dir).where("n >= 3")
+    """Turns of conversations against all words of the English documents."""
+    english = spark.read.parquet(f"{sf_dir}/documents.parquet").where("lang = 'en'")
+    words = english.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"), F.lit(1))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    bigrams = registry.bigram_frequency(spark, sf_dir)
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
-    return spelling.suggestions(spelling.word_pairs(turns), spelling.lexicon_of(words, bigrams))
+    return spelling.table_suggestions(spelling.word_pairs(turns), words, bigrams)

@@ -1,6 +1,8 @@
 import difflib
+import random
 
 from ravelin.operators import spelling, stitches
+from ravelin.plans import transcripts
 
 DDL = "document long, page_num long, block_idx long, type string, timestamp string, speaker string, location string, text string"
 
@@ -46,3 +48,26 @@ def test_speller(spark):
     docs = spark.createDataFrame([("we goin",), (None,), ("we goin rogr",)], "text string")
     got = {(r.word, r.before, r.n, r.suggestion) for r in spelling.suggestions(spelling.word_pairs(docs), s).collect()}
     assert got == {("goin", "we", 2, "going"), ("rogr", "goin", 1, "roger")}
+
+
+def test_speller_of_tables(spark):
+    rng = random.Random(3)
+    made = lambda: "".join(rng.choices("aeinrst", k=rng.randint(2, 7)))
+    words = {made(): rng.randint(1, 40) for _ in range(400)} | {"o'neil": 1, "once": 1, "going": 2}
+    told = [rng.choice([w, w.title(), w.upper(), "don't", "I"]) for w in [*(made() for _ in range(300)), *list(words)[:60], "goin", "o'neal", "onc"] for _ in range(2)]
+    bigrams = {f"{rng.choice(told).lower()} {w}": rng.randint(1, 90) for w in [*words] * 6}
+    docs = spark.createDataFrame([(" ".join(told[i : i + 7]),) for i in range(0, len(told), 7)] + [(None,), ("",)], "text string")
+    pairs, s = spelling.word_pairs(docs), spelling.Speller(words, bigrams)
+    got = spelling.table_suggestions(pairs, spark.createDataFrame([*words.items()], "word string, n long"), spark.createDataFrame([*bigrams.items()], "bigram string, n long"), block_words=50, asked_words=60)
+    expected = {(r.word, r.before, r.n, x) for r in pairs.collect() if (x := s.suggest(r.word, r.before))}
+    rows = [tuple(r) for r in got.collect()]
+    assert len(rows) == len(expected) > 200 and set(rows) == expected
+
+
+def test_spelling_knows_every_word_of_the_documents(spark, tmp_path):
+    spark.createDataFrame([(1, "roger tranquility base roger", "en"), (2, "roger", "en")], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, "user", "tranquility rogar")], "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {(r.word, r.suggestion) for r in transcripts.spelling_suggestions(spark, str(tmp_path)).collect()}
+    assert got == {("rogar", "roger")}
+    spark.createDataFrame([(1, 1, "user", "tranquillity")], "conv_id long, turn long, role string, text string").write.mode("overwrite").parquet(f"{tmp_path}/conversations.parquet")
+    assert [r.suggestion for r in transcripts.spelling_suggestions(spark, str(tmp_path)).collect()] == ["tranquility"]
