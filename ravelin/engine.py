@@ -23,6 +23,10 @@ from ravelin.sources import files
 KEY = ["document", "page_num", "block_idx"]
 
 
+#: The passes that are read, best-named first.
+PASSES = ("raw", "raw_fallback", "faint_fallback")
+
+
 @dataclass
 class Settings:
     """What differs between missions; the defaults are the shipped ones."""
@@ -46,12 +50,15 @@ class TranscriptEngine:
 
     def parse(self, page_texts: DataFrame) -> DataFrame:
         """Blocks of (document, page_num, text); where there are several passes, the best-named one is read first
-        and each further pass fills it."""
+        and each further pass fills it. Readings of text columns are not used; ValueError on a pass of another name or none."""
         s = self.settings
         if "pass" not in page_texts.columns:
             return pages.parsed(page_texts, s.valid_speakers, s.mission_keywords)
+        unknown = page_texts.where(F.col("pass").isNull() | ~F.col("pass").isin(*PASSES, "textcol")).select("pass").first()
+        if unknown:
+            raise ValueError(f"unknown pass {unknown[0]!r}")
         found = None
-        for name in ("raw", "raw_fallback", "faint_fallback"):
+        for name in PASSES:
             read = pages.parsed(page_texts.where(F.col("pass") == name), s.valid_speakers, s.mission_keywords)
             found = read if found is None else pages.merged_passes(found, read)
         return found

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from ravelin import engine
@@ -35,3 +36,12 @@ def test_commands(spark, tmp_path):
     engine.main(["export", at("done"), at("merged")], spark)
     page = spark.read.json(at("merged")).select("document", F.explode("blocks").alias("b")).where("b.type = 'comm'")
     assert page.count() == 3 and page.first().document == "A"
+
+
+def test_unknown_passes_are_refused(spark):
+    rows = lambda *names: spark.createDataFrame([("A", 1, name, "01 02 04 00 CC Go ahead there.") for name in names], "document string, page_num int, pass string, text string")
+    e = engine.TranscriptEngine(spark)
+    assert e.parse(rows("raw", "textcol")).where("type = 'comm'").count() == 1
+    for name in ("other", None):
+        with pytest.raises(ValueError):
+            e.parse(rows("raw", name))
