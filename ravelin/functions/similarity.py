@@ -11,10 +11,11 @@ from collections.abc import Callable, Iterable
 from difflib import SequenceMatcher, get_close_matches
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from ravelin.functions.speakers import LOCATIONS, REMARKS, SPEAKER_FIXES, SPEAKERS
+from ravelin.shipping import ship
 
 #: Least ratios.
 KEYWORD, HEADER, FOOTER, GOSS, PLACE, NAME = 0.6, 0.6, 0.75, 0.72, 0.7, 0.6
@@ -138,6 +139,8 @@ def _each(f: Callable[[str], object], kind: str) -> Callable[[Column], Column]:
         held = s.fillna("")
         return held.map({t: f(t) for t in held.unique()})
 
+    if spark := SparkSession.getActiveSession():
+        ship(spark)
     apply.__annotations__ = {"s": pd.Series, "return": pd.Series}
     return F.pandas_udf(apply, kind)
 

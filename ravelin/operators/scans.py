@@ -7,14 +7,14 @@ a large part of all rows costs time in one task, not memory, and a lost task is
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Iterator
 from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+from ravelin.shipping import ship
+
 Row = dict[str, Any]
 
 
@@ -28,13 +28,6 @@ class Machine:
         return []
 
 
-def importable(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver found it."""
-    workers = spark.sparkContext.environment
-    if ROOT not in workers.get("PYTHONPATH", "").split(os.pathsep):
-        workers["PYTHONPATH"] = os.pathsep.join(filter(None, [workers.get("PYTHONPATH"), ROOT]))
-
-
 def _arrow(spark: SparkSession, ddl: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -52,7 +45,7 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[str], machine: Call
     ``tasks`` fixes their number where the work, not the size of the rows, asks for it.
     Null keys are a key of their own; an empty table gives no rows; ties in ``order`` come in any order.
     """
-    importable(df.sparkSession)
+    ship(df.sparkSession)
     schema = _arrow(df.sparkSession, output)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,7 +69,7 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[str], machine: Call
 
 def row_map(df: DataFrame, each: Callable[[Row], list[Row]], output: str) -> DataFrame:
     """Rows that ``each`` makes of every row, one Arrow batch at a time; no shuffle."""
-    importable(df.sparkSession)
+    ship(df.sparkSession)
     schema = _arrow(df.sparkSession, output)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

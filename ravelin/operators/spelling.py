@@ -16,7 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ravelin.operators.scans import Machine, Row, importable, ordered_scan
+from ravelin.operators.scans import Machine, Row, ordered_scan
+from ravelin.shipping import ship
 
 #: Words of a block of the lexicon, and unknown words that meet it in one task, about.
 BLOCK_WORDS, ASKED_WORDS = 20_000, 500
@@ -109,6 +110,7 @@ class OneWord(Machine):
 def suggestions(pairs: DataFrame, speller: Speller) -> DataFrame:
     """(word, before, n, suggestion) of the pairs that have one."""
     spark = pairs.sparkSession
+    ship(spark)
     shared, tasks = spark.sparkContext.broadcast(speller), int(spark.conf.get("spark.sql.shuffle.partitions"))
     return ordered_scan(pairs.select("word", "before", "n"), ["word"], ["before"], lambda: OneWord(shared.value), "word string, before string, n long, suggestion string", tasks)
 
@@ -118,7 +120,7 @@ def near_words(asked: DataFrame, words: DataFrame, block_words: int = BLOCK_WORD
 
     The best ``CANDIDATES`` of a block hold all of the overall best that are in it.
     """
-    importable(asked.sparkSession)
+    ship(asked.sparkSession)
     blocks, chunks = (max(1, -(-df.count() // n)) for df, n in ((words, block_words), (asked, asked_words)))
     dealt = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
