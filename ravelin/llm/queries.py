@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ravelin.llm import decontamination, language_id, license_scan, near_dedup, packing, token_counts, token_files, top_k, toxicity, url_filter
+from ravelin.llm import decontamination, language_id, license_scan, license_sql, near_dedup, packing, token_counts, token_files, top_k, toxicity, url_filter
 from ravelin.llm.common import table
 
 
@@ -58,6 +58,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
 
 ORACLES: dict[str, str] = {}
 
+ORACLES["op8_license_scan"] = license_sql.oracle()
+
 ORACLES["op5_minhash_near_dedup"] = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w

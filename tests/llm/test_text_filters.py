@@ -1,11 +1,13 @@
 import random
 import re
+import time
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ravelin.llm import decontamination, language_id, license_scan, toxicity, url_filter
+from ravelin.llm import decontamination, language_id, license_scan, queries, toxicity, url_filter
 
 SF = "/root/testdata/sf0.01"
 EN = "the quick brown fox jumps over the lazy dog and runs home"
@@ -122,33 +124,57 @@ def licence_brute(text):
     starts = sorted(i for x in at.values() for i in x)
     base = sorted(label for p, label in license_scan.BASE.items() if at[p])
     own, score = set(), 0.0
-    for label, parts in license_scan.template_words().items():
-        for shift in range(-20, len(words)):
-            ok = [0 <= shift + p < len(words) and words[shift + p] == w for p, w, _ in parts]
-            if all(o for o, (_, _, m) in zip(ok, parts, strict=True) if m) and sum(ok) >= license_scan.LEAST * len(ok):
-                own.add(label)
-                score = max(score, sum(ok) / len(ok))
+    for t in license_scan.TEMPLATES:
+        of, half = dict(t.words), max(1, t.drift // 2)
+        for window in range(-200, len(words), half):
+            stands = {s: {i for i, w in of.items() if 0 <= s + i < len(words) and words[s + i] == w} for s in range(window, window + t.drift)}
+            share = len(set().union(*stands.values())) / len(of)
+            if share >= license_scan.LEAST and all(any(set(p) <= held for held in stands.values()) for p in t.phrases):
+                own.add(t.label)
+                score = max(score, share)
     return (len(words), len(starts), starts[0] if starts else None, starts[-1] if starts else None, ",".join(base), ",".join(sorted({*base, *own})), score)
 
 
-def test_licenses_against_brute_force(spark):
+def by_sql(name, rows):
+    import duckdb
+
+    connection = duckdb.connect()
+    connection.register("documents", pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "text": pa.array([r[1] for r in rows], pa.string())}))
+    return Counter(connection.execute(queries.ORACLES[name]).fetchall())
+
+
+def test_licenses_against_brute_force_and_sql(spark):
     texts = [
         None, "", " ", "Licensed under CC BY-NC 4.0.", "cc by cc BY", "ALL rights\nreserved. All Rights Reserved", "GNU General Public License, version 3", "under the Apache License, Version 2.0 here", "Licensed under the Apache License, Version 2.0.",
         "Released under the MIT License. Released under the MIT License", "occ by", "éall rights reserved", "license " * 5000, "general public licenseé", "x 3 y GNU Lesser General Public License", "İcc by", "Redistribution and use in source and binary forms",
     ]
     docs = [(i, t, None) for i, t in enumerate(texts)] + [(None, texts[3], None), (3, texts[3], None)]
-    got = license_scan.scan(table(spark, docs)).collect()
-    assert Counter(tuple(r) for r in got) == Counter((i, *licence_brute(t)) for i, t, _ in docs)
+    got = Counter(map(tuple, license_scan.scan(table(spark, docs)).collect()))
+    assert got == Counter((i, *licence_brute(t)) for i, t, _ in docs) == by_sql("op8_license_scan", docs)
     assert license_scan.scan(table(spark, [])).collect() == []
 
 
 def test_licenses_of_a_text_with_all_templates(spark):
-    notices = [" ".join(w if w != "_" else "x" for w in template.split()) for template, _ in license_scan.TEMPLATES.values()]
-    texts = [". ".join(notices), ". ".join(reversed(notices)), " ".join(license_scan.VOCABULARY) + " license", "the ".join(f"{n} all free use by " for n in notices)]
-    docs = [(i, t, None) for i, t in enumerate(texts)] + [(9 + i, f"license {w}", None) for i, w in enumerate(license_scan.VOCABULARY[::2])]
-    got = license_scan.scan(table(spark, docs)).collect()
-    assert Counter(tuple(r) for r in got) == Counter((i, *licence_brute(t)) for i, t, _ in docs)
-    assert {r.doc_id: set(license_scan.TEMPLATES) <= set(r.labels.split(",")) for r in got if r.doc_id < 2} == {0: True, 1: True}
+    notices = [t[1].replace("_", "x") for t in license_scan.LINES]
+    whole = [t[1] for t in license_scan.NOTICES]
+    texts = [". ".join(notices), ". ".join(reversed(notices)), " ".join(license_scan.VOCABULARY) + " license", "the ".join(f"{n} all free use by " for n in notices), " ".join(whole)]
+    rng = random.Random(4)
+    for notice in whole:
+        words = notice.split()
+        texts += [" ".join(words[: len(words) // 2]), " ".join(f"{i} {w}" if i % 20 == 0 else w for i, w in enumerate(words)), " ".join(w for w in words if rng.random() > 0.02)]
+    docs = [(i, t, None) for i, t in enumerate(texts)] + [(100 + i, f"license {w}", None) for i, w in enumerate(license_scan.VOCABULARY[::2])]
+    rows = license_scan.scan(table(spark, docs)).collect()
+    assert Counter(map(tuple, rows)) == Counter((i, *licence_brute(t)) for i, t, _ in docs) == by_sql("op8_license_scan", docs)
+    labels = {t.label for t in license_scan.TEMPLATES}
+    assert {r.doc_id: labels - {"isc"} <= set(r.labels.split(",")) for r in rows if r.doc_id < 2} == {0: True, 1: True}
+    assert {t[0] for t in license_scan.NOTICES} <= set(next(r.labels for r in rows if r.doc_id == 4).split(","))
+
+
+def test_a_phrase_over_and_over_takes_no_square(spark):
+    began = time.time()
+    got = license_scan.scan(table(spark, [(1, "cc by " * 16_000, None), (2, "licensed under cc by 4 0 " * 4000, None)])).collect()
+    assert {(r.doc_id, r.n_base, r.last_word, r.labels) for r in got} == {(1, 16_000, 31_998, "cc-by"), (2, 4000, 23_996, "cc-by,cc-by-4.0")}
+    assert time.time() - began < 60
 
 
 def rank_brute(edges, seed, rounds, damping):
