@@ -13,7 +13,8 @@
    component change nothing.
 
 ``bands`` and ``rows`` are such that a pair at the threshold shares no band with probability under
-1e-6. Numerator and denominator of the threshold are whole numbers, so the confirmation is exact.
+1e-6. Numerator and denominator of the threshold are whole numbers, so the confirmation is exact on
+sets of 64-bit shingle hashes; two shingles of one pair that differ and have one hash would count as equal.
 
 Defined cases: null text and text without words have an empty set, link with nothing and are kept;
 fewer words than a shingle are one shingle of the whole sequence; rows sharing a doc_id count as one
@@ -32,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ravelin.llm.common import discard, materialize, worker_cache
+from ravelin.llm.common import discard, free_name, map_arrow, materialize, worker_cache
 from ravelin.llm.components import connected_components
 
 CACHE_WORDS = 150_000
@@ -40,6 +41,8 @@ CACHE_WORDS = 150_000
 BROADCAST_NODES = 1_000_000
 #: Strays, and members, of a bucket that meet in one task.
 UNIT_ROWS = 2048
+#: Classes of copies with more than this share of all rows are named by a broadcast of at most its inverse rows.
+HOT_SHARE = 0.001
 #: Members of a bucket, besides its head, that those not linked to the head are compared with first.
 OTHERS = 4
 _U = np.uint64
@@ -128,7 +131,7 @@ def sketches(documents: DataFrame, s: Settings) -> DataFrame:
                     column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
 
-    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, fingerprint binary, keys array<long>, signature binary")
+    return map_arrow(documents.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, n_shingles long, fingerprint binary, keys array<long>, signature binary")
 
 
 def signature_verified(pairs: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
@@ -142,7 +145,7 @@ def signature_verified(pairs: DataFrame, classes: DataFrame, s: Settings) -> Dat
 
     of = classes.select(F.col("node"), "signature")
     both = pairs.join(of.select(F.col("node").alias("u"), F.col("signature").alias("su")), "u").join(of.select(F.col("node").alias("v"), F.col("signature").alias("sv")), "v")
-    return both.select("u", "v", "su", "sv").mapInArrow(run, "u long, v long")
+    return map_arrow(both.select("u", "v", "su", "sv"), run, "u long, v long")
 
 
 def full_sets(nodes: DataFrame, documents: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
@@ -157,7 +160,7 @@ def full_sets(nodes: DataFrame, documents: DataFrame, classes: DataFrame, s: Set
     if nodes.count() <= BROADCAST_NODES:
         nodes = F.broadcast(nodes)
     rows = documents.select(F.col("doc_id").cast("long"), "text").join(nodes, F.col("doc_id") == F.col("node"), "left_semi")
-    held = rows.mapInArrow(sets, "doc_id long, fingerprint binary, hashes binary").dropDuplicates(["doc_id", "fingerprint"])
+    held = map_arrow(rows, sets, "doc_id long, fingerprint binary, hashes binary").dropDuplicates(["doc_id", "fingerprint"])
     return materialize(held.join(classes.select("node", "fingerprint"), [F.col("doc_id") == F.col("node"), classes["fingerprint"] == held["fingerprint"]], "left_semi").select(F.col("doc_id").alias("node"), "hashes"), "sets")
 
 
@@ -218,7 +221,7 @@ def links_of_strays(apart: DataFrame, documents: DataFrame, classes: DataFrame,
             yield looked(unit)
 
     dealt = units.join(held, "node").select("key", "sc", "mc", "node", "component", "stray", "hashes").repartition("key", "sc", "mc").sortWithinPartitions("key", "sc", "mc")
-    links = materialize(dealt.mapInArrow(run, "u long, v long").distinct(), "links")
+    links = materialize(map_arrow(dealt, run, "u long, v long").distinct(), "links")
     discard(held)
     discard(units)
     return links
@@ -243,7 +246,7 @@ def confirmed(pairs: DataFrame, documents: DataFrame, classes: DataFrame, s: Set
 
     held = full_sets(pairs.select(F.col("u").alias("node")).union(pairs.select("v")), documents, classes, s)
     both = pairs.join(held.select(F.col("node").alias("u"), F.col("hashes").alias("hu")), "u").join(held.select(F.col("node").alias("v"), F.col("hashes").alias("hv")), "v")
-    links = materialize(both.select("u", "v", "hu", "hv").mapInArrow(run, "u long, v long"), "links")
+    links = materialize(map_arrow(both.select("u", "v", "hu", "hv"), run, "u long, v long"), "links")
     discard(held)
     return links
 
@@ -258,12 +261,11 @@ def verified(pairs: DataFrame, documents: DataFrame, classes: DataFrame, s: Sett
     return links
 
 
-def near_duplicates(documents: DataFrame, settings: Settings | None = None) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept; one row per row of ``documents``."""
-    s = settings or Settings()
+def judged(documents: DataFrame, s: Settings) -> DataFrame:
+    """``near_duplicates`` with the fingerprint of each row's set."""
     rows = materialize(sketches(documents, s), "sketches")
     numbered = rows.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    least = numbered.groupBy("fingerprint").agg(F.min("doc_id").alias("node"))
+    least = materialize(numbered.groupBy("fingerprint").agg(F.min("doc_id").alias("node"), F.count("*").alias("n")), "least")
     heads = numbered.join(least, [numbered["fingerprint"] == least["fingerprint"], numbered["doc_id"] == least["node"]], "left_semi").dropDuplicates(["fingerprint"])
     classes = materialize(heads.select(F.col("doc_id").alias("node"), "fingerprint", "keys", "signature"), "classes")
 
@@ -294,25 +296,50 @@ def near_duplicates(documents: DataFrame, settings: Settings | None = None) -> D
                 discard(t)
             links = joined
             found = materialize(connected_components(links), "components")
-    discard(members)
-    discard(links)
-    of_class = least.join(found, "node", "left").select("fingerprint", F.coalesce("component", "node").alias("component"))
-    out = rows.select("doc_id", "n_shingles", "fingerprint").join(of_class, "fingerprint", "left")
+    for t in (members, links, classes):
+        discard(t)
+    of_class = least.join(found, "node", "left").select("fingerprint", "n", F.coalesce("component", "node").alias("component"))
+    out = rows.select("doc_id", "n_shingles", "fingerprint")
+    # classes of more than a share of all rows are at most 1 / HOT_SHARE, and are looked up by a broadcast
+    n_rows = rows.count()
+    hot = of_class.where(F.col("n") > HOT_SHARE * n_rows).select("fingerprint", F.col("component").alias("hot"))
+    marked = out.join(F.broadcast(hot), "fingerprint", "left")
+    rest = marked.where(F.col("hot").isNull()).drop("hot").join(of_class.where(F.col("n") <= HOT_SHARE * n_rows).select("fingerprint", "component"), "fingerprint", "left")
+    named = rest.unionByName(marked.where(F.col("hot").isNotNull()).withColumnRenamed("hot", "component"))
     linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
-    return out.select("doc_id", "n_shingles", F.when(linked, F.col("component")).otherwise(F.col("doc_id")).alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    component = F.when(linked, F.col("component")).otherwise(F.col("doc_id"))
+    return named.select("doc_id", "n_shingles", component.alias("component_id"), "fingerprint").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def near_duplicates(documents: DataFrame, settings: Settings | None = None) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept; one row per row of ``documents``."""
+    return judged(documents, settings or Settings()).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def deduplicated(documents: DataFrame, settings: Settings | None = None) -> DataFrame:
     """One document of each group of near-duplicates, the one of least id; all columns.
 
-    Rows that repeat a kept doc_id: one stays.
+    Where several rows have one doc_id, each is judged by its own text; of those whose sets are equal
+    one stays. Rows without a doc_id stay.
     """
-    marks = near_duplicates(documents, settings).where("kept").groupBy("doc_id").agg(F.count("*").alias("n"))
-    marks = materialize(marks, "kept")
-    names = documents.columns
-    if marks.where((F.col("n") > 1) & F.col("doc_id").isNotNull()).isEmpty():
-        return documents.join(marks.select(F.col("doc_id").alias("_kept")), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    single = documents.join(marks.where("n = 1").select(F.col("doc_id").alias("_kept")), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    several = documents.join(marks.where("n > 1").select(F.col("doc_id").alias("_kept")), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    nulls = several.where(F.col("doc_id").isNull())
-    return single.union(several.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])).union(nulls).select(*names)
+    s = settings or Settings()
+    marks = materialize(judged(documents, s).where(F.col("doc_id").isNotNull()).groupBy("doc_id", "fingerprint").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("n")), "marks")
+    ids = marks.groupBy("doc_id").agg(F.sum("n").alias("n"), F.bool_or("kept").alias("kept"))
+    key, at = F.col("doc_id").cast("long"), free_name(documents, "_set")
+    other_id, other_set = free_name(documents, "_id"), free_name(documents, "_mark")
+    same_id = key == F.col(other_id)
+    single = documents.join(ids.where("n = 1 and kept").select(F.col("doc_id").alias(other_id)), same_id, "left_semi").unionByName(documents.where(key.isNull()))
+    repeated = ids.where("n > 1").select(F.col("doc_id").alias(other_id))
+    if repeated.isEmpty():
+        return single
+    several = documents.join(repeated, same_id, "left_semi")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema)
+
+    def sets(batches):
+        for batch in batches:
+            found = [xxhash.xxh3_128_digest(shingle_set(t.as_py(), s.shingle).tobytes()) for t in batch["text"]]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], names=[*batch.schema.names, at])
+
+    held = map_arrow(several, sets, f"{kinds}, `{at}` binary").dropDuplicates(["doc_id", at])
+    kept = marks.where("kept").select(F.col("doc_id").alias(other_id), F.col("fingerprint").alias(other_set))
+    return single.unionByName(held.join(kept, same_id & (F.col(at) == F.col(other_set)), "left_semi").drop(at))
