@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ravelin.llm.common import map_arrow
+
 Q = 8
 SHARE = 0.1
 MIN_BYTES = 24
@@ -209,7 +211,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, share: float = SHARE) -> D
             if ids:
                 yield looked(ids, texts)
 
-        part = docs.mapInArrow(run, SCHEMA)
+        part = map_arrow(docs, run, SCHEMA)
         found = part if found is None else found.union(part)
     return found if found is not None else spark.createDataFrame([], SCHEMA)
 

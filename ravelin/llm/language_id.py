@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ravelin.llm.common import crc_mod, worker_cache
+from ravelin.llm.common import crc_mod, map_arrow, worker_cache
 
 SAMPLE_PER_LANGUAGE = 2500
 #: A language's rows are dealt to so many tasks before its sample is taken.
@@ -89,7 +89,7 @@ def fit(documents: DataFrame, trained_on: Column, per_language: int = SAMPLE_PER
     dealt = salted.withColumn("k", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).where(F.col("k") <= -(-4 * per_language // SALTS))
     chosen = dealt.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("k") <= per_language).select("doc_id").distinct()
     sample = rows.select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id", "left_semi")  # bounded: per_language x languages
-    counted = sample.select("lang", "text").mapInArrow(count_features, "kind int, lang string, feature string, n long").groupBy("kind", "lang", "feature").agg(F.sum("n").alias("n"))
+    counted = map_arrow(sample.select("lang", "text"), count_features, "kind int, lang string, feature string, n long").groupBy("kind", "lang", "feature").agg(F.sum("n").alias("n"))
     kept = counted.where(F.col("n") >= F.when(F.col("kind") == 0, 3).otherwise(2)).toArrow()
     languages = sorted({*kept["lang"].to_pylist()})
     columns = [kept[c].to_pylist() for c in ("kind", "lang", "feature", "n")]
@@ -167,7 +167,7 @@ def add_predictions(documents: DataFrame, model: Model, keep: list[str]) -> Data
 
     kept = documents.select(*keep, F.col("text").alias("_scored_text"))
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name in keep)
-    return kept.mapInArrow(run, f"{types}, {SCHEMA}")
+    return map_arrow(kept, run, f"{types}, {SCHEMA}")
 
 
 def identify(documents: DataFrame, held_out_divisor: int = 5) -> DataFrame:

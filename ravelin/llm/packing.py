@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ravelin.llm.common import materialize
+from ravelin.llm.common import map_arrow, materialize
 from ravelin.llm.tokens import encoder, vocabulary_path
 
 CAPACITY = 2048
@@ -173,7 +173,7 @@ def token_pieces(documents: DataFrame, tokenizer_path: str, end_id: int, capacit
                     start, piece = start + length, piece + 1
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
 
-    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECES)
+    return map_arrow(documents.select(F.col("doc_id").cast("long"), "text"), run, PIECES)
 
 
 def pack(documents: DataFrame, tokenizer_path: str | None = None, end_id: int = 0, capacity: int = CAPACITY) -> DataFrame:
@@ -200,4 +200,4 @@ def pack(documents: DataFrame, tokenizer_path: str | None = None, end_id: int =
             yield pa.RecordBatch.from_arrays([*(batch[f.name] for f in list(schema)[:5]), pa.array(sequence, pa.int64()), pa.array(offset, pa.int64())], schema=schema)
 
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
-    return ranked.select(*columns, "rank").mapInArrow(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return map_arrow(ranked.select(*columns, "rank"), place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

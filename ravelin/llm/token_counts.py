@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ravelin.llm.common import map_arrow
 from ravelin.llm.tokens import encoder, vocabulary_path
 
 SCHEMA = "doc_id long, section int, begin long, end long, n_tokens long, n_crossing long"
@@ -98,4 +99,4 @@ def section_token_counts(documents: DataFrame, sections: DataFrame | None = None
                     column.extend(values)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, ARROW, strict=True)], schema=ARROW)
 
-    return docs.mapInArrow(run, SCHEMA)
+    return map_arrow(docs, run, SCHEMA)

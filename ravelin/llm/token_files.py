@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ravelin.llm.common import materialize
+from ravelin.llm.common import map_arrow, materialize
 from ravelin.llm.tokens import encoder, vocabulary_path
 
 MAGIC = b"RVTK1\0\0\0"
@@ -120,7 +120,7 @@ class TokenFiles:
         part_base = per_part.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_base"))
         within = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
         bases = self.shards.select("part", "shard", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)).alias("shard_base")).join(part_base, "part")
-        local = self.shards.select("part", "shard", "blob").mapInArrow(_reader(dictionary, width), "part int, shard int, doc_id long, place long, n_tokens long, ids_crc32 long")
+        local = map_arrow(self.shards.select("part", "shard", "blob"), _reader(dictionary, width), "part int, shard int, doc_id long, place long, n_tokens long, ids_crc32 long")
         return local.join(bases, ["part", "shard"]).select("doc_id", (F.col("part_base") + F.col("shard_base") + F.col("place")).alias("start"), "n_tokens", "ids_crc32")
 
 
@@ -162,7 +162,7 @@ def write_token_files(documents: DataFrame, tokenizer_path: str | None = None, k
             yield pa.RecordBatch.from_arrays([pa.array([ids_of(t.as_py())[:DICTIONARY_IDS].astype(dtype).tobytes() for t in batch["text"]], pa.binary())], names=["ids"])
 
     chosen = docs.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(DICTIONARY_DOCS)
-    raw = train_dictionary([bytes(r["ids"]) for r in chosen.select("text").mapInArrow(sample, "ids binary").collect()])
+    raw = train_dictionary([bytes(r["ids"]) for r in map_arrow(chosen.select("text"), sample, "ids binary").collect()])
     digest = hashlib.sha256(raw).digest()
     schema = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("n_docs", pa.int32()), ("n_tokens", pa.int64()), ("blob", pa.binary())])
 
@@ -188,7 +188,7 @@ def write_token_files(documents: DataFrame, tokenizer_path: str | None = None, k
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     ordered = docs.repartitionByRange(parts, *key).sortWithinPartitions(*key)
-    written = materialize(ordered.mapInArrow(shards, "part int, shard int, n_docs int, n_tokens long, blob binary"), "shards")
+    written = materialize(map_arrow(ordered, shards, "part int, shard int, n_docs int, n_tokens long, blob binary"), "shards")
     described = spark.createDataFrame([(bytearray(digest), bytearray(raw), width)], "hash binary, dictionary binary, width int")
     materialize(described, "shards-dictionary")
     return TokenFiles(written, raw, width)

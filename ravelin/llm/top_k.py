@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ravelin.llm.common import materialize
+from ravelin.llm.common import map_arrow, materialize
 
 BLOCK_ROWS = 256
 GROUP_ROWS = 16_384
@@ -58,7 +58,8 @@ def pack_blocks(vectors: DataFrame, parts: int, scale: float) -> DataFrame:
         if held:
             yield packed(held)
 
-    return vectors.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(parts, "vec_id", "_tie").sortWithinPartitions("vec_id", "_tie").drop("_tie").mapInArrow(run, PACKED)
+    tied = vectors.withColumn("_tie", F.monotonically_increasing_id())
+    return map_arrow(tied.repartitionByRange(parts, "vec_id", "_tie").sortWithinPartitions("vec_id", "_tie").drop("_tie"), run, PACKED)
 
 
 def padded(raw: np.ndarray, size: int) -> np.ndarray:
@@ -144,7 +145,7 @@ def exact_top_k(embeddings: DataFrame, k: int = 20, query_divisor: int = 20, sca
         if held:
             yield packed()
 
-    asked = blocks.select("part", "block", "n", "ids", "size", "data").mapInArrow(chosen, "part int, n int, ids binary, rows binary, size int, data binary")
+    asked = map_arrow(blocks.select("part", "block", "n", "ids", "size", "data"), chosen, "part int, n int, ids binary, rows binary, size int, data binary")
     asked = materialize(asked.withColumn("q", F.monotonically_increasing_id()).withColumn("asking", F.floor(F.col("part") * ranges / parts).cast("int")), "queries")
     every = F.explode(F.sequence(F.lit(0), F.lit(ranges - 1)))
     left = asked.drop("part").withColumn("range", every)

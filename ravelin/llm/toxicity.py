@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ravelin.llm.common import crc_mod, materialize, worker_cache
+from ravelin.llm.common import crc_mod, map_arrow, materialize, worker_cache
 
 SAMPLE_LABELS = 12_000
 LEAST_SUPPORT = 4
@@ -85,7 +85,7 @@ def trigram_counts(batches):
 
 def character_model(documents: DataFrame) -> list[float]:
     """Log probabilities of a symbol after two others, interpolated over shorter contexts."""
-    counted = documents.select("text").mapInArrow(trigram_counts, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
+    counted = map_arrow(documents.select("text"), trigram_counts, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
     three = np.zeros((28, 28, 28))
     for r in counted:
         three.reshape(-1)[r["gram"]] = r["n"]
@@ -226,7 +226,7 @@ def fit(documents: DataFrame, labels: DataFrame, trained_on: Column, sample: int
             yield pa.RecordBatch.from_arrays([batch["toxic"], pa.array(sketch, pa.int64()), pa.array(found, pa.list_(pa.string()))], names=["toxic", "sketch", "words"])
 
     rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text")  # bounded by `sample`
-    rows = materialize(rows.mapInArrow(restored, "toxic int, sketch long, words array<string>"), "toxicity-sample")
+    rows = materialize(map_arrow(rows, restored, "toxic int, sketch long, words array<string>"), "toxicity-sample")
     of = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count_distinct("sketch").alias("n")).collect()}
     bad, good = of.get(1, 0), of.get(0, 0)
     n = [F.count_distinct(F.when(F.col("toxic") == k, F.col("sketch"))).alias(name) for k, name in ((1, "bad"), (0, "good"))]
@@ -287,7 +287,7 @@ def add_scores(documents: DataFrame, model: Model, keep: list[str]) -> DataFrame
 
     kept = documents.select(*keep, F.col("text").alias("_scored_text"))
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name in keep)
-    return kept.mapInArrow(run, f"{types}, _toxicity double")
+    return map_arrow(kept, run, f"{types}, _toxicity double")
 
 
 def toxicity(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, held_out: int = 1, divisor: int = 3) -> DataFrame:
