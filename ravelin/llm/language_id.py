@@ -4,13 +4,17 @@ A known word scores its log frequency in each language; an unknown one falls bac
 character n-grams of ``^word$``, at every place the longest one that was seen, from
 ``MAX_GRAM`` letters down to one. A text's score is the sum over its words, as a posterior.
 
-The model is fitted on a bounded sample: at most ``SAMPLE_PER_LANGUAGE`` labelled rows per
-language, those of least id hash, so its size, and what is broadcast, is bounded by that number
-and the number of languages. Every row of the table is scored on its whole text.
+The model is fitted on a bounded sample of labelled rows, ``SAMPLE_ROWS`` shared evenly by the languages
+and at most ``SAMPLE_PER_LANGUAGE`` of one (one at least), those of least id hash, repeated rows once.
+Words seen fewer than ``LEAST_WORD`` times in it, and n-grams fewer than ``LEAST_GRAM``, are left to the
+back-off. Only counts above zero are kept, so what is broadcast is bounded by the sample and not by its
+product with the number of languages; a worker holds ``CELLS`` scores of words it has seen. Every
+row of the table is scored on its whole text.
 
 Defined cases: null text or text without a letter gives ``und`` with score 0, as does a table
 without labelled rows; equal totals go to the language first in the alphabet; equal rows are
-scored each; a null doc_id stays null and counts as not held out; other columns are not read.
+scored each, rows that share an id each by their own text; a very long text is scored whole; a null
+doc_id stays null and counts as not held out; other columns are not read.
 """
 
 from __future__ import annotations
@@ -25,14 +29,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ravelin.llm.common import crc_mod, map_arrow, worker_cache
+from ravelin.llm.common import crc_mod, free_name, map_arrow, worker_cache
 
-SAMPLE_PER_LANGUAGE = 2500
+SAMPLE_ROWS, SAMPLE_PER_LANGUAGE = 40_000, 2500
+LEAST_WORD, LEAST_GRAM = 3, 2
 #: A language's rows are dealt to so many tasks before its sample is taken.
 SALTS = 64
 MAX_GRAM = 4
 SMOOTHING = 0.5
-CACHE_WORDS = 300_000
+#: Scores (words times languages) that a worker keeps of words it has met.
+CELLS = 1_600_000
 #: Letters; what else it matches is neutral to the score.
 find_words = re.compile(r"[^\W\d_]+").findall
 
@@ -42,13 +48,45 @@ def grams(word: str, n: int) -> list[str]:
     return [marked[i : i + n] for i in range(len(marked) - n + 1)]
 
 
+@dataclass
+class Table:
+    """Counts of features by language, as one sparse row per feature, and the languages' totals."""
+
+    index: dict[str, int]
+    first: np.ndarray
+    language: np.ndarray
+    count: np.ndarray
+    totals: np.ndarray
+
+    @classmethod
+    def of(cls, languages: list[str], rows: list[tuple[str, str, int]]) -> Table:
+        """``rows`` are (language, feature, count)."""
+        place = {l: i for i, l in enumerate(languages)}
+        held = sorted((feature, place[lang], n) for lang, feature, n in rows)
+        names = list(dict.fromkeys(f for f, _, _ in held))
+        index = {f: i for i, f in enumerate(names)}
+        language = np.array([l for _, l, _ in held], np.int32)
+        count = np.array([n for *_, n in held], np.float64)
+        first = np.searchsorted(np.array([index[f] for f, _, _ in held], np.int64), np.arange(len(names) + 1))
+        totals = np.bincount(language, weights=count, minlength=len(languages)) + SMOOTHING * len(names)
+        return cls(index, first, language, count, totals)
+
+    def logs(self, feature: str) -> np.ndarray | None:
+        """Smoothed log frequencies in each language, centred over them; None if it was not seen."""
+        if (i := self.index.get(feature)) is None:
+            return None
+        found = np.full(len(self.totals), SMOOTHING)
+        some = slice(self.first[i], self.first[i + 1])
+        found[self.language[some]] += self.count[some]
+        found = np.log(found / self.totals)
+        return found - found.mean()
+
+
 @dataclass
 class Model:
     languages: list[str]
-    words: dict[str, int]
-    word_table: np.ndarray
-    grams: dict[str, int]
-    gram_table: np.ndarray
+    words: Table
+    grams: Table
 
 
 def count_features(batches):
@@ -69,59 +107,56 @@ def count_features(batches):
                 yield pa.RecordBatch.from_arrays([pa.array([kind] * len(c), pa.int32()), pa.array([lang] * len(c)), pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], names=["kind", "lang", "feature", "n"])
 
 
-def table_of(languages: list[str], rows: list[tuple[str, str, int]]) -> tuple[dict[str, int], np.ndarray]:
-    """Log frequencies, centred over the languages, one row per feature."""
-    place = {l: i for i, l in enumerate(languages)}
-    index: dict[str, int] = {}
-    for _, feature, _ in rows:
-        index.setdefault(feature, len(index))
-    counts = np.full((len(index), len(languages)), SMOOTHING)
-    for lang, feature, n in rows:
-        counts[index[feature], place[lang]] += n
-    logs = np.log(counts / counts.sum(0, keepdims=True)) if index else counts
-    return index, (logs - logs.mean(1, keepdims=True)).astype(np.float32) if index else counts.astype(np.float32)
+def sample_of(rows: DataFrame, most: int) -> DataFrame:
+    """(doc_id, lang, text) of a bounded number of rows, those of least id hash in each language."""
+    keyed = rows.select("doc_id", "lang", F.xxhash64("text").alias("h"))
+    order = [F.xxhash64("doc_id"), "doc_id", "h"]
+    salted = keyed.withColumn("salt", F.pmod(F.xxhash64("doc_id", "h", F.lit(1)), F.lit(SALTS)))
+    dealt = salted.withColumn("k", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).where(F.col("k") <= -(-4 * most // SALTS))
+    ranked = dealt.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("k") <= most)
+    chosen = ranked.select("doc_id", "lang", "h").distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("lang") == F.col("l")) & (F.xxhash64("text") == F.col("h"))
+    named = chosen.select(F.col("doc_id").alias("i"), F.col("lang").alias("l"), "h")
+    return rows.select("doc_id", "lang", "text").join(F.broadcast(named), same, "left_semi").dropDuplicates(["doc_id", "lang", "text"])
 
 
-def fit(documents: DataFrame, trained_on: Column, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
+def fit(documents: DataFrame, trained_on: Column, per_language: int = SAMPLE_PER_LANGUAGE, in_all: int = SAMPLE_ROWS) -> Model:
     rows = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & trained_on)
-    order = [F.xxhash64("doc_id"), "doc_id"]
-    salted = rows.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(SALTS)).alias("salt"))
-    dealt = salted.withColumn("k", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).where(F.col("k") <= -(-4 * per_language // SALTS))
-    chosen = dealt.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("k") <= per_language).select("doc_id").distinct()
-    sample = rows.select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id", "left_semi")  # bounded: per_language x languages
+    n_languages = rows.select("lang").distinct().count()
+    sample = sample_of(rows, max(1, min(per_language, in_all // max(1, n_languages))))
     counted = map_arrow(sample.select("lang", "text"), count_features, "kind int, lang string, feature string, n long").groupBy("kind", "lang", "feature").agg(F.sum("n").alias("n"))
-    kept = counted.where(F.col("n") >= F.when(F.col("kind") == 0, 3).otherwise(2)).toArrow()
+    kept = counted.where(F.col("n") >= F.when(F.col("kind") == 0, LEAST_WORD).otherwise(LEAST_GRAM)).toArrow()
     languages = sorted({*kept["lang"].to_pylist()})
-    columns = [kept[c].to_pylist() for c in ("kind", "lang", "feature", "n")]
     by_kind: dict[bool, list] = {True: [], False: []}
-    for kind, lang, feature, n in zip(*columns, strict=True):
+    for kind, lang, feature, n in zip(*(kept[c].to_pylist() for c in ("kind", "lang", "feature", "n")), strict=True):
         by_kind[kind == 0].append((lang, feature, n))
-    words, word_table = table_of(languages, sorted(by_kind[True]))
-    index, gram_table = table_of(languages, sorted(by_kind[False]))
-    return Model(languages, words, word_table, index, gram_table)
+    return Model(languages, Table.of(languages, by_kind[True]), Table.of(languages, by_kind[False]))
 
 
 class Scorer:
-    """A model with a bounded table of unknown words that it has already backed off."""
+    """A model with a bounded table of the scores of words that it has met."""
 
     def __init__(self, model: Model) -> None:
         self.model = model
-        n = len(model.languages)
-        self.known = {w: i + 1 for w, i in model.words.items()}
-        self.rows = np.zeros((len(self.known) + 1 + CACHE_WORDS, n), np.float32)
-        if len(model.words):
-            self.rows[1 : len(model.words) + 1] = model.word_table
-        self.free = len(model.words) + 1
+        n = max(1, len(model.languages))
+        self.known: dict[str, int] = {}
+        self.rows = np.zeros((max(1, CELLS // n), n), np.float32)
 
     def backed_off(self, word: str) -> np.ndarray:
-        marked, total, index = f"^{word}$", np.zeros(len(self.model.languages), np.float32), self.model.grams
+        marked, total = f"^{word}$", np.zeros(len(self.model.languages))
         for i in range(len(marked)):
             for n in range(min(MAX_GRAM, len(marked) - i), 0, -1):
-                if (k := index.get(marked[i : i + n])) is not None:
-                    total += self.model.gram_table[k]
+                if (logs := self.model.grams.logs(marked[i : i + n])) is not None:
+                    total += logs
                     break
         return total / MAX_GRAM
 
+    def word(self, word: str) -> np.ndarray:
+        """Scores of a word by language; none without a letter."""
+        if (logs := self.model.words.logs(word)) is not None:
+            return logs
+        return self.backed_off(word) if any(map(str.isalpha, word)) else np.zeros(len(self.model.languages))
+
     def __call__(self, text: str | None) -> tuple[str, float]:
         words = find_words(text.lower()) if text else []
         if not self.model.languages or not any(any(map(str.isalpha, w)) for w in words):
@@ -130,17 +165,16 @@ class Scorer:
         at = [known.get(w, -1) for w in words]
         total = np.zeros(len(self.model.languages), np.float64)
         if -1 in at:
-            for w, i in zip(words, at, strict=True):
-                if i < 0 and any(map(str.isalpha, w)):
-                    if (k := known.get(w)) is not None:
-                        total += self.rows[k]
-                        continue
-                    row = self.backed_off(w)
-                    total += row
-                    if self.free < len(self.rows) and len(w) <= 40:
-                        self.rows[self.free] = row
-                        known[w] = self.free
-                        self.free += 1
+            for i, w in enumerate(words):
+                if at[i] < 0 and (k := known.get(w, -1)) >= 0:
+                    at[i] = k
+                elif at[i] < 0:
+                    row = self.word(w).astype(np.float32)
+                    if len(known) < len(self.rows) and len(w) <= 40:
+                        known[w] = at[i] = len(known)
+                        self.rows[at[i]] = row
+                    else:
+                        total += row
             at = [i for i in at if i >= 0]
         total += self.rows[at].sum(0, dtype=np.float64) if at else 0
         odds = np.exp(total - total.max())
@@ -148,12 +182,9 @@ class Scorer:
         return self.model.languages[best], float(odds[best] / odds.sum())
 
 
-SCHEMA = "_lang_pred string, _score double"
-
-
-def add_predictions(documents: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """``keep`` columns of ``documents`` with ``_lang_pred`` and ``_score``."""
-    shared, key = documents.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
+def add_predictions(documents: DataFrame, model: Model, keep: list[str], pred: str = "lang_pred", score_name: str = "score") -> DataFrame:
+    """``keep`` columns of ``documents``, then the predicted language and its posterior under the given names."""
+    shared, key, at = documents.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex, len(keep)
 
     def run(batches):
         scorers = worker_cache("language_id")
@@ -162,12 +193,12 @@ def add_predictions(documents: DataFrame, model: Model, keep: list[str]) -> Data
             scorers[key] = Scorer(shared.value)
         score = scorers[key]
         for batch in batches:
-            found = [score(t.as_py()) for t in batch["_scored_text"]]
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=[*keep, "_lang_pred", "_score"])
+            found = [score(t.as_py()) for t in batch.column(at)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=[*keep, pred, score_name])
 
-    kept = documents.select(*keep, F.col("text").alias("_scored_text"))
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name in keep)
-    return map_arrow(kept, run, f"{types}, {SCHEMA}")
+    kept = documents.select(*keep, F.col("text").alias(free_name(documents, "scored")))
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:at])
+    return map_arrow(kept, run, f"{types}, `{pred}` string, `{score_name}` double")
 
 
 def identify(documents: DataFrame, held_out_divisor: int = 5) -> DataFrame:
@@ -175,11 +206,11 @@ def identify(documents: DataFrame, held_out_divisor: int = 5) -> DataFrame:
     held = crc_mod("doc_id", held_out_divisor) == 0
     docs = documents.select(F.col("doc_id").cast("long"), "text", "lang")
     model = fit(docs, ~held)
-    return add_predictions(docs.select("doc_id", "text", held.alias("held_out")), model, ["doc_id", "held_out"]).withColumnsRenamed({"_lang_pred": "lang_pred", "_score": "score"})
+    return add_predictions(docs.select("doc_id", "text", held.alias("held_out")), model, ["doc_id", "held_out"])
 
 
 def accepted(documents: DataFrame, least_score: float = 0.5) -> DataFrame:
     """Rows whose language is known with a posterior of ``least_score``; all their columns."""
     model = fit(documents.select(F.col("doc_id").cast("long"), "text", "lang"), F.lit(True))
-    names = documents.columns
-    return add_predictions(documents, model, names).where((F.col("_lang_pred") != "und") & (F.col("_score") >= least_score)).select(*names)
+    names, pred, score = documents.columns, free_name(documents, "lang_pred"), free_name(documents, "lang_score")
+    return add_predictions(documents, model, names, pred, score).where((F.col(pred) != "und") & (F.col(score) >= least_score)).select(*names)
