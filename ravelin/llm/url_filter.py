@@ -4,13 +4,20 @@ Host edges are the absolute links in the pages' HTML, counted per pair of hosts
 and the ties between a host and its parent domain (both ways, down to two labels). Trust is
 personalised PageRank from the hosts of allowed pages along the edges; distrust is the same from the
 hosts of blocked pages along reversed edges. Rounds go on until no host's rank changes by more than
-``SETTLED`` of itself over ``WRITE_EVERY`` rounds, so every host that can be reached has been. A host's distrust share, distrust / (trust +
-distrust), at or above ``threshold`` blocks its pages that no rule fits; a host reached by
-neither is allowed.
+``SETTLED`` of itself over ``WRITE_EVERY`` rounds, so every host that can be reached has been. What a
+host without steps onward holds goes back to the seeds: for each kind that is the same as scaling its
+ranks to a sum of one, which is done once, at the end. A host's distrust share, distrust / (trust +
+distrust), at or above ``threshold`` blocks its pages that no rule fits; a host reached by neither is
+allowed.
+
+Ranks are summed as decimals of ``DIGITS`` places, so sums do not depend on the order of their parts and
+equal runs give equal verdicts; what falls below the last place counts as not reached. A share that
+ties with the threshold blocks.
 
 Defined cases: a null url or one without ``://`` has empty host and path, fits no rule and is allowed;
 null HTML has no links; of rules of equal length the first in the alphabet wins; equal rows are
-judged each; a null page_id stays null; an empty table gives no rows; other columns are not read.
+judged each; a null page_id stays null; a very long url or page is taken whole; an empty table gives no
+rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -22,11 +29,12 @@ from pyspark.sql import functions as F
 
 from ravelin.llm.common import discard, materialize
 
-ROUNDS = 12
 DAMPING = 0.85
 THRESHOLD = 0.5
 #: Rounds between two written tables.
 WRITE_EVERY = 4
+#: Places of a rank behind the point.
+DIGITS = 30
 #: Largest change of a host's rank between two written tables, as a share of the rank, that counts as none.
 SETTLED = 1e-6
 
@@ -67,8 +75,12 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return linked.union(both).groupBy("src", "dst").agg(F.sum("n").alias("n"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, rounds: int | None = ROUNDS, damping: float = DAMPING) -> DataFrame:
-    """(host, trust, distrust); ``seeds`` are (host, trust, distrust) shares that each sum to one.
+def _exact(c: Column) -> Column:
+    return c.cast(f"decimal(38,{DIGITS})")
+
+
+def propagate(edges: DataFrame, seeds: DataFrame, rounds: int | None = None, damping: float = DAMPING) -> DataFrame:
+    """(host, trust, distrust), each summing to one; ``seeds`` are (host, trust, distrust) shares that each sum to one.
 
     ``rounds`` of None goes on until the ranks are settled. A change of at most a share of each rank stays
     one in later rounds, as these are linear and no share is negative; a host just reached changes by all of it.
@@ -80,20 +92,25 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int | None = ROUNDS, d
     steps = materialize(forward.union(back), "host-steps")
     start = seeds.select(F.lit(1).alias("kind"), F.col("host").alias("a"), F.col("trust").alias("r")).union(seeds.select(F.lit(2), "host", "distrust")).where("r > 0")
     start = materialize(start, "host-seeds")
+    none = _exact(F.lit(0))
     state, written = start, None
     for i in itertools.count(1) if rounds is None else range(1, rounds + 1):
-        moved = steps.join(state, ["kind", "a"]).select("kind", F.col("b").alias("a"), (F.col("share") * F.col("r") * damping).alias("r"))
-        moved = moved.union(start.withColumn("r", F.col("r") * (1 - damping))).withColumn("was", F.lit(0.0))
+        moved = steps.join(state, ["kind", "a"]).select("kind", F.col("b").alias("a"), _exact(F.col("share") * F.col("r").cast("double") * damping).alias("r"))
+        moved = moved.union(start.select("kind", "a", _exact(F.col("r") * (1 - damping)))).withColumn("was", none)
         if i % WRITE_EVERY == 0 or i == rounds:
-            moved = moved.union((start if written is None else written).select("kind", "a", F.lit(0.0).alias("r"), F.col("r").alias("was")))
+            last = start if written is None else written
+            moved = moved.union(last.select("kind", "a", none.alias("r"), _exact(F.col("r")).alias("was")))
             state = materialize(moved.groupBy("kind", "a").agg(F.sum("r").alias("r"), F.sum("was").alias("was")), "host-ranks")
             discard(written)
             written = state
-            if rounds is None and state.where(F.abs(F.col("r") - F.col("was")) > SETTLED * F.col("r")).isEmpty():
+            change = F.abs(F.col("r").cast("double") - F.col("was").cast("double"))
+            if rounds is None and state.where(change > SETTLED * F.col("r").cast("double")).isEmpty():
                 break
         else:
             state = moved.groupBy("kind", "a").agg(F.sum("r").alias("r"))
-    of = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("r"))), F.lit(0.0))
+    discard(steps)
+    total = {r["kind"]: float(r["r"]) for r in state.groupBy("kind").agg(F.sum("r").alias("r")).collect()}  # two rows
+    of = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("r"))).cast("double"), F.lit(0.0)) / (total.get(kind) or 1.0)
     return state.groupBy(F.col("a").alias("host")).agg(of(1).alias("trust"), of(2).alias("distrust"))
 
 
@@ -107,7 +124,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], threshold: float = THR
     sums = counts.agg(F.coalesce(F.sum("good"), F.lit(0)), F.coalesce(F.sum("bad"), F.lit(0))).first()
     good, bad = (max(1, x) for x in sums)
     seeds = counts.select("host", (F.col("good") / good).alias("trust"), (F.col("bad") / bad).alias("distrust"))
-    ranks = propagate(materialize(host_edges(rows), "host-edges"), seeds, rounds=None)
+    ranks = propagate(materialize(host_edges(rows), "host-edges"), seeds)
     share = F.when(F.col("trust") + F.col("distrust") > 0, F.col("distrust") / (F.col("trust") + F.col("distrust"))).otherwise(0.0)
     out = judged.drop("html", "url").join(ranks.select("host", share.alias("distrust_share")), "host", "left")
     distrust = F.coalesce("distrust_share", F.lit(0.0))

@@ -1,8 +1,12 @@
+import itertools
+import math
 import random
 import re
 import time
+import zlib
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -40,10 +44,68 @@ def test_language_held_out_accuracy(spark):
 
 
 def test_backoff_uses_the_longest_known_gram():
-    index, t = language_id.table_of(["a", "b"], [("a", "^xy", 5), ("b", "y$", 5)])
-    s = language_id.Scorer(language_id.Model(["a", "b"], {}, t[:0], index, t))
+    t = language_id.Table.of(["a", "b"], [("a", "^xy", 5), ("b", "y$", 5)])
+    s = language_id.Scorer(language_id.Model(["a", "b"], language_id.Table.of(["a", "b"], []), t))
     assert s("xy")[0] in "ab" and s("") == ("und", 0.0)
-    assert s.backed_off("xy").tolist() == pytest.approx(((t[index["^xy"]] + t[index["y$"]]) / language_id.MAX_GRAM).tolist())
+    assert s.backed_off("xy").tolist() == pytest.approx(((t.logs("^xy") + t.logs("y$")) / language_id.MAX_GRAM).tolist())
+
+
+def language_brute(rows, text):
+    """Totals by language from counts alone, without tables, caches or vectors."""
+    words, grams = Counter(), Counter()
+    for lang, t in rows:
+        for w in re.findall(r"[^\W\d_]+", t.lower()):
+            words[lang, w] += 1
+            marked = f"^{w}$"
+            grams.update((lang, marked[i : i + n]) for n in range(1, 5) for i in range(len(marked) - n + 1))
+    words = Counter({k: n for k, n in words.items() if n >= language_id.LEAST_WORD})
+    grams = Counter({k: n for k, n in grams.items() if n >= language_id.LEAST_GRAM})
+    languages = sorted({l for l, _ in rows})
+
+    def logs(counts, feature):
+        features = {f for _, f in counts}
+        if feature not in features:
+            return None
+        each = [math.log((counts[l, feature] + 0.5) / (sum(n for (m, _), n in counts.items() if m == l) + 0.5 * len(features))) for l in languages]
+        return [x - sum(each) / len(each) for x in each]
+
+    total = [0.0] * len(languages)
+    for w in re.findall(r"[^\W\d_]+", text.lower()):
+        found = logs(words, w)
+        if found is None:
+            found, marked = [0.0] * len(languages), f"^{w}$"
+            for i in range(len(marked)):
+                held = next((g for n in range(4, 0, -1) if i + n <= len(marked) and (g := logs(grams, marked[i : i + n])) is not None), None)
+                found = [a + b / 4 for a, b in zip(found, held or [0.0] * len(languages), strict=True)]
+        total = [a + b for a, b in zip(total, found, strict=True)]
+    odds = [math.exp(x - max(total)) for x in total]
+    return languages[total.index(max(total))], max(odds) / sum(odds)
+
+
+def test_language_against_brute_force(spark):
+    rng = random.Random(6)
+    word = lambda letters: "".join(rng.choices(letters, k=rng.randint(2, 7)))
+    rows = [(i, " ".join(word(letters) for _ in range(12)), lang) for i in range(30) for lang, letters in (("xa", "abcde"), ("xb", "cdefg"), ("xc", "éüßabd"))]
+    rows = [(i, *r[1:]) for i, r in enumerate(rows)] + [(500 + i, " ".join(word("abcdefgéü") for _ in range(3)), None) for i in range(12)]
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
+    trained = [(lang, t) for i, t, lang in rows if lang and not held(i)]
+    for r in language_id.identify(table(spark, rows)).collect():
+        lang, score = language_brute(trained, next(t for i, t, _ in rows if i == r.doc_id))
+        assert (r.lang_pred, r.held_out) == (lang, held(r.doc_id)) and r.score == pytest.approx(score, abs=1e-5)
+
+
+def test_language_ties_and_repeated_ids(spark):
+    """Equal totals go to the first language; a repeated id is learned from once per text, and the sample stays bounded."""
+    learned = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5]
+    same = [(i, "same words here", lang) for i, lang in zip(learned, ["zz", "aa"] * 20, strict=False)]
+    got = language_id.identify(table(spark, [*same, (99, "other", None)])).collect()
+    assert {r.lang_pred for r in got} == {"aa"}
+    rows = table(spark, [(7, EN, "en")] * 50 + [(7, DE, "de")] * 50 + [(8, EN + " x", "en")])
+    assert language_id.sample_of(rows, 3).count() <= 6
+    assert {(r.text[:3], r.lang) for r in language_id.sample_of(rows, 60).collect()} == {("the", "en"), ("der", "de")}
+    many = table(spark, [(i, f"text{i} words{i}", f"l{i:03}") for i in range(120)] * 2)
+    model = language_id.fit(many.select("doc_id", "text", "lang"), F.lit(True), in_all=50)
+    assert len(model.languages) == 120 and len(model.grams.count) < 120 * 60
 
 
 def labelled(n=300):
@@ -78,6 +140,57 @@ def test_toxicity(spark):
     assert {r.predicted for r in toxicity.toxicity(table(spark, docs[:3]), marks.limit(0)).collect()} == {0}
 
 
+def test_decoding_against_all_paths():
+    """The cheapest path of small lattices, by enumeration."""
+    rng = random.Random(11)
+    counts = np.array([rng.random() ** 6 + 1e-4 for _ in range(28**3)]).reshape(28, 28, 28)
+    logs = np.log(counts / counts.sum(2, keepdims=True)).reshape(-1).tolist()
+
+    def cost(symbols, channel):
+        x = y = 0
+        for s in [*symbols, 0]:
+            if s or y:
+                channel -= logs[(x * 28 + y) * 28 + s]
+            x, y = (y, s) if s else (0, 0)
+        return channel
+
+    for _ in range(150):
+        noisy = "".join(rng.choices("aabid013@!$*. -", k=rng.randint(1, 7)))
+        if rng.random() < 0.3:
+            noisy += noisy[-1] * rng.randint(1, 2)
+        paths = [([s for o in p for s in o[0]], "".join(o[1] for o in p), sum(o[2] for o in p)) for p in itertools.product(*toxicity.lattice(noisy))]
+        best = min(cost(symbols, channel) for symbols, _, channel in paths)
+        assert toxicity.decode(noisy, logs) in {written for symbols, written, channel in paths if cost(symbols, channel) <= best + 1e-9}
+
+
+def test_toxicity_channel(spark):
+    docs, labels = labelled()
+    hidden = ["idiiot", "!d!ot", "i  d  i  o  t", "m o r o n", "m  o  r  o  n", "mooron", "1 d i 0 t", "MORON!!", "idi0t!"]
+    docs += [(1000 + i, f"stone river {t} cloud meadow", "en") for i, t in enumerate(hidden)]
+    clean = ["a b c d", "!stone", "riiver", "x y z", "winnter", "the 1 2 3 of 4 5 6", "a | b | c"]
+    docs += [(2000 + i, f"stone river {t} cloud meadow", "en") for i, t in enumerate(clean)]
+    marks = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    found = {r.doc_id: r.predicted for r in toxicity.toxicity(table(spark, docs), marks).collect()}
+    assert [t for i, t in enumerate(hidden) if not found[1000 + i]] == [] == [t for i, t in enumerate(clean) if found[2000 + i]]
+
+
+def test_toxicity_learns_beginnings_and_bounds_its_sample(spark):
+    rng = random.Random(2)
+    docs, labels = labelled(150)
+    ends = ["ung", "heit", "lich", "bar", "sam", "los", "chen", "lein", "haft", "ig"]
+    for i in range(100):
+        words = rng.choices(["garten", "fenster", "winter", "licht"], k=12) + [f"w{rng.randrange(10**6)}x"]
+        docs.append((500 + i, " ".join([*words, *([f"scheusal{rng.choice(ends)}{rng.choice(ends)}"] * (i % 3 == 0))]), "de"))
+        labels.append((500 + i, int(i % 3 == 0)))
+    docs += [(900, "garten scheusalkeitlich winter", "de"), (901, "garten scheinen winter", "de")]
+    docs += [(0, f"another text number {i}", "en") for i in range(40)]
+    marks = spark.createDataFrame([*labels, *labels[:9]], "doc_id bigint, toxic int")
+    found = {r.doc_id: r.predicted for r in toxicity.toxicity(table(spark, docs), marks).collect()}
+    assert (found[900], found[901]) == (1, 0)
+    logs = toxicity.character_model(table(spark, docs))
+    assert toxicity.labelled_words(table(spark, docs), marks, F.lit(True), logs, 20).count() == 20
+
+
 def edits(x, t):
     before = [0] * (len(t) + 1)
     for i, c in enumerate(x, 1):
@@ -88,33 +201,64 @@ def edits(x, t):
     return min(before)
 
 
-def test_leaks_against_edit_distance():
+def leak_brute(item, text):
+    """Fewest edits within the budget; short items verbatim between blanks, or as the whole text."""
+    if not item:
+        return None
+    if len(item) < decontamination.Q:
+        return 0 if item == text else None
+    if len(item) < decontamination.EXACT_BYTES:
+        return 0 if b" " + item + b" " in b" " + text + b" " else None
+    e = edits(item, text)
+    return e if e <= decontamination.budget(len(item)) else None
+
+
+@pytest.mark.parametrize(("letters", "hot", "pairs"), [(b"abcdef ", 256, 1 << 22), (b"abcdef ", 1, 50), (b"ab ", 256, 1 << 22), (b"ab ", 0, 7), (b"a ", 256, 1 << 22)])
+def test_leaks_against_edit_distance(monkeypatch, letters, hot, pairs):
+    """Also with thinned places (texts of few letters) and hot q-grams."""
+    monkeypatch.setattr(decontamination, "HOT_ITEMS", hot)
+    monkeypatch.setattr(decontamination, "PAIRS", pairs)
     rng = random.Random(5)
-    piece = lambda n: bytes(rng.choices(b"abcdef ", k=n))
-    items = [(i, piece(rng.randint(24, 110))) for i in range(8)]
+    piece = lambda n: b" ".join(bytes(rng.choices(letters, k=n)).split())
+    items = [(i, piece(rng.choice([5, 12, 20, 30, 60, 110]))) for i in range(9)]
     index = decontamination.build_index(items, 0.1)
     positive = 0
-    for _ in range(80):
+    for _ in range(60):
         y = bytearray(rng.choice(items)[1])
         for _ in range(rng.randint(0, len(y) // 8)):
-            p = rng.randrange(len(y))
-            rng.choice([lambda: y.__setitem__(p, rng.choice(b"abcdef ")), lambda: y.pop(p), lambda: y.insert(p, rng.choice(b"abcdef "))])()
-        text = piece(rng.randint(0, 50)) + bytes(y) + piece(rng.randint(0, 50))
-        got = {(d, k): e for d, k, _, _, e, _ in decontamination.find([b"zz", text, b""], index)}
-        want = {(1, i): e for i, x in items if (e := edits(x, text)) <= decontamination.budget(len(x))}
+            if p := rng.randrange(len(y)) if y else 0:
+                rng.choice([lambda: y.__setitem__(p, rng.choice(letters)), lambda: y.pop(p), lambda: y.insert(p, rng.choice(letters))])()  # noqa: B023
+        text = b" ".join((piece(rng.randint(0, 50)) + b" " + bytes(y) + b" " + piece(rng.randint(0, 50))).split())
+        got = {(d, k): e for d, k, _, _, e, _ in decontamination.find([b"zz", text, b"", items[0][1]], index)}
+        want = {(d, i): e for d, t in enumerate([b"zz", text, b"", items[0][1]]) for i, x in items if (e := leak_brute(x, t)) is not None}
         assert got == want
         positive += len(want)
     assert positive > 20
 
 
-def test_leaks_edges(spark):
+def test_repeated_text_takes_no_square():
+    item = b"abcdefgh " * 700
+    index = decontamination.build_index([(1, item)], 0.1)
+    began = time.time()
+    at = np.arange(24_000)
+    cells, counts = decontamination.cell_counts(at, np.zeros(len(at), np.int64), index)
+    assert len(cells) and counts.sum() <= 12 * len(at)
+    assert decontamination.find([item * 4], index)[0][:5] == (0, 0, 0, len(item), 0) and time.time() - began < 20
+
+
+def test_leaks_edges(spark, monkeypatch):
     item = "What is the boiling point of water at sea level in degrees Celsius?"
-    docs = [(1, f"Intro. {item} More.", "en"), (2, item.upper().replace(" ", "  "), "en"), (3, None, "en"), (4, "", "en"), (5, "clean text of no concern at all", "en"), (6, "pad " * 30000 + item, "en"), (None, item, "en"), (1, item, "en")]
-    bench = spark.createDataFrame([(7, item, 0), (8, None, 0), (9, "too short", 0), (7, item, 1)], "item_id bigint, text string, doc_id int")
-    got = decontamination.leaks(table(spark, docs), bench).collect()
-    assert Counter(r.doc_id for r in got) == Counter({1: 4, 2: 2, 6: 2, None: 2})
-    assert all(r.edits == 0 and r.item_id == 7 for r in got)
-    assert sorted(r.doc_id for r in decontamination.uncontaminated(table(spark, docs), bench).collect()) == [3, 4, 5]
+    docs = [(1, f"Intro. {item} More.", "en"), (2, item.upper().replace(" ", "  "), "en"), (3, None, "en"), (4, "", "en"), (5, "clean text of no concern at all", "en"), (6, "pad " * 30000 + item, "en"), (None, item, "en"), (1, item, "en"), (9, "is it too, SHORT or not", "en"), (10, "too shorty", "en"), (11, "Why", "en"), (12, "why not", "en")]
+    bench = spark.createDataFrame([(7, item, 0), (8, None, 0), (9, "too short", 0), (7, item, 1), (10, "why?", 0), (11, "?!", 0), (None, "", 0)], "item_id bigint, text string, doc_id int")
+    want = Counter({(1, 7): 4, (2, 7): 2, (6, 7): 2, (None, 7): 2, (9, 9): 1, (11, 10): 1})
+    for sizes in ((32 << 20, 4 << 20, 16 << 20), (150, 80, 1)):
+        for name, n in zip(("PASS_BYTES", "BLOCK_BYTES", "HELD_BYTES"), sizes, strict=True):
+            monkeypatch.setattr(decontamination, name, n)
+        got = decontamination.leaks(table(spark, docs), bench).collect()
+        assert Counter((r.doc_id, r.item_id) for r in got) == want and all(r.edits == 0 for r in got)
+    clashing = table(spark, docs).withColumn("_row", F.lit(5))
+    kept = decontamination.uncontaminated(clashing, bench)
+    assert kept.columns == clashing.columns and sorted(r.doc_id for r in kept.collect()) == [3, 4, 5, 10, 12]
     assert decontamination.leaks(table(spark, []), bench).collect() == [] == decontamination.leaks(table(spark, docs), bench.limit(0)).collect()
 
 
@@ -177,44 +321,87 @@ def test_a_phrase_over_and_over_takes_no_square(spark):
     assert time.time() - began < 60
 
 
-def rank_brute(edges, seed, rounds, damping):
+def rank_brute(edges, seed, rounds=600, damping=url_filter.DAMPING):
+    """Ranks with what hosts without steps hold going back to the seeds."""
     total = Counter()
     for a, _, n in edges:
         total[a] += n
     now = dict(seed)
     for _ in range(rounds):
+        lost = sum(r for h, r in now.items() if not total[h])
         ahead = Counter()
         for a, b, n in edges:
             ahead[b] += damping * now.get(a, 0) * n / total[a]
         for h, r in seed.items():
-            ahead[h] += (1 - damping) * r
+            ahead[h] += (1 - damping + damping * lost) * r
         now = ahead
     return now
 
 
+def url_brute(rows, rules):
+    """page_id -> (host, path, rule, verdict), from the contract's words and converged ranks."""
+    lower = lambda x: "".join(c.lower() if c.isascii() else c for c in x)
+    judged, edges = [], Counter()
+    for page, url, html in rows:
+        _, sep, rest = (url or "").partition("://")
+        host = lower(re.match("[^/?#]*", rest)[0]) if sep else ""
+        path = re.match("[^/?#]*([^?#]*)", rest)[1] if sep else ""
+        fits = [(len(r), [-ord(c) for c in r], r, v) for v, r in rules for h, p in [r.split("/", 1)] if (host == h or host.endswith("." + h)) and path.startswith("/" + p)]
+        judged.append((page, host, path, *(max(fits)[2:] if fits else (None, None))))
+        for target in re.findall(r"""(?i)href\s*=\s*["']?(?:https?:)?//([^"'\s>]+)""", html or ""):
+            to = lower(re.match("[^/?#]*", target)[0])
+            if host and to and to != host:
+                edges[host, to] += 1
+    for host in {j[1] for j in judged if j[1]}:
+        labels = host.split(".")
+        for i in range(len(labels) - 2):
+            a, b = ".".join(labels[i:]), ".".join(labels[i + 1 :])
+            edges[a, b] += 0 if (a, b, "t") in edges else 1
+            edges[b, a] += 0 if (a, b, "t") in edges else 1
+            edges[a, b, "t"] = 0
+    held = [(*k, n) for k, n in edges.items() if len(k) == 2 and n]
+    seeds = [Counter(j[1] for j in judged if j[4] == v and j[1]) for v in ("allow", "block")]
+    seeds = [{h: n / sum(c.values()) for h, n in c.items()} for c in seeds]
+    trust, distrust = rank_brute(held, seeds[0]), rank_brute([(b, a, n) for a, b, n in held], seeds[1])
+    out = []
+    for page, host, path, rule, verdict in judged:
+        t, d = trust.get(host, 0), distrust.get(host, 0)
+        out.append((page, host, path, rule, verdict or ("block" if host and d > 0 and d / (t + d) >= 0.5 else "allow")))
+    return Counter(out)
+
+
 def test_url_filter(spark):
-    rules = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/")]
+    rules = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
     link = '<a href="https://bad.net/es/x">x</a><a HREF=\'//hub.org/y\'>y</a><a href="/own">o</a>'
     rows = [
-        (1, "https://A.Example.com/en/x?q#f", link), (2, "http://www.example.com/en/", None), (3, "http://bad.net/es/1", ""), (4, "http://bad.net/fr/1", link), (5, None, None), (6, "no-scheme.com/x", link), (7, "x://hub.org", '<a href="http://bad.net/">b</a>'),
-        (8, "http://lone.org/é?x", None), (9, "http://comx/", None), (10, "http://example.com", None), (1, "https://A.Example.com/en/x?q#f", link),
+        (1, "https://A.Example.com/en/x?q#f", link), (2, "http://www.example.com/en/", None), (3, "http://bad.net/es/1", ""), (4, "http://bad.net/de/1", link), (5, None, None), (6, "no-scheme.com/x", link), (7, "x://hub.org", '<a href="http://bad.net/">b</a>'),
+        (8, "http://lone.org/é?x", None), (9, "http://comx/", None), (10, "http://example.com", None), (1, "https://A.Example.com/en/x?q#f", link), (None, "http://bad.net/fr/" + "x" * 100_000, None),
     ]
+    rng = random.Random(8)
+    hosts = [f"{a}{i}.{b}" for i in range(8) for a in ("", "w.", "v.w.") for b in ("org", "com", "net")]
+    for i in range(120):
+        links = "".join(f'<a href="http{rng.choice(["", "s"])}://{rng.choice(hosts)}/{rng.choice("xyz")}">l</a>' for _ in range(rng.randint(0, 3)))
+        rows.append((100 + i, f"https://{rng.choice(hosts)}/{rng.choice(['es', 'fr', 'en', 'de'])}/{i}", links))
     pages = spark.createDataFrame([(*r, "clash") for r in rows], "page_id bigint, url string, html string, host string")
-    got = {r.page_id: r for r in url_filter.judge(pages, rules).collect()}
-    assert (got[1].host, got[1].path, got[1].rule, got[1].verdict) == ("a.example.com", "/en/x", "example.com/en/", "block")
-    assert (got[2].rule, got[2].verdict) == ("www.example.com/en/", "allow")
-    assert (got[3].rule, got[3].verdict, got[4].rule, got[4].verdict) == ("net/es/", "block", None, "block" if got[4].distrust_share >= 0.5 else "allow")
-    assert (got[5].host, got[5].path, got[5].verdict) == (got[6].host, got[6].path, got[6].verdict) == ("", "", "allow")
-    assert got[7].verdict == ("block" if got[7].distrust_share >= 0.5 else "allow") and got[7].distrust_share > 0
-    assert got[8].verdict == got[9].verdict == "allow" and got[8].path == "/é" and got[10].rule is None
+    got = url_filter.judge(pages, rules).collect()
+    assert Counter((r.page_id, r.host, r.path, r.rule, r.verdict) for r in got) == url_brute(rows, rules)
+    of = {r.page_id: r for r in got}
+    assert (of[1].host, of[1].path, of[1].rule, of[1].verdict) == ("a.example.com", "/en/x", "example.com/en/", "block")
+    assert (of[2].rule, of[2].verdict) == ("www.example.com/en/", "allow") and (of[4].rule, of[4].verdict) == (None, "block")
     assert url_filter.judge(pages.limit(0), rules).collect() == []
-    edges = [("a", "b", 2), ("b", "a", 1), ("a", "c", 1), ("c", "c2", 1)]
-    seeds = spark.createDataFrame([("a", 1.0, 0.0), ("c", 0.0, 0.5), ("z", 0.0, 0.5)], "host string, trust double, distrust double")
-    ranks = {r.host: r for r in url_filter.propagate(spark.createDataFrame(edges, "src string, dst string, n bigint"), seeds).collect()}
-    trust = rank_brute(edges, {"a": 1.0}, url_filter.ROUNDS, url_filter.DAMPING)
-    distrust = rank_brute([(b, a, n) for a, b, n in edges], {"c": 0.5, "z": 0.5}, url_filter.ROUNDS, url_filter.DAMPING)
-    for h in {*trust, *distrust}:
-        assert ranks[h].trust == pytest.approx(trust.get(h, 0)) and ranks[h].distrust == pytest.approx(distrust.get(h, 0))
+
+
+def test_url_filter_ties_are_settled_alike(spark):
+    """A host as near to one good as to one bad seed has a share of one half, which blocks, whatever the order of rows."""
+    link = lambda host: f'<a href="https://{host}/">x</a>'
+    rows = [(i, f"https://good{i}.org/", link("mid.org")) for i in range(7)] + [(10 + i, "https://mid.org/", link(f"bad{i}.net")) for i in range(7)] + [(20 + i, f"https://bad{i}.net/", None) for i in range(7)]
+    rules = [*(("allow", f"good{i}.org/") for i in range(7)), *(("block", f"bad{i}.net/") for i in range(7))]
+    shares = set()
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        got = {r.page_id: r for r in url_filter.judge(spark.createDataFrame(order, "page_id bigint, url string, html string").repartition(5), rules).collect()}
+        shares.add(got[10].distrust_share)
+        assert {got[10 + i].verdict for i in range(7)} == {"block"}
+    assert shares == {0.5}
 
 
 def test_url_filter_settles(spark):
@@ -224,9 +411,9 @@ def test_url_filter_settles(spark):
     edges += [(f"c{i}", f"c{i + 1}", 1) for i in range(20)] + [(f"d{i + 1}", f"d{i}", 1) for i in range(20)]
     trust, distrust = {"h0": 0.5, "c0": 0.5}, {"h1": 0.5, "d0": 0.5}
     seeds = spark.createDataFrame([(h, trust.get(h, 0.0), distrust.get(h, 0.0)) for h in {**trust, **distrust}], "host string, trust double, distrust double")
-    got = {r.host: r for r in url_filter.propagate(spark.createDataFrame(edges, "src string, dst string, n bigint"), seeds, rounds=None).collect()}
-    good = rank_brute(edges, trust, 600, url_filter.DAMPING)
-    bad = rank_brute([(b, a, n) for a, b, n in edges], distrust, 600, url_filter.DAMPING)
+    got = {r.host: r for r in url_filter.propagate(spark.createDataFrame(edges, "src string, dst string, n bigint"), seeds).collect()}
+    good = rank_brute(edges, trust)
+    bad = rank_brute([(b, a, n) for a, b, n in edges], distrust)
     assert set(got) == {*good, *bad}
     for h in got:
         assert got[h].trust == pytest.approx(good.get(h, 0), rel=1e-5, abs=0) and got[h].distrust == pytest.approx(bad.get(h, 0), rel=1e-5, abs=0)
