@@ -9,13 +9,14 @@ The end offsets make the index: any document of a shard is found by binary searc
 decompressed alone. A frame holds the ids as little-endian integers, two bytes wide when all of
 the vocabulary fits, else four. Shards are written as rows of a Parquet table by Spark's own
 committer, in range partitions of ascending doc_id, so they can lie in any store and a lost
-executor costs its unfinished part. The dictionary is kept beside them in a table of one row;
-a reader refuses a shard whose dictionary hash differs.
+executor costs its unfinished part; their number follows the size of the input. The dictionary is kept
+beside them in a table of one row, with its hash and the width, so that ``open_token_files`` needs the
+folder alone; a reader refuses a dictionary or a shard whose hash differs.
 
 The dictionary is trained on a bounded sample, ``DICTIONARY_DOCS`` documents of least id hash,
 their first ``DICTIONARY_IDS`` ids; it only affects sizes, never ids.
 
-Defined cases: a null or empty text is the end id alone; rows with equal doc_id stay next to
+Defined cases: a null or empty text is the end id alone; a very long text is one frame; rows with equal doc_id stay next to
 each other, ordered by text hash; null doc_ids come first; an empty table gives no rows; other
 columns are not read.
 """
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
+import uuid
 import zlib
 from itertools import pairwise
 
@@ -34,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ravelin.llm.common import map_arrow, materialize
+from ravelin.llm.common import map_arrow, shared_dir
 from ravelin.llm.tokens import encoder, vocabulary_path
 
 MAGIC = b"RVTK1\0\0\0"
@@ -43,6 +45,8 @@ DICTIONARY_DOCS = 2000
 DICTIONARY_IDS = 2048
 DICTIONARY_BYTES = 64 * 1024
 SHARD_BYTES = 4 * 1024 * 1024
+#: Bytes of input, as the optimizer knows its size, for one range partition; partitions of an input of unknown size, at most.
+PART_BYTES, MOST_PARTS = 32 * 1024 * 1024, 100_000
 LEVEL = 3
 
 
@@ -109,6 +113,11 @@ class TokenFiles:
     def __init__(self, shards: DataFrame, dictionary: bytes, width: int) -> None:
         self.shards, self.dictionary, self.width = shards, dictionary, width
 
+    def document(self, doc_id: int) -> list[np.ndarray]:
+        """Ids of all documents with this id; only shards whose range of ids holds it are opened."""
+        held = self.shards.where((F.col("first_id") <= doc_id) & (F.col("last_id") >= doc_id)).select("part", "shard", "blob").orderBy("part", "shard")
+        return [ids for r in held.toLocalIterator() for ids in ShardReader(bytes(r["blob"]), self.dictionary, self.width).find(doc_id)]
+
     def read(self) -> DataFrame:
         """Documents from the shards: doc_id, start, n_tokens, ids_crc32.
 
@@ -146,33 +155,51 @@ def _encode(path: str, kind: str, end_id: int):
     return lambda text: np.frombuffer(encode(text) + end, "<u4")
 
 
-def write_token_files(documents: DataFrame, tokenizer_path: str | None = None, kind: str = "word", end_id: int = 2) -> TokenFiles:
-    """Encode ``documents`` (doc_id, text) and write their shards; see the module's text."""
+def n_parts(documents: DataFrame) -> int:
+    """Range partitions for the size that the optimizer has for the input; those of the session at least."""
+    size = int(str(documents._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(-(-size // PART_BYTES), MOST_PARTS))
+
+
+def open_token_files(spark: SparkSession, path: str) -> TokenFiles:
+    """The files below ``path``, with the dictionary that was stored there."""
+    r = spark.read.parquet(f"{path}/dictionary").first()
+    if hashlib.sha256(bytes(r["dictionary"])).digest() != bytes(r["hash"]):
+        raise ValueError("the stored dictionary is damaged")
+    return TokenFiles(spark.read.parquet(f"{path}/shards"), bytes(r["dictionary"]), r["width"])
+
+
+def write_token_files(documents: DataFrame, tokenizer_path: str | None = None, kind: str = "word", end_id: int = 2, path: str | None = None) -> TokenFiles:
+    """Encode ``documents`` (doc_id, text) and write their shards below ``path``; see the module's text."""
     from tokenizers import Tokenizer
 
     spark: SparkSession = documents.sparkSession
-    path = tokenizer_path or vocabulary_path("word_bpe_49k.json")
-    width = 2 if max(Tokenizer.from_file(path).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
+    vocabulary = tokenizer_path or vocabulary_path("word_bpe_49k.json")
+    path = path or f"{shared_dir(spark)}/token-files-{uuid.uuid4().hex}"
+    width = 2 if max(Tokenizer.from_file(vocabulary).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
     dtype = f"<u{width}"
+    parts = n_parts(documents)
     docs = documents.select(F.col("doc_id").cast("long"), "text")
 
     def sample(batches):
-        ids_of = _encode(path, kind, end_id)
+        ids_of = _encode(vocabulary, kind, end_id)
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([ids_of(t.as_py())[:DICTIONARY_IDS].astype(dtype).tobytes() for t in batch["text"]], pa.binary())], names=["ids"])
 
     chosen = docs.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(DICTIONARY_DOCS)
     raw = train_dictionary([bytes(r["ids"]) for r in map_arrow(chosen.select("text"), sample, "ids binary").collect()])
     digest = hashlib.sha256(raw).digest()
-    schema = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("n_docs", pa.int32()), ("n_tokens", pa.int64()), ("blob", pa.binary())])
+    schema = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("n_docs", pa.int32()), ("n_tokens", pa.int64()), ("first_id", pa.int64()), ("last_id", pa.int64()), ("blob", pa.binary())])
 
     def shards(batches):
-        ids_of, part, shard, held, size = _encode(path, kind, end_id), TaskContext.get().partitionId(), 0, [], 0
+        ids_of, part, shard, held, size = _encode(vocabulary, kind, end_id), TaskContext.get().partitionId(), 0, [], 0
         found = _dictionary(raw)
         squeeze = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False, **({"dict_data": found} if found else {}))
 
         def flush():
-            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((part, shard, len(held), sum(n for _, n, _ in held), build_shard(held, digest)), schema, strict=True)], schema=schema)
+            named = [i for i, *_ in held if i is not None] or [None]
+            values = (part, shard, len(held), sum(n for _, n, _ in held), named[0], named[-1], build_shard(held, digest))
+            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema, strict=True)], schema=schema)
 
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
@@ -185,10 +212,8 @@ def write_token_files(documents: DataFrame, tokenizer_path: str | None = None, k
         if held:
             yield flush()
 
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     ordered = docs.repartitionByRange(parts, *key).sortWithinPartitions(*key)
-    written = materialize(map_arrow(ordered, shards, "part int, shard int, n_docs int, n_tokens long, blob binary"), "shards")
-    described = spark.createDataFrame([(bytearray(digest), bytearray(raw), width)], "hash binary, dictionary binary, width int")
-    materialize(described, "shards-dictionary")
-    return TokenFiles(written, raw, width)
+    map_arrow(ordered, shards, "part int, shard int, n_docs int, n_tokens long, first_id long, last_id long, blob binary").write.parquet(f"{path}/shards")
+    spark.createDataFrame([(bytearray(digest), bytearray(raw), width)], "hash binary, dictionary binary, width int").coalesce(1).write.parquet(f"{path}/dictionary")
+    return open_token_files(spark, path)
