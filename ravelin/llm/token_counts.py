@@ -8,11 +8,16 @@ sections' intervals. A token that crosses a boundary is allocated by ``rule``:
 * ``larger`` - wholly to the section that holds most of its characters, ties to the earlier.
 
 Without ``sections`` the sections of a text are its lines, each with its line feed, so they
-cover the text. Given sections are ``(doc_id, section, begin, end)`` rows, disjoint within a
-document; tokens outside all of them go to section -1.
-
-Defined cases: a null or empty text has one section 0 without tokens; an empty table gives no
-rows; equal rows are counted each; a null doc_id stays null; other columns are not read.
+cover the text. Given sections are ``(doc_id, section, begin, end)`` rows; tokens outside all of them
+go to section -1. Sections are taken in the order of (begin, end, section): one that overlaps those before
+it begins where the furthest of them ends, and may be left empty, so each character has one owner. Rows with
+a null in doc_id, begin or end, and those that end before they begin, are no sections; a null section name is
+a name. The sections of a document are held in one row, as its text is.
+
+Defined cases: a null or empty text has one section 0 without tokens; a very long text is encoded whole; an
+empty table gives no rows; equal rows are counted each, also those that share an id and so its sections; a null
+doc_id stays null and has no given sections; of equally large parts the earlier gets the token; other columns
+are not read.
 """
 
 from __future__ import annotations
@@ -69,7 +74,8 @@ def section_token_counts(documents: DataFrame, sections: DataFrame | None = None
     docs = documents.select(F.col("doc_id").cast("long"), "text")
     if sections is not None:
         spans = F.sort_array(F.collect_list(F.struct(*(F.col(c).cast("long").alias(c) for c in ("begin", "end", "section")))))
-        docs = docs.join(sections.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(spans.alias("spans")), "doc_id", "left")
+        given = sections.where(F.col("doc_id").isNotNull() & (F.col("begin") <= F.col("end")) & (F.col("end") >= 0))
+        docs = docs.join(given.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(spans.alias("spans")), "doc_id", "left")
 
     by_line = sections is None
 
@@ -85,8 +91,10 @@ def section_token_counts(documents: DataFrame, sections: DataFrame | None = None
                     begins, stops = bounds[:-1], bounds[1:]
                     names = list(range(len(begins)))
                 else:
-                    begins, stops, names = (np.array([s[k] for s in spans or []], np.int64) for k in ("begin", "end", "section"))
-                    names = names.tolist()
+                    begins, stops = (np.array([s[k] for s in spans or []], np.int64) for k in ("begin", "end"))
+                    names = [s["section"] for s in spans or []]
+                    furthest = np.maximum.accumulate(np.append(0, stops))[:-1]
+                    begins, stops = np.maximum(begins, furthest), np.maximum(stops, furthest)
                 starts, ends = token_spans(text)
                 if len(begins):
                     owner, crossing = allocate(starts, ends, begins, stops, rule)

@@ -1,3 +1,6 @@
+import os
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -6,7 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from ravelin.llm import packing, token_counts, token_files
+from ravelin.llm import common, packing, token_counts, token_files
 from ravelin.llm.tokens import encoder, vocabulary_path
 
 BYTE, WORD = vocabulary_path("byte_bpe_50k.json"), vocabulary_path("word_bpe_49k.json")
@@ -118,6 +121,42 @@ def test_allocation_rules_and_given_sections(spark):
     assert {(r.doc_id, r.section): r.n_tokens for r in rows} == {(1, -1): len(expected_ids(BYTE, DOCS[0][1], 0)) - 2, (1, 5): 1}
 
 
+def sections_brute(text, sections, rule):
+    """One owner per character, in the order of (begin, end, section); then tokens by their characters."""
+    owner = [-1] * len(text)
+    given = sorted((b, e, s is not None, s) for s, b, e in sections if b is not None and e is not None and 0 <= max(b, 0) <= e)
+    for b, e, _, s in given:
+        for i in range(max(0, b), min(e, len(text))):
+            owner[i] = s if owner[i] == -1 else owner[i]
+    counts = Counter()
+    for a, b in encoder(BYTE, "byte").tokenizer.encode(text, add_special_tokens=False).offsets:
+        held = owner[a : max(b, a + 1)]
+        if rule == "larger":
+            most = max(Counter(held).values())
+            counts[next(x for x in held if held.count(x) == most)] += 1
+        else:
+            counts[held[0 if rule == "first" else -1]] += 1
+    return counts
+
+
+@pytest.mark.parametrize("rule", ["first", "last", "larger"])
+def test_odd_sections_against_brute_force(spark, rule):
+    text = "The quick brown fox jumps over the lazy dog; überall – and runs home."
+    odd = [(1, 0, 9), (2, 5, 20), (3, 5, 8), (4, None, 30), (5, 30, None), (6, 50, 40), (7, 40, 500), (8, 20, 20), (9, -5, -1)]
+    sections = spark.createDataFrame([(1, *s, "x") for s in odd] + [(None, 1, 0, 50, "x")], "doc_id bigint, section int, begin bigint, end bigint, text string")
+    docs = [(1, text, None), (None, text, None), (2, text, None), (1, "short", None)]
+    rows = token_counts.section_token_counts(documents(spark, docs), sections, rule=rule).collect()
+    got = {(r.doc_id, r.section): r.n_tokens for r in rows if r.n_tokens and not (r.doc_id == 1 and r.section == 1 and r.end < 9)}
+    whole = sum(sections_brute(text, [], rule).values())
+    ours, short = sections_brute(text, odd, rule), sections_brute("short", odd, rule)
+    total = Counter({s: n for s, n in ours.items()}) + Counter(short)
+    summed = Counter()
+    for r in rows:
+        if r.doc_id == 1:
+            summed[r.section] += r.n_tokens
+    assert +summed == total and got[None, -1] == got[2, -1] == whole
+
+
 def test_token_files_round_trip_and_access(spark):
     files = token_files.write_token_files(documents(spark))
     rows = sorted(files.read().collect(), key=lambda r: r.start)
@@ -137,3 +176,64 @@ def test_token_files_round_trip_and_access(spark):
     assert [f.tolist() for f in found] == [expected_ids(WORD, DOCS[0][1], 2)]
     with pytest.raises(ValueError):
         token_files.ShardReader(bytes(s.blob), b"other", 2)
+
+
+def test_token_files_are_opened_again(spark, tmp_path):
+    path = f"file://{tmp_path}/files"
+    written = token_files.write_token_files(documents(spark), path=path)
+    opened = token_files.open_token_files(spark, path)
+    assert sorted(map(str, opened.read().collect())) == sorted(map(str, written.read().collect()))
+    assert [x.tolist() for x in opened.document(1)] == [expected_ids(WORD, DOCS[0][1], 2)] and opened.document(10**9) == []
+    other = spark.createDataFrame([(bytearray(b"0" * 32), bytearray(b"abc"), 2)], "hash binary, dictionary binary, width int")
+    other.write.mode("overwrite").parquet(f"{path}/dictionary")
+    with pytest.raises(ValueError):
+        token_files.open_token_files(spark, path)
+
+
+def test_parts_follow_the_size_of_the_input(spark, monkeypatch):
+    df = spark.range(100_000).selectExpr("id as doc_id", "repeat('word ', 20) as text")
+    few = token_files.n_parts(df)
+    monkeypatch.setattr(token_files, "PART_BYTES", 10_000)
+    assert few == int(spark.conf.get("spark.sql.shuffle.partitions")) < token_files.n_parts(df) <= token_files.MOST_PARTS
+
+
+def test_operators_run_in_a_session_started_elsewhere(tmp_path):
+    """A plain session in another folder, without this package on its path: the package comes with the function, no setting changes."""
+    code = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from pyspark.sql import SparkSession
+from ravelin.llm import common, packing
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+before = dict(spark.sparkContext.environment), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"), spark.conf.get("spark.checkpoint.dir", None)
+rows = packing.pack(spark.createDataFrame([(1, "some text"), (2, None)], "doc_id long, text string")).collect()
+assert sorted(r.doc_id for r in rows) == [1, 2], rows
+assert before == (dict(spark.sparkContext.environment), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"), spark.conf.get("spark.checkpoint.dir", None))
+common.release(spark)
+import os
+assert not [p for p in os.listdir(common.shared_dir(spark)[len("file://"):])]
+print("fine")
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    plain = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    said = subprocess.run([sys.executable, "-c", code, root], cwd=tmp_path, env=plain, capture_output=True, text=True, timeout=300)
+    assert said.returncode == 0 and "fine" in said.stdout, said.stderr[-2000:]
+
+
+def test_a_cluster_must_name_its_shared_folder(spark, monkeypatch):
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    with pytest.raises(ValueError):
+        common.shared_dir(spark)
+
+
+def test_scratch_deletes_what_was_written_inside(spark):
+    kept = common.materialize(spark.range(3), "kept")
+    with common.scratch(spark) as keep:
+        inner = common.materialize(spark.range(3), "inner")
+        result = keep(common.materialize(spark.range(4), "result"))
+        assert inner.count() == 3
+    assert kept.count() == 3 and result.count() == 4
+    common.discard(result)
+    with pytest.raises(Exception):
+        spark.read.parquet(inner._ravelin_path).count()
+    common.discard(kept)
