@@ -86,13 +86,18 @@ def release(spark: SparkSession, keep: set[str] | None = None) -> None:
 
 
 @contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
-    """Tables written inside go at the end, also after an error; what is to stay is written after it or kept by the caller."""
-    before = set(_written.get(spark.sparkContext.applicationId, {}))
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables written inside go at the end, also after an error, but for those given to the function that it yields."""
+    stay = set(_written.get(spark.sparkContext.applicationId, {}))
+
+    def keep(df: DataFrame) -> DataFrame:
+        stay.add(df._ravelin_path)
+        return df
+
     try:
-        yield
+        yield keep
     finally:
-        release(spark, before)
+        release(spark, stay)
 
 
 _worker_caches: dict[str, dict] = {}
