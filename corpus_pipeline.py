@@ -1,7 +1,16 @@
 """The corpus pipeline: documents to packed training sequences.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before it kept; ``run``
-writes each result to the shared folder and reads it back for the next.
+writes each result to the shared folder and reads it back for the next. What a stage wrote for itself goes
+when its result is written.
+
+All stages but the last return the columns of ``docs`` as they are, whatever further columns these have and
+whatever they are called. Cases, in this order: toxicity keeps null and empty texts (nothing in them is
+toxic), and judges rows one by one, also those that share an id; language ID drops texts without a letter,
+and all texts if no document is labelled with a language; near-dedup keeps one row of each group, the one of
+least id, one of rows that are alike in id and set of words, and all rows without an id; decontamination keeps all
+documents if there is no benchmark; packing cuts texts of more than one sequence. Very long texts are taken
+whole throughout. An empty table of documents gives an empty result.
 """
 
 from __future__ import annotations
@@ -9,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ravelin.llm import decontamination, language_id, near_dedup, packing, toxicity
-from ravelin.llm.common import discard, materialize, table
+from ravelin.llm.common import discard, materialize, scratch, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +61,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        ahead = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        with scratch(spark) as keep:
+            ahead = keep(materialize(stage(spark, docs, sf_dir), f"stage-{name}"))
         discard(docs)
         docs = ahead
     return docs
