@@ -1,4 +1,4 @@
-"""The transcript engine: OCR text to blocks, blocks corrected, documents exported.
+"""The transcript engine: OCR text to pages, blocks corrected, documents exported.
 
 Each stage maps DataFrames to DataFrames keyed (document, page_num, block_idx), so any of them can be
 run alone from stored results, as ``python -m ravelin.engine`` does.
@@ -7,120 +7,169 @@ run alone from stored results, as ``python -m ravelin.engine`` does.
 from __future__ import annotations
 
 import argparse
+import os
 from collections.abc import Iterable
-from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ravelin.functions import lines, similarity, texts
-from ravelin.functions.speakers import SPEAKER_FIXES, SPEAKERS
-from ravelin.functions.timecodes import carried, is_blank
+from ravelin import config, ocr
+from ravelin.config import Settings
+from ravelin.functions import repairs
 from ravelin.operators import blocks as ops
-from ravelin.operators import corrections, folds, pages, stitches
-from ravelin.sources import files
+from ravelin.operators import building, export, folds, metrics, postprocess, spelling, stitches
+from ravelin.operators.building import exploded, page_rows
+from ravelin.shipping import ship
+from ravelin.sources import files, pdf
 
+__all__ = ["Settings", "TranscriptEngine", "exploded", "main"]
 KEY = ["document", "page_num", "block_idx"]
-
-
-#: The passes that are read, best-named first.
-PASSES = ("raw", "raw_fallback", "faint_fallback")
-
-
-@dataclass
-class Settings:
-    """What differs between missions; the defaults are the shipped ones."""
-
-    valid_speakers: list[str] = field(default_factory=lambda: list(SPEAKERS))
-    speaker_ocr_fixes: dict[str, str] = field(default_factory=lambda: dict(SPEAKER_FIXES))
-    mission_keywords: list[str] = field(default_factory=list)
-    text_replacements: dict[str, str] = field(default_factory=dict)
-    manual_speaker_corrections: dict[str, str] = field(default_factory=dict)
-    post_merge: dict[str, str] = field(default_factory=dict)
-
-    @classmethod
-    def of(cls, values: dict) -> Settings:
-        """From a configuration's values; keys that are no setting are left out."""
-        return cls(**{k: v for k, v in values.items() if k in cls.__dataclass_fields__})
+#: The readings of a page, best-named first, and that of its text column.
+PASSES = building.PASSES
 
 
 class TranscriptEngine:
     def __init__(self, spark: SparkSession, settings: Settings | None = None) -> None:
         self.spark, self.settings = spark, settings or Settings()
+        ship(spark)
 
-    def parse(self, page_texts: DataFrame) -> DataFrame:
-        """Blocks of (document, page_num, text); where there are several passes, the best-named one is read first
-        and each further pass fills it. Readings of text columns are not used; ValueError on a pass of another name or none."""
+    def building(self) -> building.Building:
         s = self.settings
-        if "pass" not in page_texts.columns:
-            return pages.parsed(page_texts, s.valid_speakers, s.mission_keywords)
-        unknown = page_texts.where(F.col("pass").isNull() | ~F.col("pass").isin(*PASSES, "textcol")).select("pass").first()
-        if unknown:
-            raise ValueError(f"unknown pass {unknown[0]!r}")
-        found = None
-        for name in PASSES:
-            read = pages.parsed(page_texts.where(F.col("pass") == name), s.valid_speakers, s.mission_keywords)
-            found = read if found is None else pages.merged_passes(found, read)
-        return found
+        return building.Building(s.valid_speakers, tuple(s.mission_keywords), tuple(s.valid_locations), tuple(s.invalid_location_annotations), s.footer_text_overrides, s.page_offset)
+
+    def corrector(self) -> repairs.TextCorrector | None:
+        """Words are corrected only where there is a lexicon; its file is held by the driver and every worker."""
+        s = self.settings
+        if not s.lexicon or not os.path.exists(s.lexicon):
+            return None
+        top, vocabulary, bigrams = files.lexicon(self.spark, s.lexicon)
+        counts = lambda df, key: {r[key]: r["n"] for r in df.collect()}
+        speller = spelling.lexicon_speller(counts(top, "word"), [r["word"] for r in vocabulary.collect()], counts(bigrams, "bigram"), s.mission_keywords)
+        return repairs.TextCorrector(speller, s.mission_keywords, s.text_replacements) if speller.known else None
+
+    def read(self, page_texts: DataFrame) -> DataFrame:
+        """(document, page_num, header, blocks) of (document, page_num, text), or of several passes of each page.
+
+        The best-named pass is read first and each further one fills it; the text column fills what has no text.
+        ValueError on a pass of another name or none. Passes that the settings turn off are left out.
+        """
+        if "pass" in page_texts.columns:
+            unknown = page_texts.where(F.col("pass").isNull() | ~F.col("pass").isin(*PASSES, building.COLUMN)).select("pass").first()
+            if unknown:
+                raise ValueError(f"unknown pass {unknown[0]!r}")
+            page_texts = page_texts.where(F.col("pass").isin(self.settings.readings))
+        return building.continued_pages(building.built_pages(page_texts, self.building()))
+
+    def parse(self, page_texts: DataFrame) -> DataFrame:
+        """The blocks of ``read``."""
+        return exploded(self.read(page_texts))
 
     def postprocess(self, blocks: DataFrame) -> DataFrame:
-        """Stitched blocks with corrected times, speakers, places and texts, without noise."""
+        """Blocks with corrected structure, times, speakers, places and texts, without noise."""
         s = self.settings
-        held = stitches.stitched(blocks.withColumn("timestamp", carried(F.col("timestamp"))))
-        timed = corrections.corrected_times(held, hint="hint" if "hint" in held.columns else None)
-        spoken = corrections.corrected_speakers(held, s.mission_keywords, s.valid_speakers, s.speaker_ocr_fixes)
-        comm = timed.select(*KEY, "fixed", "correction").join(spoken.select(*KEY, F.col("speaker").alias("named"), F.col("text").alias("said")), KEY)
-        rows = held.join(comm, KEY, "left")
-        manual = F.try_element_at(F.create_map(*(F.lit(x) for kv in s.manual_speaker_corrections.items() for x in kv)), F.col("fixed")) if s.manual_speaker_corrections else F.lit(None).cast("string")
-        text = texts.squeezed(texts.radio_called(texts.repaired(texts.without_footer(F.coalesce("said", "text")))))
-        for pattern, to in s.text_replacements.items():
-            text = F.regexp_replace(text, pattern, to)
-        is_comm = F.col("type") == "comm"
-        out = rows.select(*KEY, "type", F.coalesce("fixed", "timestamp").alias("timestamp"), F.coalesce(manual, "named").alias("speaker"), F.when(is_comm, similarity.near_place(F.col("location"))).alias("location"), text.alias("text"), F.col("correction").alias("timestamp_correction"))
-        noise = texts.is_noise(F.col("text")) | lines.is_not_one(F.col("text")) | similarity.goss_net(F.col("text"))
-        return ops.reclassified(out.where((F.col("type") != "comm") | ~noise).where(F.trim("text") != ""))
+        c = postprocess.Correction(s.valid_speakers, s.speaker_ocr_fixes, s.valid_locations, s.invalid_location_annotations, s.mission_keywords, s.manual_speaker_corrections, self.corrector())
+        return postprocess.postprocessed(blocks, c)
+
+    def headers(self, pages: DataFrame) -> DataFrame:
+        """(document, page_num, header) with each page's number and tape, by dead reckoning along the document."""
+        page = (F.col("page_num") + self.settings.page_offset).cast("int")
+        read = pages.select("document", "page_num", "header", page.alias("page"), F.col("header.tape").alias("ocr_tape"), building.end_of_tape(F.col("blocks")).alias("end_of_tape"))
+        tapes = folds.tapes(read).select("document", "page_num", "tape")
+        told = F.col("header").withField("page", F.col("page")).withField("tape", F.col("tape"))
+        return read.drop("ocr_tape", "end_of_tape").join(tapes, ["document", "page_num"]).select("document", "page_num", told.alias("header"))
+
+    def corrected_pages(self, pages: DataFrame) -> DataFrame:
+        """(document, page_num, header, blocks) of corrected blocks under corrected headers."""
+        done = page_rows(self.postprocess(exploded(pages)), pages.select("document", "page_num", "header"))
+        return page_rows(exploded(done), self.headers(done))
 
     def export(self, blocks: DataFrame) -> DataFrame:
-        """Blocks of whole documents: times strictly increase, annotations don't repeat, equal utterances are one."""
-        fixed = folds.monotonic(blocks, "timestamp").select(*KEY, "fixed")
-        once = blocks.join(fixed, KEY, "left").withColumn("timestamp", F.coalesce("fixed", "timestamp")).drop("fixed")
-        once = ops.without_repeated_annotations(once, texts.comparable(F.col("text")))
-        text = lines.replaced(lines.without_tape_end(F.col("text")), self.settings.post_merge)
-        return ops.merged_runs(once.withColumn("text", text), "timestamp", located=True).where(~is_blank(F.trim("text")))
+        """Blocks of whole documents: speakers told by who spoke before, times strictly increase, annotations don't repeat, equal utterances are one."""
+        s = self.settings
+        return export.exported(blocks, s.post_merge, s.valid_speakers, s.mission_keywords)
 
     def page_json(self, blocks: DataFrame) -> DataFrame:
         """(document, page_num, header, blocks), as the page writer takes them."""
-        names = ("type", "timestamp", "speaker", "location", "text")
-        kept = F.struct("block_idx", F.struct(*(F.when(~is_blank(F.col(c)), F.col(c)).alias(c) for c in names)).alias("b"))
-        held = F.transform(F.sort_array(F.collect_list(kept)), lambda x: x["b"])
-        return blocks.groupBy("document", "page_num").agg(F.struct(F.first("page_num").cast("int").alias("page")).alias("header"), held.alias("blocks"))
+        return page_rows(blocks)
 
     def run(self, page_texts: DataFrame) -> DataFrame:
         return self.export(self.postprocess(self.parse(page_texts)))
 
+    def write_merged(self, pages: DataFrame, target: str) -> None:
+        """Merged JSON, text and Markdown of each document, and its pages, below ``target``."""
+        source = [F.col("source")] if "source" in pages.columns else []
+        headers = pages.select("document", "page_num", "header", *source)
+        blocks = self.export(exploded(pages))
+        files.write_pages(page_rows(blocks, headers.select("document", "page_num", "header")), target)
+        files.write_texts(export.merged_json(blocks, headers), f"{target}_merged/json", "merged", ["document"])
+        files.write_texts(ops.rendered_text(blocks, "timestamp", headers), f"{target}_merged/text", "rendered", ["document"])
+        files.write_texts(stitches.rendered_markdown(blocks, "timestamp", headers), f"{target}_merged/markdown", "markdown", ["document"])
+
+    def write_index(self, pages: DataFrame, target: str) -> None:
+        """The timestamp index of each document."""
+        files.write_index(ops.page_time_lists(exploded(pages), "timestamp"), f"{target}_index")
+
+    def process(self, images: DataFrame, backend: ocr.OcrBackend, prompts: dict[str, str] | None = None) -> DataFrame:
+        """(document, page_num, pass, text, error) of page images, one row per page and reading."""
+        s, told = self.settings, prompts or config.PROMPTS
+        asked = {"raw": told[s.ocr_prompt], "raw_fallback": told["column" if s.ocr_prompt == "plain" else "plain"], "faint_fallback": told[s.ocr_prompt], "textcol": told["text_column"]}
+        return ocr.read_images(images, backend, {k: v for k, v in asked.items() if k in s.readings})
+
 
-def exploded(page_rows: DataFrame) -> DataFrame:
-    """Blocks of page JSON rows."""
-    at = page_rows.select("document", F.col("page_num").cast("long"), F.posexplode("blocks").alias("block_idx", "b"))
-    return at.select("document", "page_num", F.col("block_idx").cast("long"), *(F.col(f"b.{c}") for c in ("type", "timestamp", "speaker", "location", "text")))
+def selected(pages: DataFrame, spec: str | None) -> DataFrame:
+    """The pages of a range such as ``1-50,60``; all without one."""
+    if not spec:
+        return pages
+    last = pages.agg(F.max("page_num")).first()[0] or 0
+    wanted = pages.sparkSession.createDataFrame([(spec, int(last))], "spec string, max_pages bigint")
+    return pages.join(F.broadcast(ops.page_ranges(wanted).select((F.col("page") + 1).alias("page_num"))), "page_num", "left_semi").select(*pages.columns)
 
 
 def main(arguments: Iterable[str] | None = None, spark: SparkSession | None = None) -> None:
     a = argparse.ArgumentParser(prog="ravelin.engine")
-    a.add_argument("command", choices=["parse", "postprocess", "export"])
-    a.add_argument("source", help="folder of OCR texts (parse) or of page JSON written by the stage before")
-    a.add_argument("target")
-    a.add_argument("--settings", help="TOML file")
+    a.add_argument("command", choices=["process", "parse", "postprocess", "export", "info"])
+    a.add_argument("source", help="a PDF (process, info), a folder of OCR texts (parse), or of page JSON written by the stage before")
+    a.add_argument("target", nargs="?")
+    a.add_argument("--settings", help="TOML file of defaults")
+    a.add_argument("--missions", help="TOML file of missions")
+    a.add_argument("--document", help="file name that chooses the mission")
+    a.add_argument("--prompts", help="TOML file of prompts")
+    a.add_argument("--pages", help="such as 1-50,60")
+    a.add_argument("--ocr-url")
+    a.add_argument("--no-ocr", action="store_true", help="images only")
     given = a.parse_args(None if arguments is None else list(arguments))
+    if given.command != "info" and not given.target:
+        a.error("target is missing")
     spark = spark or SparkSession.builder.getOrCreate()
-    values = files.configuration(open(given.settings, encoding="utf-8").read()) if given.settings else {}
-    engine = TranscriptEngine(spark, Settings.of(values))
-    if given.command == "parse":
-        blocks = engine.parse(files.ocr_texts(spark, given.source))
+    settings = config.load(given.settings, given.missions, given.document)
+    settings.ocr_url = given.ocr_url or settings.ocr_url
+    engine = TranscriptEngine(spark, settings)
+    if given.command == "info":
+        print("\n".join(f"{k}: {v}" for k, v in pdf.info(given.source).items()))
+    elif given.command == "process":
+        images = pdf.page_images(spark, given.source, ops.pages_of(given.pages, pdf.info(given.source)["page_count"]), settings.dpi)
+        images.write.mode("overwrite").parquet(f"{given.target}_images")
+        stored = spark.read.parquet(f"{given.target}_images")
+        metrics.totals(stored).show()
+        if not given.no_ocr:
+            backend = ocr.HttpOcr(settings.ocr_url or "", settings.ocr_model, settings.ocr_timeout, settings.ocr_max_tokens)
+            engine.process(stored, backend, config.prompts(given.prompts)).write.mode("overwrite").parquet(f"{given.target}_texts")
+            read = spark.read.parquet(f"{given.target}_texts").where("error is null")
+            files.write_texts(read.withColumn("name", F.concat(files.page_id(F.col("document"), F.col("page_num")), F.lit("_ocr_"), F.col("pass"))), f"{given.target}_ocr", "text", ["document", "page_num", "pass"])
+            pages = engine.read(read.select("document", "page_num", "pass", "text"))
+            files.write_pages(pages, f"{given.target}_pages")
+            done = engine.corrected_pages(files.stored_pages(spark, f"{given.target}_pages"))
+            files.write_pages(done, f"{given.target}_corrected")
+            engine.write_merged(files.stored_pages(spark, f"{given.target}_corrected"), given.target)
+    elif given.command == "parse":
+        files.write_pages(engine.read(selected(files.ocr_texts(spark, given.source), given.pages)), given.target)
     else:
-        stored = exploded(spark.read.schema(f"document string, page_num int, {files.PAGE}").json(given.source))
-        blocks = engine.postprocess(stored) if given.command == "postprocess" else engine.export(stored)
-    files.write_pages(engine.page_json(blocks), given.target)
+        pages = selected(files.stored_pages(spark, given.source), given.pages)
+        if given.command == "postprocess":
+            files.write_pages(engine.corrected_pages(pages), given.target)
+            engine.write_index(files.stored_pages(spark, given.target), given.target)
+        else:
+            engine.write_merged(pages, given.target)
 
 
 if __name__ == "__main__":

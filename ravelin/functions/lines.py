@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -94,3 +96,28 @@ def program_mode(c: Column) -> Column:
     raw = F.regexp_replace(F.upper(c), "[^A-Z0-9]", "")
     tail = F.rpad(F.translate(F.substring(raw, 2, 2), MODE_LETTERS, MODE_DIGITS), 2, "0")
     return F.when(raw.startswith("P") & (F.length(raw) >= 2) & tail.rlike(r"^\d\d$"), F.concat(F.lit("P"), tail))
+
+
+#: Lines that are a speaker's name (of up to three words, a place behind it) or a place.
+_WORD = r"[A-Za-z0-9]{1,8}\??(/[A-Za-z0-9]{1,8})?\??"
+NAME_LINE, PLACE_LINE = rf"^{_WORD}(\s+{_WORD}){{0,2}}(\s*\([A-Za-z0-9]+\))?$", r"^\s*\([A-Z0-9\s]+\)\s*$"
+
+
+def is_column_text(c: Column) -> Column:
+    """Whether a line of the text column is said: no name, no place, no label, not blank."""
+    t = F.trim(c)
+    return (t != "") & ~(t.rlike(NAME_LINE) | t.rlike(PLACE_LINE) | t.rlike(HEADER_ONLY))
+
+
+def is_scrap(speaker: Column, text: Column) -> Column:
+    """What a nameless voice says in under three characters, none a letter or digit."""
+    t = F.trim(F.coalesce(text, F.lit("")))
+    return F.coalesce((speaker == "SC") & (F.length(t) < 3) & ~t.rlike(r"[\p{L}\p{Nd}]"), F.lit(False))
+
+
+def replaced_by_patterns(c: Column, table: dict[str, str]) -> Column:
+    """Patterns and replacements, groups written ``\\1``, one after another."""
+    for pattern, to in table.items():
+        java = re.sub(r"\\(\d)|([\\$])", lambda m: f"${m[1]}" if m[1] else f"\\{m[2]}", to)
+        c = F.regexp_replace(c, pattern, java)
+    return c

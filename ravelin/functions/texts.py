@@ -107,3 +107,49 @@ def station_variants(c: Column) -> Column:
     shifts = F.sequence(F.lit(0), F.least(F.lit(2), F.size(tokens) - 1))
     names = F.transform(shifts, lambda i: F.regexp_replace(F.array_join(F.slice(tokens, i + 1, F.size(tokens)), " "), rf"^(({STOP_WORDS})( |$))+", ""))
     return F.when(F.size(tokens) > 0, F.array_distinct(F.filter(names, lambda v: v != ""))).otherwise(F.array().cast("array<string>"))
+
+
+def with_line_feeds(c: Column) -> Column:
+    """Newlines of all kinds as line feeds."""
+    return F.replace(F.replace(c, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+
+
+def ordered_union(*lists: Column) -> Column:
+    """The distinct non-blank members of all lists in their first order; null lists are empty."""
+    every = F.concat(*(F.coalesce(x, F.array().cast("array<string>")) for x in lists))
+    return F.array_distinct(F.filter(every, lambda w: w.isNotNull() & (w != "")))
+
+
+def words_of(c: Column) -> Column:
+    return F.filter(F.split(c, r"\s+"), lambda w: w != "")
+
+
+def stitched(a: Column, b: Column, most: int = 12) -> Column:
+    """``b`` behind ``a``, the longest words that end the one and begin the other only once; the longer where one holds the other."""
+    x, y = words_of(a), words_of(b)
+    sizes = F.sequence(F.lit(most), F.lit(1))
+    fits = F.filter(sizes, lambda k: (k <= F.size(x)) & (k <= F.size(y)) & (F.slice(x, F.size(x) - k + 1, k) == F.slice(y, F.lit(1), k)))
+    k = F.get(fits, F.lit(0))
+    joined = F.when(k.isNotNull(), F.array_join(F.concat(x, F.slice(y, k + 1, F.size(y))), " ")).otherwise(F.trim(F.concat_ws(" ", a, b)))
+    blank = lambda c: F.coalesce(c, F.lit("")) == ""
+    return F.when(blank(a), b).when(blank(b), a).when(F.contains(a, b), a).when(F.contains(b, a), b).otherwise(joined)
+
+
+def without_repeats(c: Column, w: Column, spans: range = range(12, 5, -1), within: int = 20) -> Column:
+    """The second place of the first repeated phrase, of the longest span, goes; texts of under twelve words stay.
+
+    ``w`` are the words of ``c``, as a column that is there already. A place is given by its first word; the
+    phrase may come again up to ``within`` words behind its end.
+    """
+    n = F.size(w)
+
+    def second(span: int) -> Column:
+        """Where a phrase of this span comes again, for the first place that it does; null if none."""
+        same = lambda i, j: (F.get(w, i) == F.get(w, j)) & (F.get(w, i + 1) == F.get(w, j + 1)) & (F.slice(w, j + 1, span) == F.slice(w, i + 1, span))
+        ahead = lambda i: F.filter(F.sequence(i + span, F.least(n - span, i + span + within - 1)), lambda j: same(i, j))
+        again = F.transform(F.sequence(F.lit(0), n - 2 * span), lambda i: F.get(ahead(i), F.lit(0)))
+        return F.when(n >= 2 * span, F.get(F.filter(again, lambda j: j.isNotNull()), F.lit(0)))
+
+    found = F.coalesce(*(F.when(j.isNotNull(), F.struct(j.alias("at"), F.lit(span).alias("span"))) for span in spans for j in [second(span)]))
+    rest = F.transform(F.array(found), lambda f: F.array_join(F.concat(F.slice(w, F.lit(1), f["at"]), F.slice(w, f["at"] + f["span"] + 1, n)), " "))
+    return F.when(n >= 12, F.coalesce(F.get(rest, F.lit(0)), c)).otherwise(c)

@@ -77,3 +77,13 @@ def hour_snapped(now: Column, last: Column) -> Column:
     tries = F.transform(F.array(F.lit(0), F.lit(-1), F.lit(1)), lambda d: F.struct((base + (hour + d) * 3600 - last).alias("ahead"), (hour + d).alias("hour")))
     good = F.filter(tries, lambda x: (x["hour"] >= 0) & (x["hour"] <= 23) & (x["ahead"] > 0) & (x["ahead"] <= 600))
     return F.when(F.floor(now / DAY) == F.floor(last / DAY), last + F.array_min(F.transform(good, lambda x: x["ahead"])))
+
+
+#: Digits and what is read for them in a time within a text.
+EMBEDDED, EMBEDDED_FROM, EMBEDDED_TO = "[0-9OIilCSB]", "OoCcIilSsBb", "00001115588"
+
+
+def embedded(c: Column) -> Column:
+    """The first eight digits or look-alikes of a text as ``DD HH MM SS``; null if there are fewer."""
+    digits = F.translate(F.array_join(F.slice(F.regexp_extract_all(c, F.lit(f"({EMBEDDED})"), F.lit(1)), 1, 8), ""), EMBEDDED_FROM, EMBEDDED_TO)
+    return F.when(F.length(digits) == 8, F.concat_ws(" ", *(F.substring(digits, i, 2) for i in (1, 3, 5, 7))))

@@ -27,12 +27,59 @@ def timed_comm(blocks: DataFrame, timestamp: str = "timestamp_clean") -> DataFra
 
 
 def page_ranges(specs: DataFrame) -> DataFrame:
-    """(spec, page): zero-based distinct pages of ``1-50,60`` within ``max_pages``; bounds are clamped."""
-    part = specs.select("spec", "max_pages", F.explode(F.split("spec", ",")).alias("part"))
-    low = F.trim(F.get(F.split("part", "-"), F.lit(0))).cast("bigint")
-    high = F.coalesce(F.trim(F.get(F.split("part", "-"), F.lit(1))).cast("bigint"), low)
-    ranged = part.withColumns({"low": F.greatest(low, F.lit(1)), "high": F.least(high, F.col("max_pages"))}).where("low <= high")
-    return ranged.select("spec", F.explode(F.sequence(F.col("low") - 1, F.col("high") - 1)).alias("page")).distinct()
+    """(spec, page): zero-based distinct pages of ``1-50,60`` within ``max_pages``; a blank spec has all.
+
+    An error on what is no number and on pages below 1; pages beyond the last are left out.
+    """
+    bare = F.regexp_replace("spec", " ", "")
+    asked = specs.withColumn("part", F.explode(F.filter(F.split(bare, ","), lambda p: p != "")))
+    bounds = F.split("part", "-", 2)
+    number = lambda c: F.when(c.rlike(r"^\d+$"), c.cast("bigint")).otherwise(F.raise_error(F.concat(F.lit("no page: "), F.col("part"))))
+    low, high = number(bounds[0]), number(F.element_at(bounds, -1))
+    checked = asked.withColumns({"low": F.when(low >= 1, low).otherwise(F.raise_error(F.lit("pages begin at 1"))), "high": F.least(high, F.col("max_pages"))})
+    some = checked.where("low <= high").select("spec", F.explode(F.sequence(F.col("low") - 1, F.col("high") - 1)).alias("page"))
+    every = specs.where((bare == "") & (F.col("max_pages") > 0)).select("spec", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("max_pages") - 1)).alias("page"))
+    return some.union(every).distinct()
+
+
+def pages_of(spec: str | None, max_pages: int) -> list[int]:
+    """``page_ranges`` of one spec on the driver, in order."""
+    found: set[int] = set()
+    for part in filter(None, (spec or f"1-{max_pages}").replace(" ", "").split(",")):
+        first, _, last = part.partition("-")
+        if not first.isdigit() or not (last or first).isdigit():
+            raise ValueError(f"no page: {part}")
+        if int(first) < 1:
+            raise ValueError("pages begin at 1")
+        found |= set(range(int(first) - 1, min(int(last or first), max_pages)))
+    return sorted(found)
+
+
+def with_timestamp(blocks: DataFrame, timestamp: str = "timestamp") -> DataFrame:
+    return blocks.where(~is_blank(F.col(timestamp)))
+
+
+def with_speaker(blocks: DataFrame, speaker: str = "speaker") -> DataFrame:
+    return blocks.where(~is_blank(F.col(speaker)))
+
+
+def page_flags(blocks: DataFrame) -> DataFrame:
+    """(document, page_num, end_of_tape, rest_period, last_type): what a page's blocks say of it."""
+    tape = (F.col("type") == "meta") & F.upper("text").contains("END OF TAPE")
+    flag = lambda c: F.coalesce(F.bool_or(c), F.lit(False))
+    return blocks.groupBy("document", "page_num").agg(flag(tape).alias("end_of_tape"), flag(F.upper("text").rlike(r"\bREST\s+PERIOD\b")).alias("rest_period"), F.max_by("type", "block_idx").alias("last_type"))
+
+
+def type_before(blocks: DataFrame) -> DataFrame:
+    """(document, page_num, previous_type): the type of the last block of the page before, of those that have blocks."""
+    last = blocks.groupBy("document", "page_num").agg(F.max_by("type", "block_idx").alias("last_type"))
+    return last.select("document", "page_num", F.lag("last_type").over(Window.partitionBy("document").orderBy("page_num")).alias("previous_type"))
+
+
+def page_time_lists(blocks: DataFrame, timestamp: str = "timestamp_clean") -> DataFrame:
+    """(document, page_num, timestamps): a page's times of comm blocks in order; pages without any have none."""
+    held = F.transform(F.sort_array(F.collect_list(F.when((F.col("type") == "comm") & ~is_blank(F.col(timestamp)), F.struct("block_idx", F.col(timestamp).alias("t"))))), lambda x: x["t"])
+    return blocks.groupBy("document", "page_num").agg(held.alias("timestamps"))
 
 
 def type_counts(blocks: DataFrame) -> DataFrame:
@@ -57,11 +104,12 @@ def last_before(pages: DataFrame, times: DataFrame) -> DataFrame:
 
 
 def stable_run(blocks: DataFrame, timestamp: str = "timestamp_clean", window: int = 6, length: int = 3) -> DataFrame:
-    """Whether the next ``window`` comm blocks begin with ``length`` increasing times, 600 s apart at most."""
+    """Comm blocks, and whether the next ``window`` blocks of any kind begin with ``length`` increasing times of comm blocks, 600 s apart at most."""
     ahead = by_page().rowsBetween(0, window - 1)
-    run = F.slice(F.filter(F.collect_list(canonical_seconds(F.col(timestamp))).over(ahead), lambda x: x.isNotNull()), 1, length)
+    at = F.when(F.col("type") == "comm", canonical_seconds(F.col(timestamp)))
+    run = F.slice(F.collect_list(at).over(ahead), 1, length)
     steps = F.zip_with(F.slice("run", 1, length - 1), F.slice("run", 2, length - 1), lambda a, b: (b > a) & (b - a <= 600))
-    return of_type(blocks, "comm").withColumn("run", run).withColumn("stable", (F.size("run") == length) & F.forall(steps, lambda x: x)).drop("run")
+    return of_type(blocks.withColumn("run", run), "comm").withColumn("stable", (F.size("run") == length) & F.forall(steps, lambda x: x)).drop("run")
 
 
 def without_repeated_annotations(blocks: DataFrame, norm: Column) -> DataFrame:
@@ -80,24 +128,41 @@ def merged_runs(blocks: DataFrame, timestamp: str, located: bool = False) -> Dat
     return grouped.agg(F.min("block_idx").alias("block_idx"), *place, F.min_by("type", "block_idx").alias("type"), F.min_by(timestamp, "block_idx").alias(timestamp), F.min_by("speaker", "block_idx").alias("speaker"), F.count("*").alias("n_merged"), F.array_join(F.filter(texts, lambda x: x != ""), " ").alias("text")).drop("island")
 
 
-def relaxed_lookup(wanted: DataFrame, blocks: DataFrame) -> DataFrame:
-    """First comm block of the page with the wanted timestamp and speaker, else with the timestamp alone.
+def relaxed_lookup(wanted: DataFrame, blocks: DataFrame, located: bool = False, last: bool = False) -> DataFrame:
+    """First comm block of the page with the wanted timestamp and speaker (and, if ``located``, place), else with the timestamp alone.
 
-    One join on the timestamp; the two strengths are two aggregates over its rows.
+    ``last`` takes the last of the agreeing ones. One join on the timestamp; the two strengths are two aggregates over its rows.
     """
-    found = blocks.where(F.col("type") == "comm").select("document", "page_num", "timestamp_clean", F.col("block_idx").alias("at"), F.col("speaker").alias("by"))
+    found = blocks.where(F.col("type") == "comm").select("document", "page_num", "timestamp_clean", F.col("block_idx").alias("at"), F.col("speaker").alias("by"), F.col("location").alias("near"))
     keys = ["document", "page_num", "timestamp_clean"]
-    strict = F.min(F.when(F.coalesce(F.col("speaker") == "", F.lit(True)) | (F.upper("by") == F.upper("speaker")), F.col("at")))
+    agrees = lambda want, has: F.coalesce(F.trim(want) == "", F.lit(True)) | (F.upper(F.trim(want)) == F.upper(has))
+    same = agrees(F.col("speaker"), F.col("by")) & (agrees(F.col("location"), F.col("near")) if located else F.lit(True))
+    strict = (F.max if last else F.min)(F.when(same, F.col("at")))
     return wanted.join(found, keys, "left").groupBy("document", "page_num", "block_idx", "timestamp_clean").agg(F.coalesce(strict, F.min("at")).alias("found_idx"))
 
 
-def rendered_text(blocks: DataFrame, timestamp: str) -> DataFrame:
-    """One text per document: a line per block under a line per page."""
+def page_label(page: Column, tape: Column, before: str) -> Column:
+    """``PAGE n`` and, where it is known, the tape."""
+    return F.concat(page.cast("string"), F.when(is_blank(tape), "").otherwise(F.concat(F.lit(before), tape)))
+
+
+def with_pages(paged: DataFrame, headers: DataFrame | None) -> DataFrame:
+    """``paged`` (document, page_num, ...) with page, tape and page_type; with ``headers`` all of their pages."""
+    if headers is None:
+        none = F.lit(None).cast("string")
+        return paged.withColumns({"page": F.col("page_num"), "tape": none, "page_type": none})
+    known = headers.select("document", "page_num", F.coalesce("header.page", F.col("page_num")).alias("page"), "header.tape", "header.page_type")
+    return known.join(paged, ["document", "page_num"], "left")
+
+
+def rendered_text(blocks: DataFrame, timestamp: str, headers: DataFrame | None = None) -> DataFrame:
+    """One text per document: a line per block under a line per page; ``headers`` (document, page_num, header) name tapes."""
     lead = F.concat(F.rpad(F.coalesce(F.col(timestamp), F.lit("")), 11, " "), F.lit("  "), F.rpad(F.coalesce("speaker", F.lit("")), 5, " "), F.lit("  "), F.when(is_blank(F.col("location")), "").otherwise(F.concat(F.lit("("), F.col("location"), F.lit(") "))))
-    line = F.when(F.col("type") == "comm", F.rtrim(F.concat(lead, F.trim("text")))).when(F.col("type") == "continuation", F.concat(F.lit(" " * 20), F.trim("text"))).otherwise(F.trim("text"))
+    line = F.when(F.col("type") == "comm", F.rtrim(F.concat(lead, F.trim(F.coalesce("text", F.lit("")))))).when(F.col("type") == "continuation", F.concat(F.lit(" " * 20), F.trim("text"))).otherwise(F.trim("text"))
     lines = F.transform(F.sort_array(F.collect_list(F.struct("block_idx", line.alias("t")))), lambda x: x["t"])
-    paged = blocks.groupBy("document", "page_num").agg(F.concat_ws("\n", F.concat(F.lit("==== PAGE "), F.col("page_num").cast("string"), F.lit(" ====")), F.array_join(lines, "\n")).alias("body"))
-    bodies = F.transform(F.sort_array(F.collect_list(F.struct("page_num", "body"))), lambda x: x["body"])
+    paged = with_pages(blocks.groupBy("document", "page_num").agg(F.array_join(lines, "\n").alias("lines")), headers)
+    label = F.concat(F.lit("==== PAGE "), page_label(F.col("page"), F.col("tape"), " | TAPE "), F.lit(" ===="))
+    bodies = F.transform(F.sort_array(F.collect_list(F.struct("page_num", F.concat_ws("\n", label, "lines").alias("body")))), lambda x: x["body"])
     return paged.groupBy("document").agg(F.count("*").alias("page_count"), F.array_join(bodies, "\n\n").alias("rendered"))
 
 
@@ -106,3 +171,11 @@ def reclassified(blocks: DataFrame) -> DataFrame:
     comm, text = F.col("type") == "comm", F.upper(F.col("text"))
     kind = F.when(comm & text.contains("LUNAR REV"), "meta").when(comm & text.contains("UNIDENTIFIABLE"), "annotation").otherwise(F.col("type"))
     return blocks.withColumn("type", kind).withColumn("speaker", F.when((F.col("type") == "comm") & is_blank(F.trim(F.col("speaker"))), "SC").otherwise(F.col("speaker")))
+
+
+def column_fill(empty: DataFrame, lines: DataFrame, order: str = "line_no") -> DataFrame:
+    """(document, page_num, block_idx, filled): blocks without text and lines of a page, zipped in order; the shorter ends it."""
+    k = lambda order: F.row_number().over(Window.partitionBy("document", "page_num").orderBy(order))
+    left = empty.select("document", "page_num", "block_idx", k("block_idx").alias("k"))
+    right = lines.select("document", "page_num", F.col("text").alias("filled"), k(order).alias("k"))
+    return left.join(right, ["document", "page_num", "k"]).drop("k")

@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from itertools import pairwise
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ravelin.functions.similarity import SpeakerBook
 from ravelin.functions.timecodes import formatted, parsed_seconds
-from ravelin.operators.blocks import by_page
 from ravelin.operators.scans import Machine, Row, ordered_scan, type_of
 
 DAY, HOUR, MINUTE = 86_400, 3600, 60
+#: Rows looked at for a new sequence, and the rising times in them that make one.
+AHEAD, RUN = 6, 3
 #: Seconds back that are late rather than wrong, that are a new sequence, a jump, and a snap's reach.
 LATE, RESET, JUMP, REACH = 300, 3600, 43_200, 600
 #: Speakers who answer the ground.
@@ -38,15 +40,16 @@ def suffixed(now: int, hint: str | None, last: int) -> int | None:
 
 
 class Clock(Machine):
-    """Mission time of the comm blocks of one document, in page order.
+    """Mission time of the comm blocks of one document, in page order; a page's rows are held until it ends.
 
     ``last`` is the cursor; a page begins with the time listed last before it. Each correction says its
     kind, whether the cursor follows, and whether the page counts as begun.
     """
 
     def __init__(self) -> None:
-        self.page = self.last = self.listed = None
+        self.last = self.listed = None
         self.begun = False
+        self.rows: list[Row] = []
 
     def corrected(self, now: int | None, hint: str | None, stable: bool) -> tuple[int | None, str | None]:
         last = self.last
@@ -87,12 +90,37 @@ class Clock(Machine):
         return now // MINUTE == last // MINUTE and now <= last and max(now, last) % MINUTE < 20 and now % MINUTE + 40 <= 59 and 0 < now + 40 - last <= 60
 
     def push(self, row: Row) -> list[Row]:
-        if row["page_num"] != self.page:
-            self.page, self.last, self.begun = row["page_num"], self.listed, False
-        at, kind = self.corrected(row["at"], row["hint"], bool(row["stable"]))
-        if at is not None:
-            self.listed = at
-        return [{"document": row["document"], "page_num": row["page_num"], "block_idx": row["block_idx"], "read": row["at"], "at": at, "correction": kind}]
+        done = self.end() if self.rows and row["page_num"] != self.rows[0]["page_num"] else []
+        self.rows.append(row)
+        return done
+
+    def end(self) -> list[Row]:
+        """The rows of the page that is held, comm blocks with ``fixed`` seconds and ``correction``."""
+        rows, self.rows = self.rows, []
+        self.last, self.begun = self.listed, False
+        times = [r["at"] if r["type"] == "comm" else None for r in rows]
+        for i, row in enumerate(rows):
+            row["fixed"] = row["correction"] = None
+            if row["type"] == "comm":
+                row["fixed"], row["correction"] = self.corrected(row["at"], row["hint"], rises(times[i : i + AHEAD]))
+                self.listed = row["fixed"] if row["fixed"] is not None else self.listed
+        return rows
+
+
+def rises(times: list[int | None]) -> bool:
+    """Whether the first ``RUN`` times there are rise, by ``REACH`` seconds at most."""
+    run = [t for t in times if t is not None][:RUN]
+    return len(run) == RUN and all(0 < b - a <= REACH for a, b in pairwise(run))
+
+
+def timed_blocks(blocks: DataFrame, timestamp: str = "timestamp", hint: str | None = None) -> DataFrame:
+    """All ``blocks`` with ``at`` and ``fixed``, the seconds read and corrected of comm blocks, and ``correction``.
+
+    The next rows of a page that tell a new sequence are counted over blocks of all kinds.
+    """
+    rows = blocks.withColumns({"page_num": F.col("page_num").cast("long"), "block_idx": F.col("block_idx").cast("long"), "at": parsed_seconds(F.col(timestamp)), "hint": F.col(hint) if hint else F.lit(None).cast("string")})
+    output = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return ordered_scan(rows, ["document"], ["page_num", "block_idx"], Clock, f"{output}, fixed long, correction string")
 
 
 def corrected_times(blocks: DataFrame, timestamp: str = "timestamp", hint: str | None = None) -> DataFrame:
@@ -100,14 +128,9 @@ def corrected_times(blocks: DataFrame, timestamp: str = "timestamp", hint: str |
 
     Null, blank and unreadable timestamps are inferred from the time before; without one they stay null.
     """
-    comm = blocks.where(F.col("type") == "comm").withColumn("at", parsed_seconds(F.col(timestamp)))
-    run = F.slice(F.filter(F.collect_list("at").over(by_page().rowsBetween(0, 5)), lambda x: x.isNotNull()), 1, 3)
-    rising = (F.size("run") == 3) & (F.get("run", F.lit(1)) > F.get("run", F.lit(0))) & (F.get("run", F.lit(2)) > F.get("run", F.lit(1)))
-    close = (F.get("run", F.lit(1)) - F.get("run", F.lit(0)) <= REACH) & (F.get("run", F.lit(2)) - F.get("run", F.lit(1)) <= REACH)
-    rows = comm.withColumn("run", run).select("document", F.col("page_num").cast("long"), F.col("block_idx").cast("long"), "at", (F.col(hint) if hint else F.lit(None).cast("string")).alias("hint"), (rising & close).alias("stable"))
-    out = ordered_scan(rows, ["document"], ["page_num", "block_idx"], Clock, f"document {type_of(rows, 'document')}, page_num long, block_idx long, read long, at long, correction string")
+    kept = blocks.select("document", "page_num", "block_idx", "type", timestamp, *([hint] if hint else []))
     text = lambda c: F.when(F.col(c).isNotNull(), formatted(F.col(c)))
-    return out.select("document", "page_num", "block_idx", text("read").alias("timestamp"), text("at").alias("fixed"), "correction")
+    return timed_blocks(kept, timestamp, hint).where(F.col("type") == "comm").select("document", "page_num", "block_idx", text("at").alias("timestamp"), text("fixed").alias("fixed"), "correction")
 
 
 def without_name(text: str, name: str) -> str:
@@ -124,21 +147,26 @@ class Voices(Machine):
     def __init__(self, book: SpeakerBook) -> None:
         self.book, self.before, self.crew = book, None, None
 
-    def turn(self, text: str) -> str | None:
+    def turn(self) -> str | None:
+        """Who is due; an acknowledgement or a question after the crew is due to the ground as well."""
         if self.before == "CC":
             return self.crew
         return "CC" if self.before in CREW else None
 
-    def push(self, row: Row) -> list[Row]:
-        name, text = (row["speaker"] or "").strip(), (row["text"] or "").strip()
+    def told(self, speaker: str | None, text: str | None) -> Row:
+        """The speaker, blank if unknown, and the text without that name in front."""
+        name, text = (speaker or "").strip(), (text or "").strip()
         if not name or self.book.is_garbage(name):
-            found = self.book.in_text(text) or self.turn(text) or ""
+            found = self.book.in_text(text) or self.turn() or ""
         else:
             found = self.book.correct(name)
         if found:
             self.before = found
             self.crew = found if found in CREW else self.crew
-        return [{**{k: row[k] for k in ("document", "page_num", "block_idx")}, "speaker": found, "text": without_name(text, found)}]
+        return {"speaker": found, "text": without_name(text, found)}
+
+    def push(self, row: Row) -> list[Row]:
+        return [{**{k: row[k] for k in ("document", "page_num", "block_idx")}, **self.told(row["speaker"], row["text"])}]
 
 
 def corrected_speakers(blocks: DataFrame, keywords: Iterable[str] = (), valid: list[str] | None = None, fixes: dict[str, str] | None = None) -> DataFrame:

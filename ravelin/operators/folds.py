@@ -1,32 +1,37 @@
-"""Order-dependent corrections as folds over a document's sorted rows, in the JVM.
-
-A fold's unit is one document, whose rows depend on each other; documents are spread over the
-cluster by one shuffle on their key.
-"""
+"""Order-dependent corrections over a document's rows, as ordered scans: state of a few numbers, one pass."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ravelin.functions.timecodes import DAY, canonical_seconds, formatted
+from ravelin.operators.scans import Machine, Row, ordered_scan, type_of
 
 
-def ordered(df: DataFrame, key: str, order: list[str], columns: list[str]) -> DataFrame:
-    """(key, rows): each key's rows as structs sorted by ``order``."""
-    rest = [c for c in columns if c not in order]
-    return df.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*order, *rest))).alias("rows"))
+def repaired(now: int, last: int) -> int:
+    """A time that is not after ``last``: its day, then hour, then minute are raised to it, else one second more."""
+    if now > last:
+        return now
+    day, hour, minute, second = now // DAY, now % DAY // 3600, now % 3600 // 60, now % 60
+    day = max(day, last // DAY)
+    if day == last // DAY:
+        hour = max(hour, last % DAY // 3600)
+        if hour == last % DAY // 3600:
+            minute = max(minute, last % 3600 // 60)
+    tried = day * DAY + hour * 3600 + minute * 60 + second
+    return tried if tried > last else last + 1
 
 
-def _repair(now: Column, last: Column) -> Column:
-    """A time that is not after ``last``: its day, then hour, then minute are raised, else one second more."""
-    part = lambda x: (F.floor(x / DAY), F.floor(F.pmod(x, F.lit(DAY)) / 3600), F.floor(F.pmod(x, F.lit(3600)) / 60), F.pmod(x, F.lit(60)))
-    (d, h, m, s), (ld, lh, lm, _) = part(now), part(last)
-    day = F.greatest(d, ld)
-    hour = F.when(day == ld, F.greatest(h, lh)).otherwise(h)
-    minute = F.when((day == ld) & (hour == lh), F.greatest(m, lm)).otherwise(m)
-    tried = (day * DAY + hour * 3600 + minute * 60 + s).cast("bigint")
-    return F.when(tried <= last, last + 1).otherwise(tried)
+class Rising(Machine):
+    def __init__(self) -> None:
+        self.last: int | None = None
+
+    def push(self, row: Row) -> list[Row]:
+        self.last = row["at"] if self.last is None else repaired(row["at"], self.last)
+        return [{**row, "fixed": self.last}]
 
 
 def monotonic(blocks: DataFrame, timestamp: str = "timestamp_clean") -> DataFrame:
@@ -34,45 +39,60 @@ def monotonic(blocks: DataFrame, timestamp: str = "timestamp_clean") -> DataFram
 
     Blocks without a parseable timestamp are passed by.
     """
-    comm = blocks.where((F.col("type") == "comm")).withColumn("at", canonical_seconds(F.col(timestamp)).cast("bigint")).where("at is not null")
-    rows = ordered(comm, "document", ["page_num", "block_idx"], ["at"])
-    kind = "array<struct<page_num:bigint,block_idx:bigint,at:bigint,fixed:bigint>>"
-    start = F.struct(F.lit(None).cast("bigint").alias("last"), F.array().cast(kind).alias("out"))
+    comm = blocks.where(F.col("type") == "comm").select("document", *(F.col(c).cast("long").alias(c) for c in ("page_num", "block_idx")), canonical_seconds(F.col(timestamp)).cast("bigint").alias("at")).where("at is not null")
+    out = ordered_scan(comm, ["document"], ["page_num", "block_idx"], Rising, f"document {type_of(comm, 'document')}, page_num long, block_idx long, at long, fixed long")
+    return out.select("document", "page_num", "block_idx", formatted(F.col("at")).alias("timestamp"), formatted(F.col("fixed")).alias("fixed"), (F.col("at") != F.col("fixed")).alias("corrected"))
+
 
-    def step(state: Column, row: Column) -> Column:
-        last = state["last"]
-        fixed = F.when(last.isNotNull() & (row["at"] <= last), _repair(row["at"], last)).otherwise(row["at"])
-        done = F.struct(row["page_num"].alias("page_num"), row["block_idx"].alias("block_idx"), row["at"].alias("at"), fixed.alias("fixed"))
-        return F.struct(fixed.alias("last"), F.concat(state["out"], F.array(done)).alias("out"))
+def read_tape(label: str | None) -> tuple[int, int] | None:
+    m = re.fullmatch(r"(\d+)/(\d+)", label or "")
+    return (int(m[1]), int(m[2])) if m else None
 
-    folded = rows.select("document", F.explode(F.aggregate("rows", start, step, lambda s: s["out"])).alias("r"))
-    return folded.select("document", "r.page_num", "r.block_idx", formatted(F.col("r.at")).alias("timestamp"), formatted(F.col("r.fixed")).alias("fixed"), (F.col("r.at") != F.col("r.fixed")).alias("corrected"))
 
+def one_digit_off(a: int, b: int) -> bool:
+    """Whether ``a`` is part of ``b`` as written, or differs from it in one of as many digits."""
+    x, y = str(a), str(b)
+    return x in y or (len(x) == len(y) and sum(p != q for p, q in zip(x, y, strict=True)) == 1)
 
-def tape_step(x: Column, y: Column, after_end: Column, ocr: Column) -> tuple[Column, Column, Column]:
+
+def tape_step(x: int, y: int, after_end: bool, label: str | None) -> tuple[int, int, bool]:
     """The next tape and page in it from what was read and what is expected; whether it was corrected."""
-    ex, ey = F.when(after_end, x + 1).otherwise(x), F.when(after_end, F.lit(1)).otherwise(y + 1)
-    ox = F.regexp_extract(ocr, r"^(\d+)/(\d+)$", 1).try_cast("int")
-    oy = F.regexp_extract(ocr, r"^(\d+)/(\d+)$", 2).try_cast("int")
-    missing, unread = ocr.isNull() | (ocr == ""), ox.isNull() | oy.isNull()
-    exact = (ox == ex) & (oy == ey)
-    fresh = after_end & (oy == 1) & (F.abs(ox - ex) <= 1)
-    near = ~after_end & (oy == ey) & (F.abs(ox - ex) <= 1)
-    first = ~after_end & (oy == 1) & (ey == 1) & (ox == ex + 2) & (F.floor(ox / 10) != F.floor(ex / 10)) & ~F.contains(ex.cast("string"), ox.cast("string"))
-    trusted = F.coalesce(~missing & ~unread & (exact | fresh | near | first), F.lit(False))
-    return F.when(trusted, ox).otherwise(ex), F.when(trusted, oy).otherwise(ey), ~missing & ~trusted
+    ex, ey = (x + 1, 1) if after_end else (x, y + 1)
+    if not label:
+        return ex, ey, False
+    if (read := read_tape(label)) is None:
+        return ex, ey, True
+    ox, oy = read
+    if after_end:
+        trusted = read == (ex, ey) or (oy == 1 and abs(ox - ex) <= 1)
+    elif oy == ey and (abs(ox - ex) <= 1 or one_digit_off(ox, ex)):
+        trusted = abs(ox - ex) <= 1
+    else:
+        trusted = oy == ey == 1 and -1 <= ox - ex <= 2
+    return (ox, oy, False) if trusted else (ex, ey, True)
+
+
+class Tapes(Machine):
+    """Labels from 1/1 on; pages whose number is below one have none."""
+
+    def __init__(self) -> None:
+        self.x, self.y, self.ended, self.started = 1, 1, False, False
+
+    def push(self, row: Row) -> list[Row]:
+        self.started = self.started or row["page"] >= 1
+        done = {"document": row["document"], "page_num": row["page_num"], "ocr_tape": row["ocr_tape"], "tape": None, "corrected": False}
+        if self.started:
+            self.x, self.y, done["corrected"] = tape_step(self.x, self.y, self.ended, row["ocr_tape"])
+            done["tape"] = f"{self.x}/{self.y}"
+        self.ended = bool(row["end_of_tape"])
+        return [done]
 
 
 def tapes(pages: DataFrame) -> DataFrame:
-    """Tape label of each page by dead reckoning from 1/1, checked against what was read."""
-    rows = ordered(pages, "document", ["page_num"], ["ocr_tape", "end_of_tape"])
-    kind = "array<struct<page_num:bigint,ocr_tape:string,tape:string,corrected:boolean>>"
-    start = F.struct(F.lit(1).alias("x"), F.lit(1).alias("y"), F.lit(False).alias("ended"), F.array().cast(kind).alias("out"))
-
-    def step(state: Column, row: Column) -> Column:
-        x, y, corrected = tape_step(state["x"], state["y"], state["ended"], row["ocr_tape"])
-        done = F.struct(row["page_num"].alias("page_num"), row["ocr_tape"].alias("ocr_tape"), F.concat_ws("/", x, y).alias("tape"), corrected.alias("corrected"))
-        return F.struct(x.alias("x"), y.alias("y"), row["end_of_tape"].alias("ended"), F.concat(state["out"], F.array(done)).alias("out"))
-
-    folded = rows.select("document", F.explode(F.aggregate("rows", start, step, lambda s: s["out"])).alias("r"))
-    return folded.select("document", "r.page_num", "r.ocr_tape", "r.tape", "r.corrected")
+    """Tape label of each page by dead reckoning from 1/1, checked against what was read.
+
+    ``page``, where there is such a column, is the number that a page has in its document; labels begin at 1.
+    """
+    page = F.col("page") if "page" in pages.columns else F.col("page_num")
+    rows = pages.select("document", F.col("page_num").cast("long").alias("page_num"), page.cast("long").alias("page"), "ocr_tape", "end_of_tape")
+    return ordered_scan(rows, ["document"], ["page_num"], Tapes, f"document {type_of(rows, 'document')}, page_num long, ocr_tape string, tape string, corrected boolean")

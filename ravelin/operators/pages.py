@@ -371,6 +371,40 @@ def verdict(held: str, other: str) -> str:
     return "better" if not held or score < 0.6 or quality(other) > score + 0.4 else "same"
 
 
+def merged_blocks(held: list[Row], other: list[Row]) -> list[Row]:
+    """The preferred blocks of a page, mended and filled from another reading's."""
+
+    def find(timestamp: str | None, speaker: str = "", location: str = "", last: bool = False) -> int | None:
+        """First (or last) comm block of that time with speaker and place, else the first of that time."""
+        same = [i for i, b in enumerate(held) if timestamp and b["type"] == "comm" and b["timestamp"] == timestamp]
+        agrees = lambda want, has: not want or want.upper().strip() == (has or "").upper()
+        strict = [i for i in same if agrees(speaker, held[i]["speaker"]) and agrees(location, held[i]["location"])]
+        return (strict[-1] if last else strict[0]) if strict else next(iter(same), None)
+
+    held, bare = list(held), {"timestamp": None, "speaker": None, "location": None}
+    norm = lambda t: " ".join(t.lower().split())
+    texts = [b["text"] for b in held if b["text"]]
+    seen = set(map(norm, texts))
+    times = [b["timestamp"] if b["type"] == "comm" else None for b in other]
+    for i, b in enumerate(other):
+        text = b["text"] or ""
+        if times[i] and text and (k := find(times[i], b["speaker"] or "", b["location"] or "")) is not None:
+            said = verdict(held[k]["text"] or "", text)
+            if said in ("quote", "more"):
+                held.insert(k + 1, b if said == "quote" else {**b, **bare, "type": "continuation"})
+                seen.add(norm(text))
+                texts += [text] if said == "quote" else []
+            elif said == "better":
+                held[k] = {**held[k], "text": text, "speaker": held[k]["speaker"] or b["speaker"], "location": held[k]["location"] or b["location"]}
+        elif b["type"] == "continuation" and len(_words(text)) >= 3 and len(text.strip()) >= 20 and norm(text) not in seen:
+            if not any(ratio(norm(text), norm(t)) >= 0.9 for t in texts):
+                before = find(next((t for t in reversed(times[:i]) if t), None), last=True)
+                after = find(next((t for t in times[i + 1 :] if t), None))
+                held.insert(before + 1 if before is not None else after or 0, {**b, **bare})
+                seen.add(norm(text))
+    return held
+
+
 class PassMerge(Machine):
     """Collects both readings of one page, the preferred one first, and writes the merged blocks."""
 
@@ -382,36 +416,8 @@ class PassMerge(Machine):
         (self.other if row["rank"] else self.held).append(row)
         return []
 
-    def find(self, timestamp: str | None, speaker: str = "", location: str = "", last: bool = False) -> int | None:
-        """First (or last) comm block of that time with speaker and place, else the first of that time."""
-        same = [i for i, b in enumerate(self.held) if timestamp and b["type"] == "comm" and b["timestamp"] == timestamp]
-        agrees = lambda want, has: not want or want.upper().strip() == (has or "").upper()
-        strict = [i for i in same if agrees(speaker, self.held[i]["speaker"]) and agrees(location, self.held[i]["location"])]
-        return (strict[-1] if last else strict[0]) if strict else next(iter(same), None)
-
     def end(self) -> list[Row]:
-        norm = lambda t: " ".join(t.lower().split())
-        texts = [b["text"] for b in self.held if b["text"]]
-        seen = set(map(norm, texts))
-        times = [b["timestamp"] if b["type"] == "comm" else None for b in self.other]
-        for i, b in enumerate(self.other):
-            text = b["text"] or ""
-            if times[i] and text and (k := self.find(times[i], b["speaker"] or "", b["location"] or "")) is not None:
-                said = verdict(self.held[k]["text"] or "", text)
-                if said in ("quote", "more"):
-                    self.held.insert(k + 1, b if said == "quote" else {**b, "type": "continuation", "timestamp": None, "speaker": None, "location": None})
-                    seen.add(norm(text))
-                    texts += [text] if said == "quote" else []
-                elif said == "better":
-                    mine = self.held[k]
-                    mine.update(text=text, speaker=mine["speaker"] or b["speaker"], location=mine["location"] or b["location"])
-            elif b["type"] == "continuation" and len(_words(text)) >= 3 and len(text.strip()) >= 20 and norm(text) not in seen:
-                if not any(ratio(norm(text), norm(t)) >= 0.9 for t in texts):
-                    before = self.find(next((t for t in reversed(times[:i]) if t), None), last=True)
-                    after = self.find(next((t for t in times[i + 1 :] if t), None))
-                    self.held.insert(before + 1 if before is not None else after or 0, {**b, "timestamp": None, "speaker": None, "location": None})
-                    seen.add(norm(text))
-        return [{**b, "block_idx": i} for i, b in enumerate(self.held)]
+        return [{**b, "block_idx": i} for i, b in enumerate(merged_blocks(self.held, self.other))]
 
 
 _BLOCK = ["type", "timestamp", "speaker", "location", "text"]

@@ -9,6 +9,7 @@ word meets every block, its best candidates of all blocks are merged, and counts
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterable
 from difflib import SequenceMatcher
 
 import numpy as np
@@ -71,20 +72,39 @@ class Speller:
         context = self.bigrams.get(f"{before.lower()} {candidate}", 0) if before else 0
         return LIKENESS * likeness - LENGTH * abs(len(word) - len(candidate)) + self.frequency.get(candidate, 0) + BIGRAM * context
 
-    def fitting(self, word: str) -> list[str]:
-        """Candidates of a word that may be wrong; short words are not made shorter."""
+    def fitting(self, word: str, short: bool = False, known_short: bool = False) -> list[str]:
+        """Candidates of a word that may be wrong; short words are not made shorter.
+
+        ``short`` lets words of one or two letters be wrong, ``known_short`` also known ones.
+        """
         low = word.lower()
-        if len(word) < 3 or low in self.known or low.isdigit() or low in CONTRACTIONS:
+        known = (low in self.known or low.isdigit()) and not (known_short and len(word) < 3)
+        if known or low in CONTRACTIONS or (len(word) < 3 and not short):
             return []
-        return [c for c in self.candidates(low) if len(low) > 3 or len(c) >= len(low)]
+        return [c for c in self.candidates(low) if (len(low) > 3 or len(c) >= len(low)) and not (known_short and len(low) < 3 and c == low)]
+
+    @staticmethod
+    def cased(word: str, found: str) -> str:
+        return found.title() if word.istitle() else found.upper() if word.isupper() else found
 
     def suggest(self, word: str, before: str | None = None, fit: list[str] | None = None) -> str | None:
         """A known word in the case of ``word``; None where it is right, too short, or like no known word."""
         low, fit = word.lower(), self.fitting(word) if fit is None else fit
         if not fit:
             return None
-        best = max(fit, key=lambda c: self.score(low, c, before))
-        return best.title() if word.istitle() else best.upper() if word.isupper() else best
+        return self.cased(word, max(fit, key=lambda c: self.score(low, c, before)))
+
+
+#: Fixed value: the least count of a mission's words.
+KEYWORD_COUNT = 100
+
+
+def lexicon_speller(top: dict[str, int], vocabulary: Iterable[str], bigrams: dict[str, int], keywords: Iterable[str] = ()) -> Speller:
+    """A speller of a lexicon's three sections; words of the mission's keywords are known, and count at least ``KEYWORD_COUNT``."""
+    words = {w.lower() for k in keywords for w in k.split()}
+    counts = {**top, **{w: max(top.get(w, 0), KEYWORD_COUNT) for w in words}}
+    vocabulary = set(vocabulary)
+    return Speller(counts, bigrams, (vocabulary | set(top) if vocabulary else set()) | words)
 
 
 def word_pairs(texts: DataFrame) -> DataFrame:
@@ -157,3 +177,23 @@ def table_suggestions(pairs: DataFrame, words: DataFrame, bigrams: DataFrame, bl
     score = LIKENESS * F.col("likeness") - LENGTH * F.abs(F.length("low") - F.length("candidate")) + F.col("frequency") + BIGRAM * F.col("context")
     best = each.groupBy("word", "before").agg(F.max("n").alias("n"), F.max(F.struct(score.alias("score"), "ratio", "candidate")).alias("best"))
     return best.select("word", "before", "n", in_case_of(F.col("word"), F.col("best.candidate")).alias("suggestion"))
+
+
+def word_counts(documents: DataFrame) -> DataFrame:
+    """(word, n, n_docs) of all texts; counted per document first, so that neither aggregate needs all of a word's rows."""
+    words = documents.select("doc_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"), F.lit(1))).alias("word"))
+    return words.groupBy("word", "doc_id").agg(F.count("*").alias("k")).groupBy("word").agg(F.sum("k").alias("n"), F.count("*").alias("n_docs"))
+
+
+def bigram_counts(documents: DataFrame) -> DataFrame:
+    """(bigram, n) of all texts."""
+    w = documents.select(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"), F.lit(1)).alias("w")).where(F.size("w") > 1)
+    pairs = F.zip_with(F.slice("w", F.lit(1), F.size("w") - 1), F.slice("w", F.lit(2), F.size("w") - 1), lambda a, b: F.concat_ws(" ", a, b))
+    return w.select(F.explode(pairs).alias("bigram")).groupBy("bigram").agg(F.count("*").alias("n"))
+
+
+def with_keywords(counts: DataFrame, keywords: list[str]) -> DataFrame:
+    """(word, n) of ``counts`` with all words of the keywords, which count at least ``KEYWORD_COUNT``."""
+    words = sorted({w.lower() for k in keywords for w in k.split()})
+    floor = counts.sparkSession.createDataFrame([(w, KEYWORD_COUNT) for w in words], "word string, n bigint")
+    return counts.select("word", "n").union(floor).groupBy("word").agg(F.max("n").alias("n"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _div(x: str, k: int) -> str:
@@ -31,6 +32,16 @@ FROM (SELECT *, {timecode_sql("s")} AS timestamp_clean FROM (
     FROM {{conversations}}) a) b) c
 """
 
+#: ``BLOCKS`` with more annotations between comm blocks: five of seven blocks in a third of the pages.
+KINDS = f"""
+SELECT * REPLACE (CASE WHEN (document + page_num) % 3 = 0 AND block_idx % 7 IN (1, 2, 3, 4, 5) AND type = 'comm' THEN 'annotation' ELSE type END AS type) FROM ({BLOCKS}) k
+"""
+#: ``BLOCKS``, and every third block's text again as an annotation behind it, with other blanks and another end.
+REMARKS = f"""
+SELECT document, page_num, block_idx * 2 AS block_idx, CASE WHEN block_idx % 3 = 0 THEN 'annotation' ELSE type END AS type, text FROM ({BLOCKS}) a
+UNION ALL SELECT document, page_num, block_idx * 2 + 1 AS block_idx, 'annotation' AS type, replace(text, ' ', ' - ') || CASE WHEN block_idx % 2 = 0 THEN ' !' ELSE ' x' END AS text FROM ({BLOCKS}) b WHERE block_idx % 3 = 0
+"""
+
 PAGES = f"""
 SELECT DISTINCT {_div("conv_id", 10)} AS document, conv_id % 10 + 1 AS page_num, conv_id % 7 = 6 AS end_of_tape,
   CASE WHEN conv_id % 5 = 0 THEN NULL WHEN conv_id % 5 = 1 THEN 'x'
@@ -52,6 +63,16 @@ def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _view(spark, sf_dir, BLOCKS, "conversations")
 
 
+def kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = blocks(spark, sf_dir)
+    more = F.expr("(document + page_num) % 3 = 0 AND block_idx % 7 IN (1, 2, 3, 4, 5) AND type = 'comm'")
+    return rows.withColumn("type", F.when(more, "annotation").otherwise(F.col("type")))
+
+
+def remarks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _view(spark, sf_dir, REMARKS, "conversations")
+
+
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _view(spark, sf_dir, PAGES, "conversations")
 

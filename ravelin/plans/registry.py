@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ravelin.functions import speakers, texts, timecodes
 from ravelin.operators import blocks as ops
-from ravelin.operators import folds
+from ravelin.operators import folds, spelling
 from ravelin.plans import fixtures
 from ravelin.sources import files
 
@@ -19,9 +19,11 @@ ORACLES: dict[str, str] = {}
 
 V1 = fixtures.BLOCKS.format(conversations="conversations")
 V2 = fixtures.PAGES.format(conversations="conversations")
+REMARKS = fixtures.REMARKS.format(conversations="conversations")
+KINDS = fixtures.KINDS.format(conversations="conversations")
 V3 = fixtures.STATIONS.format(nation="nation")
 KEY = ["document", "page_num", "block_idx"]
-DOC_LINES = "SELECT doc_id, line_no, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents WHERE text IS NOT NULL) x"
+DOC_LINES = "SELECT doc_id, line_no, line FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS line_no FROM documents) x"
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -39,8 +41,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").where("text is not null")
-    return docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line")).select("doc_id", (F.col("at") + 1).cast("bigint").alias("line_no"), "line")
+    docs = _table(spark, sf_dir, "documents")
+    return docs.select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("at", "line")).select("doc_id", (F.col("at") + 1).cast("bigint").alias("line_no"), "line")
 
 
 @query(
@@ -116,10 +118,11 @@ def asof_last_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.last_before(rows, ops.page_times(rows))
 
 
-@query(f"""WITH c AS (SELECT *, list(s) OVER (PARTITION BY document, page_num ORDER BY block_idx ROWS BETWEEN CURRENT ROW AND 5 FOLLOWING) AS r FROM ({V1}) v WHERE type = 'comm')
-SELECT document, page_num, block_idx, len(r) >= 3 AND r[2] > r[1] AND r[3] > r[2] AND r[2] - r[1] <= 600 AND r[3] - r[2] <= 600 AS stable FROM c""")
+@query(f"""WITH c AS (SELECT *, list_filter(list(CASE WHEN type = 'comm' THEN s END) OVER (PARTITION BY document, page_num ORDER BY block_idx ROWS BETWEEN CURRENT ROW AND 5 FOLLOWING), lambda t: t IS NOT NULL) AS r FROM ({KINDS}) v)
+SELECT document, page_num, block_idx, len(r) >= 3 AND r[2] > r[1] AND r[3] > r[2] AND r[2] - r[1] <= 600 AND r[3] - r[2] <= 600 AS stable FROM c WHERE type = 'comm'""")
 def stable_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.stable_run(fixtures.blocks(spark, sf_dir)).select(*KEY, "stable")
+    """With annotations between comm blocks, which count as rows of the window."""
+    return ops.stable_run(fixtures.kinds(spark, sf_dir)).select(*KEY, "stable")
 
 
 @query(f"""WITH RECURSIVE p AS (SELECT *, row_number() OVER (PARTITION BY document ORDER BY page_num) AS rn,
@@ -128,7 +131,7 @@ f AS (
   SELECT document, CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS page_num, CAST(NULL AS STRING) AS ocr_tape, 1 AS x, 1 AS y, FALSE AS ended, FALSE AS corrected FROM (SELECT DISTINCT document FROM p)
   UNION ALL
   SELECT document, rn, page_num, ocr_tape, CASE WHEN trusted THEN ox ELSE ex END, CASE WHEN trusted THEN oy ELSE ey END, end_of_tape, ocr_tape IS NOT NULL AND NOT trusted FROM (
-    SELECT *, coalesce((ox = ex AND oy = ey) OR (ended AND oy = 1 AND abs(ox - ex) <= 1) OR (NOT ended AND oy = ey AND abs(ox - ex) <= 1), FALSE) AS trusted FROM (
+    SELECT *, coalesce((ox = ex AND oy = ey) OR (ended AND oy = 1 AND abs(ox - ex) <= 1) OR (NOT ended AND oy = ey AND abs(ox - ex) <= 1) OR (NOT ended AND oy = 1 AND ey = 1 AND ox - ex = 2 AND NOT contains(CAST(ex AS STRING), CAST(ox AS STRING)) AND ox // 10 <> ex // 10), FALSE) AS trusted FROM (
       SELECT p.*, f.ended, CASE WHEN f.ended THEN f.x + 1 ELSE f.x END AS ex, CASE WHEN f.ended THEN 1 ELSE f.y + 1 END AS ey
       FROM f JOIN p ON p.document = f.document AND p.rn = f.rn + 1) a) b)
 SELECT document, page_num, ocr_tape, CAST(x AS STRING) || '/' || CAST(y AS STRING) AS tape, corrected FROM f WHERE rn > 0""")
@@ -179,11 +182,12 @@ def location_exact_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.blocks(spark, sf_dir).select(*KEY, "location", speakers.exact_location(F.col("location")).alias("corrected"))
 
 
-@query(f"""WITH a AS (SELECT *, CASE WHEN type = 'annotation' THEN substr(lower(text), 1, 3) END AS n FROM ({V1}) v),
+@query(f"""WITH a AS (SELECT *, CASE WHEN type = 'annotation' THEN trim(regexp_replace(regexp_replace(lower(text), '[^a-z0-9 ]+', ' ', 'g'), '\\s+', ' ', 'g')) END AS n FROM ({REMARKS}) v),
 b AS (SELECT *, lag(n) OVER (PARTITION BY document ORDER BY page_num, block_idx) AS p FROM a)
 SELECT document, page_num, block_idx, type FROM b WHERE n IS NULL OR p IS NULL OR n <> p""")
 def adjacent_annotation_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.without_repeated_annotations(fixtures.blocks(spark, sf_dir), F.substring(F.lower("text"), 1, 3)).select(*KEY, "type")
+    """Whole normalised texts are compared; every third block's text is said again as a remark behind it, with other marks."""
+    return ops.without_repeated_annotations(fixtures.remarks(spark, sf_dir), texts.comparable(F.col("text"))).select(*KEY, "type")
 
 
 _PAIRED = fixtures.timecode_sql("(86400 + page_num * 600 + (block_idx - block_idx % 3) * 37)")
@@ -240,7 +244,7 @@ def noise_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lines(spark, sf_dir).select("doc_id", "line_no", texts.is_noise(F.col("line")).alias("noise"))
 
 
-_FOOTED = "trim(substr(text, 1, 40)) || CASE conv_id % 4 WHEN 0 THEN '. Tape 12/3 Page 45' WHEN 1 THEN ' Page 45 TAPE 1/2' WHEN 2 THEN '  PAGO 7 ' ELSE ' go' END"
+_FOOTED = "trim(coalesce(text, '')) || CASE conv_id % 4 WHEN 0 THEN '. Tape 12/3 Page 45' WHEN 1 THEN ' Page 45 TAPE 1/2' WHEN 2 THEN '  PAGO 7 ' ELSE ' go' END"
 
 
 @query(f"""SELECT conv_id, turn, trim(regexp_replace(regexp_replace(regexp_replace({_FOOTED}, '{texts.FOOTERS[0]}', ''), '{texts.FOOTERS[1]}', ''), '{texts.FOOTERS[2]}', '')) AS stripped FROM conversations""")
@@ -263,24 +267,20 @@ def station_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.stations(spark, sf_dir).select("n_nationkey", F.array_join(texts.station_variants(F.col("station")), "|").alias("variants"))
 
 
-_WORDS = "SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM documents WHERE lang = 'en'"
+_WORDS = "SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM documents"
 
 
 @query(f"SELECT word, count(*) AS n, count(DISTINCT doc_id) AS n_docs FROM ({_WORDS}) w GROUP BY word")
 def word_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counted per document first, so that neither aggregate needs all of a word's rows."""
-    words = _table(spark, sf_dir, "documents").where("lang = 'en'").select("doc_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"), F.lit(1))).alias("word"))
-    return words.groupBy("word", "doc_id").agg(F.count("*").alias("k")).groupBy("word").agg(F.sum("k").alias("n"), F.count("*").alias("n_docs"))
+    return spelling.word_counts(_table(spark, sf_dir, "documents"))
 
 
 @query(
     """SELECT a || ' ' || b AS bigram, count(*) AS n FROM (SELECT unnest(w[1:len(w) - 1]) AS a, unnest(w[2:len(w)]) AS b FROM (
-  SELECT regexp_extract_all(lower(text), '[a-z]+') AS w FROM documents WHERE lang = 'en') x WHERE len(w) > 1) y GROUP BY ALL"""
+  SELECT regexp_extract_all(lower(text), '[a-z]+') AS w FROM documents) x WHERE len(w) > 1) y GROUP BY ALL"""
 )
 def bigram_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = _table(spark, sf_dir, "documents").where("lang = 'en'").select(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"), F.lit(1)).alias("w")).where(F.size("w") > 1)
-    pairs = F.zip_with(F.slice("w", F.lit(1), F.size("w") - 1), F.slice("w", F.lit(2), F.size("w") - 1), lambda a, b: F.concat_ws(" ", a, b))
-    return w.select(F.explode(pairs).alias("bigram")).groupBy("bigram").agg(F.count("*").alias("n"))
+    return spelling.bigram_counts(_table(spark, sf_dir, "documents"))
 
 
 _WANTED = "CASE WHEN block_idx % 2 = 0 THEN 'NOBODY' WHEN block_idx % 3 = 0 THEN '' ELSE speaker END"
@@ -308,8 +308,8 @@ f AS (SELECT *, row_number() OVER (PARTITION BY document, page_num ORDER BY bloc
 SELECT e.document, e.page_num, e.block_idx, f.text AS filled FROM e JOIN f ON e.document = f.document AND e.page_num = f.page_num AND e.k = f.k""")
 def column_fill_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     comm = fixtures.blocks(spark, sf_dir).where("type = 'comm'")
-    empty, lines = (comm.where(F.col("block_idx") % 2 == i).withColumn("k", F.row_number().over(ops.by_page())) for i in (0, 1))
-    return empty.select(*KEY, "k").join(lines.select("document", "page_num", "k", F.col("text").alias("filled")), ["document", "page_num", "k"]).drop("k")
+    empty, lines = (comm.where(F.col("block_idx") % 2 == i) for i in (0, 1))
+    return ops.column_fill(empty, lines, "block_idx")
 
 
 @query(f"""WITH b AS (SELECT document, page_num, block_idx, CASE WHEN type = 'comm' THEN rtrim(rpad(timestamp_clean, 11, ' ') || '  ' || rpad(coalesce(speaker, ''), 5, ' ') || '  ' || CASE WHEN coalesce(location, '') = '' THEN '' ELSE '(' || location || ') ' END || trim(text)) ELSE trim(text) END AS line FROM ({V1}) v),

@@ -8,15 +8,14 @@ from pyspark.sql import functions as F
 from ravelin.functions import lines
 from ravelin.operators import corrections, pages, spelling, stitches
 from ravelin.plans import fixtures
-from ravelin.plans import registry
-from ravelin.plans.registry import V1, query
+from ravelin.plans.registry import KINDS, V1, query
 
 _BLANKED = "CASE WHEN (page_num + block_idx) % 5 = 0 THEN NULL ELSE timestamp_clean END"
 
 
-@query(f"""WITH RECURSIVE v AS (SELECT *, CASE WHEN (page_num + block_idx) % 5 = 0 THEN NULL ELSE s END AS tm FROM ({V1}) x WHERE type = 'comm'),
-w AS (SELECT document, page_num, block_idx, tm, list_filter(list(tm) OVER (PARTITION BY document, page_num ORDER BY block_idx ROWS BETWEEN CURRENT ROW AND 5 FOLLOWING), lambda t: t IS NOT NULL) AS r,
-  row_number() OVER (PARTITION BY document ORDER BY page_num, block_idx) AS rn FROM v),
+@query(f"""WITH RECURSIVE v AS (SELECT *, CASE WHEN type <> 'comm' OR (page_num + block_idx) % 5 = 0 THEN NULL ELSE s END AS tm FROM ({KINDS}) x),
+u AS (SELECT document, page_num, block_idx, type, tm, list_filter(list(tm) OVER (PARTITION BY document, page_num ORDER BY block_idx ROWS BETWEEN CURRENT ROW AND 5 FOLLOWING), lambda t: t IS NOT NULL) AS r FROM v),
+w AS (SELECT document, page_num, block_idx, tm, r, row_number() OVER (PARTITION BY document ORDER BY page_num, block_idx) AS rn FROM u WHERE type = 'comm'),
 c AS (SELECT *, coalesce(len(r) >= 3 AND r[2] > r[1] AND r[3] > r[2] AND r[2] - r[1] <= 600 AND r[3] - r[2] <= 600, FALSE) AS stable FROM w),
 f AS (
   SELECT document, CAST(0 AS BIGINT) AS rn, CAST(-1 AS BIGINT) AS page_num, CAST(0 AS BIGINT) AS block_idx, CAST(NULL AS BIGINT) AS tm, CAST(NULL AS BIGINT) AS fixed, CAST(NULL AS BIGINT) AS cursor, FALSE AS begun, CAST(NULL AS BIGINT) AS listed, CAST(NULL AS STRING) AS correction
@@ -37,22 +36,25 @@ f AS (
           FROM f JOIN c ON c.document = f.document AND c.rn = f.rn + 1) x1) x2) x3) x4)
 SELECT document, page_num, block_idx, CASE WHEN tm IS NOT NULL THEN {fixtures.timecode_sql("tm")} END AS timestamp, CASE WHEN fixed IS NOT NULL THEN {fixtures.timecode_sql("fixed")} END AS fixed, correction FROM f WHERE rn > 0""")
 def timestamp_correction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corrections.corrected_times(fixtures.blocks(spark, sf_dir).withColumn("timestamp", F.expr(_BLANKED)))
+    return corrections.corrected_times(fixtures.kinds(spark, sf_dir).withColumn("timestamp", F.expr(_BLANKED)))
 
 
-@query(f"""WITH RECURSIVE c AS (SELECT document, page_num, block_idx, CASE WHEN speaker = 'C' THEN 'CC' WHEN speaker = 'CDF' THEN 'CDR' ELSE speaker END AS told,
+_NUMBERED = "'04 05 06 07 ' || coalesce(text, '')"
+
+
+@query(f"""WITH RECURSIVE c AS (SELECT document, page_num, block_idx, trim({_NUMBERED}) AS text, CASE WHEN speaker = 'C' THEN 'CC' WHEN speaker = 'CDF' THEN 'CDR' ELSE speaker END AS told,
   row_number() OVER (PARTITION BY document, page_num ORDER BY block_idx) AS rn FROM ({V1}) v WHERE type = 'comm'),
 f AS (
-  SELECT document, page_num, CAST(0 AS BIGINT) AS block_idx, CAST(0 AS BIGINT) AS rn, '' AS speaker, CAST(NULL AS STRING) AS voice, CAST(NULL AS STRING) AS crew FROM (SELECT DISTINCT document, page_num FROM c) d
+  SELECT document, page_num, CAST(0 AS BIGINT) AS block_idx, CAST(0 AS BIGINT) AS rn, '' AS speaker, '' AS text, CAST(NULL AS STRING) AS voice, CAST(NULL AS STRING) AS crew FROM (SELECT DISTINCT document, page_num FROM c) d
   UNION ALL
-  SELECT document, page_num, block_idx, rn, coalesce(found, ''), coalesce(found, voice), CASE WHEN found IN ('CDR', 'CMP', 'LMP') THEN found ELSE crew END FROM (
+  SELECT document, page_num, block_idx, rn, coalesce(found, ''), text, coalesce(found, voice), CASE WHEN found IN ('CDR', 'CMP', 'LMP') THEN found ELSE crew END FROM (
     SELECT c.*, f.voice, f.crew, coalesce(c.told, CASE WHEN f.voice = 'CC' THEN f.crew WHEN f.voice IN ('CDR', 'CMP', 'LMP') THEN 'CC' END) AS found
     FROM f JOIN c ON c.document = f.document AND c.page_num = f.page_num AND c.rn = f.rn + 1) x)
-SELECT document, page_num, block_idx, speaker FROM f WHERE rn > 0""")
+SELECT document, page_num, block_idx, speaker, text FROM f WHERE rn > 0""")
 def speaker_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whose turn it is where no speaker was read; the texts are left out, so none names one."""
-    blank = fixtures.blocks(spark, sf_dir).withColumn("text", F.lit(""))
-    return corrections.corrected_speakers(blank).drop("text")
+    """Whose turn it is where no speaker was read; each text is taken whole, behind four numbers that name nobody."""
+    told = fixtures.blocks(spark, sf_dir).withColumn("text", F.expr(_NUMBERED))
+    return corrections.corrected_speakers(told)
 
 
 _LINE = """CASE (conv_id + turn) % 12 WHEN 0 THEN 'Tape 12/3  Page 45' WHEN 1 THEN 'PAGE ' || CAST(conv_id AS STRING) WHEN 2 THEN 'GOSS NET 1' WHEN 3 THEN 'TIG 12 04 05 06 07' WHEN 4 THEN 'Pnrc 107'
@@ -130,9 +132,7 @@ def render_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def spelling_suggestions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Turns of conversations against all words of the English documents."""
-    english = spark.read.parquet(f"{sf_dir}/documents.parquet").where("lang = 'en'")
-    words = english.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"), F.lit(1))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    bigrams = registry.bigram_frequency(spark, sf_dir)
+    """Turns of conversations against all words of the documents."""
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
-    return spelling.table_suggestions(spelling.word_pairs(turns), words, bigrams)
+    return spelling.table_suggestions(spelling.word_pairs(turns), spelling.word_counts(documents).select("word", "n"), spelling.bigram_counts(documents))

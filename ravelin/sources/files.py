@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 PASSES = ("textcol", "faint_fallback", "raw_fallback", "raw")
-BLOCK = "struct<type:string,timestamp:string,speaker:string,location:string,text:string,meta_type:string,timestamp_correction:string,continuation_from_prev:boolean>"
+BLOCK = "struct<type:string,timestamp:string,speaker:string,location:string,text:string,meta_type:string,timestamp_correction:string,hint:string,continuation_from_prev:boolean>"
 PAGE = f"header struct<page:int,tape:string,is_apollo_title:boolean,page_type:string,footer:boolean>, blocks array<{BLOCK}>"
+STORED = f"document string, page_num long, {PAGE}, source string"
 
 
 def _file() -> Column:
@@ -28,14 +29,43 @@ def ocr_texts(spark: SparkSession, root: str) -> DataFrame:
 
 
 def page_files(spark: SparkSession, root: str) -> DataFrame:
-    """(page_num, file, header, blocks) of page JSON below ``Page_*`` folders.
+    """(document, page_num, file, header, blocks) of page JSON below ``Page_*`` folders, in order of (page_num, file).
 
-    Broken files are left out, as are pages up to 0; a folder gives its first file.
+    Broken files are left out, as are pages up to 0; a folder gives its first file. The document is what the file's
+    name has before ``_page_``.
     """
     read = spark.read.schema(PAGE).option("multiLine", True).option("mode", "DROPMALFORMED").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").json(root)
     rows = read.select("*", _file().alias("file")).withColumn("folder", F.regexp_extract("file", r"(.*/Page_\d+)/", 1)).where("folder <> ''")
     first = rows.withColumn("k", F.row_number().over(Window.partitionBy("folder").orderBy("file"))).where("k = 1")
-    return first.select(F.coalesce("header.page", F.regexp_extract("folder", r"(\d+)$", 1).try_cast("int")).alias("page_num"), "file", "header", "blocks").where("page_num > 0")
+    number = F.coalesce(F.col("header.page"), F.regexp_extract("folder", r"(\d+)$", 1).try_cast("int"))
+    return first.select(F.regexp_extract("file", r"([^/]+)_page_\d+[^/]*$", 1).alias("document"), number.cast("long").alias("page_num"), "file", "header", "blocks").where("page_num > 0").orderBy("page_num", "file")
+
+
+def stored_pages(spark: SparkSession, path: str) -> DataFrame:
+    """(document, page_num, header, blocks, source) as ``write_pages`` wrote them."""
+    return spark.read.schema(STORED).json(path).withColumn("source", F.coalesce("source", _file()))
+
+
+def page_folder(page_num: Column) -> Column:
+    """``Page_NNN`` of a page counted from 1."""
+    return F.concat(F.lit("Page_"), F.when(page_num < 1000, F.lpad(page_num.cast("string"), 3, "0")).otherwise(page_num.cast("string")))
+
+
+def page_id(document: Column, page_num: Column) -> Column:
+    """``<document>_page_NNNN`` of a page counted from 1."""
+    return F.concat(document.cast("string"), F.lit("_page_"), F.when(page_num < 10000, F.lpad(page_num.cast("string"), 4, "0")).otherwise(page_num.cast("string")))
+
+
+def page_paths(pages: DataFrame) -> DataFrame:
+    """``pages`` (document, page_num) with the folders and files that belong to each page."""
+    folder = F.concat_ws("/", F.col("document").cast("string"), F.lit("pages"), page_folder(F.col("page_num")))
+    name = page_id(F.col("document"), F.col("page_num"))
+    return pages.withColumns({"page_dir": folder, "page_id": name, "page_json": F.concat(folder, F.lit("/"), name, F.lit(".json")), "raw_pdf": F.concat(folder, F.lit("/assets/"), name, F.lit("_raw.pdf")), "image": F.concat(folder, F.lit("/assets/"), name, F.lit("_enhanced.png"))})
+
+
+def numbered_folders(paths: DataFrame) -> DataFrame:
+    """``paths`` (path) with the number at the end, 0 without one, in its order."""
+    return paths.withColumn("n", F.coalesce(F.regexp_extract("path", r"(\d+)/?$", 1).try_cast("bigint"), F.lit(0).cast("bigint"))).orderBy("n", "path")
 
 
 def timestamp_index(spark: SparkSession, path: str) -> DataFrame:
@@ -55,7 +85,7 @@ def configuration(default: str, mission: str | None = None, file_name: str | Non
     """Settings from TOML texts: the mission of that file name (case does not matter) over the defaults."""
     settings = tomllib.loads(default)
     for values in tomllib.loads(mission or "").get("mission", {}).values():
-        if file_name and str(values.get("file_name", "")).lower() == file_name.lower():
+        if file_name and str(values.get("file_name", "")).strip().lower() == file_name.lower():
             settings |= values
     return settings
 
@@ -65,6 +95,22 @@ def write_pages(pages: DataFrame, path: str) -> None:
     pages.write.mode("overwrite").option("ignoreNullFields", True).partitionBy("document").json(path)
 
 
+def write_texts(rows: DataFrame, path: str, text: str, by: list[str]) -> None:
+    """One text per row, with a newline at its end, in folders by the columns ``by``."""
+    rows.select(*by, F.concat(F.regexp_replace(text, r"\s+$", ""), F.lit("\n")).alias("value")).write.mode("overwrite").partitionBy(*by).option("lineSep", "\n").text(path)
+
+
+def index_of(lists: DataFrame) -> DataFrame:
+    """(document, index): the JSON map of pages to their times, of (document, page_num, timestamps)."""
+    entries = F.sort_array(F.collect_list(F.struct("page_num", "timestamps")))
+    named = F.map_from_entries(F.transform(entries, lambda e: F.struct(e["page_num"].cast("string"), e["timestamps"])))
+    return lists.groupBy("document").agg(F.to_json(named).alias("index"))
+
+
+def write_index(lists: DataFrame, path: str) -> None:
+    index_of(lists).write.mode("overwrite").partitionBy("document").text(path)
+
+
 def merged_documents(pages: DataFrame) -> DataFrame:
     """(document, page_count, merged): one JSON text per document, pages in order."""
     held = F.sort_array(F.collect_list(F.struct("page_num", "header", "blocks")))

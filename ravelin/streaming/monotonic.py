@@ -7,40 +7,34 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
-DAY = 86_400
-OUTPUT = "document bigint, page_num bigint, block_idx bigint, s bigint, fixed bigint"
-
+from ravelin.operators.folds import repaired
+from ravelin.shipping import ship
 
-def repaired(now: int, last: int) -> int:
-    """``now`` after ``last``: its day, hour and minute are raised to it, else a second is added."""
-    if now > last:
-        return now
-    day, hour, minute, second = now // DAY, now % DAY // 3600, now % 3600 // 60, now % 60
-    day = max(day, last // DAY)
-    if day == last // DAY:
-        hour = max(hour, last % DAY // 3600)
-        if hour == last % DAY // 3600:
-            minute = max(minute, last % 3600 // 60)
-    tried = day * DAY + hour * 3600 + minute * 60 + second
-    return tried if tried > last else last + 1
+OUTPUT = "document bigint, page_num bigint, block_idx bigint, s bigint, fixed bigint"
 
 
 def monotonic_stream(blocks: DataFrame) -> DataFrame:
     """Strictly increasing seconds of the comm blocks of each document, across micro-batches.
 
     ``blocks`` is a stream of (document, page_num, block_idx, s); a batch's rows of a document are
-    taken in page and block order, and the last time is kept as state.
+    taken in page and block order, and the last time is kept as state. No row is late: one that comes in a later
+    batch than blocks behind it is taken as it comes, after them, and so raised above them. Only the order is
+    worked out over all of a batch's rows of a document; they are written by Arrow batch.
     """
     from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+    ship(blocks.sparkSession)
+
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         last = state.get[0] if state.exists else None
-        rows = pd.concat(list(frames)).sort_values(["page_num", "block_idx"])
-        fixed = []
-        for s in rows["s"]:
-            last = int(s) if last is None else repaired(int(s), last)
-            fixed.append(last)
+        held = list(frames)
+        order = sorted((page, idx, k, i) for k, f in enumerate(held) for i, (page, idx) in enumerate(zip(f["page_num"], f["block_idx"], strict=True)))
+        fixed = [[0] * len(f) for f in held]
+        for _, _, k, i in order:
+            now = int(held[k]["s"].iat[i])
+            fixed[k][i] = last = now if last is None else repaired(now, last)
         state.update((last,))
-        yield rows.assign(fixed=fixed)[["document", "page_num", "block_idx", "s", "fixed"]]
+        for f, values in zip(held, fixed, strict=True):
+            yield f.assign(fixed=values)[["document", "page_num", "block_idx", "s", "fixed"]]
 
     return blocks.groupBy("document").applyInPandasWithState(step, OUTPUT, "last bigint", "append", GroupStateTimeout.NoTimeout)
