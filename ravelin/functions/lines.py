@@ -118,6 +118,6 @@ def is_scrap(speaker: Column, text: Column) -> Column:
 def replaced_by_patterns(c: Column, table: dict[str, str]) -> Column:
     """Patterns and replacements, groups written ``\\1``, one after another."""
     for pattern, to in table.items():
-        java = re.sub(r"\\(\d)|([\\$])", lambda m: f"${m[1]}" if m[1] else f"\\{m[2]}", to)
+        java = re.sub(r"\\(\d)|\\\\|([\\$])", lambda m: f"${m[1]}" if m[1] else f"\\{m[2] or m[0][0]}", to)
         c = F.regexp_replace(c, pattern, java)
     return c

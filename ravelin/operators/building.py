@@ -258,12 +258,9 @@ def built_pages(page_texts: DataFrame, building: Building) -> DataFrame:
 
 def continued_pages(built: DataFrame) -> DataFrame:
     """Pages whose first block is a continuation of the page before say so, if that one ends in comm or continuation."""
-    before = F.lag(F.element_at("blocks", -1)["type"]).over(Window.partitionBy("document").orderBy("page_num"))
-    # only types go through the window; the blocks are marked where they are
-    first = F.get("blocks", F.lit(0))
-    flagged = (first["type"] == "continuation") & before.isin("comm", "continuation")
-    marks = built.select("document", "page_num", F.when(F.size("blocks") > 0, flagged).alias("flag")).where("flag").select("document", "page_num", F.lit(True).alias("_flag"))
-    marked = built.join(marks, ["document", "page_num"], "left")
+    before = F.lag(F.try_element_at("blocks", F.lit(-1))["type"]).over(Window.partitionBy("document").orderBy("page_num"))
+    flag = (F.get("blocks", F.lit(0))["type"] == "continuation") & before.isin("comm", "continuation")
+    marked = built.withColumn("_flag", F.coalesce(flag, F.lit(False)))
     blocks = F.transform("blocks", lambda b, i: b.withField("continuation_from_prev", F.when((i == 0) & F.col("_flag"), F.lit(True)).otherwise(b["continuation_from_prev"])))
     return marked.withColumn("blocks", blocks).drop("_flag")
 

@@ -1,6 +1,7 @@
 import difflib
 import random
 
+from ravelin.functions import repairs
 from ravelin.operators import spelling, stitches
 from ravelin.plans import transcripts
 
@@ -33,9 +34,9 @@ def test_twins():
 
 
 def test_repeats():
-    assert stitches.without_repeats("a b c d e f a b c d e f g") == "a b c d e f g"
-    assert stitches.without_repeats("a b c d e a b c d e") == "a b c d e a b c d e"
-    assert stitches.without_repeats("") == ""
+    assert repairs.without_repeats("a b c d e f a b c d e f g") == "a b c d e f g"
+    assert repairs.without_repeats("a b c d e a b c d e") == "a b c d e a b c d e"
+    assert repairs.without_repeats("") == ""
 
 
 def test_speller(spark):

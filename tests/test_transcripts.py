@@ -53,10 +53,20 @@ def test_texts_and_speakers(spark):
     ("read", "prev", "ended", "want"),
     [(None, (1, 1), False, ("1/2", False)), ("67/1", (67, 1), False, ("67/2", True)), ("6/5", (66, 4), False, ("66/5", True)), ("73/5", (72, 4), False, ("73/5", False)), ("32/1", (30, 9), True, ("32/1", False)), ("x", (3, 4), False, ("3/5", True)), ("11/1", (9, 0), False, ("11/1", False)), ("9/1", (7, 0), False, ("7/1", True))],
 )
-def test_tape_rule(spark, read, prev, ended, want):
-    df = spark.createDataFrame([(*prev, ended, read)], "x int, y int, e boolean, o string")
-    x, y, corrected = folds.tape_step(*(F.col(c) for c in "xyeo"))
-    assert tuple(df.select(F.concat_ws("/", x, y), corrected).first()) == want
+def test_tape_rule(read, prev, ended, want):
+    x, y, corrected = folds.tape_step(*prev, ended, read)
+    assert (f"{x}/{y}", corrected) == want
+
+
+def test_tapes_from_the_first_page_of_the_document(spark):
+    """Pages below 1 have no label; 624 pages, of which 84 end a tape, run from 1/2 to 85/7."""
+    ends = {2 + 7 * i for i in range(83)} | {617}
+    rows = [(1, n, n, None, n in ends) for n in range(1, 625)] + [(2, n, n - 2, None, False) for n in range(1, 5)]
+    df = spark.createDataFrame(rows, "document long, page_num long, page long, ocr_tape string, end_of_tape boolean")
+    got = {(r.document, r.page_num): r.tape for r in folds.tapes(df).collect()}
+    assert (got[1, 1], got[1, 624]) == ("1/2", "85/7") and len(got) == 628
+    assert [got[2, n] for n in range(1, 5)] == [None, None, "1/2", "1/3"]
+    assert folds.tapes(df.limit(0)).collect() == []
 
 
 def test_files(spark, tmp_path):
