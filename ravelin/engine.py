@@ -136,6 +136,7 @@ def main(arguments: Iterable[str] | None = None, spark: SparkSession | None = No
     a.add_argument("--prompts", help="TOML file of prompts")
     a.add_argument("--pages", help="such as 1-50,60")
     a.add_argument("--ocr-url")
+    a.add_argument("--input", default="input", help="folder of PDFs that are named without one")
     a.add_argument("--no-ocr", action="store_true", help="images only")
     given = a.parse_args(None if arguments is None else list(arguments))
     if given.command != "info" and not given.target:
@@ -144,6 +145,8 @@ def main(arguments: Iterable[str] | None = None, spark: SparkSession | None = No
     settings = config.load(given.settings, given.missions, given.document)
     settings.ocr_url = given.ocr_url or settings.ocr_url
     engine = TranscriptEngine(spark, settings)
+    if given.command in ("info", "process"):
+        given.source = config.source_path(given.source, given.input)
     if given.command == "info":
         print("\n".join(f"{k}: {v}" for k, v in pdf.info(given.source).items()))
     elif given.command == "process":

@@ -52,17 +52,24 @@ def is_footer(text: str) -> bool:
     return ratio(re.sub("[^A-Z ]", "", (text or "").upper().strip()), FOOTER_TEXT) >= FOOTER
 
 
+#: Misread characters of the net's label, and how long it may be.
+GOSS_MISREAD, GOSS_CHARS = str.maketrans("0537IL", "OSET11"), 40
+#: Variants of the net's label, as tests of its upper case: a net-like word and 1 among two zeros at least, a bare number, its letters.
+GOSS_RULES: list[Callable[[str], bool]] = [
+    lambda x: len(re.findall("[0O]", x)) >= 2 and re.search(r"\b(NET|NOT|NI|HOT|N[IE][T1])\s*['\"]?\s*1\b", x) is not None,
+    lambda x: re.fullmatch(r"\(?\d{2,4}\)?", x) is not None,
+    lambda x: like_goss(re.sub("[^A-Z0-9]", "", x).translate(GOSS_MISREAD)),
+]
+
+
+def like_goss(letters: str) -> bool:
+    return letters != "" and (GOSS_TEXT in letters or ratio(letters, GOSS_TEXT) >= GOSS)
+
+
 def is_goss_net(text: str) -> bool:
-    """Variants of the net's label: a NET-like word and 1 with two zeros, a bare number, or its letters."""
-    raw = (text or "").strip().upper()
-    if not raw or len(raw) > 40:
-        return False
-    if re.search(r"\b(NET|NOT|NI|HOT|N[IE][T1])\s*['\"]?\s*1\b", raw) and raw.count("0") + raw.count("O") >= 2:
-        return True
-    if re.fullmatch(r"\(?\d{2,4}\)?", raw):
-        return True
-    letters = re.sub("[^A-Z0-9]", "", raw).translate(str.maketrans("0537IL", "OSET11"))
-    return GOSS_TEXT in letters or (letters != "" and ratio(letters, GOSS_TEXT) >= GOSS)
+    """Whether any of ``GOSS_RULES`` takes a short text."""
+    upper = (text or "").strip().upper()
+    return 0 < len(upper) <= GOSS_CHARS and any(rule(upper) for rule in GOSS_RULES)
 
 
 def place(text: str | None, valid: Iterable[str] = tuple(LOCATIONS), remarks: Iterable[str] = tuple(REMARKS)) -> str:
