@@ -240,7 +240,7 @@ def stage_timings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.stage_seconds(rows).withColumn("seconds", F.round("seconds", 4))
 
 
-@query("""SELECT c_custkey AS document, c_nationkey AS done, 30 AS total, c_nationkey * 2.0 AS elapsed, CASE WHEN c_nationkey > 0 THEN 0.5 END AS rate, CASE WHEN c_nationkey > 0 THEN CAST((30 - c_nationkey) * 2 AS BIGINT) END AS seconds_left FROM customer""")
+@query("""SELECT c_custkey AS document, c_nationkey AS done, 30 AS total, CAST(c_nationkey * 2 AS DOUBLE) AS elapsed, CASE WHEN c_nationkey > 0 THEN CAST(0.5 AS DOUBLE) END AS rate, CASE WHEN c_nationkey > 0 THEN CAST((30 - c_nationkey) * 2 AS BIGINT) END AS seconds_left FROM customer""")
 def page_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("document"), F.col("c_nationkey").alias("done"), F.lit(30).alias("total"), (F.col("c_nationkey") * F.lit(2.0)).alias("elapsed"))
     return metrics.progress(rows)
