@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections import Counter, defaultdict
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,7 +38,7 @@ LEAST_WORD, LEAST_GRAM = 3, 2
 SALTS = 64
 MAX_GRAM = 4
 SMOOTHING = 0.5
-#: Scores (words times languages) that a worker keeps of words it has met.
+#: Scores (words times languages) that a worker keeps of words it has met, and of each table if it is no larger.
 CELLS = 1_600_000
 #: Letters; what else it matches is neutral to the score.
 find_words = re.compile(r"[^\W\d_]+").findall
@@ -71,6 +72,16 @@ class Table:
         totals = np.bincount(language, weights=count, minlength=len(languages)) + SMOOTHING * len(names)
         return cls(index, first, language, count, totals)
 
+    def dense(self, cells: int) -> np.ndarray | None:
+        """``logs`` of all features as one array, if it has at most that many cells."""
+        n = len(self.totals)
+        if len(self.index) * n > cells:
+            return None
+        found = np.full((len(self.index), n), SMOOTHING)
+        found[np.repeat(np.arange(len(self.index)), np.diff(self.first)), self.language] += self.count
+        found = np.log(found / self.totals)
+        return (found - found.mean(1, keepdims=True)).astype(np.float32)
+
     def logs(self, feature: str) -> np.ndarray | None:
         """Smoothed log frequencies in each language, centred over them; None if it was not seen."""
         if (i := self.index.get(feature)) is None:
@@ -141,19 +152,26 @@ class Scorer:
         n = max(1, len(model.languages))
         self.known: dict[str, int] = {}
         self.rows = np.zeros((max(1, CELLS // n), n), np.float32)
+        self.gram, self.whole = (self.looked_up(t) for t in (model.grams, model.words))
+
+    @staticmethod
+    def looked_up(table: Table) -> Callable[[str], np.ndarray | None]:
+        """``table.logs``, worked out for all features at once where these are few enough."""
+        rows, place = table.dense(CELLS), table.index.get
+        return table.logs if rows is None else lambda feature: None if (i := place(feature)) is None else rows[i]
 
     def backed_off(self, word: str) -> np.ndarray:
-        marked, total = f"^{word}$", np.zeros(len(self.model.languages))
+        marked, total, gram = f"^{word}$", np.zeros(len(self.model.languages), np.float32), self.gram
         for i in range(len(marked)):
             for n in range(min(MAX_GRAM, len(marked) - i), 0, -1):
-                if (logs := self.model.grams.logs(marked[i : i + n])) is not None:
+                if (logs := gram(marked[i : i + n])) is not None:
                     total += logs
                     break
         return total / MAX_GRAM
 
     def word(self, word: str) -> np.ndarray:
         """Scores of a word by language; none without a letter."""
-        if (logs := self.model.words.logs(word)) is not None:
+        if (logs := self.whole(word)) is not None:
             return logs
         return self.backed_off(word) if any(map(str.isalpha, word)) else np.zeros(len(self.model.languages))
 
