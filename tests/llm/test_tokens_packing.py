@@ -3,6 +3,7 @@ import subprocess
 import sys
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -209,9 +210,11 @@ before = dict(spark.sparkContext.environment), spark.conf.get("spark.sql.executi
 rows = packing.pack(spark.createDataFrame([(1, "some text"), (2, None)], "doc_id long, text string")).collect()
 assert sorted(r.doc_id for r in rows) == [1, 2], rows
 assert before == (dict(spark.sparkContext.environment), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"), spark.conf.get("spark.checkpoint.dir", None))
-common.release(spark)
 import os
-assert not [p for p in os.listdir(common.shared_dir(spark)[len("file://"):])]
+paths = [p.removeprefix("file://") for p in common._written[spark.sparkContext.applicationId]]
+assert paths and all(map(os.path.exists, paths))
+common.release(spark)
+assert not any(map(os.path.exists, paths))
 print("fine")
 """
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -220,10 +223,11 @@ print("fine")
     assert said.returncode == 0 and "fine" in said.stdout, said.stderr[-2000:]
 
 
-def test_a_cluster_must_name_its_shared_folder(spark, monkeypatch):
-    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+def test_a_cluster_must_name_its_shared_folder():
+    session = lambda master: SimpleNamespace(conf=SimpleNamespace(get=lambda key, other=None: other), sparkContext=SimpleNamespace(master=master, applicationId="none"))
     with pytest.raises(ValueError):
-        common.shared_dir(spark)
+        common.shared_dir(session("spark://host:7077"))
+    assert common.shared_dir(session("local[2]")).startswith("file://")
 
 
 def test_scratch_deletes_what_was_written_inside(spark):
