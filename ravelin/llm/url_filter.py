@@ -11,7 +11,8 @@ distrust), at or above ``threshold`` blocks its pages that no rule fits; a host
 allowed.
 
 Ranks are summed as decimals of ``DIGITS`` places, so sums do not depend on the order of their parts and
-equal runs give equal verdicts; what falls below the last place counts as not reached. A share that
+equal runs give equal verdicts; a change below a millionth of a millionth of a millionth of a millionth (six places
+above the last, where it could no longer be told from rounding) counts as none. A share that
 ties with the threshold blocks.
 
 Defined cases: a null url or one without ``://`` has empty host and path, fits no rule and is allowed;
@@ -104,7 +105,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int | None = None, dam
             discard(written)
             written = state
             change = F.abs(F.col("r").cast("double") - F.col("was").cast("double"))
-            if rounds is None and state.where(change > SETTLED * F.col("r").cast("double")).isEmpty():
+            if rounds is None and state.where(change > F.greatest(SETTLED * F.col("r").cast("double"), F.lit(SETTLED**-1 * 10.0**-DIGITS))).isEmpty():
                 break
         else:
             state = moved.groupBy("kind", "a").agg(F.sum("r").alias("r"))
