@@ -309,14 +309,23 @@ def total_weight(words: Iterable[str], weights: dict[str, float]) -> float:
 class Scorer:
     def __init__(self, model: Model) -> None:
         self.restore, self.model, self.hits = Restorer(model.logs), model, {}
+        # a feature of a word has its first letters, as many as the shortest beginnings have
+        first = PREFIXES[0]
+        self.begun = {f.rstrip("*")[:first] for f in model.weights}
         self.without_doubles = {collapsed(f) for f in model.weights}
+        self.begun_without = {f.rstrip("*")[:first] for f in self.without_doubles}
+
+    def feature(self, word: str) -> str | None:
+        return weightiest(word, self.model.weights) if word[: PREFIXES[0]] in self.begun else None
 
     def token(self, token: str) -> tuple[str, ...]:
         """The features that count of a token."""
-        weights, words = self.model.weights, self.restore.token(token)
-        found = [f for w in words if (f := weightiest(w, weights))]
-        if not found and words and _runs.search(token) and any(f in self.without_doubles for w in words for f in features(collapsed(w))):
-            found = [f for w in decode(_edges.sub("", token), self.model.logs).split() if (f := weightiest(w, weights))]
+        words = self.restore.token(token)
+        found = [f for w in words if (f := self.feature(w))]
+        if not found and words and _runs.search(token):
+            single = (collapsed(w) for w in words)
+            if any(f in self.without_doubles for w in single if w[: PREFIXES[0]] in self.begun_without for f in features(w)):
+                found = [f for w in decode(_edges.sub("", token), self.model.logs).split() if (f := self.feature(w))]
         return tuple(dict.fromkeys(found))
 
     def __call__(self, text: str | None) -> float:
@@ -332,7 +341,7 @@ class Scorer:
                 if h:
                     found.update(h)
             for m in _spaced.finditer(text):
-                found.update(f for w in decode(m[0], self.model.logs).split() if (f := weightiest(w, weights)))
+                found.update(f for w in decode(m[0], self.model.logs).split() if (f := self.feature(w)))
         z = self.model.slope * sum(weights[f] for f in sorted(found)) + self.model.offset
         return max([1 / (1 + math.exp(-max(-40.0, min(40.0, z)))), *(self.model.rates[f] for f in found)])
 
