@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ravelin.llm.common import materialize
+
 #: Bits of a digit.
 BITS = 10
 
@@ -35,3 +37,19 @@ def running(df: DataFrame, key: str, sums: list[str], span: int, within: tuple[s
     before = before.select(*within, block, *((F.col(held[c]) - F.col(c)).alias(held[c]) for c in sums))
     inside = df.withColumns({c: F.sum(c).over(frame.rowsBetween(Window.unboundedPreceding, 0)) for c in sums}).withColumn(block, _up(F.col(key)))
     return inside.join(before, [*within, block]).select(*(((F.col(c) + F.col(held[c])).cast(df.schema[c].dataType).alias(c)) if c in held else F.col(c) for c in df.columns))
+
+
+def ranked(df: DataFrame, group: str, order: list[Column], name: str, label: str) -> DataFrame:
+    """``df`` with ``name``, a row's place from 0 within its ``group`` by ``order``; a large group is ranked by many tasks.
+
+    Rows are written in range partitions of (group, order), each ranked by itself; what a group has in the partitions
+    before is one count for each. Rows alike in all of ``order`` come in any order.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tie, part, before = f"{name}_tie", f"{name}_part", f"{name}_before"
+    dealt = df.withColumn(tie, F.monotonically_increasing_id()).repartitionByRange(tasks, F.col(group), *order, F.col(tie)).withColumn(part, F.spark_partition_id())
+    held = materialize(dealt, label)
+    counts = held.groupBy(group, part).agg(F.count("*").alias(before))
+    counts = counts.withColumn(before, F.coalesce(F.sum(before).over(Window.partitionBy(group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    local = F.row_number().over(Window.partitionBy(group, part).orderBy(*order, tie)) - 1
+    return held.withColumn(name, local).join(counts, [group, part]).withColumn(name, F.col(name) + F.col(before)).drop(tie, part, before)

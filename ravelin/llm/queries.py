@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ravelin.llm import band_join, decontamination, language_id, license_scan, license_sql, near_dedup, packing, shop_sql, token_counts, token_files, top_k, toxicity, url_filter
-from ravelin.llm.common import table
+from ravelin.llm import band_join, conversation_trie, decontamination, language_id, license_scan, license_sql, near_dedup, packing, shop_sql, token_counts, token_files, top_k, toxicity, url_filter
+from ravelin.llm.common import materialize, table
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,12 +58,20 @@ def op11_band_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return band_join.band_join(table(spark, sf_dir, "sale_lines"), table(spark, sf_dir, "items"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_toxicity, op3_exact_top_k, op4_decontamination, op5_minhash_near_dedup, op6_language_id, op7_token_counts, op8_license_scan, op9_token_files, op10_url_filter, op11_band_join)}
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversation_trie.digested(table(spark, sf_dir, "conversations"))
+    ordered = materialize(conversation_trie.in_order(turns).select("conv_id", "at", "digest", "n_bytes"), "conversations-in-order")
+    return conversation_trie.prefix_trie(conversation_trie.rebuilt(ordered), ordered.select("conv_id"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_toxicity, op3_exact_top_k, op4_decontamination, op5_minhash_near_dedup, op6_language_id, op7_token_counts, op8_license_scan, op9_token_files, op10_url_filter, op11_band_join, op12_conversation_trie)}
 
 ORACLES: dict[str, str] = {}
 
 ORACLES["op11_band_join"] = shop_sql.OP11
 
+ORACLES["op12_conversation_trie"] = shop_sql.OP12
+
 ORACLES["op8_license_scan"] = license_sql.oracle()
 
 ORACLES["op5_minhash_near_dedup"] = r"""

@@ -36,3 +36,39 @@ SELECT i.item_id, CAST(coalesce(rank, 0) AS INTEGER) AS rank, gap, u, sale_id, l
   coalesce(n_pairs, 0) AS n_pairs, CAST(coalesce(gap_sum, 0) AS BIGINT) AS gap_sum, CAST(coalesce(lines_crc, 0) AS BIGINT) AS lines_crc
 FROM i LEFT JOIN (SELECT * FROM ranked WHERE rank <= 2) k ON k.r = i.r
 """
+
+OP12 = f"""
+WITH {CRC},
+t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(strlen(r) || ':' || r || x)) AS k, r, x
+  FROM (SELECT CAST(conv_id AS BIGINT) AS conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL)),
+c AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, {crc32("CAST(conv_id AS VARCHAR)")} % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM t), crc_table),
+b AS (
+  SELECT c.conv_id, k, r, x FROM c JOIN t ON t.conv_id = base AND k <= h
+  UNION ALL SELECT c.conv_id, k, r, x FROM c JOIN t ON t.conv_id = c.conv_id AND k > h),
+path AS (
+  SELECT conv_id, row_number() OVER w AS depth, list({{'r': r, 'x': x}}) OVER w AS prefix, strlen(x) AS bytes
+  FROM b WINDOW w AS (PARTITION BY conv_id ORDER BY k ROWS UNBOUNDED PRECEDING)
+  UNION ALL SELECT conv_id, 0, [], 0 FROM c),
+size AS (SELECT conv_id, max(depth) AS n FROM path GROUP BY conv_id),
+node AS (SELECT depth, prefix, min(conv_id) AS owner, count(*) AS n_convs, max(bytes) AS bytes FROM path GROUP BY depth, prefix),
+member AS (SELECT path.conv_id, path.depth, owner FROM path JOIN node USING (depth, prefix)),
+linked AS (
+  SELECT node.depth, node.owner, n_convs, (n_convs - 1) * bytes AS saved, m.owner AS parent
+  FROM node LEFT JOIN member m ON m.conv_id = node.owner AND m.depth = node.depth - 1),
+kids AS (SELECT parent, depth - 1 AS depth, count(*) AS n FROM linked WHERE depth > 0 GROUP BY ALL),
+own AS (
+  SELECT linked.*, coalesce(n, 0) AS n_children, CAST(n IS NULL AS BIGINT) AS leaf
+  FROM linked LEFT JOIN kids ON kids.parent = owner AND kids.depth = linked.depth),
+below AS (
+  SELECT m.owner, m.depth, sum(saved) AS saved, sum(leaf) AS leaves
+  FROM own JOIN member m ON m.conv_id = own.owner AND m.depth <= own.depth GROUP BY ALL),
+ends AS (
+  SELECT owner, depth, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS hash
+  FROM member JOIN size USING (conv_id) WHERE depth = n GROUP BY ALL)
+SELECT own.owner AS conv_id, own.depth, parent AS parent_conv_id, n_convs, n_children, CAST(leaves AS BIGINT) AS n_leaves,
+  CAST(below.saved AS BIGINT) AS saved_tokens, coalesce(hash, sha256('')) AS ends_sha256
+FROM own JOIN below USING (owner, depth) LEFT JOIN ends USING (owner, depth)
+"""

@@ -1,9 +1,11 @@
 """The band join and the conversation trie against plain Python."""
 
+import hashlib
 import math
 import random
 import zlib
 
+from ravelin.llm import conversation_trie as trie
 from ravelin.llm.band_join import Band, band_join, nearest_first
 from ravelin.llm.prefix import running
 
@@ -70,3 +72,71 @@ def test_running_sums_over_many_digits(spark):
     for down in (False, True):
         got = {(r.g, r.k): r.n for r in running(df, "k", ["n"], 5_000_000, ("g",), down).collect()}
         assert got == {(g, k): sum(n for h, j, n in rows if h == g and (j >= k if down else j <= k)) for g, k, _ in rows}
+
+
+TURNS = "conv_id long, turn long, role string, text string, n_convs int, depth string"
+
+
+def rebuilt_brute(rows):
+    own = {}
+    for conv, turn, role, text, *_ in rows:
+        if conv is not None:
+            own.setdefault(conv, []).append(((turn is not None, turn or 0), role or "", text or ""))
+
+    def key(t):
+        return t[0], hashlib.sha256(f"{len(t[1].encode())}:{t[1]}{t[2]}".encode()).hexdigest()
+
+    own = {c: [t[1:] for t in sorted(ts, key=key)] for c, ts in own.items()}
+    cut = {c: zlib.crc32(str(c).encode()) % 9 for c in own}
+    return {c: own.get(c - int(math.fmod(c, 5)), [])[: cut[c]] + own[c][cut[c] :] for c in own}
+
+
+def trie_brute(paths):
+    nodes = {}
+    for c, ts in paths.items():
+        for d in range(len(ts) + 1):
+            nodes.setdefault(tuple(ts[:d]), []).append(c)
+    kids = {p: [q for q in nodes if len(q) == len(p) + 1 and q[: len(p)] == p] for p in nodes}
+    out = []
+
+    def walk(p):
+        below = [walk(q) for q in kids[p]]
+        leaves = sum(b[0] for b in below) or 1
+        saved = sum(b[1] for b in below) + (len(nodes[p]) - 1) * (len(p[-1][1].encode()) if p else 0)
+        ends = ",".join(map(str, sorted(c for c in nodes[p] if len(paths[c]) == len(p))))
+        out.append((min(nodes[p]), len(p), min(nodes[p[:-1]]) if p else None, len(nodes[p]), len(kids[p]), leaves, saved, hashlib.sha256(ends.encode()).hexdigest()))
+        return leaves, saved
+
+    if nodes:
+        walk(())
+    return sorted(out)
+
+
+def run_trie(spark, rows):
+    turns = spark.createDataFrame(rows, TURNS)
+    ordered = trie.in_order(trie.digested(turns))
+    return sorted(tuple(r) for r in trie.prefix_trie(trie.rebuilt(ordered), ordered.select("conv_id")).collect())
+
+
+def test_trie_of_random_conversations(spark):
+    rnd = random.Random(12)
+    rows = [(c, rnd.choice([None, *range(6)]), rnd.choice(["user", "assistant", None, ""]), rnd.choice(["a", "aé", "", None, "b"]), 1, "x") for c in [*range(-7, 40), None] for _ in range(rnd.randrange(9))]
+    rows += rows[:30]
+    assert run_trie(spark, rows) == trie_brute(rebuilt_brute(rows))
+
+
+def test_trie_of_long_conversations_and_chains_upon_chains(spark):
+    rows = [(c, t, "user", "same" if t < 290 - 7 * c else f"{c}-{t}", 0, "") for c in range(6) for t in range(300)]
+    rows += [(c, t, "user", "same", 0, "") for c in range(10, 30) for t in range(c)]
+    assert run_trie(spark, rows) == trie_brute(rebuilt_brute(rows))
+
+
+def test_trie_of_no_conversations(spark):
+    assert run_trie(spark, [(None, 1, "user", "x", 0, "")]) == []
+
+
+def test_ends_are_hashed_across_pieces(spark, monkeypatch):
+    ids = list(range(-20, 10_000, 3))
+    df = spark.createDataFrame([("p", i) for i in ids] + [("q", 5)], "prefix string, conv_id long").repartition(5)
+    want = {"p": hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), "q": hashlib.sha256(b"5").hexdigest()}
+    assert {r.prefix: r.ends_sha256 for r in trie.ends_hashes(df).collect()} == want
