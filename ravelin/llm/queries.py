@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ravelin.llm import band_join, conversation_trie, decontamination, language_id, license_scan, license_sql, near_dedup, packing, shop_sql, token_counts, token_files, top_k, toxicity, url_filter
+from ravelin.llm import band_join, conversation_trie, decontamination, language_id, license_scan, license_sql, near_dedup, packing, shop_sql, suffix_dedup, token_counts, token_files, top_k, toxicity, url_filter
 from ravelin.llm.common import materialize, table
 
 
@@ -64,7 +64,11 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.prefix_trie(conversation_trie.rebuilt(ordered), ordered.select("conv_id"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_toxicity, op3_exact_top_k, op4_decontamination, op5_minhash_near_dedup, op6_language_id, op7_token_counts, op8_license_scan, op9_token_files, op10_url_filter, op11_band_join, op12_conversation_trie)}
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_toxicity, op3_exact_top_k, op4_decontamination, op5_minhash_near_dedup, op6_language_id, op7_token_counts, op8_license_scan, op9_token_files, op10_url_filter, op11_band_join, op12_conversation_trie, op13_suffix_dedup)}
 
 ORACLES: dict[str, str] = {}
 
@@ -72,6 +76,8 @@ ORACLES["op11_band_join"] = shop_sql.OP11
 
 ORACLES["op12_conversation_trie"] = shop_sql.OP12
 
+ORACLES["op13_suffix_dedup"] = shop_sql.OP13
+
 ORACLES["op8_license_scan"] = license_sql.oracle()
 
 ORACLES["op5_minhash_near_dedup"] = r"""

@@ -1,4 +1,4 @@
-"""DuckDB SQL for the operators on the shop's tables and on conversations."""
+"""DuckDB SQL for the band join, the conversation trie and the removal of repeats."""
 
 from __future__ import annotations
 
@@ -72,3 +72,24 @@ SELECT own.owner AS conv_id, own.depth, parent AS parent_conv_id, n_convs, n_chi
   CAST(below.saved AS BIGINT) AS saved_tokens, coalesce(hash, sha256('')) AS ends_sha256
 FROM own JOIN below USING (owner, depth) LEFT JOIN ends USING (owner, depth)
 """
+
+OP13 = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+blocks AS (SELECT r, k, substr(h, 512 * k + 1, 910) AS h, least(256, strlen(h) // 2 - 256 * k) AS n FROM (SELECT *, unnest(range((strlen(h) + 511) // 512)) AS k FROM d)),
+bytes AS (SELECT r, k, h, unnest(range(n)) AS j FROM blocks),
+strings AS (
+  SELECT r, 256 * k + j AS j, substr(h, 2 * j + 1, 2) AS byte, CASE WHEN 2 * j + 400 <= strlen(h) THEN md5(substr(h, 2 * j + 1, 400)) END AS s
+  FROM bytes),
+twice AS (SELECT s FROM strings WHERE s IS NOT NULL GROUP BY s HAVING count(*) > 1),
+gone AS (
+  SELECT r, j, byte, max(CAST(twice.s IS NOT NULL AS INTEGER)) OVER (PARTITION BY r ORDER BY j ROWS BETWEEN 199 PRECEDING AND CURRENT ROW) AS gone
+  FROM strings LEFT JOIN twice ON twice.s = strings.s),
+edges AS (SELECT *, gone - lag(gone, 1, 0) OVER (PARTITION BY r ORDER BY j) AS edge FROM gone),
+sums AS (
+  SELECT r, count(*) AS n_bytes, sum(gone) AS n_removed, count(*) FILTER (WHERE edge = 1) AS n_spans,
+    string_agg(byte, '' ORDER BY j) FILTER (WHERE gone = 0) AS kept
+  FROM edges GROUP BY r)
+SELECT doc_id, coalesce(n_bytes, 0) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN sums ON sums.r = d.r
+"""
