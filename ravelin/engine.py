@@ -93,10 +93,12 @@ class TranscriptEngine:
         return page_rows(blocks)
 
     def run(self, page_texts: DataFrame) -> DataFrame:
-        return self.export(self.postprocess(self.parse(page_texts)))
+        """Blocks of the texts of all pages, ready for export; pages that the document numbers below 1 go last."""
+        return self.export(self.postprocess(self.parse(page_texts)).where(F.col("page_num") + self.settings.page_offset > 0))
 
     def write_merged(self, pages: DataFrame, target: str) -> None:
         """Merged JSON, text and Markdown of each document, and its pages, below ``target``."""
+        pages = export.displayed(pages)
         source = [F.col("source")] if "source" in pages.columns else []
         headers = pages.select("document", "page_num", "header", *source)
         blocks = self.export(exploded(pages))

@@ -113,8 +113,8 @@ def stable_run(blocks: DataFrame, timestamp: str = "timestamp_clean", window: in
 
 
 def without_repeated_annotations(blocks: DataFrame, norm: Column) -> DataFrame:
-    """Annotations equal to the block just before, itself an annotation, go."""
-    marked = blocks.withColumn("_norm", F.when(F.col("type") == "annotation", norm)).withColumn("_before", F.lag("_norm").over(by_document()))
+    """Annotations equal to the block just before on their page, itself an annotation, go; blank ones are equal to none."""
+    marked = blocks.withColumn("_norm", F.when((F.col("type") == "annotation") & ~is_blank(F.col("text")), norm)).withColumn("_before", F.lag("_norm").over(by_page()))
     return marked.where(F.col("_norm").isNull() | F.col("_before").isNull() | (F.col("_norm") != F.col("_before"))).drop("_norm", "_before")
 
 
@@ -167,10 +167,18 @@ def rendered_text(blocks: DataFrame, timestamp: str, headers: DataFrame | None =
 
 
 def reclassified(blocks: DataFrame) -> DataFrame:
-    """Comm blocks on a lunar revolution are meta, unidentifiable ones annotations; blank speakers are SC."""
-    comm, text = F.col("type") == "comm", F.upper(F.col("text"))
-    kind = F.when(comm & text.contains("LUNAR REV"), "meta").when(comm & text.contains("UNIDENTIFIABLE"), "annotation").otherwise(F.col("type"))
-    return blocks.withColumn("type", kind).withColumn("speaker", F.when((F.col("type") == "comm") & is_blank(F.trim(F.col("speaker"))), "SC").otherwise(F.col("speaker")))
+    """Comm blocks that begin with ``--`` and tell a lunar revolution are meta, unidentifiable ones in brackets annotations,
+    both without speaker and place; other comm blocks without a speaker are SC's."""
+    comm, text = F.col("type") == "comm", F.regexp_replace("text", r"^\s+", "")
+    upper = F.upper(text)
+    revolution = text.startswith("--") & upper.contains("LUNAR REV")
+    unidentified = text.startswith("(") & (upper.contains("UNIDENTIFIABLE") | upper.contains("UNINDENTIFIABLE"))
+    kind = F.when(comm & revolution, "meta").when(comm & unidentified, "annotation").otherwise(F.col("type"))
+    told = blocks.withColumn("_kind", kind)
+    same = F.col("_kind") == F.col("type")
+    speaker = F.when(~same, None).when(comm & is_blank(F.col("speaker")), "SC").otherwise(F.col("speaker"))
+    places = {"location": F.when(same, F.col("location"))} if "location" in blocks.columns else {}
+    return told.withColumns({"speaker": speaker, **places}).withColumn("type", F.col("_kind")).drop("_kind")
 
 
 def column_fill(empty: DataFrame, lines: DataFrame, order: str = "line_no") -> DataFrame:

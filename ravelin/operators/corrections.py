@@ -17,6 +17,8 @@ DAY, HOUR, MINUTE = 86_400, 3600, 60
 AHEAD, RUN = 6, 3
 #: Seconds back that are late rather than wrong, that are a new sequence, a jump, and a snap's reach.
 LATE, RESET, JUMP, REACH = 300, 3600, 43_200, 600
+#: The type of a row that stands for the times of a page that is not read.
+LISTED = "listed"
 #: Speakers who answer the ground.
 CREW = ("CDR", "CMP", "LMP")
 
@@ -43,7 +45,8 @@ class Clock(Machine):
     """Mission time of the comm blocks of one document, in page order; a page's rows are held until it ends.
 
     ``last`` is the cursor; a page begins with the time listed last before it. Each correction says its
-    kind, whether the cursor follows, and whether the page counts as begun.
+    kind, whether the cursor follows, and whether the page counts as begun. A row of type ``listed`` stands for a page
+    that is not read again: its time is the last one listed there.
     """
 
     def __init__(self) -> None:
@@ -98,6 +101,9 @@ class Clock(Machine):
         """The rows of the page that is held, comm blocks with ``fixed`` seconds and ``correction``."""
         rows, self.rows = self.rows, []
         self.last, self.begun = self.listed, False
+        if rows and rows[0]["type"] == LISTED:
+            self.listed = rows[0]["at"]
+            return []
         times = [r["at"] if r["type"] == "comm" else None for r in rows]
         for i, row in enumerate(rows):
             row["fixed"] = row["correction"] = None
@@ -113,24 +119,30 @@ def rises(times: list[int | None]) -> bool:
     return len(run) == RUN and all(0 < b - a <= REACH for a, b in pairwise(run))
 
 
-def timed_blocks(blocks: DataFrame, timestamp: str = "timestamp", hint: str | None = None) -> DataFrame:
+def timed_blocks(blocks: DataFrame, timestamp: str = "timestamp", hint: str | None = None, listed: DataFrame | None = None) -> DataFrame:
     """All ``blocks`` with ``at`` and ``fixed``, the seconds read and corrected of comm blocks, and ``correction``.
 
-    The next rows of a page that tell a new sequence are counted over blocks of all kinds.
+    The next rows of a page that tell a new sequence are counted over blocks of all kinds. ``listed`` has the times of pages
+    that may not be among the blocks, as a timestamp index does: (document, page_num, timestamps), null or empty where a page
+    has none. The last time of such a page is what the pages behind it begin with.
     """
     rows = blocks.withColumns({"page_num": F.col("page_num").cast("long"), "block_idx": F.col("block_idx").cast("long"), "at": parsed_seconds(F.col(timestamp)), "hint": F.col(hint) if hint else F.lit(None).cast("string")})
     output = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    if listed is not None:
+        last = listed.where(F.size("timestamps") > 0).select(F.col("document").cast(rows.schema["document"].dataType), F.col("page_num").cast("long"), parsed_seconds(F.element_at("timestamps", -1)).alias("at")).where("at IS NOT NULL")
+        absent = last.join(rows.select("document", "page_num").distinct(), ["document", "page_num"], "left_anti")
+        rows = rows.unionByName(absent.withColumns({"type": F.lit(LISTED), "block_idx": F.lit(-1).cast("long")}), allowMissingColumns=True)
     return ordered_scan(rows, ["document"], ["page_num", "block_idx"], Clock, f"{output}, fixed long, correction string")
 
 
-def corrected_times(blocks: DataFrame, timestamp: str = "timestamp", hint: str | None = None) -> DataFrame:
+def corrected_times(blocks: DataFrame, timestamp: str = "timestamp", hint: str | None = None, listed: DataFrame | None = None) -> DataFrame:
     """(document, page_num, block_idx, timestamp, fixed, correction) of the comm blocks.
 
     Null, blank and unreadable timestamps are inferred from the time before; without one they stay null.
     """
     kept = blocks.select("document", "page_num", "block_idx", "type", timestamp, *([hint] if hint else []))
     text = lambda c: F.when(F.col(c).isNotNull(), formatted(F.col(c)))
-    return timed_blocks(kept, timestamp, hint).where(F.col("type") == "comm").select("document", "page_num", "block_idx", text("at").alias("timestamp"), text("fixed").alias("fixed"), "correction")
+    return timed_blocks(kept, timestamp, hint, listed).where(F.col("type") == "comm").select("document", "page_num", "block_idx", text("at").alias("timestamp"), text("fixed").alias("fixed"), "correction")
 
 
 def without_name(text: str, name: str) -> str:

@@ -213,14 +213,19 @@ class Finished(Machine):
         return self.next(None)
 
 
+def displayed(pages: DataFrame) -> DataFrame:
+    """Pages whose number in the document, which the header has and which may be less than that of the file, is 1 or more."""
+    return pages.where(F.coalesce("header.page", F.lit(0)) > 0)
+
+
 def exported(blocks: DataFrame, replacements: dict[str, str] | None = None, speakers: Iterable[str] = (), keywords: Iterable[str] = ()) -> DataFrame:
-    """(document, page_num, block_idx, ...) of the blocks of whole documents, pages below 1 left out.
+    """(document, page_num, block_idx, ...) of the blocks of whole documents, of which ``displayed`` has chosen the pages.
 
     ``replacements`` are literal; ``speakers`` are names that a text may begin with; ``keywords`` are stations.
     """
     literal, names, known = dict(replacements or {}), list(speakers), list(keywords)
     absent = {c: F.lit(None).cast("boolean" if c == "continuation_from_prev" else "string") for c in OUT if c not in blocks.columns}
-    rows = blocks.withColumns(absent).where("page_num > 0").select("document", *(F.col(c).cast("long").alias(c) for c in ("page_num", "block_idx")), *OUT)
+    rows = blocks.withColumns(absent).select("document", *(F.col(c).cast("long").alias(c) for c in ("page_num", "block_idx")), *OUT)
     key = f"document {type_of(rows, 'document')}, page_num long, block_idx long"
     spoken = ordered_scan(rows, ["document"], ["page_num", "block_idx"], lambda: Spoken(literal, names), f"{key}, {DDL}, part int")
     return ordered_scan(spoken, ["document"], ["page_num", "block_idx", "part"], lambda: Finished(known), f"{key}, {DDL}")
@@ -241,7 +246,7 @@ def merged_json(blocks: DataFrame, headers: DataFrame) -> DataFrame:
     """(document, page_count, merged): one JSON text per document of its pages in order.
 
     ``headers`` are (document, page_num, header) and, where the source is known, source; pages without blocks are
-    in it too. The text of one document is one value by nature.
+    in it too, those that are not ``displayed`` are not. The text of one document is one value by nature.
     """
     member = lambda name, value: F.regexp_extract(F.to_json(F.struct(value.alias(name))), r"(?s)^\{(.*)\}$", 1)
     held = F.transform(F.sort_array(F.collect_list(F.struct("block_idx", block_json(blocks.columns).alias("j")))), lambda x: x["j"])
@@ -250,7 +255,7 @@ def merged_json(blocks: DataFrame, headers: DataFrame) -> DataFrame:
     if "source" in headers.columns:
         parts.append(member("source", F.col("source")))
     page = F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
-    pages = headers.where("page_num > 0").join(paged, ["document", "page_num"], "left").select("document", F.struct("page_num", page.alias("j")).alias("p"))
+    pages = displayed(headers).join(paged, ["document", "page_num"], "left").select("document", F.struct("page_num", page.alias("j")).alias("p"))
     joined = F.array_join(F.transform(F.sort_array(F.collect_list("p")), lambda p: p["j"]), ",")
     grouped = pages.groupBy("document").agg(F.count("*").alias("page_count"), joined.alias("pages"))
     whole = F.concat(F.lit("{"), F.concat_ws(",", member("document", F.col("document")), member("page_count", F.col("page_count")), F.concat(F.lit('"pages":['), F.col("pages"), F.lit("]"))), F.lit("}"))

@@ -182,9 +182,12 @@ def paged(blocks: DataFrame, steps: list[stitches.Step]) -> DataFrame:
     return ordered_scan(rows, ["document", "page_num"], ["block_idx"], lambda: Page(steps), f"document {type_of(rows, 'document')}, page_num long, block_idx long, {DDL}")
 
 
-def postprocessed(blocks: DataFrame, c: Correction) -> DataFrame:
-    """(document, page_num, block_idx, ...) of the corrected blocks; null and blank texts are pruned."""
-    timed = corrections.timed_blocks(paged(blocks, put_together(c)), "timestamp", "hint")
+def postprocessed(blocks: DataFrame, c: Correction, listed: DataFrame | None = None) -> DataFrame:
+    """(document, page_num, block_idx, ...) of the corrected blocks; null and blank texts are pruned.
+
+    ``listed`` has the times of other pages of the documents, from which a selection of pages takes its first ones.
+    """
+    timed = corrections.timed_blocks(paged(blocks, put_together(c)), "timestamp", "hint", listed)
     comm = F.col("type") == "comm"
     told = timed.withColumns({"timestamp": F.when(comm & F.col("fixed").isNotNull(), formatted(F.col("fixed"))).otherwise(F.col("timestamp")), "timestamp_correction": F.when(comm, F.coalesce("correction", "timestamp_correction")).otherwise(F.col("timestamp_correction"))})
     return paged(told, corrected(c)).drop("hint")

@@ -36,10 +36,15 @@ FROM (SELECT *, {timecode_sql("s")} AS timestamp_clean FROM (
 KINDS = f"""
 SELECT * REPLACE (CASE WHEN (document + page_num) % 3 = 0 AND block_idx % 7 IN (1, 2, 3, 4, 5) AND type = 'comm' THEN 'annotation' ELSE type END AS type) FROM ({BLOCKS}) k
 """
-#: ``BLOCKS``, and every third block's text again as an annotation behind it, with other blanks and another end.
+#: ``BLOCKS``, and every third block's text again as an annotation behind it, with other blanks and another end; each page begins
+#: and ends with the same remark, and has two blank ones at its end.
 REMARKS = f"""
 SELECT document, page_num, block_idx * 2 AS block_idx, CASE WHEN block_idx % 3 = 0 THEN 'annotation' ELSE type END AS type, text FROM ({BLOCKS}) a
 UNION ALL SELECT document, page_num, block_idx * 2 + 1 AS block_idx, 'annotation' AS type, replace(text, ' ', ' - ') || CASE WHEN block_idx % 2 = 0 THEN ' !' ELSE ' x' END AS text FROM ({BLOCKS}) b WHERE block_idx % 3 = 0
+UNION ALL SELECT DISTINCT document, page_num, -1 AS block_idx, 'annotation' AS type, 'Same - remark' AS text FROM ({BLOCKS}) c
+UNION ALL SELECT DISTINCT document, page_num, 100000 AS block_idx, 'annotation' AS type, '' AS text FROM ({BLOCKS}) d
+UNION ALL SELECT DISTINCT document, page_num, 100001 AS block_idx, 'annotation' AS type, '' AS text FROM ({BLOCKS}) e
+UNION ALL SELECT DISTINCT document, page_num, 100002 AS block_idx, 'annotation' AS type, 'SAME remark!' AS text FROM ({BLOCKS}) f
 """
 
 PAGES = f"""

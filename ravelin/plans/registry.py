@@ -182,11 +182,12 @@ def location_exact_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.blocks(spark, sf_dir).select(*KEY, "location", speakers.exact_location(F.col("location")).alias("corrected"))
 
 
-@query(f"""WITH a AS (SELECT *, CASE WHEN type = 'annotation' THEN trim(regexp_replace(regexp_replace(lower(text), '[^a-z0-9 ]+', ' ', 'g'), '\\s+', ' ', 'g')) END AS n FROM ({REMARKS}) v),
-b AS (SELECT *, lag(n) OVER (PARTITION BY document ORDER BY page_num, block_idx) AS p FROM a)
+@query(f"""WITH a AS (SELECT *, CASE WHEN type = 'annotation' AND text <> '' THEN trim(regexp_replace(regexp_replace(lower(text), '[^a-z0-9 ]+', ' ', 'g'), '\\s+', ' ', 'g')) END AS n FROM ({REMARKS}) v),
+b AS (SELECT *, lag(n) OVER (PARTITION BY document, page_num ORDER BY block_idx) AS p FROM a)
 SELECT document, page_num, block_idx, type FROM b WHERE n IS NULL OR p IS NULL OR n <> p""")
 def adjacent_annotation_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole normalised texts are compared; every third block's text is said again as a remark behind it, with other marks."""
+    """Whole normalised texts are compared; every third block's text is said again as a remark behind it, with other marks. Pages
+    begin and end with one remark, which stays on both sides of a page's end, and two blank ones."""
     return ops.without_repeated_annotations(fixtures.remarks(spark, sf_dir), texts.comparable(F.col("text"))).select(*KEY, "type")
 
 
@@ -337,9 +338,15 @@ def radio_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "conversations").select("conv_id", "turn", texts.radio_called(F.expr(_RADIO)).alias("called"))
 
 
-@query(f"""SELECT document, page_num, block_idx, CASE WHEN block_idx % 4 = 0 THEN 'meta' WHEN block_idx % 4 = 1 THEN 'annotation' ELSE type END AS type,
-  CASE WHEN block_idx % 4 > 1 AND type = 'comm' AND coalesce(speaker, '') = '' THEN 'SC' ELSE speaker END AS speaker FROM ({V1}) v WHERE type = 'comm'""")
+_KINDLY = """CASE block_idx % 8 WHEN 0 THEN ' -- Begin Lunar Rev 4 ' || coalesce(text, '') WHEN 1 THEN 'BEGIN LUNAR REV 4 ' || coalesce(text, '') WHEN 2 THEN '(Unidentifiable) ' || coalesce(text, '')
+  WHEN 3 THEN coalesce(text, '') || ' (unidentifiable)' WHEN 4 THEN '(go) UNINDENTIFIABLE' WHEN 5 THEN '-- (unidentifiable)' ELSE text END"""
+
+
+@query(f"""SELECT document, page_num, block_idx, CASE WHEN rev THEN 'meta' WHEN unknown THEN 'annotation' ELSE type END AS type,
+  CASE WHEN rev OR unknown THEN NULL WHEN type = 'comm' AND coalesce(speaker, '') = '' THEN 'SC' ELSE speaker END AS speaker, CASE WHEN NOT rev AND NOT unknown THEN location END AS location
+FROM (SELECT *, coalesce(type = 'comm' AND starts_with(said, '--') AND contains(upper(said), 'LUNAR REV'), FALSE) AS rev,
+  coalesce(type = 'comm' AND starts_with(said, '(') AND (contains(upper(said), 'UNIDENTIFIABLE') OR contains(upper(said), 'UNINDENTIFIABLE')), FALSE) AS unknown
+  FROM (SELECT *, ltrim({_KINDLY}) AS said FROM ({V1}) v) a) b""")
 def reclassified_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    comm = fixtures.blocks(spark, sf_dir).where("type = 'comm'")
-    noisy = comm.withColumn("text", F.expr("CASE block_idx % 4 WHEN 0 THEN 'BEGIN LUNAR REV 4' WHEN 1 THEN '(Unidentifiable)' ELSE text END"))
-    return ops.reclassified(noisy).select(*KEY, "type", "speaker")
+    """Texts that tell a revolution with and without dashes in front, and unidentifiable ones with and without a bracket."""
+    return ops.reclassified(fixtures.blocks(spark, sf_dir).withColumn("text", F.expr(_KINDLY))).select(*KEY, "type", "speaker", "location")

@@ -112,8 +112,8 @@ def write_index(lists: DataFrame, path: str) -> None:
 
 
 def merged_documents(pages: DataFrame) -> DataFrame:
-    """(document, page_count, merged): one JSON text per document, pages in order."""
+    """(document, page_count, merged): one JSON text per document, pages in order, those numbered below 1 left out."""
     held = F.sort_array(F.collect_list(F.struct("page_num", "header", "blocks")))
     kept = F.transform(held, lambda p: F.struct(p["header"].alias("header"), p["blocks"].alias("blocks")))
-    grouped = pages.where("page_num > 0").groupBy("document").agg(F.count("*").alias("page_count"), kept.alias("pages"))
+    grouped = pages.where(F.coalesce("header.page", F.lit(0)) > 0).groupBy("document").agg(F.count("*").alias("page_count"), kept.alias("pages"))
     return grouped.select("document", "page_count", F.to_json(F.struct("document", "page_count", "pages")).alias("merged"))
