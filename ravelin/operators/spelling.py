@@ -2,8 +2,8 @@
 
 Texts never meet the lexicon: their distinct (word, word before) pairs do, so the work grows with the
 vocabulary of the corpus. A lexicon that is a configuration file is held as one ``Speller``, and the pairs of
-one word meet in one task, which looks it up once. A lexicon that is a table is dealt into blocks: every unknown
-word meets every block, its best candidates of all blocks are merged, and counts of words and bigrams are joined.
+one word meet in one task, which looks it up once. A lexicon that is a table is indexed by rare letters
+(``similar.nearest_words``), so an unknown word meets few known ones; counts of words and bigrams are joined.
 """
 
 from __future__ import annotations
@@ -13,15 +13,13 @@ from collections.abc import Iterable
 from difflib import SequenceMatcher
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ravelin.operators import similar
 from ravelin.operators.scans import Machine, Row, ordered_scan
 from ravelin.shipping import ship
 
-#: Words of a block of the lexicon, and unknown words that meet it in one task, about.
-BLOCK_WORDS, ASKED_WORDS = 20_000, 500
 #: Candidates, least ratios for short and other words, weights of a candidate's score.
 CANDIDATES, SHORT_RATIO, LEAST_RATIO, LIKENESS, LENGTH, BIGRAM = 20, 0.5, 0.6, 10_000, 500, 100
 #: Contractions that are right as they are.
@@ -135,42 +133,19 @@ def suggestions(pairs: DataFrame, speller: Speller) -> DataFrame:
     return ordered_scan(pairs.select("word", "before", "n"), ["word"], ["before"], lambda: OneWord(shared.value), "word string, before string, n long, suggestion string", tasks)
 
 
-def near_words(asked: DataFrame, words: DataFrame, block_words: int = BLOCK_WORDS, asked_words: int = ASKED_WORDS) -> DataFrame:
-    """(low, candidate, ratio, likeness): the nearest ``word`` of all blocks for each distinct ``low``.
-
-    The best ``CANDIDATES`` of a block hold all of the overall best that are in it.
-    """
-    ship(asked.sparkSession)
-    blocks, chunks = (max(1, -(-df.count() // n)) for df, n in ((words, block_words), (asked, asked_words)))
-    dealt = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = asked.select("low", dealt("low", chunks).alias("chunk"), every(blocks).alias("block"))
-    right = words.select("word", dealt("word", blocks).alias("block"), every(chunks).alias("chunk"))
-
-    def met(low: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        speller, out = Speller({}, {}, set(known["word"])), []
-        for w in low["low"] if len(known) else []:
-            out += [(w, c, r, SequenceMatcher(None, w, c).ratio()) for r, c in speller.nearest(w)]
-        return pd.DataFrame(out, columns=["low", "candidate", "ratio", "likeness"])
-
-    found = left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk")).applyInPandas(met, "low string, candidate string, ratio double, likeness double")
-    best = Window.partitionBy("low").orderBy(F.desc("ratio"), F.desc("candidate"))
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= CANDIDATES).drop("rank")
-
-
 def in_case_of(word: Column, found: Column) -> Column:
     """``found`` in the case of ``word``, both of letters and apostrophes."""
     title = F.array_join(F.transform(F.split(found, "'"), lambda x: F.initcap(x)), "'")
     return F.when(word.rlike("^'*[A-Z][a-z]*('+[A-Z][a-z]*)*'*$"), title).when(word.rlike("[A-Z]") & ~word.rlike("[a-z]"), F.upper(found)).otherwise(found)
 
 
-def table_suggestions(pairs: DataFrame, words: DataFrame, bigrams: DataFrame, block_words: int = BLOCK_WORDS, asked_words: int = ASKED_WORDS) -> DataFrame:
+def table_suggestions(pairs: DataFrame, words: DataFrame, bigrams: DataFrame) -> DataFrame:
     """``suggestions`` of a ``Speller`` of all (word, n) and (bigram, n), which no task and no driver holds whole."""
     rows = pairs.select("word", "before", "n", F.lower("word").alias("low"))
     asked = rows.where((F.length("low") >= 3) & ~F.col("low").isin(sorted(CONTRACTIONS))).select("low").distinct()
     asked = asked.join(words.select(F.col("word").alias("low")), "low", "left_anti")
     counts = words.select(F.col("word").alias("candidate"), F.col("n").alias("frequency"))
-    near = near_words(asked, words, block_words, asked_words).where((F.length("low") > 3) | (F.length("candidate") >= F.length("low"))).join(counts, "candidate")
+    near = similar.nearest_words(asked, words, CANDIDATES, SHORT_RATIO, LEAST_RATIO).where((F.length("low") > 3) | (F.length("candidate") >= F.length("low"))).join(counts, "candidate")
     each = rows.join(near, "low").withColumn("bigram", F.concat_ws(" ", F.lower("before"), "candidate"))
     context = bigrams.select("bigram", F.col("n").alias("context"))
     each = each.join(context, "bigram", "left").withColumn("context", F.when(F.col("before").isNull(), 0).otherwise(F.coalesce("context", F.lit(0))))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ravelin.functions import lines
-from ravelin.operators import corrections, pages, spelling, stitches
+from ravelin.operators import corrections, pages, similar, spelling, stitches
 from ravelin.plans import fixtures
 from ravelin.plans.registry import KINDS, V1, query
 
@@ -136,3 +136,18 @@ def spelling_suggestions(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     return spelling.table_suggestions(spelling.word_pairs(turns), spelling.word_counts(documents).select("word", "n"), spelling.bigram_counts(documents))
+
+
+_LETTERS = "SELECT word, len(word) AS n, unnest(string_split(word, '')) AS c FROM (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM {table}) w"
+
+
+@query(f"""WITH a AS (SELECT word AS low, n AS la, c, count(*) AS k FROM ({_LETTERS.format(table="benchmark")}) x WHERE n >= 3 GROUP BY ALL),
+b AS (SELECT word, n AS lb, c, count(*) AS k FROM ({_LETTERS.format(table="conversations")}) x GROUP BY ALL),
+s AS (SELECT low, word, la, lb, CAST(sum(least(a.k, b.k)) AS INTEGER) AS shared FROM a JOIN b ON a.c = b.c AND 2 * least(la, lb) >= 0.8 * (la + lb) - 1e-9 GROUP BY ALL)
+SELECT low, word, shared, round(2 * shared / CAST(la + lb AS DOUBLE), 9) AS bound FROM s WHERE shared >= 0.4 * (la + lb) - 1e-9""")
+def near_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the benchmark and of the conversations that share as many letters as a ratio of 0.8 needs."""
+    words = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"), F.lit(1))).alias("word")).distinct()
+    asked, known = words("benchmark").where(F.length("word") >= 3).withColumnRenamed("word", "low"), words("conversations")
+    left, right, sizes = similar.indexed(asked, known)
+    return similar.candidate_pairs(left, right, sizes, lambda n: F.lit(0.8)).withColumn("bound", F.round("bound", 9))

@@ -59,7 +59,7 @@ def test_speller_of_tables(spark):
     bigrams = {f"{rng.choice(told).lower()} {w}": rng.randint(1, 90) for w in [*words] * 6}
     docs = spark.createDataFrame([(" ".join(told[i : i + 7]),) for i in range(0, len(told), 7)] + [(None,), ("",)], "text string")
     pairs, s = spelling.word_pairs(docs), spelling.Speller(words, bigrams)
-    got = spelling.table_suggestions(pairs, spark.createDataFrame([*words.items()], "word string, n long"), spark.createDataFrame([*bigrams.items()], "bigram string, n long"), block_words=50, asked_words=60)
+    got = spelling.table_suggestions(pairs, spark.createDataFrame([*words.items()], "word string, n long"), spark.createDataFrame([*bigrams.items()], "bigram string, n long"))
     expected = {(r.word, r.before, r.n, x) for r in pairs.collect() if (x := s.suggest(r.word, r.before))}
     rows = [tuple(r) for r in got.collect()]
     assert len(rows) == len(expected) > 200 and set(rows) == expected
