@@ -20,7 +20,7 @@ from ravelin.operators import blocks as ops
 from ravelin.operators import building, export, folds, metrics, postprocess, spelling, stitches
 from ravelin.operators.building import exploded, page_rows
 from ravelin.shipping import ship
-from ravelin.sources import files, pdf
+from ravelin.sources import files, pagefiles, pdf, timeindex
 
 __all__ = ["Settings", "TranscriptEngine", "exploded", "main"]
 KEY = ["document", "page_num", "block_idx"]
@@ -64,11 +64,14 @@ class TranscriptEngine:
         """The blocks of ``read``."""
         return exploded(self.read(page_texts))
 
-    def postprocess(self, blocks: DataFrame) -> DataFrame:
-        """Blocks with corrected structure, times, speakers, places and texts, without noise."""
+    def postprocess(self, blocks: DataFrame, listed: DataFrame | None = None) -> DataFrame:
+        """Blocks with corrected structure, times, speakers, places and texts, without noise.
+
+        ``listed`` is a timestamp index (document, page_num, timestamps), for the times before pages of a selection.
+        """
         s = self.settings
         c = postprocess.Correction(s.valid_speakers, s.speaker_ocr_fixes, s.valid_locations, s.invalid_location_annotations, s.mission_keywords, s.manual_speaker_corrections, self.corrector())
-        return postprocess.postprocessed(blocks, c)
+        return postprocess.postprocessed(blocks, c, listed)
 
     def headers(self, pages: DataFrame) -> DataFrame:
         """(document, page_num, header) with each page's number and tape, by dead reckoning along the document."""
@@ -78,9 +81,9 @@ class TranscriptEngine:
         told = F.col("header").withField("page", F.col("page")).withField("tape", F.col("tape"))
         return read.drop("ocr_tape", "end_of_tape").join(tapes, ["document", "page_num"]).select("document", "page_num", told.alias("header"))
 
-    def corrected_pages(self, pages: DataFrame) -> DataFrame:
+    def corrected_pages(self, pages: DataFrame, listed: DataFrame | None = None) -> DataFrame:
         """(document, page_num, header, blocks) of corrected blocks under corrected headers."""
-        done = page_rows(self.postprocess(exploded(pages)), pages.select("document", "page_num", "header"))
+        done = page_rows(self.postprocess(exploded(pages), listed), pages.select("document", "page_num", "header"))
         return page_rows(exploded(done), self.headers(done))
 
     def export(self, blocks: DataFrame) -> DataFrame:
@@ -107,9 +110,10 @@ class TranscriptEngine:
         files.write_texts(ops.rendered_text(blocks, "timestamp", headers), f"{target}_merged/text", "rendered", ["document"])
         files.write_texts(stitches.rendered_markdown(blocks, "timestamp", headers), f"{target}_merged/markdown", "markdown", ["document"])
 
-    def write_index(self, pages: DataFrame, target: str) -> None:
-        """The timestamp index of each document."""
-        files.write_index(ops.page_time_lists(exploded(pages), "timestamp"), f"{target}_index")
+    def write_index(self, pages: DataFrame, target: str, whole: bool = True) -> None:
+        """The timestamp index of each document: the table, in which pages take the place of those before, and its JSON."""
+        timeindex.upsert(page_times(pages), f"{target}_times", whole)
+        files.write_index(timeindex.read(self.spark, f"{target}_times"), f"{target}_index")
 
     def process(self, images: DataFrame, backend: ocr.OcrBackend, prompts: dict[str, str] | None = None) -> DataFrame:
         """(document, page_num, pass, text, error) of page images, one row per page and reading."""
@@ -118,6 +122,12 @@ class TranscriptEngine:
         return ocr.read_images(images, backend, {k: v for k, v in asked.items() if k in s.readings})
 
 
+def page_times(pages: DataFrame) -> DataFrame:
+    """(document, page_num, timestamps) of all pages, also of those without blocks."""
+    lists = ops.page_time_lists(exploded(pages), "timestamp")
+    return pages.select("document", "page_num").join(lists, ["document", "page_num"], "left").withColumn("timestamps", F.coalesce("timestamps", F.array()))
+
+
 def selected(pages: DataFrame, spec: str | None) -> DataFrame:
     """The pages of a range such as ``1-50,60``; all without one."""
     if not spec:
@@ -160,7 +170,7 @@ def main(arguments: Iterable[str] | None = None, spark: SparkSession | None = No
             backend = ocr.HttpOcr(settings.ocr_url or "", settings.ocr_model, settings.ocr_timeout, settings.ocr_max_tokens)
             engine.process(stored, backend, config.prompts(given.prompts)).write.mode("overwrite").parquet(f"{given.target}_texts")
             read = spark.read.parquet(f"{given.target}_texts").where("error is null")
-            files.write_texts(read.withColumn("name", F.concat(files.page_id(F.col("document"), F.col("page_num")), F.lit("_ocr_"), F.col("pass"))), f"{given.target}_ocr", "text", ["document", "page_num", "pass"])
+            pagefiles.write_files(read.select("document", "page_num", F.col("pass").alias("reading"), F.col("text").alias("content")), f"{given.target}_ocr")
             pages = engine.read(read.select("document", "page_num", "pass", "text"))
             files.write_pages(pages, f"{given.target}_pages")
             done = engine.corrected_pages(files.stored_pages(spark, f"{given.target}_pages"))
@@ -169,10 +179,12 @@ def main(arguments: Iterable[str] | None = None, spark: SparkSession | None = No
     elif given.command == "parse":
         files.write_pages(engine.read(selected(files.ocr_texts(spark, given.source), given.pages)), given.target)
     else:
-        pages = selected(files.stored_pages(spark, given.source), given.pages)
+        pages = selected(files.stored_pages(spark, given.source, given.pages), given.pages)
         if given.command == "postprocess":
-            files.write_pages(engine.corrected_pages(pages), given.target)
-            engine.write_index(files.stored_pages(spark, given.target), given.target)
+            # A selection begins with the times that an earlier run listed for the pages before it.
+            listed = timeindex.read(spark, f"{given.target}_times") if given.pages else None
+            files.write_pages(engine.corrected_pages(pages, listed), given.target)
+            engine.write_index(files.stored_pages(spark, given.target, given.pages), given.target, whole=not given.pages)
         else:
             engine.write_merged(pages, given.target)
 

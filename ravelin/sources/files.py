@@ -7,10 +7,11 @@ import tomllib
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ravelin.sources import pagefiles
+
 PASSES = ("textcol", "faint_fallback", "raw_fallback", "raw")
 BLOCK = "struct<type:string,timestamp:string,speaker:string,location:string,text:string,meta_type:string,timestamp_correction:string,hint:string,continuation_from_prev:boolean>"
 PAGE = f"header struct<page:int,tape:string,is_apollo_title:boolean,page_type:string,footer:boolean>, blocks array<{BLOCK}>"
-STORED = f"document string, page_num long, {PAGE}, source string"
 
 
 def _file() -> Column:
@@ -41,9 +42,21 @@ def page_files(spark: SparkSession, root: str) -> DataFrame:
     return first.select(F.regexp_extract("file", r"([^/]+)_page_\d+[^/]*$", 1).alias("document"), number.cast("long").alias("page_num"), "file", "header", "blocks").where("page_num > 0").orderBy("page_num", "file")
 
 
-def stored_pages(spark: SparkSession, path: str) -> DataFrame:
-    """(document, page_num, header, blocks, source) as ``write_pages`` wrote them."""
-    return spark.read.schema(STORED).json(path).withColumn("source", F.coalesce("source", _file()))
+def _stored(spark: SparkSession, root: str, pages: str | None) -> DataFrame:
+    read = pagefiles.read_files(spark, root, pages=pages)
+    page = F.from_json("content", f"{PAGE}, _broken string", {"columnNameOfCorruptRecord": "_broken"})
+    return read.withColumn("page", page).withColumn("error", F.coalesce("error", F.when(F.col("page._broken").isNotNull() | F.col("page").isNull(), "no page JSON")))
+
+
+def stored_pages(spark: SparkSession, root: str, pages: str | None = None) -> DataFrame:
+    """(document, page_num, header, blocks, source) of the page files that ``write_pages`` wrote; ``pages`` are ranges, of which
+    only the files are opened. Broken files are left out."""
+    return _stored(spark, root, pages).where("error IS NULL").select("document", "page_num", "page.header", "page.blocks", F.col("file").alias("source"))
+
+
+def broken_pages(spark: SparkSession, root: str, pages: str | None = None) -> DataFrame:
+    """(document, page_num, file, error) of page files that can't be read, or hold no page."""
+    return _stored(spark, root, pages).where("error IS NOT NULL").select("document", "page_num", "file", "error")
 
 
 def page_folder(page_num: Column) -> Column:
@@ -90,9 +103,10 @@ def configuration(default: str, mission: str | None = None, file_name: str | Non
     return settings
 
 
-def write_pages(pages: DataFrame, path: str) -> None:
-    """Page JSON partitioned by document; absent keys are left out."""
-    pages.write.mode("overwrite").option("ignoreNullFields", True).partitionBy("document").json(path)
+def write_pages(pages: DataFrame, root: str) -> None:
+    """One file of page JSON per page below ``root``; absent keys are left out, files of other pages stay."""
+    content = F.concat(F.to_json(F.struct("header", "blocks")), F.lit("\n"))
+    pagefiles.write_files(pages.select("document", "page_num", content.alias("content")), root)
 
 
 def write_texts(rows: DataFrame, path: str, text: str, by: list[str]) -> None:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ravelin import engine
+from ravelin.sources import files
 
 TEXT = """Tape 1/2
 Page 3
@@ -36,7 +37,7 @@ def test_commands(spark, tmp_path):
     engine.main(["parse", at("in"), at("parsed")], spark)
     engine.main(["postprocess", at("parsed"), at("done")], spark)
     engine.main(["export", at("done"), at("merged")], spark)
-    page = spark.read.json(at("merged")).select("document", F.explode("blocks").alias("b")).where("b.type = 'comm'")
+    page = files.stored_pages(spark, at("merged")).select("document", F.explode("blocks").alias("b")).where("b.type = 'comm'")
     assert page.count() == 3 and page.first().document == "A"
 
 
@@ -108,6 +109,6 @@ def test_all_commands(spark, tmp_path, capsys):
     index = json.loads(spark.read.text(at("done_index"), wholetext=True).first()[0])
     assert index == {"1": ["01 01 03 04", "01 01 03 10"], "2": [], "3": ["01 03 03 04", "01 03 03 10"]}
     engine.main(["parse", at("in"), at("one"), "--pages", "3"], spark)
-    assert [r.page_num for r in spark.read.json(at("one")).collect()] == [3]
+    assert [r.page_num for r in files.stored_pages(spark, at("one")).collect()] == [3]
     with pytest.raises(SystemExit):
         engine.main(["export", at("done")], spark)
