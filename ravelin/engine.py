@@ -20,7 +20,8 @@ from ravelin.operators import blocks as ops
 from ravelin.operators import building, export, folds, metrics, postprocess, spelling, stitches
 from ravelin.operators.building import exploded, page_rows
 from ravelin.shipping import ship
-from ravelin.sources import files, pagefiles, pdf, timeindex
+from ravelin.sources import files, pagefiles, pdf, resume, timeindex
+from ravelin.sources.stored import written
 
 __all__ = ["Settings", "TranscriptEngine", "exploded", "main"]
 KEY = ["document", "page_num", "block_idx"]
@@ -122,6 +123,26 @@ class TranscriptEngine:
         return ocr.read_images(images, backend, {k: v for k, v in asked.items() if k in s.readings})
 
 
+def read_all(engine: TranscriptEngine, images: DataFrame, backend: ocr.OcrBackend, target: str, prompts: dict[str, str] | None = None, step: int = resume.STEP) -> DataFrame:
+    """(document, page_num, pass, text) of page images, read as far as an earlier run to ``target`` has not done so.
+
+    Every reading is a file below ``target``_ocr. Pages of which a reading failed are tried again at the next start, and pages
+    whose image, prompts or readings are others than before.
+    """
+    told = str(sorted((prompts or config.PROMPTS).items())) + str(engine.settings.readings) + engine.settings.ocr_prompt + (engine.settings.ocr_model or "")
+    hashed = F.sha2(F.concat(F.coalesce("image", F.lit(b"")), F.lit(told).cast("binary")), 256)
+
+    def work(part: DataFrame) -> DataFrame:
+        read = written(engine.process(part, backend, prompts), "readings")
+        pagefiles.write_files(read.where("error IS NULL").select("document", "page_num", F.col("pass").alias("reading"), F.col("text").alias("content")), f"{target}_ocr")
+        return read.groupBy("document", "page_num").agg(F.count("error").alias("failed")).where("failed = 0")
+
+    resume.in_steps(images, hashed, f"{target}_read", work, step)
+    texts = pagefiles.read_files(engine.spark, f"{target}_ocr", "text").where("error IS NULL")
+    wanted = images.select(F.col("document").cast("string"), F.col("page_num").cast("long"))
+    return texts.join(wanted, ["document", "page_num"], "left_semi").select("document", "page_num", F.col("reading").alias("pass"), F.col("content").alias("text"))
+
+
 def page_times(pages: DataFrame) -> DataFrame:
     """(document, page_num, timestamps) of all pages, also of those without blocks."""
     lists = ops.page_time_lists(exploded(pages), "timestamp")
@@ -168,10 +189,7 @@ def main(arguments: Iterable[str] | None = None, spark: SparkSession | None = No
         metrics.totals(stored).show()
         if not given.no_ocr:
             backend = ocr.HttpOcr(settings.ocr_url or "", settings.ocr_model, settings.ocr_timeout, settings.ocr_max_tokens)
-            engine.process(stored, backend, config.prompts(given.prompts)).write.mode("overwrite").parquet(f"{given.target}_texts")
-            read = spark.read.parquet(f"{given.target}_texts").where("error is null")
-            pagefiles.write_files(read.select("document", "page_num", F.col("pass").alias("reading"), F.col("text").alias("content")), f"{given.target}_ocr")
-            pages = engine.read(read.select("document", "page_num", "pass", "text"))
+            pages = engine.read(read_all(engine, stored, backend, given.target, config.prompts(given.prompts)))
             files.write_pages(pages, f"{given.target}_pages")
             done = engine.corrected_pages(files.stored_pages(spark, f"{given.target}_pages"))
             files.write_pages(done, f"{given.target}_corrected")

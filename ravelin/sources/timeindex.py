@@ -17,7 +17,8 @@ PAGES = 100
 SCHEMA = "page_num long, timestamps array<string>, document string, part long"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is such a folder or file, in any file system that Spark knows."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(target)
 
@@ -28,7 +29,7 @@ def _part(page_num: str = "page_num"):
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """(document, page_num, timestamps) of the index; an index that was never written has no pages."""
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return spark.createDataFrame([], StructType.fromDDL(SCHEMA)).select("document", "page_num", "timestamps")
     return spark.read.schema(SCHEMA).parquet(path).select("document", "page_num", "timestamps")
 
@@ -40,7 +41,7 @@ def upsert(lists: DataFrame, path: str, whole: bool = False) -> None:
     """
     spark = lists.sparkSession
     new = lists.select(F.col("page_num").cast("long"), "timestamps", F.col("document").cast("string")).withColumn("part", _part())
-    if not whole and _exists(spark, path):
+    if not whole and exists(spark, path):
         new = written(new, "times-new")  # what is read below is about to be overwritten
         old = spark.read.schema(SCHEMA).parquet(path)
         touched = old.join(new.select("document", "part").distinct(), ["document", "part"], "left_semi")
