@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from ravelin.functions import lines, texts
 from ravelin.functions.timecodes import canonical_seconds, is_blank
 
 ORDER = ["page_num", "block_idx"]
@@ -123,9 +124,9 @@ def merged_runs(blocks: DataFrame, timestamp: str, located: bool = False) -> Dat
     same = (F.col("type") == "comm") & (F.lag("type").over(by_page()) == "comm") & (F.lag(timestamp).over(by_page()) == F.col(timestamp)) & (F.lag("speaker").over(by_page()) == F.col("speaker")) & ~is_blank(F.col("speaker"))
     island = F.sum(F.when(F.coalesce(same, F.lit(False)), 0).otherwise(1)).over(by_page())
     grouped = blocks.withColumn("island", island).groupBy("document", "page_num", "island")
-    texts = F.transform(F.sort_array(F.collect_list(F.struct("block_idx", F.coalesce(F.trim("text"), F.lit("")).alias("t")))), lambda x: x["t"])
+    said = F.transform(F.sort_array(F.collect_list(F.struct("block_idx", F.coalesce(F.trim("text"), F.lit("")).alias("t")))), lambda x: x["t"])
     place = [F.min_by("location", F.when(~is_blank(F.col("location")), F.col("block_idx"))).alias("location")] if located else []
-    return grouped.agg(F.min("block_idx").alias("block_idx"), *place, F.min_by("type", "block_idx").alias("type"), F.min_by(timestamp, "block_idx").alias(timestamp), F.min_by("speaker", "block_idx").alias("speaker"), F.count("*").alias("n_merged"), F.array_join(F.filter(texts, lambda x: x != ""), " ").alias("text")).drop("island")
+    return grouped.agg(F.min("block_idx").alias("block_idx"), *place, F.min_by("type", "block_idx").alias("type"), F.min_by(timestamp, "block_idx").alias(timestamp), F.min_by("speaker", "block_idx").alias("speaker"), F.count("*").alias("n_merged"), F.array_join(F.filter(said, lambda x: x != ""), " ").alias("text")).drop("island")
 
 
 def relaxed_lookup(wanted: DataFrame, blocks: DataFrame, located: bool = False, last: bool = False) -> DataFrame:
@@ -159,8 +160,8 @@ def rendered_text(blocks: DataFrame, timestamp: str, headers: DataFrame | None =
     """One text per document: a line per block under a line per page; ``headers`` (document, page_num, header) name tapes."""
     lead = F.concat(F.rpad(F.coalesce(F.col(timestamp), F.lit("")), 11, " "), F.lit("  "), F.rpad(F.coalesce("speaker", F.lit("")), 5, " "), F.lit("  "), F.when(is_blank(F.col("location")), "").otherwise(F.concat(F.lit("("), F.col("location"), F.lit(") "))))
     line = F.when(F.col("type") == "comm", F.rtrim(F.concat(lead, F.trim(F.coalesce("text", F.lit("")))))).when(F.col("type") == "continuation", F.concat(F.lit(" " * 20), F.trim("text"))).otherwise(F.trim("text"))
-    lines = F.transform(F.sort_array(F.collect_list(F.struct("block_idx", line.alias("t")))), lambda x: x["t"])
-    paged = with_pages(blocks.groupBy("document", "page_num").agg(F.array_join(lines, "\n").alias("lines")), headers)
+    held = F.transform(F.sort_array(F.collect_list(F.struct("block_idx", line.alias("t")))), lambda x: x["t"])
+    paged = with_pages(blocks.groupBy("document", "page_num").agg(F.array_join(held, "\n").alias("lines")), headers)
     label = F.concat(F.lit("==== PAGE "), page_label(F.col("page"), F.col("tape"), " | TAPE "), F.lit(" ===="))
     bodies = F.transform(F.sort_array(F.collect_list(F.struct("page_num", F.concat_ws("\n", label, "lines").alias("body")))), lambda x: x["body"])
     return paged.groupBy("document").agg(F.count("*").alias("page_count"), F.array_join(bodies, "\n\n").alias("rendered"))
@@ -181,6 +182,37 @@ def reclassified(blocks: DataFrame) -> DataFrame:
     return told.withColumns({"speaker": speaker, **places}).withColumn("type", F.col("_kind")).drop("_kind")
 
 
+#: Fixed value: the label of the net, as a text of its own.
+NET = r"^(?i)\(?\s*GOSS\s+NET\s+1\s*\)?$"
+
+
+def quiet(blocks: DataFrame) -> DataFrame:
+    """Without noise: nameless scraps, labels of the net, rests of footers, and comm texts that say nothing."""
+    comm, text = F.col("type") == "comm", F.coalesce("text", F.lit(""))
+    noise = (comm & lines.is_scrap(F.col("speaker"), text)) | text.rlike(NET) | lines.is_not_one(text) | (comm & texts.is_noise(text))
+    return blocks.where(~noise)
+
+
+def one_voice(blocks: DataFrame) -> DataFrame:
+    """Neighbouring comm blocks of one speaker on a page become one where the text goes on, or the one before has no end mark.
+
+    The first gives all columns but the text and, where it has none, timestamp_correction. Continuations from the page before
+    stay apart.
+    """
+    before = lambda c: F.lag(c).over(by_page())
+    same = (F.col("type") == "comm") & (before("type") == "comm") & before("speaker").eqNullSafe(F.col("speaker")) & ~F.coalesce("continuation_from_prev", F.lit(False))
+    open_ended = F.rtrim(before("text")).rlike(r"[^.?!]$")
+    goes_on = lines.starts_continuation(F.col("text")) | F.substring("text", 1, 1).isin(",", ";", ".", ")")
+    island = F.sum(F.when(F.coalesce(same & (goes_on | open_ended), F.lit(False)), 0).otherwise(1)).over(by_page())
+    rest = [c for c in blocks.columns if c not in ("document", "page_num", "block_idx", "text", "timestamp_correction")]
+    first = [F.min_by(c, "block_idx").alias(c) for c in rest]
+    told = F.min_by("timestamp_correction", F.when(~is_blank(F.col("timestamp_correction")), F.col("block_idx"))).alias("timestamp_correction")
+    parts = F.transform(F.sort_array(F.collect_list(F.struct("block_idx", "text"))), lambda x: F.rtrim(x["text"]))
+    text = F.when(F.count("*") > 1, F.trim(F.array_join(parts, " "))).otherwise(F.min_by("text", "block_idx")).alias("text")
+    joined = blocks.withColumn("island", island).groupBy("document", "page_num", "island").agg(F.min("block_idx").alias("block_idx"), *first, text, told)
+    return joined.select(*blocks.columns)
+
+
 def column_fill(empty: DataFrame, lines: DataFrame, order: str = "line_no") -> DataFrame:
     """(document, page_num, block_idx, filled): blocks without text and lines of a page, zipped in order; the shorter ends it."""
     k = lambda order: F.row_number().over(Window.partitionBy("document", "page_num").orderBy(order))

@@ -219,13 +219,13 @@ def displayed(pages: DataFrame) -> DataFrame:
 
 
 def exported(blocks: DataFrame, replacements: dict[str, str] | None = None, speakers: Iterable[str] = (), keywords: Iterable[str] = ()) -> DataFrame:
-    """(document, page_num, block_idx, ...) of the blocks of whole documents, of which ``displayed`` has chosen the pages.
+    """(document, page_num, block_idx, ...) of the blocks of whole documents, of which ``displayed`` has chosen the pages; files are counted from 1.
 
     ``replacements`` are literal; ``speakers`` are names that a text may begin with; ``keywords`` are stations.
     """
     literal, names, known = dict(replacements or {}), list(speakers), list(keywords)
     absent = {c: F.lit(None).cast("boolean" if c == "continuation_from_prev" else "string") for c in OUT if c not in blocks.columns}
-    rows = blocks.withColumns(absent).select("document", *(F.col(c).cast("long").alias(c) for c in ("page_num", "block_idx")), *OUT)
+    rows = blocks.withColumns(absent).where("page_num > 0").select("document", *(F.col(c).cast("long").alias(c) for c in ("page_num", "block_idx")), *OUT)
     key = f"document {type_of(rows, 'document')}, page_num long, block_idx long"
     spoken = ordered_scan(rows, ["document"], ["page_num", "block_idx"], lambda: Spoken(literal, names), f"{key}, {DDL}, part int")
     return ordered_scan(spoken, ["document"], ["page_num", "block_idx", "part"], lambda: Finished(known), f"{key}, {DDL}")

@@ -1,12 +1,12 @@
 """Blocks corrected, in the order of the stages: structure, texts, times, speakers, places, words, stations, kinds, noise.
 
 Three ordered scans: the first and the last see a page at a time, so a document with many pages is spread over
-tasks; only the times between them are read in document order.
+tasks; only the times between them are read in document order. Kinds, noise and neighbours of one speaker are column
+expressions and windows by page behind them.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ravelin.functions import repairs, similarity, stations
 from ravelin.functions.speakers import LOCATIONS, REMARKS, SPEAKER_FIXES, SPEAKERS
 from ravelin.functions.timecodes import formatted
+from ravelin.operators import blocks as ops
 from ravelin.operators import building, corrections, stitches
 from ravelin.operators.building import FIELDS
 from ravelin.operators.scans import Machine, Row, ordered_scan, type_of
@@ -38,11 +39,6 @@ class Correction:
     corrector: repairs.TextCorrector | None = None
 
 
-def is_noise(text: str) -> bool:
-    t = text.strip()
-    return len(t) < 2 or not t.strip("?!.-*") or (t.isdigit() and len(t) <= 2) or (len(t) == 2 and t[0].isdigit() and t[1] in ".-")
-
-
 def said_cleanly(places: Iterable[str]) -> stitches.Step:
     def step(blocks: list[Row]) -> list[Row]:
         return [{**b, "text": repairs.cleaned(b["text"], places)} if b["type"] in SAID and b["text"] else b for b in blocks]
@@ -110,52 +106,11 @@ def stationed(keywords: list[str]) -> stitches.Step:
     return step
 
 
-def kinds(blocks: list[Row]) -> list[Row]:
-    """Comm blocks of a lunar revolution are meta, unidentifiable ones annotations; nameless ones are SC."""
-    for b in blocks:
-        if b["type"] == "comm":
-            text = b["text"].strip()
-            upper = text.upper()
-            if text.startswith("--") and "LUNAR REV" in upper:
-                b.update(type="meta", speaker=None, location=None)
-            elif text.startswith("(") and ("UNIDENTIFIABLE" in upper or "UNINDENTIFIABLE" in upper):
-                b.update(type="annotation", speaker=None, location=None)
-            else:
-                b["speaker"] = b["speaker"] or "SC"
-    return blocks
-
-
-def quiet(blocks: list[Row]) -> list[Row]:
-    """Without noise: nameless scraps, labels of the net, rests of footers, comm texts that say nothing."""
-    out = []
-    for b in blocks:
-        text = b["text"] or ""
-        scrap = b["type"] == "comm" and b["speaker"] == "SC" and len(text.strip()) < 3 and not re.search(r"[^\W_]", text)
-        if not (scrap or building.NET.fullmatch(text) or stitches.is_not_one(text) or (b["type"] == "comm" and is_noise(text))):
-            out.append(b)
-    return out
-
-
-def one_voice(blocks: list[Row]) -> list[Row]:
-    """Neighbouring comm blocks of one speaker join where the text goes on, or the one before has no end mark."""
-    out: list[Row] = []
-    for b in blocks:
-        last = out[-1] if out else None
-        if last and b["type"] == last["type"] == "comm" and b["speaker"] == last["speaker"] and not b["continuation_from_prev"]:
-            text, before = b["text"], last["text"].strip()
-            if text[0].islower() or text.startswith("...") or text[0] in ",;.)" or (before and before[-1] not in ".?!"):
-                last["text"] = f"{before} {text}".strip()
-                last["timestamp_correction"] = last["timestamp_correction"] or b["timestamp_correction"]
-                continue
-        out.append(b)
-    return out
-
-
 def corrected(c: Correction) -> list[stitches.Step]:
     steps: list[stitches.Step] = [named(c)] if c.speakers else []
     steps += [located(c)] if c.places else []
     steps += [worded(c)] if c.corrector else []
-    return [*steps, stationed(c.keywords), kinds, quiet, one_voice, lambda blocks: [b for b in blocks if b["text"].strip()]]
+    return [*steps, stationed(c.keywords)]
 
 
 class Page(Machine):
@@ -190,4 +145,6 @@ def postprocessed(blocks: DataFrame, c: Correction, listed: DataFrame | None = N
     timed = corrections.timed_blocks(paged(blocks, put_together(c)), "timestamp", "hint", listed)
     comm = F.col("type") == "comm"
     told = timed.withColumns({"timestamp": F.when(comm & F.col("fixed").isNotNull(), formatted(F.col("fixed"))).otherwise(F.col("timestamp")), "timestamp_correction": F.when(comm, F.coalesce("correction", "timestamp_correction")).otherwise(F.col("timestamp_correction"))})
-    return paged(told, corrected(c)).drop("hint")
+    said = ops.one_voice(ops.quiet(ops.reclassified(paged(told, corrected(c)).drop("hint"))))
+    said = said.where(F.trim(F.regexp_replace("text", r"\s+", " ")) != "")
+    return said.withColumn("block_idx", (F.row_number().over(ops.by_page()) - 1).cast("long"))

@@ -350,3 +350,20 @@ FROM (SELECT *, coalesce(type = 'comm' AND starts_with(said, '--') AND contains(
 def reclassified_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts that tell a revolution with and without dashes in front, and unidentifiable ones with and without a bracket."""
     return ops.reclassified(fixtures.blocks(spark, sf_dir).withColumn("text", F.expr(_KINDLY))).select(*KEY, "type", "speaker", "location")
+
+
+_VOICE = "CASE WHEN block_idx % 3 = 0 THEN 'CC' WHEN coalesce(speaker, '') = '' THEN 'SC' ELSE speaker END"
+_UTTERED = "CASE (document + page_num + block_idx) % 5 WHEN 0 THEN '12' WHEN 1 THEN lower(text) WHEN 2 THEN rtrim(text, '.?! ') WHEN 3 THEN 'GOSS NET 1' ELSE text END"
+
+
+@query(rf"""WITH v AS (SELECT document, page_num, block_idx, type, {_VOICE} AS speaker, {_UTTERED} AS text, CASE WHEN block_idx % 4 = 0 THEN 'k' || CAST(block_idx AS STRING) END AS tc FROM ({V1}) x),
+q AS (SELECT * FROM v WHERE NOT (regexp_full_match(text, '(?i)\(?\s*GOSS\s+NET\s+1\s*\)?') OR (type = 'comm' AND (length(trim(text)) < 2 OR regexp_full_match(trim(text), '[?!.*-]+|\d{{1,2}}|\d[.-]'))))),
+l AS (SELECT *, CASE WHEN type = 'comm' AND lag(type) OVER w = 'comm' AND lag(speaker) OVER w = speaker AND (regexp_matches(text, '^(\p{{Ll}}|\.\.\.|[,;.)])') OR regexp_matches(rtrim(lag(text) OVER w), '[^.?!]$')) THEN 0 ELSE 1 END AS n
+  FROM q WINDOW w AS (PARTITION BY document, page_num ORDER BY block_idx)),
+i AS (SELECT *, sum(n) OVER (PARTITION BY document, page_num ORDER BY block_idx) AS island FROM l)
+SELECT document, page_num, min(block_idx) AS block_idx, arg_min(type, block_idx) AS type, arg_min(speaker, block_idx) AS speaker, arg_min(tc, block_idx) FILTER (tc IS NOT NULL) AS timestamp_correction,
+  CASE WHEN count(*) > 1 THEN trim(string_agg(rtrim(text), ' ' ORDER BY block_idx)) ELSE min(text) END AS text FROM i GROUP BY document, page_num, island""")
+def one_voice_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without noise, neighbours of one speaker joined, as the engine ends its corrections."""
+    rows = fixtures.blocks(spark, sf_dir).select(*KEY, "type", F.expr(_VOICE).alias("speaker"), F.expr(_UTTERED.replace("rtrim(text, '.?! ')", "rtrim('.?! ', text)")).alias("text"), F.expr("CASE WHEN block_idx % 4 = 0 THEN 'k' || CAST(block_idx AS STRING) END").alias("timestamp_correction"), F.lit(None).cast("boolean").alias("continuation_from_prev"))
+    return ops.one_voice(ops.quiet(rows)).drop("continuation_from_prev")

@@ -60,11 +60,23 @@ def test_stages_of_correction():
     assert kept(named)[:4] == [("comm", "a", "CC", None, "Apollo over here"), ("comm", "b", "CDR", None, "go"), ("comm", "m", "PAO", None, "yes"), ("comm", "c", "LMP", None, "go")]
     marked = postprocess.stationed(["HAWAII"])([comm("HAWAII (RFV 4)", None, "CC"), comm("HAWAII (REV 5) go", "t", "CC"), comm("", "u"), comm("ELSE (REV 1)", "v")])
     assert kept(marked) == [("annotation", None, None, None, "HAWAII (REV 4)"), ("comm", "t", "CC", None, "go"), ("annotation", None, None, None, "HAWAII (REV 5)"), ("comm", "v", None, None, "ELSE (REV 1)")]
-    told = postprocess.kinds([comm("-- BEGIN LUNAR REV 3", "t", "CC"), comm("(Unidentifiable)", "u", "CC"), comm("BEGIN LUNAR REV", "v"), comm("x", "w", "CC")])
+
+
+def page_of(spark, blocks):
+    from ravelin.operators.postprocess import COLUMNS, DDL
+
+    return spark.createDataFrame([(1, 1, i, *(b[c] for c in COLUMNS)) for i, b in enumerate(blocks)], f"document long, page_num long, block_idx long, {DDL}")
+
+
+def test_kinds_noise_and_voices(spark):
+    rows = lambda df: df.orderBy("block_idx").collect()
+    told = rows(ops.reclassified(page_of(spark, [comm("-- BEGIN LUNAR REV 3", "t", "CC"), comm("(Unidentifiable)", "u", "CC"), comm("BEGIN LUNAR REV", "v"), comm("x", "w", "CC")])))
     assert [(b["type"], b["speaker"]) for b in told] == [("meta", None), ("annotation", None), ("comm", "SC"), ("comm", "CC")]
-    assert kept(postprocess.quiet([comm("-?", "a", "SC"), comm("12", "b", "CC"), comm("GOSS NET 1", "c", "CC"), comm("(60:33 NOT 1)", "d", "CC"), comm("1.", "e", "CC"), comm("No.", "f", "SC"), block("annotation", "..")])) == [("comm", "f", "SC", None, "No."), ("annotation", None, None, None, "..")]
-    voices = postprocess.one_voice([comm("Go on", "a", "CC"), comm("With it.", "b", "CC", timestamp_correction="k"), comm("and more.", "c", "CC"), comm("New.", "d", "CC"), comm("so", "e", "CC", continuation_from_prev=True)])
-    assert [(b["text"], b["timestamp_correction"]) for b in voices] == [("Go on With it. and more.", "k"), ("New.", None), ("so", None)]
+    noisy = [comm("-?", "a", "SC"), comm("12", "b", "CC"), comm("GOSS NET 1", "c", "CC"), comm("(60:33 NOT 1)", "d", "CC"), comm("1.", "e", "CC"), comm("No.", "f", "SC"), block("annotation", "..")]
+    assert kept(rows(ops.quiet(page_of(spark, noisy)))) == [("comm", "f", "SC", None, "No."), ("annotation", None, None, None, "..")]
+    said = [comm("Go on", "a", "CC"), comm("With it.", "b", "CC", timestamp_correction="k"), comm("and more.", "c", "CC"), comm("New.", "d", "CC"), comm("so", "e", "CC", continuation_from_prev=True), block("annotation", "x"), comm("on", "f", "CC"), comm("and", "g", "CDR")]
+    voices = rows(ops.one_voice(page_of(spark, said)))
+    assert [(b["text"], b["timestamp"], b["timestamp_correction"]) for b in voices] == [("Go on With it. and more.", "a", "k"), ("New.", "d", None), ("so", "e", None), ("x", None, None), ("on", "f", None), ("and", "g", None)]
 
 
 def export_rows(spark, rows):
