@@ -7,7 +7,8 @@ keyword. The scorer for near names is kept apart, as its sums stay below the lea
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
+from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -55,46 +56,59 @@ def near(name: str, keywords: Iterable[str]) -> str | None:
     return best[1] if best[0] >= LEAST else None
 
 
-def label(station: str, mark: str, number: str) -> str:
-    return f"{station} ({mark.upper().replace('RFV', 'REV')} {number})"
+class Spot(NamedTuple):
+    """A name with its mark in a text: where, the station it is known as (None if it is none), and what the mark says."""
 
+    start: int
+    end: int
+    station: str | None
+    mark: str
+    number: str
 
-def without_stations(text: str, keywords: Iterable[str]) -> tuple[str, list[str]]:
-    """A merged text without the known stations in it, and their labels."""
-    known, found = {k.upper() for k in keywords}, []
+    @property
+    def label(self) -> str:
+        return f"{self.station} ({self.mark.upper().replace('RFV', 'REV')} {self.number})"
+
+
+def spots(text: str, pattern: re.Pattern, known: Callable[[str], str | None]) -> Iterator[Spot]:
+    """What ``pattern`` finds in a text, one behind the other."""
+    for m in pattern.finditer(text):
+        yield Spot(m.start(), m.end(), known(m[1].strip()), m[2], m[3])
+
+
+def among(keywords: Iterable[str]) -> Callable[[str], str | None]:
+    """Names to the keyword that they are known as."""
+    upper = {k.upper() for k in keywords}
+    return lambda name: matched(name, upper)
 
-    def taken(m: re.Match) -> str:
-        if station := matched(re.split("[.:;]", m[1].strip())[-1], known):
-            found.append(label(station, m[2], m[3]))
-            return ""
-        return m[0]
 
-    rest = MERGED.sub(taken, text)
-    return re.sub(r"\s{2,}", " ", rest).strip(" -;,.").strip(), found
+def _replaced(text: str, found: list[Spot], by: Callable[[Spot], str]) -> str:
+    ends = [0, *(s.end for s in found)]
+    return "".join(text[a : s.start] + by(s) for a, s in zip(ends, found, strict=False)) + text[ends[-1] :]
+
+
+def without_stations(text: str, keywords: Iterable[str]) -> tuple[str, list[str]]:
+    """A merged text without the known stations in it, and their labels."""
+    known = among(keywords)
+    found = [s for s in spots(text, MERGED, lambda name: known(re.split("[.:;]", name)[-1])) if s.station]
+    rest = re.sub(r"\s{2,}", " ", _replaced(text, found, lambda s: ""))
+    return rest.strip(" -;,.").strip(), [s.label for s in found]
 
 
 def taken_from_page_text(text: str, keywords: Iterable[str]) -> tuple[str, list[str]]:
     """A page's text without its leading run of stations; the first unknown one ends it. Without keywords all are known."""
-    known, found = {k.upper() for k in keywords}, []
-    while m := READ.search(text):
-        raw = m[1].strip().upper()
-        station = matched(raw, known) if known else raw
-        if not station:
-            break
-        found.append(label(station, m[2], m[3]))
-        text = (text[: m.start()] + text[m.end() :]).strip()
-    return text, found
+    keywords, labels = list(keywords), []
+    known = among(keywords) if keywords else str.upper
+    while (first := next(spots(text, READ, known), None)) and first.station:
+        labels.append(first.label)
+        text = _replaced(text, [first], lambda s: "").strip()
+    return text, labels
 
 
 def named_as_known(text: str, keywords: Iterable[str]) -> str:
     """Stations in a text by their known names."""
-    known = {k.upper() for k in keywords}
-
-    def named(m: re.Match) -> str:
-        station = matched(m[1].strip(), known)
-        return f"{station} ({m[2].upper()} {m[3]})" if station else m[0]
-
-    return SPOKEN.sub(named, text)
+    found = [s for s in spots(text, SPOKEN, among(keywords)) if s.station]
+    return _replaced(text, found, lambda s: s.label)
 
 
 def is_station_line(text: str, keywords: Iterable[str]) -> bool:
