@@ -37,13 +37,15 @@ from pyspark.sql import functions as F
 from ravelin.llm.common import discard, map_arrow, materialize
 from ravelin.llm.run_index import repeated_starts, runs_of
 
-#: Bytes of a match; bytes of a gram (a power of two); starts in an anchor's or in a shared index; bytes read at a time.
+#: Bytes of a match; bytes of a gram (a power of two); starts in an anchor's or in a shared index; bytes read at a time; the
+#: share of all starts, as 1 in so many, from which an anchor's segments are not dealt by anchor.
 LONG = 200
 GRAM = 32
 MOST = 200_000
 SHARED = 50_000
 BLOCK = 1 << 17
 LARGEST = 1 << 20
+HOT = 1000
 
 #: Odd multipliers of the hashes (any odd numbers do).
 MIX, STEP, BASE = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
@@ -234,8 +236,13 @@ def repeats(docs: DataFrame) -> DataFrame:
     twice = shared.join(kinds.where("seen > 1").select("anchor", "digest"), ["anchor", "digest"], "left_semi").select("doc", "text_hash", "start", "n")
 
     groups = kinds.groupBy("anchor").agg(F.count("*").alias("different"), F.sum("n").alias("starts"), F.sum(F.when((F.col("seen") == 1) & F.col("again"), 1).otherwise(0)).alias("alone"), F.min("seen").alias("least"))
-    groups = groups.where("least = 1 AND (different > 1 OR alone > 0)").select("anchor", "starts")
-    wanted = kinds.join(groups, "anchor").groupBy("doc", "text_hash").agg(F.collect_list(F.struct("anchor", "digest", "start", "n", "seen", "starts")).alias("wanted"))
+    groups = materialize(groups.where("least = 1 AND (different > 1 OR alone > 0)").select("anchor", "starts"), "anchors")
+    # Starts add up to ``whole``, so at most ``HOT`` anchors have that share; the segments of these are joined where they lie.
+    whole = kinds.agg(F.sum("n")).first()[0] or 0
+    is_hot = F.col("starts") * HOT >= F.lit(whole)
+    tagged = kinds.join(F.broadcast(groups.where(is_hot).withColumnRenamed("starts", "hot")), "anchor", "left")
+    chosen = tagged.where("hot IS NOT NULL").withColumnRenamed("hot", "starts").unionByName(tagged.where("hot IS NULL").drop("hot").join(groups.where(~is_hot), "anchor"))
+    wanted = chosen.groupBy("doc", "text_hash").agg(F.collect_list(F.struct("anchor", "digest", "start", "n", "seen", "starts")).alias("wanted"))
     met = long.join(wanted, ["doc", "text_hash"])
 
     def pieces(of: str) -> DataFrame:
