@@ -30,7 +30,7 @@ def timed_comm(blocks: DataFrame, timestamp: str = "timestamp_clean") -> DataFra
 def page_ranges(specs: DataFrame) -> DataFrame:
     """(spec, page): zero-based distinct pages of ``1-50,60`` within ``max_pages``; a blank spec has all.
 
-    An error on what is no number and on pages below 1; pages beyond the last are left out.
+    Further columns of ``specs`` stay with them. An error on what is no number and on pages below 1; pages beyond the last are left out.
     """
     bare = F.regexp_replace("spec", " ", "")
     asked = specs.withColumn("part", F.explode(F.filter(F.split(bare, ","), lambda p: p != "")))
@@ -38,8 +38,9 @@ def page_ranges(specs: DataFrame) -> DataFrame:
     number = lambda c: F.when(c.rlike(r"^\d+$"), c.cast("bigint")).otherwise(F.raise_error(F.concat(F.lit("no page: "), F.col("part"))))
     low, high = number(bounds[0]), number(F.element_at(bounds, -1))
     checked = asked.withColumns({"low": F.when(low >= 1, low).otherwise(F.raise_error(F.lit("pages begin at 1"))), "high": F.least(high, F.col("max_pages"))})
-    some = checked.where("low <= high").select("spec", F.explode(F.sequence(F.col("low") - 1, F.col("high") - 1)).alias("page"))
-    every = specs.where((bare == "") & (F.col("max_pages") > 0)).select("spec", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("max_pages") - 1)).alias("page"))
+    kept = [c for c in specs.columns if c != "max_pages"]
+    some = checked.where("low <= high").select(*kept, F.explode(F.sequence(F.col("low") - 1, F.col("high") - 1)).alias("page"))
+    every = specs.where((bare == "") & (F.col("max_pages") > 0)).select(*kept, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("max_pages") - 1)).alias("page"))
     return some.union(every).distinct()
 
 

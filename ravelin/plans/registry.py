@@ -45,13 +45,17 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("at", "line")).select("doc_id", (F.col("at") + 1).cast("bigint").alias("line_no"), "line")
 
 
-@query(
-    """SELECT spec, page FROM (
-  SELECT '1-3,5' AS spec, unnest([0, 1, 2, 4]) AS page UNION ALL SELECT '9-20', unnest([8, 9]) UNION ALL SELECT '2,2,1-2', unnest([0, 1])) x"""
-)
+_SPEC = "CASE document % 4 WHEN 0 THEN '1-3,5' WHEN 1 THEN '4-20' WHEN 2 THEN '' ELSE CAST(document % 7 + 1 AS STRING) || ', 2-3,2' END"
+
+
+@query(f"""WITH d AS (SELECT document, {_SPEC} AS spec, max(page_num) AS last FROM ({V1}) v GROUP BY document),
+p AS (SELECT document, spec, last, unnest(string_split(CASE spec WHEN '' THEN '1-' || CAST(last AS STRING) ELSE replace(spec, ' ', '') END, ',')) AS part FROM d),
+r AS (SELECT document, spec, unnest(range(CAST(string_split(part, '-')[1] AS BIGINT), least(CAST(string_split(part, '-')[-1] AS BIGINT), last) + 1)) AS page_num FROM p)
+SELECT DISTINCT document, spec, page_num - 1 AS page FROM r""")
 def page_range_select(spark: SparkSession, sf_dir: str) -> DataFrame:
-    specs = spark.createDataFrame([("1-3,5", 10), ("9-20", 10), ("2,2,1-2", 10)], "spec string, max_pages bigint")
-    return ops.page_ranges(specs).select("spec", F.col("page").cast("int").alias("page"))
+    """The pages that each document's own range has."""
+    specs = fixtures.blocks(spark, sf_dir).groupBy("document").agg(F.max("page_num").alias("max_pages")).withColumn("spec", F.expr(_SPEC))
+    return ops.page_ranges(specs).select("document", "spec", "page")
 
 
 @query(f"""SELECT document, count(*) FILTER (type = 'comm') AS n_comm, count(*) FILTER (type = 'meta') AS n_meta,

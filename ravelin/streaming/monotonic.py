@@ -1,4 +1,4 @@
-"""The timestamp and tape corrections as stateful streams: one small state per document."""
+"""Rising times as a stateful stream: one small state per document. ``streaming.pages`` has the other corrections."""
 
 from __future__ import annotations
 
