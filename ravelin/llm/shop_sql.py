@@ -24,7 +24,7 @@ u AS (
   SELECT sale_id, line_no, line_item_id, (n - (n % d + d) % d) // d AS u,
     {crc32("(sale_id || ',' || coalesce(CAST(line_no AS VARCHAR), '') || ',' || line_item_id)")} AS crc
   FROM l, crc_table),
-i AS (SELECT row_number() OVER () AS r, CAST(item_id AS BIGINT) AS item_id, CAST(floor(100 * price + 0.5) AS BIGINT) AS p FROM items),
+i AS MATERIALIZED (SELECT row_number() OVER () AS r, CAST(item_id AS BIGINT) AS item_id, CAST(floor(100 * price + 0.5) AS BIGINT) AS p FROM items),
 pairs AS (
   SELECT r, item_id, abs(u - p) AS gap, u, sale_id, line_no, line_item_id, crc
   FROM i JOIN u ON line_item_id <> item_id AND (abs(u - p) <= 100 OR 1000 * abs(u - p) <= greatest(u, p))),
@@ -74,7 +74,7 @@ FROM own JOIN below USING (owner, depth) LEFT JOIN ends USING (owner, depth)
 """
 
 OP13 = """
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
 blocks AS (SELECT r, k, substr(h, 512 * k + 1, 910) AS h, least(256, strlen(h) // 2 - 256 * k) AS n FROM (SELECT *, unnest(range((strlen(h) + 511) // 512)) AS k FROM d)),
 bytes AS (SELECT r, k, h, unnest(range(n)) AS j FROM blocks),
 strings AS (
