@@ -220,6 +220,17 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([doc] * n, pa.int64()), pa.array([text_hash] * n, pa.int64()), pa.array(range(start, start + n), pa.int32()), pa.array(found, pa.binary())], ["doc", "text_hash", "start", "string"])
 
 
+def _met(rows: DataFrame, anchors: DataFrame, weight: str, total: int) -> DataFrame:
+    """``rows`` joined to ``anchors`` (anchor, ``weight``), however many of them have one anchor.
+
+    Weights add up to ``total`` at most, so no more than ``HOT`` anchors have that share; rows of these are joined where they lie.
+    """
+    is_hot = F.col(weight) * HOT >= F.lit(total)
+    tagged = rows.join(F.broadcast(anchors.where(is_hot).withColumnRenamed(weight, "hot")), "anchor", "left")
+    hot = tagged.where("hot IS NOT NULL").withColumnRenamed("hot", weight)
+    return hot.unionByName(tagged.where("hot IS NULL").drop("hot").join(anchors.where(~is_hot), "anchor"))
+
+
 def repeats(docs: DataFrame) -> DataFrame:
     """(doc, text_hash, start, n): runs of starts of strings of ``LONG`` bytes that start elsewhere, too.
 
@@ -227,9 +238,10 @@ def repeats(docs: DataFrame) -> DataFrame:
     """
     long = docs.where(F.octet_length("text") >= LONG)
     marks = materialize(map_arrow(long.select("doc", "text_hash", "text"), _marks, MARKS), "marks")
-    anchors = marks.groupBy("anchor").agg(F.sum(F.when(F.col("again"), 2).otherwise(1)).alias("seen")).where("seen > 1").select("anchor")
-    shared = materialize(marks.join(anchors, "anchor"), "marks-shared")
+    anchors = materialize(marks.groupBy("anchor").agg(F.sum(F.when(F.col("again"), 2).otherwise(1)).alias("seen")).where("seen > 1"), "anchors-seen")
+    shared = materialize(_met(marks, anchors, "seen", 2 * marks.count()).drop("seen"), "marks-shared")
     discard(marks)
+    discard(anchors)
 
     kinds = shared.groupBy("anchor", "digest").agg(F.count("*").alias("seen"), F.max("again").alias("again"), F.min(F.struct("doc", "text_hash", "start", "n")).alias("at"))
     kinds = materialize(kinds.select("anchor", "digest", "seen", "again", "at.*"), "segments")
@@ -237,12 +249,7 @@ def repeats(docs: DataFrame) -> DataFrame:
 
     groups = kinds.groupBy("anchor").agg(F.count("*").alias("different"), F.sum("n").alias("starts"), F.sum(F.when((F.col("seen") == 1) & F.col("again"), 1).otherwise(0)).alias("alone"), F.min("seen").alias("least"))
     groups = materialize(groups.where("least = 1 AND (different > 1 OR alone > 0)").select("anchor", "starts"), "anchors")
-    # Starts add up to ``whole``, so at most ``HOT`` anchors have that share; the segments of these are joined where they lie.
-    whole = kinds.agg(F.sum("n")).first()[0] or 0
-    is_hot = F.col("starts") * HOT >= F.lit(whole)
-    tagged = kinds.join(F.broadcast(groups.where(is_hot).withColumnRenamed("starts", "hot")), "anchor", "left")
-    chosen = tagged.where("hot IS NOT NULL").withColumnRenamed("hot", "starts").unionByName(tagged.where("hot IS NULL").drop("hot").join(groups.where(~is_hot), "anchor"))
-    wanted = chosen.groupBy("doc", "text_hash").agg(F.collect_list(F.struct("anchor", "digest", "start", "n", "seen", "starts")).alias("wanted"))
+    wanted = _met(kinds, groups, "starts", kinds.agg(F.sum("n")).first()[0] or 0).groupBy("doc", "text_hash").agg(F.collect_list(F.struct("anchor", "digest", "start", "n", "seen", "starts")).alias("wanted"))
     met = long.join(wanted, ["doc", "text_hash"])
 
     def pieces(of: str) -> DataFrame:
