@@ -252,7 +252,7 @@ def built_pages(page_texts: DataFrame, building: Building) -> DataFrame:
             builder.push(row)
             return builder.end()
 
-        return row_map(rows, each, output)
+        return row_map(rows, each, output, dealt=True)
     return ordered_scan(rows, ["document", "page_num"], ["rank", "text"], lambda: PageBuilder(building), output)
 
 

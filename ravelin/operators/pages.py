@@ -335,7 +335,7 @@ def parsed(pages: DataFrame, names: list[str] | None = None, keywords: Iterable[
         return [{**r, "document": page["document"], "page_num": page["page_num"], "block_idx": i, "type": "continuation" if r["type"] == "text" else r["type"], "meta_type": meta_type(r["text"]) if r["type"] == "meta" else None, "footer": footer} for i, r in enumerate(kept)]
 
     rows = pages.select("document", F.col("page_num").cast("long"), "text")
-    return row_map(rows, each, f"document {type_of(rows, 'document')}, page_num long, block_idx long, type string, timestamp string, speaker string, location string, text string, hint string, meta_type string, footer boolean")
+    return row_map(rows, each, f"document {type_of(rows, 'document')}, page_num long, block_idx long, type string, timestamp string, speaker string, location string, text string, hint string, meta_type string, footer boolean", dealt=True)
 
 
 # two readings of a page

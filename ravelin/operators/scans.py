@@ -42,7 +42,8 @@ def type_of(df: DataFrame, column: str) -> str:
 def ordered_scan(df: DataFrame, keys: list[str], order: list[str], machine: Callable[[], Machine], output: str, tasks: int | None = None) -> DataFrame:
     """Rows written by one ``machine`` per distinct ``keys``, fed in ``order``; ``output`` is their DDL.
 
-    ``tasks`` fixes their number where the work, not the size of the rows, asks for it.
+    ``tasks`` fixes their number where the work, not the size of the rows, asks for it. Pages are such work: scans by page
+    have as many tasks as the session has shuffle partitions, which adaptive execution does not put together.
     Null keys are a key of their own; an empty table gives no rows; ties in ``order`` come in any order.
     """
     ship(df.sparkSession)
@@ -63,13 +64,19 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[str], machine: Call
         if now and (out := now.end()):
             yield pa.RecordBatch.from_pylist(out, schema)
 
+    tasks = tasks or (page_tasks(df) if "page_num" in keys else None)
     dealt = df.repartition(tasks, *keys) if tasks else df.repartition(*keys)
     return dealt.sortWithinPartitions(*keys, *order).mapInArrow(run, output)
 
 
-def row_map(df: DataFrame, each: Callable[[Row], list[Row]], output: str) -> DataFrame:
-    """Rows that ``each`` makes of every row, one Arrow batch at a time; no shuffle."""
+def page_tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def row_map(df: DataFrame, each: Callable[[Row], list[Row]], output: str, dealt: bool = False) -> DataFrame:
+    """Rows that ``each`` makes of every row, one Arrow batch at a time; rows that are much work are ``dealt`` out evenly first."""
     ship(df.sparkSession)
+    df = df.repartition(page_tasks(df)) if dealt else df
     schema = _arrow(df.sparkSession, output)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
