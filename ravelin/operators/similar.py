@@ -1,30 +1,39 @@
-"""Similarity join of words: the nearest known words of each asked one by gestalt ratio, through an index of rare letters.
-
-A ratio of r needs so many shared letters: twice their number is at least r times both lengths. Letters of a word, the
-second of a kind apart from the first, are put in one order for all words, rarest first. Words with t letters in
-common then share their first two common letters within the first ``length - t + 2`` of each, so an index by both lengths and pairs
-of those letters finds all of them (by single ones where t is 1, or words are so long that pairs would be many). A pair
-of words is taken at the first two of its common letters only, and if it has t of them: each is met once, with a bound on its
-ratio. The real ratios of an asked word are worked out in order of that bound, until it falls below the last one kept.
-
-Thresholds fall by round: a word that has enough candidates above one is done, so most never meet the low ones; the others
-go on with the best they have, and meet only what lies between that threshold and the next.
+"""Similarity joins of words: the nearest known words of each asked one by gestalt ratio, and words that share letters.
+
+The nearest words are sought by groups of asked words, each of which meets all known words block by block. Most pairs are told
+apart by bounds that are worked out for a whole block at once: lengths, shared letters, the longest common subsequence. The real
+ratios are worked out in order of the last bound, until it falls below the last ratio kept. What a task holds is its group with
+the candidates kept, and one block.
+
+Words that share letters go through an index of rare letters. A ratio of r needs so many shared letters: twice their number is at
+least r times both lengths. Letters of a word, the second of a kind apart from the first, are put in one order for all words,
+rarest first. Words with t letters in common then share their first two common letters within the first ``length - t + 2`` of each,
+so an index by both lengths and pairs of those letters finds all of them (by single ones where t is 1, or words are so long that
+pairs would be many). A pair of words is taken at the first two of its common letters only, and if it has t of them: each is met once.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
+from collections import Counter
+from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ravelin.operators.scans import Machine, Row, ordered_scan
+from ravelin.operators.scans import Row, _arrow
+from ravelin.shipping import ship
 from ravelin.sources.stored import written
 
-#: Letters that have a place in the order by frequency (others are rarest), both lengths from which single letters are
-#: indexed, and what ratios words are tried at first.
-ALPHABET, LONG, ROUNDS = 64, 48, (0.8, 0.7)
+#: Letters that have a place in the order by frequency (others are rarest), and both lengths from which single letters are indexed.
+ALPHABET, LONG = 64, 48
+#: Letters of a word that has bits for them, known words in a block, and the most and fewest asked words in a group.
+BITS, BLOCK, GROUP, MEET = 63, 16384, 2048, 64
+NEAR = "low string, candidate string, ratio double, likeness double"
 
 
 def letters(word: Column, order: dict[str, int]) -> Column:
@@ -44,10 +53,6 @@ def rarest_first(words: DataFrame) -> dict[str, int]:
     return {r["c"]: len(counted) - i for i, r in enumerate(counted)}
 
 
-def least_ratio(asked_length: Column, ratio: float | None, short: float, other: float) -> Column:
-    return F.when(asked_length <= 3, F.lit(short)).otherwise(F.lit(other)) if ratio is None else F.lit(ratio)
-
-
 def needed(ratio: Column, a: Column, b: Column) -> Column:
     """Shared letters without which no ratio is reached."""
     return F.greatest(F.ceil(ratio * (a + b) / 2 - F.lit(1e-9)).cast("int"), F.lit(1))
@@ -68,43 +73,95 @@ def _keys(words: DataFrame, lengths: list[int], own: str, ratio_of) -> DataFrame
     return fits.withColumn("size", size).withColumn("key", F.explode(keys)).withColumn("single", single).drop("size")
 
 
-def candidate_pairs(asked: DataFrame, known: DataFrame, lengths: tuple[list[int], list[int]], ratio_of, below: float | None = None) -> DataFrame:
+def candidate_pairs(asked: DataFrame, known: DataFrame, lengths: tuple[list[int], list[int]], ratio_of) -> DataFrame:
     """(low, word, shared, bound): pairs of words with as many shared letters as the ratio needs, each once.
 
-    Both sides have word, letters and n; ``lengths`` are those of both, asked first. Pairs that have what the ratio
-    ``below`` needs are left out.
+    Both sides have word, letters and n; ``lengths`` are those of both, asked first.
     """
     left = _keys(asked, lengths[1], "asked", ratio_of).select(F.col("word").alias("low"), F.col("letters").alias("left"), F.col("n").alias("a"), F.col("other").alias("b"), "key", "single")
     right = _keys(known, lengths[0], "known", ratio_of).select("word", F.col("letters").alias("right"), F.col("n").alias("b"), F.col("other").alias("a"), "key")
     met = left.join(right, ["a", "b", "key"]).withColumn("common", F.array_intersect("left", "right"))
     first = F.when(F.col("single"), F.xxhash64(F.get("common", F.lit(0)))).otherwise(F.xxhash64(F.get("common", F.lit(0)), F.get("common", F.lit(1))))
     enough = F.size("common") >= needed(ratio_of(F.col("a")), F.col("a"), F.col("b"))
-    if below is not None:
-        enough = enough & (F.size("common") < needed(F.lit(below), F.col("a"), F.col("b")))
     return met.where(enough & (first == F.col("key"))).select("low", "word", F.size("common").alias("shared"), (2 * F.size("common") / (F.col("a") + F.col("b"))).alias("bound"))
 
 
-class Nearest(Machine):
-    """The best candidates of one asked word: first those it has already, then pairs in order of their bound."""
-
-    def __init__(self, keep: int, least) -> None:
-        self.keep, self.least, self.low, self.match, self.best = keep, least, None, None, []
-
-    def push(self, row: Row) -> list[Row]:
-        if self.low is None:
-            self.low, self.match = row["low"], SequenceMatcher()
-            self.match.set_seq2(self.low)
-        if (r := row["ratio"]) is None:
-            if len(self.best) == self.keep and row["bound"] < self.best[0][0]:
-                return []
-            self.match.set_seq1(row["word"])
-            r = self.match.ratio()
-        if r >= self.least(self.low):
-            (heapq.heappush if len(self.best) < self.keep else heapq.heappushpop)(self.best, (r, row["word"]))
-        return []
-
-    def end(self) -> list[Row]:
-        return [{"low": self.low, "candidate": c, "ratio": r, "likeness": SequenceMatcher(None, self.low, c).ratio()} for r, c in sorted(self.best, reverse=True)]
+class KnownWords:
+    """A block of known words as arrays: their letters by place, and how often each has each of a to z; short ones by length."""
+
+    def __init__(self, words: list[str]) -> None:
+        self.words = sorted((w for w in words if len(w) <= BITS), key=lambda w: (len(w), w))
+        self.long = [w for w in words if len(w) > BITS]
+        self.sizes = np.array([len(w) for w in self.words], np.int64)
+        wide = int(self.sizes[-1]) if self.words else 0
+        letters = np.array(self.words, f"U{max(wide, 1)}").view(np.uint32).reshape(len(self.words), -1).T
+        self.letters, places = np.unique(letters, return_inverse=True)
+        self.places = places.reshape(letters.shape).astype(np.uint8 if len(self.letters) <= 256 else np.int64)
+        self.counts: dict[str, np.ndarray] = {}
+
+    def count(self, letter: str) -> np.ndarray:
+        if letter not in self.counts:
+            i = np.searchsorted(self.letters, ord(letter))
+            held = i < len(self.letters) and self.letters[i] == ord(letter)
+            self.counts[letter] = (self.places == i).sum(0, dtype=np.uint8) if held else np.zeros(len(self.words), np.uint8)
+        return self.counts[letter]
+
+    def tries(self, low: str, least: float) -> list[tuple[float, str]]:
+        """Words whose ratio to ``low`` may be ``least``, by falling bounds: by lengths, by shared letters, by the longest common subsequence.
+
+        The blocks that the ratio adds up are in order in both words, so it counts no more letters than that subsequence has.
+        """
+        n, slack = len(low), 1e-9
+        a, b = np.searchsorted(self.sizes, [math.ceil(least * n / (2 - least) - slack), math.floor(n * (2 - least) / least + slack) + 1])
+        shared = np.zeros(b - a, np.uint8)
+        for letter, k in Counter(low).items():
+            shared += np.minimum(self.count(letter)[a:b], min(k, BITS))
+        both = self.sizes[a:b] + n
+        at = np.flatnonzero(2.0 * shared / both >= least)
+        bound = 2.0 * shared[at] / both[at]
+        if n <= BITS and len(at):
+            bound = 2.0 * common_subsequence(low, self.letters, self.places[:, at + a]) / both[at]
+            kept = np.flatnonzero(bound >= least)
+            at, bound = at[kept], bound[kept]
+        order = np.argsort(-bound, kind="stable")
+        long = [(2.0 * min(n, len(w)) / (n + len(w)), w) for w in self.long]
+        return sorted((x for x in long if x[0] >= least), reverse=True) + [(float(bound[i]), self.words[a + at[i]]) for i in order]
+
+
+def common_subsequence(low: str, letters: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Lengths of the longest common subsequences of ``low``, of at most ``BITS`` letters, and each column of ``places`` in ``letters``; one bit stands for each of its letters."""
+    table = np.array([sum(1 << i for i, x in enumerate(low) if ord(x) == letter) for letter in letters.tolist()], np.uint64)
+    apart = np.full(places.shape[1], np.iinfo(np.uint64).max, np.uint64)
+    for column in places:
+        met = apart & table[column]
+        apart = (apart + met) | (apart - met)
+    return np.bitwise_count(~apart & np.uint64((1 << len(low)) - 1)).astype(np.int64)
+
+
+class Nearest:
+    """The best candidates of a group of asked words, over one block of known words after another."""
+
+    def __init__(self, asked: list[str], keep: int, least: Callable[[str], float]) -> None:
+        self.keep, self.best, self.floor = keep, {low: [] for low in asked}, {low: least(low) for low in asked}
+
+    def meet(self, known: KnownWords) -> None:
+        match = SequenceMatcher()
+        for low, best in self.best.items():
+            full = len(best) == self.keep
+            tries = known.tries(low, max(self.floor[low], best[0][0]) if full else self.floor[low])
+            if tries:
+                match.set_seq2(low)
+            for bound, word in tries:
+                if len(best) == self.keep and bound < best[0][0]:
+                    if len(word) <= BITS:
+                        break
+                    continue
+                match.set_seq1(word)
+                if (r := match.ratio()) >= self.floor[low]:
+                    (heapq.heappush if len(best) < self.keep else heapq.heappushpop)(best, (r, word))
+
+    def rows(self, low: str) -> list[Row]:
+        return [{"low": low, "candidate": c, "ratio": r, "likeness": SequenceMatcher(None, low, c).ratio()} for r, c in sorted(self.best[low], reverse=True)]
 
 
 def _sizes(words: DataFrame) -> list[int]:
@@ -119,29 +176,45 @@ def indexed(asked: DataFrame, words: DataFrame) -> tuple[DataFrame, DataFrame, t
     return left, known, (_sizes(left), _sizes(known))
 
 
+def _blocks(words: DataFrame, size: int, label: str) -> tuple[DataFrame, int]:
+    """(block, words): the rows' one column in blocks of about ``size``, and their number."""
+    column = words.columns[0]
+    words = written(words.where(F.length(column) > 0).distinct(), label)
+    blocks = max(1, math.ceil(words.count() / size))
+    return words.groupBy(F.pmod(F.xxhash64(column), F.lit(blocks)).alias("block")).agg(F.collect_list(column).alias("words")), blocks
+
+
 def nearest_words(asked: DataFrame, words: DataFrame, keep: int, short: float, other: float) -> DataFrame:
     """(low, candidate, ratio, likeness): for each distinct ``low`` the ``keep`` nearest of ``words`` (word), by ratio and then word.
 
     Ratios count from ``other`` on, for words of three letters and fewer from ``short`` on. ``likeness`` is the ratio the
     other way round.
     """
-    left, known, (_, known_sizes) = indexed(asked, words)
-    done, held, before = None, None, None
-    tasks = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = words.sparkSession
+    ship(spark)
+    schema, tasks = _arrow(spark, NEAR), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    left = written(asked.select("low").where(F.length("low") > 0).distinct(), "asked-words")
+    groups, n = _blocks(left, min(GROUP, max(MEET, math.ceil(left.count() / tasks))), "asked-words")
+    known, _ = _blocks(words.select("word"), BLOCK, "known-words")
+    every = known.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("group"), F.lit(1).alias("rank"), "words")
+    both = groups.select(F.col("block").cast("long").alias("group"), F.lit(0).alias("rank"), "words").unionByName(every)
     least = lambda w: short if len(w) <= 3 else other
-    for ratio in (*ROUNDS, None):
-        if not known_sizes or not (asked_sizes := _sizes(left)):
-            break
-        pairs = candidate_pairs(left, known, (asked_sizes, known_sizes), lambda n, r=ratio: least_ratio(n, r, short, other), before)
-        pairs = pairs.select("low", "word", "bound", F.lit(None).cast("double").alias("ratio"))
-        if held is not None:
-            pairs = pairs.unionByName(held.select("low", F.col("candidate").alias("word"), F.lit(2.0).alias("bound"), "ratio"))
-        found = ordered_scan(pairs.withColumn("rank", -F.col("bound")), ["low"], ["rank"], lambda: Nearest(keep, least), "low string, candidate string, ratio double, likeness double", tasks)
-        found = written(found, "near-words")
-        full = found.groupBy("low").agg(F.count("*").alias("n"), F.min("ratio").alias("least")).where((F.col("n") == keep) & (F.col("least") >= F.lit(ratio))).select("low") if ratio is not None else left.select(F.col("word").alias("low"))
-        chosen = found.join(full, "low", "left_semi")
-        done = chosen if done is None else done.unionByName(chosen)
-        held = found.join(full, "low", "left_anti")
-        left = left.join(full.select(F.col("low").alias("word")), "word", "left_anti")
-        before = ratio
-    return done if done is not None else asked.select("low", F.lit("").alias("candidate"), F.lit(0.0).alias("ratio"), F.lit(0.0).alias("likeness")).limit(0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, at = None, None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                if row["group"] != at:
+                    yield from out(now)
+                    now, at = Nearest(row["words"] if row["rank"] == 0 else [], keep, least), row["group"]
+                if row["rank"]:
+                    now.meet(KnownWords(row["words"]))
+        yield from out(now)
+
+    def out(now: Nearest | None) -> Iterator[pa.RecordBatch]:
+        for low in now.best if now else ():
+            if rows := now.rows(low):
+                yield pa.RecordBatch.from_pylist(rows, schema)
+
+    return written(both.repartitionByRange(n, "group").sortWithinPartitions("group", "rank").mapInArrow(run, NEAR), "near-words")
