@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ravelin.operators import lexicon, ranges, spelling
 from ravelin.plans import fixtures
 from ravelin.plans.registry import ORACLES, query
-from ravelin.sources.stored import shared_folder
+from ravelin.sources.stored import shared_folder, written
 
 
 @query(ORACLES["monotonic_fix"])
@@ -46,7 +46,7 @@ SELECT conv_id, turn, count(*) AS words, count(*) FILTER (n IS NULL) AS unknown,
 FROM said LEFT JOIN counts ON counts.word = said.word GROUP BY conv_id, turn""")
 def known_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each turn the documents know, and how often they have them."""
-    counted = spelling.word_counts(spark.read.parquet(f"{sf_dir}/documents.parquet")).select(F.col("word").alias("term"), "n")
+    counted = written(spelling.word_totals(spark.read.parquet(f"{sf_dir}/documents.parquet")).select(F.col("word").alias("term"), "n"), "word-totals")
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     said = turns.select("conv_id", "turn", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"), F.lit(1))).alias("word"))
     told = lexicon.with_counts(said, counted, "word")
