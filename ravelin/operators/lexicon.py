@@ -8,11 +8,12 @@ are, and only the rest through a shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ravelin.operators.spelling import bigram_counts, word_counts
-from ravelin.sources.stored import written
+from ravelin.operators.terms import term_counts
 
 SCHEMA = "term string, n long, n_docs long, load string, kind string"
 #: Terms of one in so many of all counts, or more, are heavy; there are at most as many.
@@ -20,27 +21,45 @@ HEAVY = 1000
 MERGED = "merged"
 
 
+def kind_of(term: str) -> Column:
+    """Words have no blank in them, bigrams have one."""
+    return F.when(F.col(term).contains(" "), "bigram").otherwise("word")
+
+
 def store(documents: DataFrame, path: str, load: str) -> None:
     """Count ``documents`` (doc_id, text) as the load of that name."""
-    words = word_counts(documents).select(F.col("word").alias("term"), "n", "n_docs", F.lit("word").alias("kind"))
-    bigrams = bigram_counts(documents).select(F.col("bigram").alias("term"), "n", F.lit(None).cast("long").alias("n_docs"), F.lit("bigram").alias("kind"))
     # A row without a term in each partition, so that a load without words replaces one that had some.
     marks = documents.sparkSession.createDataFrame([("word",), ("bigram",)], "kind string").select(F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("n"), F.lit(None).cast("long").alias("n_docs"), "kind")
-    rows = words.unionByName(bigrams).unionByName(marks).withColumn("load", F.lit(load)).select("term", "n", "n_docs", "load", "kind")
+    rows = term_counts(documents).withColumn("kind", kind_of("term")).unionByName(marks).withColumn("load", F.lit(load)).select("term", "n", "n_docs", "load", "kind")
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load", "kind").parquet(path)
 
 
+def all_counts(spark: SparkSession, path: str, kind: str | None = None) -> DataFrame:
+    """(kind, term, n, n_docs) over all loads; a document is in one load only, so documents add up as well."""
+    stored = spark.read.schema(SCHEMA).parquet(path).where(F.col("term").isNotNull())
+    stored = stored if kind is None else stored.where(F.col("kind") == kind)
+    return stored.groupBy("term").agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs")).select(kind_of("term").alias("kind"), "term", "n", "n_docs")
+
+
 def counts(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """(term, n, n_docs) over all loads; a document is in one load only, so documents add up as well."""
-    stored = spark.read.schema(SCHEMA).parquet(path).where((F.col("kind") == kind) & F.col("term").isNotNull())
-    return stored.groupBy("term").agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs"))
+    """(term, n, n_docs) of that kind over all loads."""
+    return all_counts(spark, path, kind).drop("kind")
 
 
 def compact(spark: SparkSession, path: str) -> None:
-    """All loads become one. Loads can be stored on top of it, but those in it not again."""
-    both = [counts(spark, path, kind).withColumns({"load": F.lit(MERGED), "kind": F.lit(kind)}) for kind in ("word", "bigram")]
-    merged = written(both[0].unionByName(both[1]), "lexicon")
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("load", "kind").parquet(path)
+    """All loads become one. Loads can be stored on top of it, but those in it not again.
+
+    The merged table is written beside ``path`` and takes its place by renaming; where that is cut short, it is still there.
+    """
+    fresh = f"{path.rstrip('/')}-merged-{uuid.uuid4().hex}"
+    merged = all_counts(spark, path).withColumn("load", F.lit(MERGED))
+    merged.select("term", "n", "n_docs", "load", "kind").write.partitionBy("load", "kind").parquet(fresh)
+    jvm = spark._jvm
+    old, new = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, fresh))
+    files = old.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    files.delete(old, True)
+    if not files.rename(new, old):
+        raise OSError(f"{fresh} could not be renamed to {path}")
 
 
 def with_counts(rows: DataFrame, counted: DataFrame, key: str) -> DataFrame:

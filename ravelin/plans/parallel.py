@@ -35,8 +35,7 @@ def lexicon_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     lexicon.store(third(1), path, "second")
     lexicon.compact(spark, path)
     lexicon.store(third(2), path, "third")
-    kinds = [lexicon.counts(spark, path, kind).withColumn("kind", F.lit(kind)) for kind in ("word", "bigram")]
-    return kinds[0].unionByName(kinds[1]).select("kind", "term", "n", "n_docs")
+    return lexicon.all_counts(spark, path)
 
 
 @query("""WITH w AS (SELECT regexp_extract_all(lower(text), '[a-z]+') AS w FROM documents),
