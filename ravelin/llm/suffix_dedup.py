@@ -12,10 +12,12 @@ dealt out so that equal ones meet, as far as they can be equal at all:
 3. *Index.* The different segments of an anchor get one run-length compressed index (``run_index``), from which matching
    statistics of ``LONG`` bytes or more are streamed; many anchors share an index of bounded size.
 4. An anchor with more than ``MOST`` starts in different segments, as a passage in very many documents has at its edges,
-   has no bounded index. Its strings are dealt out once more, at the finest cut: each is its own segment, which is one row
-   and one digest, and the equal ones are counted. Nothing is capped.
+   has no bounded index. Its segments are dealt by digest, in the same pass over the texts, and cut at the finest: each
+   string is its own segment, which is one row and one digest, and the equal ones are counted. Nothing is capped.
 5. Starts go back to their documents, where the covered bytes are removed.
 
+Marks are shuffled once, by anchor, and texts twice, compressed: to give the bytes of steps 3 and 4, and to lose theirs.
+
 Documents are told apart by doc_id and a hash of the text. Matches never cross documents, but for those strings of
 128-bit digests (64 of the anchor and 64 of the segment) that fall together by chance, each decision is exact.
 
@@ -28,17 +30,19 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ravelin.llm.common import discard, map_arrow, materialize
 from ravelin.llm.run_index import repeated_starts, runs_of
 
 #: Bytes of a match; bytes of a gram (a power of two); starts in an anchor's or in a shared index; bytes read at a time; the
-#: share of all starts, as 1 in so many, from which an anchor's segments are not dealt by anchor.
+#: share of all marks, as 1 in so many, from which an anchor's are not dealt by anchor.
 LONG = 200
 GRAM = 32
 MOST = 200_000
@@ -161,74 +165,106 @@ def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "digest", "doc", "text_hash", "start", "n", "again"])
 
 
-PIECES = "anchor bigint, digest bigint, doc bigint, text_hash bigint, start int, seen bigint, bytes binary"
+PACKED = "doc bigint, text_hash bigint, packed binary"
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as zstandard frames, which take less of a shuffle; the columns before them stay."""
+    press = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        data, offsets = texts_of(batch)
+        frames = [press.compress(data[a:b].tobytes()) for a, b in pairwise(offsets.tolist())]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(frames, pa.binary())], [*batch.schema.names[:-1], "packed"])
+
+
+PIECES = "anchor bigint, digest bigint, doc bigint, text_hash bigint, start int, seen bigint, large boolean, bytes binary"
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of the wanted segments of each text."""
-    names = ["anchor", "digest", "doc", "text_hash", "start", "seen", "bytes"]
+    names, types = ["anchor", "digest", "doc", "text_hash", "start", "seen", "large", "bytes"], [*[pa.int64()] * 4, pa.int32(), pa.int64(), pa.bool_(), pa.binary()]
+    unpress = zstandard.ZstdDecompressor()
     for batch in batches:
-        data, offsets = texts_of(batch)
         out: list[list] = [[] for _ in names]
-        for doc, text_hash, at, wanted in zip(batch["doc"].to_pylist(), batch["text_hash"].to_pylist(), offsets[:-1].tolist(), batch["wanted"].to_pylist(), strict=True):
+        for doc, text_hash, packed, wanted in zip(*(batch[c].to_pylist() for c in ("doc", "text_hash", "packed", "wanted")), strict=True):
+            raw = unpress.decompress(packed)
             for w in wanted:
-                row = (w["anchor"], w["digest"], doc, text_hash, w["start"], w["seen"], data[at + w["start"] : at + w["start"] + w["n"] + LONG - 1].tobytes())
+                row = (w["anchor"], w["digest"], doc, text_hash, w["start"], w["seen"], w["large"], raw[w["start"] : w["start"] + w["n"] + LONG - 1])
                 for column, value in zip(out, row, strict=True):
                     column.append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, [*[pa.int64()] * 4, pa.int32(), pa.int64(), pa.binary()], strict=True)], names)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names)
 
 
-SPANS = "doc bigint, text_hash bigint, start int, n int"
+JUDGED = "doc bigint, text_hash bigint, start int, n int, string binary"
 
 
-def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pieces sorted by anchor and digest to the repeated starts of those seen once; a piece that comes twice is one."""
+def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pieces sorted by anchor and digest to the repeated starts of those seen once, and to every string of the large
+    anchors' as a digest; a piece that comes twice is one."""
 
-    def judged(held: list) -> pa.RecordBatch:
+    def rows(found: list) -> pa.RecordBatch:
+        types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], t) for k, t in enumerate(types)], ["doc", "text_hash", "start", "n", "string"])
+
+    def indexed(held: list) -> pa.RecordBatch:
         found = []
         if held:
-            for (_, doc, text_hash, start, seen, _), hit in zip(held, repeated_starts([h[-1] for h in held], LONG), strict=True):
+            for (doc, text_hash, start, seen, raw), hit in zip(held, repeated_starts([h[-1] for h in held], LONG), strict=True):
                 if seen == 1:
-                    found += [(doc, text_hash, start + a, n) for a, n in runs_of(hit)]
-        return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))], ["doc", "text_hash", "start", "n"])
+                    found += [(doc, text_hash, start + a, n, None) for a, n in runs_of(hit)]
+        return rows(found)
 
-    held, whole, size, last = [], 0, 0, None  # ``whole`` pieces of complete anchors, and those of the open one behind
+    held, size, last = [], 0, None
     for batch in batches:
-        for row in zip(*(batch[c].to_pylist() for c in ("anchor", "digest", "doc", "text_hash", "start", "seen", "bytes")), strict=True):
-            if row[:2] == last:
+        for anchor, digest, doc, text_hash, start, seen, large, raw in zip(*(batch[c].to_pylist() for c in ("anchor", "digest", "doc", "text_hash", "start", "seen", "large", "bytes")), strict=True):
+            if (anchor, digest) == last:
                 continue
-            if last is not None and row[0] != last[0]:
-                whole = len(held)
-                if size >= SHARED:
-                    yield judged(held)
-                    held, whole, size = [], 0, 0
-            last = row[:2]
-            held.append(row[1:])
-            size += len(row[-1]) - LONG + 1
-    yield judged(held)
-
+            if last is not None and anchor != last[0] and size >= SHARED:
+                yield indexed(held)
+                held, size = [], 0
+            last = anchor, digest
+            if large:
+                yield rows([(doc, text_hash, start + i, 1, hashlib.blake2b(raw[i : i + LONG], digest_size=16).digest()) for i in range(len(raw) - LONG + 1)])
+            else:
+                held.append((doc, text_hash, start, seen, raw))
+                size += len(raw) - LONG + 1
+    yield indexed(held)
 
-STRINGS = "doc bigint, text_hash bigint, start int, string binary"
 
-
-def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every string of ``LONG`` bytes of the pieces, as a digest."""
-    for batch in batches:
-        for doc, text_hash, start, raw in zip(*(batch[c].to_pylist() for c in ("doc", "text_hash", "start", "bytes")), strict=True):
-            n = len(raw) - LONG + 1
-            found = [hashlib.blake2b(raw[i : i + LONG], digest_size=16).digest() for i in range(n)]
-            yield pa.RecordBatch.from_arrays([pa.array([doc] * n, pa.int64()), pa.array([text_hash] * n, pa.int64()), pa.array(range(start, start + n), pa.int32()), pa.array(found, pa.binary())], ["doc", "text_hash", "start", "string"])
+PLACE_OF = ("doc", "text_hash", "start", "n")
 
 
-def _met(rows: DataFrame, anchors: DataFrame, weight: str, total: int) -> DataFrame:
-    """``rows`` joined to ``anchors`` (anchor, ``weight``), however many of them have one anchor.
+def _kinds(marks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Segments that occur twice (a row each), and one of each of those that an index is for, with seen and large.
 
-    Weights add up to ``total`` at most, so no more than ``HOT`` anchors have that share; rows of these are joined where they lie.
+    Marks are dealt by anchor once, and windows tell all; those of anchors with a share of ``HOT``, which are ``HOT`` at most,
+    lie as they are, and are summed up in part before they move.
     """
-    is_hot = F.col(weight) * HOT >= F.lit(total)
-    tagged = rows.join(F.broadcast(anchors.where(is_hot).withColumnRenamed(weight, "hot")), "anchor", "left")
-    hot = tagged.where("hot IS NOT NULL").withColumnRenamed("hot", weight)
-    return hot.unionByName(tagged.where("hot IS NULL").drop("hot").join(anchors.where(~is_hot), "anchor"))
+    frequent = marks.stat.freqItems(["anchor"], 1 / HOT).first()[0] if not marks.isEmpty() else []
+    is_hot = F.col("anchor").isin(list(frequent))
+    needs_index = F.expr("least = 1 AND (different > 1 OR alone > 0)")
+
+    of_anchor, of_kind = Window.partitionBy("anchor"), Window.partitionBy("anchor", "digest")
+    cold = marks.where(~is_hot).withColumn("times", F.sum(F.when(F.col("again"), 2).otherwise(1)).over(of_anchor)).where("times > 1")
+    cold = cold.withColumn("rank", F.row_number().over(of_kind.orderBy("doc", "text_hash", "start"))).withColumn("seen", F.count("*").over(of_kind))
+    cold = cold.withColumns({
+        "different": F.sum(F.when(F.col("rank") == 1, 1)).over(of_anchor),
+        "starts": F.sum(F.when(F.col("rank") == 1, F.col("n"))).over(of_anchor),
+        "alone": F.sum(F.when((F.col("seen") == 1) & F.col("again"), 1).otherwise(0)).over(of_anchor),
+        "least": F.min("seen").over(of_anchor),
+    })
+    cold = cold.select("anchor", "digest", *PLACE_OF, "seen", (F.col("starts") > MOST).alias("large"), ((F.col("rank") == 1) & needs_index).alias("wanted"))
+    cold = materialize(cold.where("seen > 1 OR wanted"), "segments")
+
+    hot = materialize(marks.where(is_hot), "marks-hot")
+    kinds = hot.groupBy("anchor", "digest").agg(F.count("*").alias("seen"), F.max("again").alias("again"), F.min(F.struct(*PLACE_OF)).alias("at"))
+    kinds = materialize(kinds.select("anchor", "digest", "seen", "again", "at.*"), "segments-hot")
+    groups = kinds.groupBy("anchor").agg(F.count("*").alias("different"), F.sum("n").alias("starts"), F.sum(F.when((F.col("seen") == 1) & F.col("again"), 1).otherwise(0)).alias("alone"), F.min("seen").alias("least"))
+    groups = groups.where(needs_index).select("anchor", (F.col("starts") > MOST).alias("large"))
+
+    twice = cold.where("seen > 1").select(*PLACE_OF).unionByName(hot.join(kinds.where("seen > 1").select("anchor", "digest"), ["anchor", "digest"], "left_semi").select(*PLACE_OF))
+    once = cold.where("wanted").drop("wanted").unionByName(kinds.drop("again").join(F.broadcast(groups), "anchor"))
+    return twice, once
 
 
 def repeats(docs: DataFrame) -> DataFrame:
@@ -236,32 +272,21 @@ def repeats(docs: DataFrame) -> DataFrame:
 
     ``docs`` has doc, text_hash and text; rows alike in doc and text_hash share their runs.
     """
-    long = docs.where(F.octet_length("text") >= LONG)
-    marks = materialize(map_arrow(long.select("doc", "text_hash", "text"), _marks, MARKS), "marks")
-    anchors = materialize(marks.groupBy("anchor").agg(F.sum(F.when(F.col("again"), 2).otherwise(1)).alias("seen")).where("seen > 1"), "anchors-seen")
-    shared = materialize(_met(marks, anchors, "seen", 2 * marks.count()).drop("seen"), "marks-shared")
+    long = docs.where(F.octet_length("text") >= LONG).select("doc", "text_hash", "text")
+    marks = materialize(map_arrow(long, _marks, MARKS), "marks")
+    twice, once = _kinds(marks)
     discard(marks)
-    discard(anchors)
 
-    kinds = shared.groupBy("anchor", "digest").agg(F.count("*").alias("seen"), F.max("again").alias("again"), F.min(F.struct("doc", "text_hash", "start", "n")).alias("at"))
-    kinds = materialize(kinds.select("anchor", "digest", "seen", "again", "at.*"), "segments")
-    twice = shared.join(kinds.where("seen > 1").select("anchor", "digest"), ["anchor", "digest"], "left_semi").select("doc", "text_hash", "start", "n")
+    wanted = once.groupBy("doc", "text_hash").agg(F.collect_list(F.struct("anchor", "digest", "start", "n", "seen", "large")).alias("wanted"))
+    pieces = map_arrow(map_arrow(long, _packed, PACKED).join(wanted, ["doc", "text_hash"]), _pieces, PIECES)
+    dealt = pieces.repartition("anchor", F.when(F.col("large"), F.col("digest"))).sortWithinPartitions("anchor", "digest")
+    judged = materialize(map_arrow(dealt, _judged, JUDGED), "judged")
 
-    groups = kinds.groupBy("anchor").agg(F.count("*").alias("different"), F.sum("n").alias("starts"), F.sum(F.when((F.col("seen") == 1) & F.col("again"), 1).otherwise(0)).alias("alone"), F.min("seen").alias("least"))
-    groups = materialize(groups.where("least = 1 AND (different > 1 OR alone > 0)").select("anchor", "starts"), "anchors")
-    wanted = _met(kinds, groups, "starts", kinds.agg(F.sum("n")).first()[0] or 0).groupBy("doc", "text_hash").agg(F.collect_list(F.struct("anchor", "digest", "start", "n", "seen", "starts")).alias("wanted"))
-    met = long.join(wanted, ["doc", "text_hash"])
-
-    def pieces(of: str) -> DataFrame:
-        chosen = met.withColumn("wanted", F.filter("wanted", lambda w: w.starts > MOST if of == "large" else w.starts <= MOST))
-        return map_arrow(chosen.where(F.size("wanted") > 0).select("doc", "text_hash", "text", F.col("wanted")), _pieces, PIECES)
-
-    indexed = map_arrow(pieces("bounded").repartition("anchor").sortWithinPartitions("anchor", "digest"), _indexed, SPANS)
-    found = twice.unionByName(indexed)
-    if not groups.where(F.col("starts") > MOST).isEmpty():
-        strings = materialize(map_arrow(pieces("large").dropDuplicates(["anchor", "digest"]), _strings, STRINGS), "strings")
+    strings = judged.where("string IS NOT NULL")
+    found = twice.unionByName(judged.where("string IS NULL").select(*PLACE_OF))
+    if not strings.isEmpty():
         often = strings.groupBy("string").agg(F.count("*").alias("seen")).where("seen > 1").select("string")
-        found = found.unionByName(strings.join(often, "string").select("doc", "text_hash", "start", F.lit(1).alias("n")))
+        found = found.unionByName(strings.join(often, "string").select(*PLACE_OF))
     return found
 
 
@@ -269,17 +294,18 @@ KEPT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sh
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    unpress = zstandard.ZstdDecompressor()
     for batch in batches:
-        data, offsets = texts_of(batch)
         out = []
-        for doc, begin, end, starts, counts in zip(batch["doc_id"].to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), batch["starts"].to_pylist(), batch["counts"].to_pylist(), strict=True):
+        for doc, packed, starts, counts in zip(*(batch[c].to_pylist() for c in ("doc_id", "packed", "starts", "counts")), strict=True):
+            raw = memoryview(unpress.decompress(packed))
             gone = spans = 0
             hashed, at = hashlib.sha256(), 0
             for a, b in covered(starts, counts):
-                hashed.update(data[begin + at : begin + a])
+                hashed.update(raw[at:a])
                 gone, spans, at = gone + b - a, spans + 1, b
-            hashed.update(data[begin + at : end])
-            out.append((doc, end - begin, gone, spans, hashed.hexdigest()))
+            hashed.update(raw[at:])
+            out.append((doc, len(raw), gone, spans, hashed.hexdigest()))
         yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate([*[pa.int64()] * 4, pa.string()])], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
@@ -300,4 +326,5 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     docs = documents.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("doc"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), F.coalesce("text", F.lit("")).alias("text"))
     spans = repeats(docs.select("doc", "text_hash", "text")).groupBy("doc", "text_hash").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
     spans = materialize(spans.select("doc", "text_hash", F.col("runs.start").alias("starts"), F.col("runs.n").alias("counts")), "repeats")
-    return map_arrow(docs.join(spans, ["doc", "text_hash"], "left").select(F.col("doc_id").cast("long"), "text", "starts", "counts"), _kept, KEPT)
+    packed = map_arrow(docs.select(F.col("doc_id").cast("long"), "doc", "text_hash", "text"), _packed, f"doc_id bigint, {PACKED}")
+    return map_arrow(packed.join(spans, ["doc", "text_hash"], "left").select("doc_id", "packed", "starts", "counts"), _kept, KEPT)

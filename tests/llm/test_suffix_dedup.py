@@ -100,3 +100,30 @@ def test_very_long_texts_are_read_in_blocks(spark):
 
 def test_empty_table(spark):
     assert run(spark, []) == []
+
+
+def test_texts_are_read_for_pieces_once_though_anchors_are_large(spark, rows, monkeypatch):
+    """Pieces of the anchors without a bounded index were taken from the texts by a second join, which shuffled all texts again."""
+    calls, real = [], suffix_dedup.map_arrow
+    monkeypatch.setattr(suffix_dedup, "map_arrow", lambda df, work, ddl: calls.append(work.__name__) or real(df, work, ddl))
+    monkeypatch.setattr(suffix_dedup, "MOST", 150)
+    assert run(spark, rows) == brute(rows)
+    assert calls.count("_pieces") == 1
+
+
+@pytest.mark.parametrize("most", [150, 200_000])
+@pytest.mark.parametrize("hot", [2, 20, 5000])
+def test_frequent_anchors_give_the_same_where_they_lie(spark, rows, monkeypatch, hot, most):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    monkeypatch.setattr(suffix_dedup, "MOST", most)
+    assert run(spark, rows) == brute(rows)
+
+
+def test_texts_move_compressed(spark, rows):
+    """The joins by document shuffled the texts themselves."""
+    df = spark.createDataFrame(rows, "doc_id long, text string, start int, anchor string")
+    plan = without_repeats(df)._jdf.queryExecution().optimizedPlan().toString()
+    join = next(line for line in plan.splitlines() if "Join LeftOuter" in line)
+    at = plan.splitlines().index(join)
+    below = next(line for line in plan.splitlines()[at + 1 :] if "MapInArrow" in line or "Relation" in line or "LogicalRDD" in line)
+    assert "packed" in below
