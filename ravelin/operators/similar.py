@@ -1,9 +1,10 @@
 """Similarity joins of words: the nearest known words of each asked one by gestalt ratio, and words that share letters.
 
-The nearest words are sought by groups of asked words, each of which meets all known words block by block. Most pairs are told
-apart by bounds that are worked out for a whole block at once: lengths, shared letters, the longest common subsequence. The real
-ratios are worked out in order of the last bound, until it falls below the last ratio kept. What a task holds is its group with
-the candidates kept, and one block.
+The nearest words are sought by groups of asked words, each of which meets all known words block by block, a small block first: what
+is kept of it is the least that later words have to reach. Pairs are told apart by bounds that are worked out for many at once: lengths,
+shared letters of runs of words that have much the same, of the words, and the longest common subsequence. The real ratios are worked
+out in order of the last bound, until it falls below the last ratio kept. What a task holds is its group with the candidates kept, and
+one block.
 
 Words that share letters go through an index of rare letters. A ratio of r needs so many shared letters: twice their number is at
 least r times both lengths. Letters of a word, the second of a kind apart from the first, are put in one order for all words,
@@ -31,8 +32,10 @@ from ravelin.sources.stored import written
 
 #: Letters that have a place in the order by frequency (others are rarest), and both lengths from which single letters are indexed.
 ALPHABET, LONG = 64, 48
-#: Letters of a word that has bits for them, known words in a block, and the most and fewest asked words in a group.
-BITS, BLOCK, GROUP, MEET = 63, 16384, 2048, 64
+#: Letters of a word that has bits for them, known words in a row, in the first block and in the largest, and the most and fewest asked words in a group.
+BITS, ROW, FIRST, BLOCK, GROUP, MEET = 63, 4096, 4096, 262144, 4096, 64
+#: Known words in a run, pairs that are told apart by subsequences at once, and groups for each core.
+RUN, PAIRS, SHARE = 16, 16384, 3
 NEAR = "low string, candidate string, ratio double, likeness double"
 
 
@@ -87,81 +90,177 @@ def candidate_pairs(asked: DataFrame, known: DataFrame, lengths: tuple[list[int]
 
 
 class KnownWords:
-    """A block of known words as arrays: their letters by place, and how often each has each of a to z; short ones by length."""
+    """A block of known words as arrays, by length and letters.
+
+    A word has a bit for each of its letters, the second of a kind apart from the first, as far as the 64 that most words of the block
+    have go; the number of others is its ``over``. ``RUN`` words of one length and much the same bits are a run, which has the bits
+    of them all. Places without a word fill up the last run of a length.
+    """
 
     def __init__(self, words: list[str]) -> None:
-        self.words = sorted((w for w in words if len(w) <= BITS), key=lambda w: (len(w), w))
-        self.long = [w for w in words if len(w) > BITS]
-        self.sizes = np.array([len(w) for w in self.words], np.int64)
-        wide = int(self.sizes[-1]) if self.words else 0
-        letters = np.array(self.words, f"U{max(wide, 1)}").view(np.uint32).reshape(len(self.words), -1).T
-        self.letters, places = np.unique(letters, return_inverse=True)
-        self.places = places.reshape(letters.shape).astype(np.uint8 if len(self.letters) <= 256 else np.int64)
-        self.counts: dict[str, np.ndarray] = {}
-
-    def count(self, letter: str) -> np.ndarray:
-        if letter not in self.counts:
-            i = np.searchsorted(self.letters, ord(letter))
-            held = i < len(self.letters) and self.letters[i] == ord(letter)
-            self.counts[letter] = (self.places == i).sum(0, dtype=np.uint8) if held else np.zeros(len(self.words), np.uint8)
-        return self.counts[letter]
-
-    def tries(self, low: str, least: float) -> list[tuple[float, str]]:
-        """Words whose ratio to ``low`` may be ``least``, by falling bounds: by lengths, by shared letters, by the longest common subsequence.
-
-        The blocks that the ratio adds up are in order in both words, so it counts no more letters than that subsequence has.
-        """
-        n, slack = len(low), 1e-9
-        a, b = np.searchsorted(self.sizes, [math.ceil(least * n / (2 - least) - slack), math.floor(n * (2 - least) / least + slack) + 1])
-        shared = np.zeros(b - a, np.uint8)
-        for letter, k in Counter(low).items():
-            shared += np.minimum(self.count(letter)[a:b], min(k, BITS))
-        both = self.sizes[a:b] + n
-        at = np.flatnonzero(2.0 * shared / both >= least)
-        bound = 2.0 * shared[at] / both[at]
-        if n <= BITS and len(at):
-            bound = 2.0 * common_subsequence(low, self.letters, self.places[:, at + a]) / both[at]
-            kept = np.flatnonzero(bound >= least)
-            at, bound = at[kept], bound[kept]
-        order = np.argsort(-bound, kind="stable")
-        long = [(2.0 * min(n, len(w)) / (n + len(w)), w) for w in self.long]
-        return sorted((x for x in long if x[0] >= least), reverse=True) + [(float(bound[i]), self.words[a + at[i]]) for i in order]
-
-
-def common_subsequence(low: str, letters: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """Lengths of the longest common subsequences of ``low``, of at most ``BITS`` letters, and each column of ``places`` in ``letters``; one bit stands for each of its letters."""
-    table = np.array([sum(1 << i for i, x in enumerate(low) if ord(x) == letter) for letter in letters.tolist()], np.uint64)
-    apart = np.full(places.shape[1], np.iinfo(np.uint64).max, np.uint64)
-    for column in places:
-        met = apart & table[column]
-        apart = (apart + met) | (apart - met)
-    return np.bitwise_count(~apart & np.uint64((1 << len(low)) - 1)).astype(np.int64)
+        self.words = words = sorted(words, key=len)
+        self.sizes = sizes = np.array([len(w) for w in words], np.int64)
+        short = int(np.searchsorted(sizes, BITS, side="right"))
+        codes = np.frombuffer("".join(words[:short]).encode("utf-32-le", "surrogatepass"), np.uint32)
+        used = np.bincount(codes)
+        held = np.flatnonzero(used)
+        self.letter, self.absent = {chr(c): i for i, c in enumerate(held)}, len(held)
+        numbers = np.zeros(len(used), np.uint8 if len(held) < 256 else np.int32)
+        numbers[held] = np.arange(len(held))
+        self.places = np.full((short, int(sizes[short - 1]) if short else 0), self.absent, numbers.dtype)
+        self.places[np.arange(self.places.shape[1]) < sizes[:short, None]] = numbers[codes]
+        bits = self._bits([chr(c) for c in held[np.argsort(-used[held], kind="stable")][:ALPHABET]])
+        order = np.lexsort((bits, sizes))
+        self.lengths, first, n = np.unique(sizes, return_index=True, return_counts=True)
+        runs = -(-n // RUN)
+        #: By length its first run; by run its length; by place its word, or -1.
+        self.runs = np.append(0, np.cumsum(runs))
+        self.length = np.repeat(np.arange(len(n)), runs)
+        at = np.repeat(self.runs[:-1] * RUN - first, n) + np.arange(len(words))
+        total = int(self.runs[-1]) * RUN
+        self.rows, placed, over = np.full(total, -1), np.zeros(total, np.uint64), np.zeros(total, np.int64)
+        self.rows[at], placed[at], over[at] = order, bits[order], sizes[order] - np.bitwise_count(bits[order])
+        self.bits, self.over = placed.reshape(-1, RUN), over.reshape(-1, RUN)
+        self.any, self.most = np.bitwise_or.reduce(self.bits, axis=1), self.over.max(axis=1, initial=0)
+
+    def _bits(self, common: list[str]) -> np.ndarray:
+        """The words' bits; those that about half of the words have are the highest, so that words in their order have much the same."""
+        n, counts, has = len(self.words), self._counts(common), []
+        for i, count in enumerate(counts):
+            has += [(np.count_nonzero(count >= k), -k, i) for k in range(1, 1 + int(count.max(initial=0)))]
+        bits = np.zeros(n, np.uint64)
+        self.bit: dict[str, list[int]] = {c: [] for c in common}
+        halves = sorted(sorted(has, reverse=True)[:64], key=lambda x: abs(x[0] - n / 2), reverse=True)
+        place = {(i, -k): b for b, (_, k, i) in enumerate(halves)}
+        for (i, k), b in sorted(place.items()):
+            bits |= (counts[i] >= k).astype(np.uint64) << np.uint64(b)
+            self.bit[common[i]].append(1 << b)
+        return bits
+
+    def _counts(self, common: list[str]) -> np.ndarray:
+        """How often each word has each of the common letters."""
+        short, columns = len(self.places), np.ascontiguousarray(self.places.T)
+        counts = np.zeros((len(common), len(self.words)), np.uint8)
+        for count, letter in zip(counts, common, strict=True):
+            for column in columns:
+                count[:short] += column == self.letter[letter]
+        for i, word in enumerate(self.words[short:], short):
+            held = Counter(word)
+            counts[:, i] = [min(held[c], 255) for c in common]
+        return counts
+
+    def alike(self, low: str, least: float) -> tuple[np.ndarray, np.ndarray]:
+        """Words that share as many letters with ``low`` as the ratio ``least`` needs, and how many they share at most."""
+        n = len(low)
+        need = np.ceil(least * (self.lengths + n) / 2 - 1e-9).astype(np.int64)
+        fit = np.flatnonzero(need <= np.minimum(self.lengths, n))
+        if not len(fit):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        a, b = self.runs[fit[0]], self.runs[fit[-1] + 1]
+        own = sum(x for c, k in Counter(low).items() for x in self.bit.get(c, ())[:k])
+        over, own = n - own.bit_count(), np.uint64(own)
+
+        def shared(bits: np.ndarray, rest: np.ndarray) -> np.ndarray:
+            met = np.bitwise_count(bits & own)
+            return met + np.minimum(rest, over) if over else met
+
+        # Without letters beyond the bits no more than 64 are shared.
+        need = (need if over else np.minimum(need, 255).astype(np.uint8)).take(self.length[a:b])
+        run = np.flatnonzero(shared(self.any[a:b], self.most[a:b]) >= need)
+        need, run = need[run], run + a
+        met = shared(self.bits.take(run, axis=0), self.over.take(run, axis=0) if over else self.over)
+        hit = np.flatnonzero(met >= need[:, None])
+        return self.rows.take(run[hit // RUN] * RUN + hit % RUN), met.ravel()[hit].astype(np.int64)
+
+    def subsequences(self, asked: list[str], whose: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Lengths of the longest common subsequences of the words ``at`` and the asked word of each; one bit stands for each of its letters, ``BITS`` at most."""
+        kind = np.uint32 if max(map(len, asked)) <= 32 else np.uint64
+        table = np.zeros((len(asked), self.absent + 1), kind)
+        for row, low in zip(table, asked, strict=True):
+            for i, c in enumerate(low):
+                if c in self.letter:
+                    row[self.letter[c]] |= kind(1 << i)
+        table, base = table.ravel(), whose * (self.absent + 1)
+        columns = np.ascontiguousarray(self.places.take(at, axis=0)[:, : int(self.sizes[at].max())].T)
+        apart, number, met = np.full(len(at), np.iinfo(kind).max, kind), np.empty(len(at), np.intp), np.empty(len(at), kind)
+        for column in columns:
+            np.add(base, column, out=number)
+            np.take(table, number, out=met, mode="clip")
+            met &= apart
+            apart = (apart + met) | (apart - met)
+        return np.bitwise_count(~apart & np.array([(1 << len(low)) - 1 for low in asked], kind)[whose]).astype(np.int64)
+
+
+def matched(a: str, b: str) -> int:
+    """Letters in the blocks that the sequence matcher finds: the longest common one, first in ``a`` and then in ``b``, and those before and behind it."""
+    if not a or not b:
+        return 0
+    size = at = 0
+    for i in range(len(a)):
+        while i + size < len(a) and a[i : i + size + 1] in b:
+            size, at = size + 1, i
+    if not size:
+        return 0
+    j = b.index(a[at : at + size])
+    return size + matched(a[:at], b[:j]) + matched(a[at + size :], b[j + size :])
+
+
+def ratio(a: str, b: str) -> float:
+    """The sequence matcher's ratio, without its tables; of long words it is asked itself, as it leaves out their frequent letters."""
+    if max(len(a), len(b)) > BITS:
+        return SequenceMatcher(None, a, b).ratio()
+    return 2.0 * matched(a, b) / (len(a) + len(b))
 
 
 class Nearest:
     """The best candidates of a group of asked words, over one block of known words after another."""
 
     def __init__(self, asked: list[str], keep: int, least: Callable[[str], float]) -> None:
-        self.keep, self.best, self.floor = keep, {low: [] for low in asked}, {low: least(low) for low in asked}
+        self.keep, self.best, self.floor = keep, {low: [] for low in sorted(asked, key=len)}, {low: least(low) for low in asked}
+
+    def least(self, low: str) -> float:
+        """What a ratio has to reach to be kept."""
+        best = self.best[low]
+        return max(self.floor[low], best[0][0]) if len(best) == self.keep else self.floor[low]
 
     def meet(self, known: KnownWords) -> None:
-        match = SequenceMatcher()
-        for low, best in self.best.items():
-            full = len(best) == self.keep
-            tries = known.tries(low, max(self.floor[low], best[0][0]) if full else self.floor[low])
-            if tries:
-                match.set_seq2(low)
-            for bound, word in tries:
-                if len(best) == self.keep and bound < best[0][0]:
-                    if len(word) <= BITS:
-                        break
-                    continue
-                match.set_seq1(word)
-                if (r := match.ratio()) >= self.floor[low]:
+        """Words alike by their letters are told apart for many asked words at once."""
+        met, pairs = [], 0
+        for low in self.best:
+            at, shared = known.alike(low, self.least(low))
+            if len(at):
+                met.append((low, at, shared))
+                pairs += len(at)
+            if pairs >= PAIRS:
+                self._tell(known, met)
+                met, pairs = [], 0
+        if met:
+            self._tell(known, met)
+
+    def _tell(self, known: KnownWords, met: list[tuple[str, np.ndarray, np.ndarray]]) -> None:
+        """The ratios by a falling bound, until it is below the last ratio kept.
+
+        The blocks that a ratio adds up are in order in both words, so it counts no more letters than their longest common subsequence has.
+        """
+        asked, n = [low for low, _, _ in met], np.array([len(low) for low, _, _ in met])
+        sizes = np.array([len(at) for _, at, _ in met])
+        whose, at, most = np.repeat(np.arange(len(met)), sizes), np.concatenate([x for _, x, _ in met]), np.concatenate([x for _, _, x in met])
+        short = np.flatnonzero((n[whose] <= BITS) & (known.sizes[at] <= BITS))
+        if len(short):
+            most[short] = known.subsequences([low[:BITS] for low in asked], whose[short], at[short])
+        bound = 2.0 * most / (known.sizes[at] + n[whose])
+        for low, end, size in zip(asked, np.cumsum(sizes), sizes, strict=True):
+            best, here, words = self.best[low], bound[end - size : end], at[end - size : end]
+            near = np.flatnonzero(here >= self.least(low))
+            for i in near[np.argsort(-here[near], kind="stable")]:
+                if len(best) == self.keep and here[i] < best[0][0]:
+                    break
+                word = known.words[words[i]]
+                if (r := ratio(word, low)) >= self.floor[low]:
                     (heapq.heappush if len(best) < self.keep else heapq.heappushpop)(best, (r, word))
 
     def rows(self, low: str) -> list[Row]:
-        return [{"low": low, "candidate": c, "ratio": r, "likeness": SequenceMatcher(None, low, c).ratio()} for r, c in sorted(self.best[low], reverse=True)]
+        return [{"low": low, "candidate": c, "ratio": r, "likeness": ratio(low, c)} for r, c in sorted(self.best[low], reverse=True)]
 
 
 def _sizes(words: DataFrame) -> list[int]:
@@ -176,45 +275,51 @@ def indexed(asked: DataFrame, words: DataFrame) -> tuple[DataFrame, DataFrame, t
     return left, known, (_sizes(left), _sizes(known))
 
 
-def _blocks(words: DataFrame, size: int, label: str) -> tuple[DataFrame, int]:
-    """(block, words): the rows' one column in blocks of about ``size``, and their number."""
+def _rows(words: DataFrame, rows: int) -> DataFrame:
+    """(row, words): the one column of ``words`` in about so many rows."""
     column = words.columns[0]
-    words = written(words.where(F.length(column) > 0).distinct(), label)
-    blocks = max(1, math.ceil(words.count() / size))
-    return words.groupBy(F.pmod(F.xxhash64(column), F.lit(blocks)).alias("block")).agg(F.collect_list(column).alias("words")), blocks
+    return words.groupBy(F.pmod(F.xxhash64(column), F.lit(rows)).cast("int").alias("row")).agg(F.collect_list(column).alias("words"))
 
 
 def nearest_words(asked: DataFrame, words: DataFrame, keep: int, short: float, other: float) -> DataFrame:
     """(low, candidate, ratio, likeness): for each distinct ``low`` the ``keep`` nearest of ``words`` (word), by ratio and then word.
 
     Ratios count from ``other`` on, for words of three letters and fewer from ``short`` on. ``likeness`` is the ratio the
-    other way round.
+    other way round. There are as many groups of asked words as keep all cores busy, since each group reads all known words.
     """
     spark = words.sparkSession
     ship(spark)
-    schema, tasks = _arrow(spark, NEAR), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    schema = _arrow(spark, NEAR)
     left = written(asked.select("low").where(F.length("low") > 0).distinct(), "asked-words")
-    groups, n = _blocks(left, min(GROUP, max(MEET, math.ceil(left.count() / tasks))), "asked-words")
-    known, _ = _blocks(words.select("word"), BLOCK, "known-words")
-    every = known.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("group"), F.lit(1).alias("rank"), "words")
-    both = groups.select(F.col("block").cast("long").alias("group"), F.lit(0).alias("rank"), "words").unionByName(every)
+    right = written(words.select("word").where(F.length("word") > 0).distinct(), "known-words")
+    n = left.count()
+    n = max(1, math.ceil(n / GROUP), min(math.ceil(n / MEET), SHARE * spark.sparkContext.defaultParallelism))
+    groups = _rows(left, n).select(F.col("row").alias("group"), F.lit(0).alias("rank"), "words")
+    known = _rows(right, max(1, math.ceil(right.count() / ROW)))
+    every = known.select(F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("group"), F.lit(1).alias("rank"), "words")
     least = lambda w: short if len(w) <= 3 else other
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, at = None, None
+        now, at, held, size = None, None, [], FIRST
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
                 if row["group"] != at:
-                    yield from out(now)
-                    now, at = Nearest(row["words"] if row["rank"] == 0 else [], keep, least), row["group"]
+                    yield from out(now, held)
+                    now, at, held, size = Nearest(row["words"] if row["rank"] == 0 else [], keep, least), row["group"], [], FIRST
                 if row["rank"]:
-                    now.meet(KnownWords(row["words"]))
-        yield from out(now)
-
-    def out(now: Nearest | None) -> Iterator[pa.RecordBatch]:
-        for low in now.best if now else ():
-            if rows := now.rows(low):
+                    held += row["words"]
+                if len(held) >= size:
+                    now.meet(KnownWords(held))
+                    held, size = [], min(4 * size, BLOCK)
+        yield from out(now, held)
+
+    def out(now: Nearest | None, held: list[str]) -> Iterator[pa.RecordBatch]:
+        if now and held:
+            now.meet(KnownWords(held))
+        asked = list(now.best) if now else []
+        for i in range(0, len(asked), MEET):
+            if rows := [row for low in asked[i : i + MEET] for row in now.rows(low)]:
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return written(both.repartitionByRange(n, "group").sortWithinPartitions("group", "rank").mapInArrow(run, NEAR), "near-words")
+    return written(groups.unionByName(every).repartitionById(n, "group").sortWithinPartitions("group", "rank").mapInArrow(run, NEAR), "near-words")
