@@ -7,6 +7,7 @@ the others are told apart by doc_id, and rows without one are no document.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +23,8 @@ BLOCK = 1 << 22
 #: Characters beyond ASCII whose small letter is one of a to z in SQL.
 SMALL = {"\u0130": "i", "\u212a": "k"}
 COUNTED = "term string, n long, n_docs long"
+#: Bits of the table that tells most bigrams that nobody asks for from those that are asked for, and bits in a row of it.
+TABLE, TABLE_ROW = 1 << 25, 1 << 15
 
 
 def words_of(text: Column) -> Column:
@@ -53,8 +56,25 @@ def _numbered(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarr
     return words.dictionary, words.indices.to_numpy().astype(np.int64), np.searchsorted(offsets, first, side="right") - 1
 
 
-def block_counts(data: np.ndarray, offsets: np.ndarray, alone: np.ndarray, words: bool, bigrams: bool) -> Iterator[pa.RecordBatch]:
-    """(term, n, n_docs) of the texts of one block; a word's n_docs are its rows that are ``alone``, a bigram's null."""
+def asked_bits(asked: DataFrame) -> np.ndarray:
+    """The table of the bigrams of ``asked`` (first, second), as large for few as for many."""
+    place = F.pmod(F.crc32(F.col("first").cast("binary")) * 31 + F.crc32(F.col("second").cast("binary")), F.lit(TABLE))
+    rows = asked.select(F.floor(place / TABLE_ROW).alias("row"), (place % TABLE_ROW).alias("bit")).groupBy("row").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    table = np.zeros((TABLE // TABLE_ROW, TABLE_ROW // 8), np.uint8)
+    for row, bits in rows.collect():
+        table[row] = np.frombuffer(bits, np.uint8)
+    return table.ravel()
+
+
+def _asked(table: np.ndarray, known: pa.Array, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Whether bigrams of the words' numbers may be asked for."""
+    marks = np.array([zlib.crc32(w.encode()) for w in known.to_pylist()], np.int64)
+    place = (marks[first] * 31 + marks[second]) % TABLE
+    return (table[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def block_counts(data: np.ndarray, offsets: np.ndarray, alone: np.ndarray, words: bool, bigrams: bool, table: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """(term, n, n_docs) of the texts of one block; a word's n_docs are its rows that are ``alone``, a bigram's null. With a ``table`` bigrams that it does not have are left out."""
     known, number, row = _numbered(data, offsets)
     size = max(1, len(known))
     if words:
@@ -63,7 +83,12 @@ def block_counts(data: np.ndarray, offsets: np.ndarray, alone: np.ndarray, words
         docs = np.bincount(met[np.diff(met, prepend=-1) > 0] % size, minlength=len(known))
         yield _batch(known, np.bincount(number, minlength=len(known)), pa.array(docs, pa.int64()))
     if bigrams:
-        pairs, n = np.unique((number[:-1] * size + number[1:])[row[:-1] == row[1:]], return_counts=True)
+        met = row[:-1] == row[1:]
+        first, second = number[:-1][met], number[1:][met]
+        if table is not None and len(first):
+            met = _asked(table, known, first, second)
+            first, second = first[met], second[met]
+        pairs, n = np.unique(first * size + second, return_counts=True)
         yield _batch(pc.binary_join_element_wise(known.take(pa.array(pairs // size)), known.take(pa.array(pairs % size)), pa.scalar(" ", known.type)), n, pa.nulls(len(n), pa.int64()))
 
 
@@ -80,20 +105,21 @@ def _blocks(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
         i = j
 
 
-def term_counts(documents: DataFrame, words: bool = True, bigrams: bool = True) -> DataFrame:
+def term_counts(documents: DataFrame, words: bool = True, bigrams: bool = True, asked: DataFrame | None = None) -> DataFrame:
     """(term, n, n_docs) of the words and bigrams of all texts; a bigram's words have a blank between them, and its n_docs are null.
 
-    ``documents`` has doc_id, where words are counted, and text.
+    ``documents`` has doc_id, where words are counted, and text. If there are ``asked`` bigrams (first, second), these are counted and only some of the others.
     """
     spark = documents.sparkSession
     ship(spark)
+    table = None if asked is None else spark.sparkContext.broadcast(asked_bits(asked))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = _bytes_of(batch["text"])
             alone = batch["alone"].to_numpy(zero_copy_only=False)
             for i, j in _blocks(offsets):
-                yield from block_counts(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], alone[i:j], words, bigrams)
+                yield from block_counts(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], alone[i:j], words, bigrams, None if table is None else table.value)
 
     if not words:
         rows, apart = documents.select("text", F.lit(False).alias("alone")), None
