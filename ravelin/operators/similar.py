@@ -33,7 +33,7 @@ from ravelin.sources.stored import written
 #: Letters that have a place in the order by frequency (others are rarest), and both lengths from which single letters are indexed.
 ALPHABET, LONG = 64, 48
 #: Letters of a word that has bits for them, known words in a row, in the first block and in the largest, and the most and fewest asked words in a group.
-BITS, ROW, FIRST, BLOCK, GROUP, MEET = 63, 4096, 4096, 262144, 4096, 64
+BITS, ROW, FIRST, BLOCK, GROUP, MEET = 63, 4096, 4096, 262144, 16384, 64
 #: Known words in a run, pairs that are told apart by subsequences at once, and groups for each core.
 RUN, PAIRS, SHARE = 16, 16384, 3
 NEAR = "low string, candidate string, ratio double, likeness double"
